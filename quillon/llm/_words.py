@@ -85,12 +85,14 @@ def row_chunks(offsets: np.ndarray, limit: int = CHUNK) -> Iterator[tuple[int, i
         at = to
 
 
-def words(column: pa.Array) -> Iterator[Words]:
+def words(column: pa.Array, lower: bool = True) -> Iterator[Words]:
     """The words of a column, chunk by chunk."""
     offsets, data = text_bytes(column)
     for lo, hi in row_chunks(offsets):
         own = offsets[lo : hi + 1] - offsets[lo]
-        piece = _LOWER[data[offsets[lo] : offsets[hi]]]
+        piece = data[offsets[lo] : offsets[hi]]
+        if lower:
+            piece = _LOWER[piece]
         n = len(piece)
         if not n:
             none = np.zeros(0, np.int64)

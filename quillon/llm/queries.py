@@ -12,6 +12,22 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillon.llm._arrow import fold
+    from quillon.llm.langid import identify
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = identify(docs, fold("doc_id", 4) != 2)
+    return out.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillon.llm.token_count import count_tokens, zipf_scores
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return count_tokens(docs, zipf_scores()).select("doc_id", "n_pretokens", "n_tokens")
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quillon.llm.shard import shuffle_into_shards
 
@@ -32,6 +48,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_language_id": op6_language_id,
+    "op9_token_counts": op9_token_counts,
     "op8_sharding": op8_sharding,
     "op10_mixing": op10_mixing,
 }
