@@ -12,6 +12,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillon.llm._arrow import fold
+    from quillon.llm.lm_score import score_texts
+
+    out = score_texts(_table(spark, sf_dir, "documents").select("doc_id", "text"), fold("doc_id", 10) != 0)
+    return out.select("doc_id", (fold("doc_id", 10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quillon.llm._arrow import fold
     from quillon.llm.langid import identify
@@ -48,6 +56,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op6_language_id": op6_language_id,
     "op9_token_counts": op9_token_counts,
     "op8_sharding": op8_sharding,
