@@ -20,6 +20,15 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (fold("doc_id", 10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillon.llm._arrow import fold
+    from quillon.llm.quality import score_quality
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = score_quality(docs, _table(spark, sf_dir, "labels"), fold("doc_id", 5) != 0)
+    return out.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quillon.llm._arrow import fold
     from quillon.llm.langid import identify
@@ -57,6 +66,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
+    "op2_quality": op2_quality,
     "op6_language_id": op6_language_id,
     "op9_token_counts": op9_token_counts,
     "op8_sharding": op8_sharding,
