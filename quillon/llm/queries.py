@@ -29,6 +29,12 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillon.llm.neardup import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"]).select("doc_id", "dup.*")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quillon.llm._arrow import fold
     from quillon.llm.langid import identify
@@ -67,6 +73,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_quality": op2_quality,
+    "op3_near_dedup": op3_near_dedup,
     "op6_language_id": op6_language_id,
     "op9_token_counts": op9_token_counts,
     "op8_sharding": op8_sharding,
