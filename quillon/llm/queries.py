@@ -35,6 +35,12 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"]).select("doc_id", "dup.*")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillon.llm.decontam import find_leaks
+
+    return find_leaks(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quillon.llm._arrow import fold
     from quillon.llm.langid import identify
@@ -74,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_quality": op2_quality,
     "op3_near_dedup": op3_near_dedup,
+    "op4_decontamination": op4_decontamination,
     "op6_language_id": op6_language_id,
     "op9_token_counts": op9_token_counts,
     "op8_sharding": op8_sharding,
