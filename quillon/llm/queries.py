@@ -57,6 +57,12 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(docs, zipf_scores()).select("doc_id", "n_pretokens", "n_tokens")
 
 
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillon.llm.ann import nearest
+
+    return nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quillon.llm.shard import shuffle_into_shards
 
@@ -82,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_near_dedup": op3_near_dedup,
     "op4_decontamination": op4_decontamination,
     "op6_language_id": op6_language_id,
+    "op7_nearest": op7_nearest,
     "op9_token_counts": op9_token_counts,
     "op8_sharding": op8_sharding,
     "op10_mixing": op10_mixing,
