@@ -32,7 +32,7 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quillon.llm.neardup import near_duplicates
 
-    return near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"]).select("doc_id", "dup.*")
+    return near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"]).select("doc_id", "dup.n_shingles", "dup.component_id", "dup.kept")
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +41,12 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"))
 
 
+def op5_chat_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillon.llm.quotes import reply_ordered
+
+    return reply_ordered(_table(spark, sf_dir, "conversations"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quillon.llm._arrow import fold
     from quillon.llm.langid import identify
@@ -87,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op3_near_dedup": op3_near_dedup,
     "op4_decontamination": op4_decontamination,
+    "op5_chat_quotes": op5_chat_quotes,
     "op6_language_id": op6_language_id,
     "op7_nearest": op7_nearest,
     "op9_token_counts": op9_token_counts,
