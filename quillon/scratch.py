@@ -33,9 +33,15 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 class Scratch:
-    """Writes tables to the shared folder and removes those no longer needed."""
+    """Writes tables to the shared folder and removes those no longer needed.
+
+    ``opened`` lists all that this process has made, the latest last.
+    """
+
+    opened: list[Scratch] = []
 
     def __init__(self, spark: SparkSession):
+        Scratch.opened.append(self)
         self.spark = spark
         self.base = f"{shared_folder(spark)}/quillon-{uuid.uuid4().hex}"
         self.count = 0
@@ -51,7 +57,13 @@ class Scratch:
 
     def drop(self, *tables: DataFrame) -> None:
         """Remove tables that ``save`` returned."""
-        jvm = self.spark._jvm
         for table in tables:
-            path = jvm.org.apache.hadoop.fs.Path(table._quillon_path)
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            self._delete(table._quillon_path)
+
+    def remove(self) -> None:
+        """Remove all tables; none may be read afterwards."""
+        self._delete(self.base)
+
+    def _delete(self, path: str) -> None:
+        found = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        found.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(found, True)
