@@ -85,7 +85,7 @@ def update(reminders: DataFrame, changes: DataFrame, now: str) -> DataFrame:
     out = reminders.join(own, "reminder_id", "left")
     for old, new in (("task", "new_task"), ("time_text", "new_time_text"), ("scheduled_time", "new_time_iso")):
         out = out.withColumn(old, F.coalesce(new, old))
-    return out.withColumn("updated_at", F.when("_hit", F.lit(now)).otherwise(F.col("updated_at"))).drop("new_task", "new_time_text", "new_time_iso", "_hit")
+    return out.withColumn("updated_at", F.when(F.col("_hit"), F.lit(now)).otherwise(F.col("updated_at"))).drop("new_task", "new_time_text", "new_time_iso", "_hit")
 
 
 def last_of(df: DataFrame, key: str, order: str) -> DataFrame:
