@@ -12,6 +12,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _own_folder: dict[str, str] = {}
 
 
@@ -46,11 +47,21 @@ class Scratch:
         self.base = f"{shared_folder(spark)}/quillon-{uuid.uuid4().hex}"
         self.count = 0
 
-    def save(self, df: DataFrame) -> DataFrame:
-        """Write ``df`` and return the reread table."""
+    def save(self, df: DataFrame, batch_rows: int | None = None) -> DataFrame:
+        """Write ``df`` and return the reread table.
+
+        ``batch_rows`` bounds the rows that go to Python at once, for wide rows.
+        """
         self.count += 1
         path = f"{self.base}/{self.count}"
-        df.write.parquet(path)
+        before = self.spark.conf.get(BATCH)
+        if batch_rows:
+            self.spark.conf.set(BATCH, str(min(batch_rows, int(before) if int(before) > 0 else batch_rows)))
+        try:
+            df.write.parquet(path)
+        finally:
+            if batch_rows:
+                self.spark.conf.set(BATCH, before)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._quillon_path = path
         return out
