@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillon.functions import intent, jsonx, text, timex
-from quillon.operators import device, evaluation, planning, profile, quality, store
+from quillon.operators import cases, device, evaluation, planning, profile, quality, store
 from quillon.streaming import due
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -427,6 +427,63 @@ def forbidden_scan(spark, d):
     return _t(spark, d, "documents").select("doc_id", F.regexp_replace(found, "[<>]", "").alias("found"))
 
 
+_CASE = "SELECT n_nationkey AS case_id, ['create', 'query', 'update', 'delete'][n_nationkey % 4 + 1] AS tool, ['success', 'ambiguous', 'not_found', 'missing_fields', 'no_tool'][n_nationkey % 5 + 1] AS expected, n_name FROM nation"
+
+
+def _cases(spark, d):
+    pick = lambda words: F.get(F.array(*[F.lit(w) for w in words]), F.col("n_nationkey") % len(words))
+    tool, expected = pick(["create", "query", "update", "delete"]), pick(["success", "ambiguous", "not_found", "missing_fields", "no_tool"])
+    rows = _t(spark, d, "nation").select(F.col("n_nationkey").alias("case_id"), tool.alias("tool"), expected.alias("expected_outcome"), F.lit("plain").alias("scenario"), F.lower("n_name").alias("task"))
+    gold = cases.planned_gold(F.col("tool"), F.col("scenario"), F.col("expected_outcome"), F.col("case_id"), F.col("task"), F.lit("tomorrow"), F.lit("other"), F.lit("tonight"))
+    return rows.withColumn("gold", gold)
+
+
+@query(
+    f"""SELECT case_id, tool AS action, CASE WHEN tool = 'create' OR tool = 'query' OR tool = 'delete' THEN lower(n_name) END AS task,
+CASE WHEN tool = 'create' THEN 'tomorrow' WHEN tool = 'query' AND case_id % 2 = 0 THEN 'tomorrow' WHEN tool = 'delete' AND (case_id % 2 = 0 OR expected = 'success') THEN 'tomorrow' END AS time_text,
+CASE WHEN tool = 'delete' OR (tool = 'update' AND expected IN ('success', 'ambiguous', 'not_found')) THEN lower(n_name) END AS locator_task,
+CASE WHEN tool = 'update' AND expected IN ('success', 'ambiguous', 'not_found') THEN 'tonight' END AS new_time_text, expected <> 'no_tool' AS should_call_tool FROM ({_CASE})"""
+)
+def gold_plan(spark, d):
+    return _cases(spark, d).select("case_id", "gold.action", "gold.task", "gold.time_text", "gold.locator_task", "gold.new_time_text", "gold.should_call_tool")
+
+
+@query(
+    f"""WITH c AS ({_CASE}), r AS (SELECT case_id, 'rem_0001' AS reminder_id, lower(n_name) AS task FROM c WHERE expected = 'success' AND tool <> 'create'
+UNION ALL SELECT case_id, unnest(['rem_0001', 'rem_0002']), lower(n_name) FROM c WHERE expected = 'ambiguous'
+UNION ALL SELECT case_id, 'rem_d001', 'water the orchids' FROM c UNION ALL SELECT case_id, 'rem_d002', 'charge the phone' FROM c) SELECT * FROM r"""
+)
+def initial_state(spark, d):
+    return cases.starting_reminders(_cases(spark, d), "2026-05-26 11:50:06", "+08:00").select("case_id", "reminder_id", "task")
+
+
+@query(f"SELECT case_id, CASE WHEN case_id % 3 = 0 THEN 0 ELSE 1 END::BIGINT AS reminders, CASE WHEN case_id % 3 = 0 THEN 'missing initialized reminders' END AS failure FROM ({_CASE})")
+def case_state_join(spark, d):
+    held = _cases(spark, d).where("case_id % 3 <> 0").select("case_id")
+    return cases.with_state(_cases(spark, d).select("case_id"), held)
+
+
+@query("SELECT event_id, event_type AS said FROM events")
+def clean_utterances(spark, d):
+    part, x = F.col("event_id") % 4, F.col("event_type")
+    raw = F.when(part == 0, F.concat(F.lit('```json\n{"utterance": "'), x, F.lit('"}\n```'))).when(part == 1, F.concat(F.lit(' "User: '), x, F.lit(' "'))).when(part == 2, F.concat(F.lit("utterance:  "), x)).otherwise(x)
+    return _t(spark, d, "events").select("event_id", cases.clean_generated(raw).alias("said"))
+
+
+@query("SELECT event_id, round, stopped FROM (SELECT event_id, event_id % 5 AS round, max(event_id % 5) OVER (PARTITION BY user_id) > 3 AS stopped FROM events) WHERE round <= 3")
+def bounded_rounds(spark, d):
+    calls = _t(spark, d, "events").select("event_id", F.col("user_id").alias("conv_id"), (F.col("event_id") % 5).alias("round"))
+    return cases.bounded_rounds(calls).select("event_id", "round", "stopped")
+
+
+@query()
+def dispatch_calls(spark, d):
+    """Replays tool calls made of the events, one conversation a user."""
+    pick = F.get(F.array(*[F.lit(x) for x in evaluation.TOOLS]), (F.col("event_id") % 4).cast("int"))
+    calls = _t(spark, d, "events").select(F.col("user_id").alias("conv_id"), F.col("event_id").alias("seq"), pick.alias("tool"), F.col("event_type").alias("task"), F.lit("other").alias("new_task"))
+    return cases.dispatch(calls)
+
+
 # --- time, intents, devices, due windows ----------------------------------------------------------
 
 _PHRASES = [

@@ -208,3 +208,29 @@ def test_sources(spark, tmp_path):
 
 def test_kinds_of_nothing():
     assert list(jsonx._kinds(pd.Series([None, "{}"]))) == ["invalid", "object"]
+
+
+def test_dispatch_keeps_order(spark):
+    from quillon.operators import cases
+
+    rows = [(1, 0, "query", "walk", None), (1, 1, "create", "Walk dog", None), (1, 2, "query", "walk", None), (1, 3, "create", "walk cat", None), (1, 4, "delete", "walk", None), (1, 5, "update", "cat", "Feed cat"), (1, 6, "delete", "feed cat", None), (1, 7, "delete", "feed cat", None), (2, 0, "create", "", None)]
+    got = {(r["conv_id"], r["seq"]): r["status"] for r in cases.dispatch(spark.createDataFrame(rows, "conv_id long, seq long, tool string, task string, new_task string")).collect()}
+    assert [got[1, i] for i in range(8)] == ["not_found", "success", "success", "success", "ambiguous", "success", "success", "not_found"]
+    assert got[2, 0] == "missing_fields"
+
+
+def test_starting_reminders(spark):
+    from quillon.operators import cases
+
+    gold = "struct<task:string,time_text:string,locator_task:string,locator_time_text:string>"
+    rows = [(1, "delete", "success", "basketball_day", (None, None, "call mum", "tonight at 8 PM")), (2, "create", "no_tool", "x", (None, None, None, None))]
+    out = cases.starting_reminders(spark.createDataFrame(rows, f"case_id int, tool string, expected_outcome string, scenario string, gold {gold}"), "2026-05-26 11:50:06", "+08:00").orderBy("case_id", "place").collect()
+    assert [(r["case_id"], r["reminder_id"], r["scheduled_time"]) for r in out] == [
+        (1, "rem_0001", "2026-05-26T20:00:00+08:00"),
+        (1, "rem_d001", "2026-05-27T09:00:00+08:00"),
+        (1, "rem_d002", "2026-05-26T21:00:00+08:00"),
+        (1, "rem_basketball", "2026-05-27T16:00:00+08:00"),
+        (2, "rem_d001", "2026-05-27T09:00:00+08:00"),
+        (2, "rem_d002", "2026-05-26T21:00:00+08:00"),
+    ]
+    assert out[0]["created_at"] == "2026-05-24T10:50:06+08:00"
