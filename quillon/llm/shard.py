@@ -4,8 +4,9 @@ Rows are numbered once and written to the shared folder, in blocks of up to
 65536 neighbours.  The driver draws, block by block, how many of its rows each
 shard gets: the multivariate hypergeometric law of a uniform permutation cut
 into shards whose sizes differ by one at most.  Each block is permuted on its
-own, its rows go to their shards, and each shard is permuted again, in ranges
-of a random key, so that no task holds a whole shard.
+own, its rows are sent to their shards, and each shard is permuted again, in
+ranges of a random key, so that no task holds a whole shard.  Permutations move
+row numbers; the rows themselves are exchanged once, at the end.
 
 Defined results: null and empty texts are rows like any other; repeated rows
 are dealt one by one; an empty table gives an empty result; columns of the
@@ -71,30 +72,29 @@ def shuffle_into_shards(docs: DataFrame, shards: int = 8, seed: int = 11) -> Dat
     row = F.struct(*[docs[c].alias(c) for c in names])
     scratch = Scratch(docs.sparkSession)
     kept = scratch.save(docs.select(row.alias("r"), F.monotonically_increasing_id().alias("uid")))
-    kept = kept.withColumn("block", F.shiftright("uid", BLOCK_BITS))
-    blocks = kept.groupBy("block").count().orderBy("block").collect()
+    own = kept.select("uid", F.shiftright("uid", BLOCK_BITS).alias("block"))
+    blocks = own.groupBy("block").count().orderBy("block").collect()
     matrix = communication_matrix([b["count"] for b in blocks], shards, seed)
     bounds = [(b["block"], [int(x) for x in np.cumsum(m)]) for b, m in zip(blocks, matrix, strict=True)]
     bounds = docs.sparkSession.createDataFrame(bounds, "block long, upto array<long>")
     local = Window.partitionBy("block").orderBy(F.xxhash64(F.lit(seed), "uid"), "uid")
+    total = sum(b["count"] for b in blocks)
+    ranges = max(1, -(-total // (shards * RANGE_ROWS)))
     sent = (
-        kept.withColumn("n", F.row_number().over(local))
+        own.withColumn("n", F.row_number().over(local))
         .join(bounds, "block")
-        .select("r", "uid", F.size(F.filter("upto", lambda x: x < F.col("n"))).alias("shard"))
+        .select("uid", F.size(F.filter("upto", lambda x: x < F.col("n"))).alias("shard"))
         .withColumn("order", F.xxhash64(F.lit(seed + 1), "uid"))
+        .withColumn("range", _range_of("order", ranges))
     )
-    total = sum(b["count"] for b in blocks)
-    ranges = max(1, -(-total // (shards * RANGE_ROWS)))
-    sent = scratch.save(sent.withColumn("range", _range_of("order", ranges)))
+    sent = scratch.save(sent)
     counts = sent.groupBy("shard", "range").count()
     before = Window.partitionBy("shard").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("shard", "range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("base"))
     within = Window.partitionBy("shard", "range").orderBy("order", "uid")
-    return (
-        sent.withColumn("n", F.row_number().over(within))
-        .join(offsets, ["shard", "range"])
-        .select("r.*", "shard", (F.col("base") + F.col("n") - 1).cast("int").alias("slot"))
-    )
+    placed = sent.withColumn("n", F.row_number().over(within)).join(offsets, ["shard", "range"])
+    slots = placed.select("uid", "shard", (F.col("base") + F.col("n") - 1).cast("int").alias("slot"))
+    return kept.join(slots, "uid").select("r.*", "shard", "slot")
 
 
 def _range_of(key: str, ranges: int) -> Column:
