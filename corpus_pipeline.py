@@ -6,6 +6,7 @@ return the columns of ``documents``.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -14,41 +15,73 @@ from pyspark.sql import functions as F
 from quillon.llm._arrow import fold
 from quillon.llm.decontam import mark_leaks
 from quillon.llm.langid import UNKNOWN, identify
-from quillon.llm.mix import pareto_mix
+from quillon.llm.mix import WORD, pareto_mix
 from quillon.llm.neardup import near_duplicates
 from quillon.llm.shard import shuffle_into_shards
 from quillon.scratch import Scratch
 
 SHARDS = 8
+_scratch_of: dict[int, list[Scratch]] = {}
 
 
+def _stage(number: int) -> Callable:
+    """Marks a stage.  When it starts, its ``docs`` have been written by the stage before, so
+    the intermediate tables of earlier stages are removed; those of the last stage stay."""
+
+    def wrap(work: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+        @functools.wraps(work)
+        def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+            for earlier in range(number):
+                for scratch in _scratch_of.pop(earlier, []):
+                    scratch.remove()
+            made = len(Scratch.opened)
+            out = work(spark, docs, sf_dir)
+            _scratch_of.setdefault(number, []).extend(Scratch.opened[made:])
+            return out
+
+        return stage
+
+    return wrap
+
+
+@_stage(0)
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter or text, whose language is ``und``, go."""
     return identify(docs, fold("doc_id", 4) != 2).where(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
 
 
+@_stage(1)
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays: one row with the smallest id.
 
     The row is picked among the kept ones, which are several only where rows repeat an id.
     """
-    out = near_duplicates(docs, docs.columns).where("dup.kept")
-    once = Window.partitionBy("dup.group").orderBy("doc_id")
-    grouped = out.where("dup.group is not null").withColumn("dup", F.row_number().over(once)).where("dup = 1")
-    return grouped.select(*docs.columns).unionAll(out.where("dup.group is null").select(*docs.columns))
-
-
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    out = near_duplicates(rows, ["doc_id", "text_hash"]).where("dup.kept")
+    first = out.groupBy("dup.group").agg(F.min(F.struct("doc_id", "text_hash")).alias("one"))
+    grouped = first.where("`group` is not null").select(F.col("one.doc_id").alias("id"), F.col("one.text_hash").alias("hash"))
+    text_hash = F.xxhash64("text")
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (text_hash == F.col("hash"))
+    once = Window.partitionBy("doc_id", text_hash).orderBy("doc_id")
+    kept = docs.join(grouped, same, "left_semi").withColumn("_n", F.row_number().over(once)).where("_n = 1")
+    empty = docs.where(~F.coalesce(F.col("text").rlike(WORD), F.lit(False)))
+    return kept.select(*docs.columns).unionAll(empty.select(*docs.columns))
+
+
+@_stage(2)
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that leak an item of the benchmark go."""
     return mark_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("not leaked").select(*docs.columns)
 
 
+@_stage(3)
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents stay as often as the mix takes them."""
     mixed = pareto_mix(docs, docs.columns).where("mix.copies > 0")
     return mixed.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("mix.copies"))).alias("copy")).select(*docs.columns)
 
 
+@_stage(4)
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row gets its shard and its slot in it."""
     return shuffle_into_shards(docs, SHARDS)
