@@ -1,12 +1,18 @@
 """Benchmark decontamination: BM25 over test items with block-max pruning.
 
 Test items are indexed by word, with BM25 impacts, in blocks of ``BLOCK`` items
-of similar length; each word keeps the largest impact in each block.  Every
+of similar length; each word keeps the largest impact in each block.  Document
+frequencies and the mean length are those of the whole test set.  Every
 passage of every document is a query.  Passages are pairs of neighbouring half
 passages, so that an item always lies whole within one.  As in block-max WAND,
 a block is scored only where the sum of its largest impacts reaches the
-threshold, ``Settings.retrieve`` of the score that an item has for itself;
-bounds and scores of all passages of a chunk are sums over arrays.
+threshold; bounds and scores of all passages of a chunk are sums over arrays.
+
+An item's threshold is a lower bound on the score of any text that meets the
+rule below, so retrieval loses no leak.  Every word's impact is divided evenly
+among the item's shingles that hold it; a text with some of the shingles scores
+at least the sum of their shares, and so at least that of as many of the
+smallest shares as the rule asks for (``least_score``).
 
 What is retrieved is verified on 5-word shingles: a document leaks an item if
 it holds half of the question's and half of the answer's shingles, or three
@@ -35,11 +41,11 @@ from quillon.llm._arrow import add_columns
 from quillon.llm._words import shingles, words
 
 BLOCK = 8
+REACHED = 0.999  # of a threshold, which leaves room for rounding
 
 
 @dataclass(frozen=True)
 class Settings:
-    retrieve: float = 0.6
     part: float = 0.5
     whole: float = 0.75
     slice: int = 128
@@ -51,7 +57,8 @@ class Settings:
 
 @dataclass
 class Slice:
-    """An inverted index of some items: impacts relative to each item's threshold, and the blocks' largest."""
+    """An inverted index of some items: impacts relative to each item's threshold, and the blocks' largest;
+    ``least`` is the threshold relative to the item's own score."""
 
     ids: list[int]
     vocabulary: np.ndarray
@@ -60,16 +67,56 @@ class Slice:
     question: list[np.ndarray]
     answer: list[np.ndarray]
     half: int
+    least: np.ndarray
+
+
+@dataclass
+class Statistics:
+    """What BM25 knows of a test set: its size, mean length, words and the items that hold each."""
+
+    items: int
+    mean_length: float
+    vocabulary: np.ndarray
+    df: np.ndarray
 
 
 def _hashes(texts: list[str]) -> list[np.ndarray]:
     return [w.hashes[lo:hi] for w in words(pa.array(texts, pa.string())) for lo, hi in zip(w.bounds[:-1], w.bounds[1:])]
 
 
-def build_slice(ids: list[int], questions: list[str], answers: list[str], s: Settings) -> Slice:
-    """Index the items; impacts are divided by the score at which an item counts as retrieved."""
+def statistics(items: list[np.ndarray]) -> Statistics:
+    """Of items given as word hashes."""
+    vocabulary, df = np.unique(np.concatenate([np.zeros(0, np.uint64), *map(np.unique, items)]), return_counts=True)
+    return Statistics(len(items), max(1.0, float(np.mean([len(x) for x in items]))) if items else 1.0, vocabulary, df)
+
+
+def _shingle_words(x: np.ndarray) -> np.ndarray:
+    """The words of each distinct shingle, one row each."""
+    return np.unique(np.lib.stride_tricks.sliding_window_view(x, min(5, len(x))), axis=0) if len(x) else np.zeros((0, 0), x.dtype)
+
+
+def least_score(impact: np.ndarray, question: np.ndarray, answer: np.ndarray, s: Settings) -> float:
+    """A score that no text which meets the overlap rule is under.
+
+    ``question`` and ``answer`` are places in ``impact``.
+    """
+    sides = [[np.unique(x) for x in _shingle_words(side)] for side in (question, answer)]
+    among = np.bincount(np.concatenate([np.zeros(0, np.int64), *sides[0], *sides[1]]), minlength=len(impact))
+    shares = [np.sort([float((impact[x] / among[x]).sum()) for x in side]) for side in sides]
+    fewest = lambda part, n: int(np.ceil(part * n - 1e-9))
+    apart = sum(float(x[: fewest(s.part, len(x))].sum()) for x in shares)
+    together = np.sort(np.concatenate(shares))
+    return min(apart, float(together[: fewest(s.whole, len(together))].sum()))
+
+
+def build_slice(ids: list[int], questions: list[str], answers: list[str], s: Settings, known: Statistics | None = None) -> Slice:
+    """Index the items; impacts are divided by the score at which an item counts as retrieved.
+
+    ``known`` are the statistics of the test set, by default of these items.
+    """
     q, a = _hashes(questions), _hashes(answers)
     both = [np.concatenate(x) for x in zip(q, a)]
+    known = known or statistics(both)
     vocabulary = np.unique(np.concatenate([np.zeros(0, np.uint64), *both]))
     n = -(-len(ids) // BLOCK) * BLOCK
     tf = np.zeros((len(vocabulary), n), np.float32)
@@ -77,14 +124,17 @@ def build_slice(ids: list[int], questions: list[str], answers: list[str], s: Set
         own, count = np.unique(x, return_counts=True)
         tf[np.searchsorted(vocabulary, own), i] = count
     length = np.array([len(x) for x in both] + [0] * (n - len(ids)), np.float32)
-    df = (tf > 0).sum(1)
-    idf = np.log(1 + (len(ids) - df + 0.5) / (df + 0.5))
-    norm = s.k1 * (1 - s.b + s.b * length / max(1.0, float(length[: len(ids)].mean()) if ids else 1.0))
+    df = known.df[np.searchsorted(known.vocabulary, vocabulary)]
+    idf = np.log(1 + (known.items - df + 0.5) / (df + 0.5))
+    norm = s.k1 * (1 - s.b + s.b * length / known.mean_length)
     impact = np.where(tf > 0, idf[:, None] * tf * (s.k1 + 1) / (tf + norm), 0)
-    impact /= np.maximum(impact.sum(0) * s.retrieve, 1e-9)
-    impact = impact.astype(np.float32)
+    least = np.full(n, 1e-9)
+    for i, (x, y) in enumerate(zip(q, a)):
+        least[i] = max(1e-9, least_score(impact[:, i], np.searchsorted(vocabulary, x), np.searchsorted(vocabulary, y), s))
+    own_score = np.maximum(impact.sum(0), 1e-9)
+    impact = (impact / least).astype(np.float32)
     block_max = impact.reshape(len(vocabulary), -1, BLOCK).max(2)
-    return Slice(ids, vocabulary, impact, block_max, [np.unique(shingles(x)) for x in q], [np.unique(shingles(x)) for x in a], max([s.half, *map(len, both)]))
+    return Slice(ids, vocabulary, impact, block_max, [np.unique(shingles(x)) for x in q], [np.unique(shingles(x)) for x in a], max([s.half, *map(len, both)]), least / own_score)
 
 
 def retrieve(column: pa.Array, index: Slice) -> Iterator[tuple[int, int, float, np.ndarray]]:
@@ -111,11 +161,11 @@ def retrieve(column: pa.Array, index: Slice) -> Iterator[tuple[int, int, float,
         last[(first + halves - 1)[halves > 0]] = True
         bound[:-1][~last] += bound[1:][~last]
         row_of_half = np.repeat(np.arange(w.rows), halves)
-        for p in np.flatnonzero((bound[:-1] >= 0.9999).any(1)):
+        for p in np.flatnonzero((bound[:-1] >= REACHED).any(1)):
             end = p + (1 if last[p] else 2)
             score = index.impact[term[bounds[p] : bounds[end]]].sum(0)
-            score[np.repeat(bound[p] < 0.9999, BLOCK)] = 0
-            found = np.flatnonzero(score[: len(index.ids)] >= 0.9999)
+            score[np.repeat(bound[p] < REACHED, BLOCK)] = 0
+            found = np.flatnonzero(score[: len(index.ids)] >= REACHED)
             if len(found):
                 r = row_of_half[p]
                 start = w.bounds[r] + (p - first[r]) * index.half
@@ -135,7 +185,7 @@ def leaks(column: pa.Array, index: Slice, s: Settings) -> dict[tuple[int, int],
         in_q, in_a = (float(np.isin(x, found).mean()) if len(x) else 1.0 for x in (q, a))
         together = float(np.isin(np.concatenate([q, a]), found).mean())
         if min(in_q, in_a) >= s.part or together >= s.whole:
-            out[row, i] = max(out.get((row, i), (0.0, 0.0, 0.0)), (score * s.retrieve, in_q, in_a))
+            out[row, i] = max(out.get((row, i), (0.0, 0.0, 0.0)), (score * float(index.least[i]), in_q, in_a))
     return out
 
 
@@ -151,10 +201,11 @@ def build_passes(items: DataFrame, s: Settings = Settings()) -> list[list[Slice]
     rows = [(r["n"], r["item_id"], r["text"]) for r in items.where("text is not null").select("item_id", "text", F.length("text").alias("n")).collect()]
     slices = []
     rows.sort(key=lambda r: (r[0], r[2]))
+    split = [split_item(r[2]) for r in rows]
+    known = statistics(_hashes([f"{q} {a}" for q, a in split]))
     for lo in range(0, len(rows), s.slice):
-        part = rows[lo : lo + s.slice]
-        split = [split_item(r[2]) for r in part]
-        slices.append(build_slice([r[1] for r in part], [x[0] for x in split], [x[1] for x in split], s))
+        part = split[lo : lo + s.slice]
+        slices.append(build_slice([r[1] for r in rows[lo : lo + s.slice]], [x[0] for x in part], [x[1] for x in part], s, known))
     return [slices[i : i + s.slices_a_pass] for i in range(0, len(slices), s.slices_a_pass)]
 
 

@@ -183,6 +183,51 @@ def test_decontamination(spark):
     assert decontam.find_leaks(docs, bench.limit(0)).count() == 0
 
 
+def overlap_rule(text, item):
+    """Whether a text leaks an item, on sets of words themselves."""
+
+    def grams(x):
+        x = split(x)
+        return {tuple(x[i : i + 5]) for i in range(max(1, len(x) - 4))} if x else set()
+
+    found, sides = grams(text), [grams(x) for x in decontam.split_item(item)]
+    share = [len(x & found) / len(x) if x else 1.0 for x in sides]
+    total = sum(map(len, sides))
+    return total > 0 and (min(share) >= 0.5 or sum(len(x & found) for x in sides) / total >= 0.75)
+
+
+def leading(text, part):
+    """The words of the first ``part`` of the shingles."""
+    own = text.split()
+    return " ".join(own[: math.ceil(part * (len(own) - 4)) + 4])
+
+
+def test_partial_copies_match_a_scan_of_the_rule(spark):
+    rng = random.Random(15)
+    vocabulary = [f"w{int(rng.paretovariate(0.6))}" for _ in range(3000)]
+    items = [prose(rng, vocabulary, rng.randrange(8, 60)) + ". " + prose(rng, vocabulary, rng.randrange(6, 30)) + "." for _ in range(40)]
+    texts = []
+    for item in items:
+        q, a = decontam.split_item(item)
+        for part in (0.3, 0.5, 0.7):
+            texts.append(" ".join([leading(q, part), leading(a, part), prose(rng, vocabulary, 20)]))
+    truth = {(i, k) for i, t in enumerate(texts) for k, item in enumerate(items) if overlap_rule(t, item)}
+    assert {(i, i // 3) for i in range(len(texts)) if i % 3} <= truth
+    bench = spark.createDataFrame([*enumerate(items)], "item_id long, text string")
+    for s in (decontam.Settings(), decontam.Settings(slice=8, slices_a_pass=2)):
+        found = decontam.find_leaks(table(spark, texts), bench, s).collect()
+        assert {(r["doc_id"], r["item_id"]) for r in found} == truth
+
+
+def test_thresholds_use_the_whole_test_set(spark):
+    rng = random.Random(16)
+    items = [prose(rng, [f"w{i}" for i in range(60)], 20) for _ in range(24)]
+    bench = spark.createDataFrame([*enumerate(items)], "item_id long, text string")
+    sliced, whole = ([x for group in decontam.build_passes(bench, decontam.Settings(slice=n)) for x in group] for n in (8, 24))
+    least = {i: x for index in whole for i, x in zip(index.ids, index.least)}
+    assert len(sliced) == 3 and all(x == pytest.approx(least[i]) for index in sliced for i, x in zip(index.ids, index.least))
+
+
 def test_block_bounds_hold(spark):
     rng = random.Random(6)
     vocabulary = [f"w{i}" for i in range(80)]
