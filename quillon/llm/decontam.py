@@ -2,21 +2,21 @@
 
 Test items are indexed by word, with BM25 impacts, in blocks of ``BLOCK`` items
 of similar length; each word keeps the largest impact in each block.  Document
-frequencies and the mean length are those of the whole test set.  Every
-passage of every document is a query.  Passages are pairs of neighbouring half
-passages, so that an item always lies whole within one.  As in block-max WAND,
-a block is scored only where the sum of its largest impacts reaches the
-threshold; bounds and scores of all passages of a chunk are sums over arrays.
-
-An item's threshold is a lower bound on the score of any text that meets the
-rule below, so retrieval loses no leak.  Every word's impact is divided evenly
-among the item's shingles that hold it; a text with some of the shingles scores
-at least the sum of their shares, and so at least that of as many of the
-smallest shares as the rule asks for (``least_score``).
+frequencies and the mean length are those of the whole test set.  Every document
+is a query of its distinct words.  As in block-max WAND, a block is scored only
+where the sum of its largest impacts reaches the threshold; bounds of all
+documents of a chunk are sums over arrays.
 
 What is retrieved is verified on 5-word shingles: a document leaks an item if
 it holds half of the question's and half of the answer's shingles, or three
-quarters of both together.  The answer of a one-column item is its last sentence.
+quarters of both together, wherever they stand in it.  The answer of a
+one-column item is its last sentence.
+
+An item's threshold is a lower bound on the score of any document that meets
+this rule, so retrieval loses no leak.  Every word's impact is divided evenly
+among the item's shingles that hold it; a text with some of the shingles scores
+at least the sum of their shares, and so at least that of as many of the
+smallest shares as the rule asks for (``least_score``).
 
 Items are read to the driver in slices of ``Settings.slice`` and handed to the
 tasks ``Settings.slices_a_pass`` at a time, so the index in a task is bounded;
@@ -50,7 +50,6 @@ class Settings:
     whole: float = 0.75
     slice: int = 128
     slices_a_pass: int = 16
-    half: int = 64
     k1: float = 1.2
     b: float = 0.75
 
@@ -58,7 +57,7 @@ class Settings:
 @dataclass
 class Slice:
     """An inverted index of some items: impacts relative to each item's threshold, and the blocks' largest;
-    ``least`` is the threshold relative to the item's own score."""
+    ``known`` are all items' shingles, ``least`` is the threshold relative to the item's own score."""
 
     ids: list[int]
     vocabulary: np.ndarray
@@ -66,7 +65,7 @@ class Slice:
     block_max: np.ndarray
     question: list[np.ndarray]
     answer: list[np.ndarray]
-    half: int
+    known: np.ndarray
     least: np.ndarray
 
 
@@ -134,58 +133,49 @@ def build_slice(ids: list[int], questions: list[str], answers: list[str], s: Set
     own_score = np.maximum(impact.sum(0), 1e-9)
     impact = (impact / least).astype(np.float32)
     block_max = impact.reshape(len(vocabulary), -1, BLOCK).max(2)
-    return Slice(ids, vocabulary, impact, block_max, [np.unique(shingles(x)) for x in q], [np.unique(shingles(x)) for x in a], max([s.half, *map(len, both)]), least / own_score)
+    question, answer = ([np.unique(shingles(x)) for x in side] for side in (q, a))
+    known_shingles = np.unique(np.concatenate([np.zeros(0, np.uint64), *question, *answer]))
+    return Slice(ids, vocabulary, impact, block_max, question, answer, known_shingles, least / own_score)
 
 
 def retrieve(column: pa.Array, index: Slice) -> Iterator[tuple[int, int, float, np.ndarray]]:
-    """(row, item place, score, words of the passage) of each passage and item at or over the threshold."""
+    """(row, item place, score, words of the text) of each text and item at or over the threshold, row by row."""
     for w in words(column):
         if not len(w.hashes) or not len(index.vocabulary):
             continue
-        count = np.diff(w.bounds)
-        halves = -(-count // index.half)
-        first = np.cumsum(halves) - halves
-        row = w.row_of()
-        place = first[row] + (np.arange(len(row)) - w.bounds[row]) // index.half
         at = np.minimum(np.searchsorted(index.vocabulary, w.hashes), len(index.vocabulary) - 1)
         known = index.vocabulary[at] == w.hashes
-        pairs = np.unique(place[known] * len(index.vocabulary) + at[known])
-        place, term = np.divmod(pairs, len(index.vocabulary))
-        bounds = np.searchsorted(place, np.arange(int(halves.sum()) + 1))
+        pairs = np.unique(w.row_of()[known] * len(index.vocabulary) + at[known])
+        row, term = np.divmod(pairs, len(index.vocabulary))
+        bounds = np.searchsorted(row, np.arange(w.rows + 1))
         full = np.flatnonzero(np.diff(bounds))
         if not len(full):
             continue
-        bound = np.zeros((len(bounds), index.block_max.shape[1]), np.float32)
+        bound = np.zeros((w.rows, index.block_max.shape[1]), np.float32)
         bound[full] = np.add.reduceat(index.block_max[term], bounds[full], axis=0)
-        last = np.zeros(len(bounds) - 1, bool)
-        last[(first + halves - 1)[halves > 0]] = True
-        bound[:-1][~last] += bound[1:][~last]
-        row_of_half = np.repeat(np.arange(w.rows), halves)
-        for p in np.flatnonzero((bound[:-1] >= REACHED).any(1)):
-            end = p + (1 if last[p] else 2)
-            score = index.impact[term[bounds[p] : bounds[end]]].sum(0)
-            score[np.repeat(bound[p] < REACHED, BLOCK)] = 0
-            found = np.flatnonzero(score[: len(index.ids)] >= REACHED)
-            if len(found):
-                r = row_of_half[p]
-                start = w.bounds[r] + (p - first[r]) * index.half
-                passage = w.hashes[start : min(start + 2 * index.half, w.bounds[r + 1])]
-                for i in found:
-                    yield w.first + int(r), int(i), float(score[i]), passage
+        for r in np.flatnonzero((bound >= REACHED).any(1)):
+            score = index.impact[term[bounds[r] : bounds[r + 1]]].sum(0)
+            score[np.repeat(bound[r] < REACHED, BLOCK)] = 0
+            for i in np.flatnonzero(score[: len(index.ids)] >= REACHED):
+                yield w.first + int(r), int(i), float(score[i]), w.hashes[w.bounds[r] : w.bounds[r + 1]]
 
 
 def leaks(column: pa.Array, index: Slice, s: Settings) -> dict[tuple[int, int], tuple[float, float, float]]:
     """(row, item place) of every verified leak, with the score and the overlaps of question and answer."""
     out: dict[tuple[int, int], tuple[float, float, float]] = {}
-    for row, i, score, passage in retrieve(column, index):
+    last, found = -1, index.known
+    for row, i, score, text in retrieve(column, index):
+        if row != last:
+            own = shingles(text)
+            at = np.minimum(np.searchsorted(index.known, own), len(index.known) - 1)
+            last, found = row, np.unique(own[index.known[at] == own])
         q, a = index.question[i], index.answer[i]
-        if not len(q) and not len(a):
+        if not len(found) or not len(q) and not len(a):
             continue
-        found = shingles(passage)
         in_q, in_a = (float(np.isin(x, found).mean()) if len(x) else 1.0 for x in (q, a))
         together = float(np.isin(np.concatenate([q, a]), found).mean())
         if min(in_q, in_a) >= s.part or together >= s.whole:
-            out[row, i] = max(out.get((row, i), (0.0, 0.0, 0.0)), (score * float(index.least[i]), in_q, in_a))
+            out[row, i] = (score * float(index.least[i]), in_q, in_a)
     return out
 
 

@@ -219,6 +219,27 @@ def test_partial_copies_match_a_scan_of_the_rule(spark):
         assert {(r["doc_id"], r["item_id"]) for r in found} == truth
 
 
+def test_leaks_are_those_of_whole_documents(spark):
+    rng = random.Random(17)
+    vocabulary = [f"w{i}" for i in range(400)]
+    items = [prose(rng, vocabulary, 30) + ". " + prose(rng, vocabulary, 25) + "." for _ in range(10)]
+    texts = []
+    for item in items:
+        q, a = decontam.split_item(item)
+        halves = [q.split()[:17], a.split()[:16], q.split()[17:], a.split()[16:]]
+        texts.append(" ".join([q, prose(rng, vocabulary, 200), a]))
+        texts.append(" ".join([a, prose(rng, vocabulary, 3000), q]))
+        texts.append(" ".join(" ".join(x) + " " + prose(rng, vocabulary, 150) for x in halves))
+        texts.append(q + " " + prose(rng, vocabulary, 200))
+    truth = {(i, k) for i, t in enumerate(texts) for k, item in enumerate(items) if overlap_rule(t, item)}
+    assert {(i, i // 4) for i in range(len(texts)) if i % 4 < 3} == truth
+    bench = spark.createDataFrame([*enumerate(items)], "item_id long, text string")
+    found = decontam.find_leaks(table(spark, texts), bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == truth
+    marked = decontam.mark_leaks(table(spark, texts), bench).where("leaked").collect()
+    assert {r["doc_id"] for r in marked} == {i for i, _ in truth}
+
+
 def test_thresholds_use_the_whole_test_set(spark):
     rng = random.Random(16)
     items = [prose(rng, [f"w{i}" for i in range(60)], 20) for _ in range(24)]
