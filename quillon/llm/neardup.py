@@ -16,10 +16,10 @@ while a bucket holds several components, its members are tried against its class
 of most links; then against the most similar ones of other components; and what
 is then still apart is compared between components only, in each bucket.
 Buckets of over ``Settings.small_bucket`` members are compared in blocks that
-give out only the pairs that stay possible, each in the first band it shares; a
-bucket of over ``Settings.large_bucket`` is divided by a second shared band
-before, then a third.  A pair of similarity 0.75 shares two bands or more with a
-chance of 1 - 8e-5.
+give out only the pairs that stay possible, each in the first band it shares.
+That holds for buckets of any size: all their pairs of different components are
+compared, over ``Settings.large_bucket`` members in blocks of
+``Settings.large_block``, so that fewer copies of each member are made.
 
 Defined results: a null or empty text has no shingle, is linked with nothing
 and keeps itself; a text of under five words is one shingle; repeated rows are
@@ -63,7 +63,7 @@ class Settings:
     small_bucket: int = 16
     block: int = 256
     large_bucket: int = 4096
-    deepest: int = 4
+    large_block: int = 512
 
 
 def signature(own: np.ndarray) -> np.ndarray:
@@ -305,7 +305,7 @@ def _links(members: DataFrame, classes: DataFrame, docs: DataFrame, s: Settings,
         x, y = (small.select("k", F.col("h").alias(h), F.col("root").alias(f"root_{h}")) for h in "ab")
         listed = x.join(y, "k").where("a < b and root_a <> root_b").select("a", "b")
         confirmed(listed)
-        large = _divided(mixed.where(F.col("m") > s.small_bucket), members, s, scratch)
+        large = mixed.where(F.col("m") > s.small_bucket)
         possible = scratch.save(_between_blocks(large, classes, best, s), s.batch_rows)
         if not possible.isEmpty():
             found = scratch.save(verify_blocks(possible, classes, docs, s), s.batch_rows)
@@ -331,23 +331,6 @@ def _against_hubs(mixed: DataFrame, links: DataFrame | None) -> DataFrame:
     return pairs.select(F.least("h", "hub.h").alias("a"), F.greatest("h", "hub.h").alias("b"))
 
 
-def _divided(mixed: DataFrame, members: DataFrame, s: Settings, scratch: Scratch) -> DataFrame:
-    """``mixed`` with every bucket over ``large_bucket`` divided by further bands that its members share."""
-    parts = mixed.where(F.col("m") <= s.large_bucket).select("k", "h", "root", "m", F.lit(True).alias("whole"))
-    large = mixed.where(F.col("m") > s.large_bucket).withColumn("used", F.array("k"))
-    for depth in range(2, s.deepest + 1):
-        large = scratch.save(large)
-        if large.isEmpty():
-            break
-        finer = large.join(members.select("h", "key"), "h").where(~F.array_contains("used", F.col("key")))
-        finer = finer.select(F.col("k").bitwiseXOR(F.col("key")).alias("k"), "h", "root", F.array_sort(F.concat("used", F.array("key"))).alias("used")).distinct()
-        finer = scratch.save(_apart(finer))
-        ready = finer if depth == s.deepest else finer.where(F.col("m") <= s.large_bucket)
-        parts = parts.unionAll(ready.select("k", "h", "root", "m", F.lit(False).alias("whole")))
-        large = finer.where(F.col("m") > s.large_bucket)
-    return parts
-
-
 def _between_blocks(mixed: DataFrame, classes: DataFrame, best: int | None, s: Settings) -> DataFrame:
     """Pairs in different components that stay possible, compared block by block within each bucket; ``best`` of each member at most.
 
@@ -355,9 +338,11 @@ def _between_blocks(mixed: DataFrame, classes: DataFrame, best: int | None, s: S
     similar first, ``with`` the others and their components, and one, with
     nulls, for each other member.
     """
-    rows = mixed.join(classes.select("h", "n", "sig", "bands"), "h").withColumn("blocks", F.ceil(F.col("m") / s.block).cast("int"))
+    rows = mixed.join(classes.select("h", "n", "sig", "bands"), "h")
+    block = F.when(F.col("m") > s.large_bucket, s.large_block).otherwise(s.block)
+    rows = rows.withColumn("blocks", F.ceil(F.col("m") / block).cast("int"))
     rows = rows.withColumn("at", F.pmod(F.xxhash64("h"), F.col("blocks")).cast("int"))
-    columns = ["k", "i", "j", "whole", "h", "root", "n", "sig", "bands"]
+    columns = ["k", "i", "j", "h", "root", "n", "sig", "bands"]
     left = rows.withColumn("i", F.col("at")).withColumn("j", F.explode(F.sequence(F.col("at"), F.col("blocks") - 1))).select(*columns)
     right = rows.withColumn("j", F.col("at")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("at")))).select(*[F.col(c).alias(f"y_{c}") for c in columns])
     needed = fewest_matches(s)
@@ -372,7 +357,7 @@ def _between_blocks(mixed: DataFrame, classes: DataFrame, best: int | None, s: S
         out: list[tuple] = []
         if x.num_rows and y.num_rows:
             (hx, rx, nx, sx, bx), (hy, ry, ny, sy, by) = unpack(x), unpack(y)
-            k, i, j, whole = (x.column(c)[0].as_py() for c in ("k", "i", "j", "whole"))
+            k, i, j = (x.column(c)[0].as_py() for c in ("k", "i", "j"))
             others: set[int] = set()
             for at in range(len(hx)):
                 sizes = 100 * np.minimum(ny, nx[at]) >= s.percent * np.maximum(ny, nx[at])
@@ -385,7 +370,7 @@ def _between_blocks(mixed: DataFrame, classes: DataFrame, best: int | None, s: S
                     alive, matches = alive[stay], matches[stay]
                     if not len(alive):
                         break
-                if whole and len(alive):
+                if len(alive):
                     first = by[alive, (by[alive] == bx[at]).argmax(1)] == k
                     alive, matches = alive[first], matches[first]
                 if len(alive):

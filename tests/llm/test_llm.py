@@ -152,6 +152,31 @@ def test_near_duplicates_match_brute_force(spark, limits):
     assert all(got[i]["kept"] == (roots[i] == i) for i in got)
 
 
+def test_large_buckets_link_pairs_of_one_shared_band(spark):
+    rng = random.Random(14)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    texts = [prose(rng, vocabulary, 100) for _ in range(30)]
+    sets = {neardup.set_name(own): (text, own) for text, own in zip(texts, neardup.document_sets(pa.array(texts)))}
+    first, *_, last = sorted(sets)  # by name, the bucket's lowest and its hub: the first ones tried
+    for close in (f"{t} {prose(rng, vocabulary, 8)}" for t, _ in [sets[h] for h in sorted(sets)[10:20]]):
+        own = next(neardup.document_sets(pa.array([close])))
+        if first < neardup.set_name(own) < last:
+            break
+    one = next(h for h, (t, _) in sets.items() if close.startswith(t))
+    sets[neardup.set_name(own)] = (close, own)
+    rows = []
+    for i, (h, (_, own)) in enumerate(sets.items()):
+        bands = [77, *(1000 * (i + 1) + b for b in range(1, neardup.BANDS))]
+        rows.append((h, i, len(own), bytearray(neardup.signature(own).astype(np.uint8).tobytes()), bands))
+    classes = spark.createDataFrame(rows, "h long, doc long, n long, sig binary, bands array<long>")
+    members = spark.createDataFrame([(h, 77, first) for h in sets], "h long, key long, low long")
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(sets.values())], "doc_id long, text string")
+    for limits in ({"large_bucket": 16}, {"large_bucket": 16, "block": 4, "large_block": 8}, {}):
+        links = neardup._links(members, classes, docs, neardup.Settings(**limits), Scratch(spark))
+        found = {(r["a"], r["b"]) for r in links.collect()} if links is not None else set()
+        assert found == {tuple(sorted((one, neardup.set_name(own))))}
+
+
 def test_posterior_bound_keeps_similar_pairs():
     needed = neardup.fewest_matches(neardup.Settings(miss=1e-3))
     assert list(needed) == list(range(16, 257, 16)) and all(m < 0.76 * n for n, m in needed.items()) and needed[256] > 150
