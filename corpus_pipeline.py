@@ -46,8 +46,12 @@ def _stage(number: int) -> Callable:
 
 @_stage(0)
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter or text, whose language is ``und``, go."""
-    return identify(docs, fold("doc_id", 4) != 2).where(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
+    """Documents without a letter or text go; no decision of the network removes any.
+
+    Their language is ``und``, and where nothing was learned so is that of all others, which stay.
+    """
+    named = (F.col("lang_pred") != UNKNOWN) | F.col("text").rlike(r"\p{L}")
+    return identify(docs, fold("doc_id", 4) != 2).where(named).select(*docs.columns)
 
 
 @_stage(1)

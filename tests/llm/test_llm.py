@@ -327,6 +327,14 @@ def test_language_id(spark):
     assert (out[300]["lang_pred"], out[301]["lang_pred"], out[301]["score"]) == ("und", "und", 0.0)
 
 
+def test_language_stage_without_labels_rejects_by_letters_alone(spark):
+    import corpus_pipeline
+
+    texts = ["plain words", "123 !!", None, "", "é", "ни слова"]
+    docs = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    assert {r["doc_id"] for r in corpus_pipeline.language_id(spark, docs, "").collect()} == {0, 4, 5}
+
+
 def test_gradients_are_those_of_the_loss():
     rng = np.random.default_rng(8)
     w = {k: v.astype(np.float64) for k, v in langid.initial(3, 4, rng).items()}
