@@ -15,11 +15,13 @@ Each class is tried against the smallest class that shares a band with it; then,
 while a bucket holds several components, its members are tried against its class
 of most links; then against the most similar ones of other components; and what
 is then still apart is compared between components only, in each bucket.
-Buckets of over ``Settings.small_bucket`` members are compared in blocks that
-give out only the pairs that stay possible, each in the first band it shares.
-That holds for buckets of any size: all their pairs of different components are
-compared, over ``Settings.large_bucket`` members in blocks of
-``Settings.large_block``, so that fewer copies of each member are made.
+Buckets of over ``Settings.small_bucket`` members are compared in blocks of
+``Settings.block`` members, or fewer where their sets are long, whatever the
+bucket's size: every pair of different components is compared, and no pair is
+listed on its own.  A pair counts in the first band that it shares only, and
+each set goes once to each pair of blocks that needs it, so rows follow the
+members of a bucket as long as it fits a block and grow by one copy of each
+member for every further block.
 
 Defined results: a null or empty text has no shingle, is linked with nothing
 and keeps itself; a text of under five words is one shingle; repeated rows are
@@ -46,7 +48,7 @@ from quillon.scratch import Scratch
 
 BANDS, ROWS = 32, 4
 HASHES = 256
-FILTER_BITS = 1 << 22
+FILTER_BITS, MOST_FILTER_BITS = 1 << 22, 1 << 27
 _RNG = np.random.Generator(np.random.PCG64(97))
 _A, _B = (_RNG.integers(0, 1 << 32, HASHES, dtype=np.uint32) | np.uint32(1) for _ in range(2))
 _BAND = _RNG.integers(1, 1 << 63, (BANDS, ROWS), dtype=np.uint64) | np.uint64(1)
@@ -61,9 +63,8 @@ class Settings:
     batch_rows: int = 512
     most_similar: int = 2
     small_bucket: int = 16
-    block: int = 256
-    large_bucket: int = 4096
-    large_block: int = 512
+    block: int = 2048
+    block_shingles: int = 1 << 20
 
 
 def signature(own: np.ndarray) -> np.ndarray:
@@ -164,12 +165,23 @@ def prune(pairs: DataFrame, classes: DataFrame, s: Settings) -> DataFrame:
 
 
 def full_sets(ends: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """``h`` and ``own`` (sorted shingle hashes) of the classes in ``ends``, read anew from the texts."""
-    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
-    wanted = classes.join(ends, "h").select(bit(F.col("doc")).alias("bit"))
-    filled = wanted.groupBy(F.shiftright("bit", 5).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 31 as int))")).alias("bits")).collect()
-    mask = np.zeros(FILTER_BITS // 32, np.uint32)  # a filter of fixed size spares the texts a shuffle
-    mask[[r["at"] for r in filled]] = [r["bits"] for r in filled]
+    """``h`` and ``own`` (sorted shingle hashes) of the classes in ``ends``, read anew from the texts.
+
+    A bit filter of the wanted documents spares the other texts a second
+    shingling.  It has eight bits or more for each of up to ``MOST_FILTER_BITS / 8``
+    documents and never takes more than 16 MB; beyond that it lets more texts
+    pass, which the join removes.
+    """
+    named = classes.join(ends, "h").select("doc")
+    bits = FILTER_BITS
+    wanted = named.count()
+    while bits < min(8 * wanted, MOST_FILTER_BITS):
+        bits *= 2
+    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    filled = named.select(bit(F.col("doc")).alias("bit")).groupBy(F.shiftright("bit", 5).alias("at"))
+    filled = filled.agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 31 as int))")).alias("bits")).toArrow()
+    mask = np.zeros(bits // 32, np.uint32)
+    mask[filled["at"].to_numpy()] = filled["bits"].to_numpy()
     mask = docs.sparkSession.sparkContext.broadcast(mask)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,28 +229,36 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, s: Settings) -
 def verify_blocks(possible: DataFrame, classes: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
     """Links among the pairs that ``_between_blocks`` gives out, verified block by block on full sets.
 
-    Every set goes once to each block that needs it, so rows follow the members
-    and not the pairs; a member that has been linked to a component is not
-    compared with more of it.
+    Every set goes once to each pair of blocks that needs it; of a member's links
+    to one component the first is given out.
     """
     sets = full_sets(possible.select("h").distinct(), classes, docs)
-    both = possible.join(sets, "h")
-    left = both.where("`with` is not null").select("k", "i", "j", "h", "own", "with", "with_root")
-    right = both.where("`with` is null").select(*[F.col(c).alias(f"y_{c}") for c in ("k", "i", "j", "h", "own")])
-
-    def compare(x: pa.Table, y: pa.Table) -> pa.Table:
-        own = {h: np.frombuffer(v.as_buffer(), np.uint64) for h, v in zip(y.column(3).to_pylist(), y.column(4))}
+    rows = possible.join(sets, "h").select("k", "i", "j", "h", "own", "with", "with_root")
+
+    def compare(t: pa.Table) -> pa.Table:
+        own = [np.frombuffer(v.as_buffer(), np.uint64) for v in t.column("own")]
+        size = np.array([len(v) for v in own])
+        _, at = np.unique(np.concatenate(own), return_inverse=True)
+        bounds = np.concatenate([[0], np.cumsum(size)])
+        place = {h: i for i, h in enumerate(t.column("h").to_pylist())}
+        names = np.array(list(place), np.int64)
+        mine = np.zeros(int(at.max()) + 1, np.int64)
         links = []
-        for h, v, others, roots in zip(x.column("h").to_pylist(), x.column("own"), x.column("with").to_pylist(), x.column("with_root").to_pylist()):
-            mine, joined = np.frombuffer(v.as_buffer(), np.uint64), set()
-            for other, root in zip(others, roots):
-                if root not in joined and similar(mine, own[other], s.percent):
-                    joined.add(root)
-                    links.append((min(h, other), max(h, other)))
-        a, b = zip(*links) if links else ((), ())
-        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-    return left.groupBy("k", "i", "j").cogroup(right.groupBy("y_k", "y_i", "y_j")).applyInArrow(compare, "a long, b long")
+        for i, (others, roots) in enumerate(zip(t.column("with").to_pylist(), t.column("with_root").to_pylist())):
+            if not others:
+                continue
+            mine[at[bounds[i] : bounds[i + 1]]] = 1
+            y = np.array([place[x] for x in others])
+            parts = np.concatenate([at[bounds[j] : bounds[j + 1]] for j in y])
+            common = np.add.reduceat(mine[parts], np.concatenate([[0], np.cumsum(size[y])[:-1]]))
+            mine[at[bounds[i] : bounds[i + 1]]] = 0
+            near = np.flatnonzero(100 * common >= s.percent * (size[i] + size[y] - common))
+            _, once = np.unique(np.array(roots)[near], return_index=True)
+            links += [(names[i], names[j]) for j in y[near[once]]]
+        ends = np.sort(np.array(links, np.int64).reshape(-1, 2), axis=1)
+        return pa.table([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
+
+    return rows.groupBy("k", "i", "j").applyInArrow(compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, keep: list[str], s: Settings = Settings()) -> DataFrame:
@@ -334,53 +354,50 @@ def _against_hubs(mixed: DataFrame, links: DataFrame | None) -> DataFrame:
 def _between_blocks(mixed: DataFrame, classes: DataFrame, best: int | None, s: Settings) -> DataFrame:
     """Pairs in different components that stay possible, compared block by block within each bucket; ``best`` of each member at most.
 
-    Per block pair (``k``, ``i``, ``j``), a row for each first member ``h``, most
-    similar first, ``with`` the others and their components, and one, with
-    nulls, for each other member.
+    Per pair of blocks (``k``, ``i``, ``j``), one row for each member ``h`` that
+    is in such a pair: ``with`` the others, most similar first, and their
+    components; null for a member that is only another's partner.
     """
     rows = mixed.join(classes.select("h", "n", "sig", "bands"), "h")
-    block = F.when(F.col("m") > s.large_bucket, s.large_block).otherwise(s.block)
-    rows = rows.withColumn("blocks", F.ceil(F.col("m") / block).cast("int"))
+    shape = mixed.join(classes.select("h", "n"), "h").groupBy("k").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles"))
+    blocks = F.greatest(F.ceil(F.col("members") / s.block), F.ceil(F.col("shingles") / s.block_shingles)).cast("int")
+    rows = rows.join(shape.select("k", blocks.alias("blocks")), "k")
     rows = rows.withColumn("at", F.pmod(F.xxhash64("h"), F.col("blocks")).cast("int"))
-    columns = ["k", "i", "j", "h", "root", "n", "sig", "bands"]
-    left = rows.withColumn("i", F.col("at")).withColumn("j", F.explode(F.sequence(F.col("at"), F.col("blocks") - 1))).select(*columns)
-    right = rows.withColumn("j", F.col("at")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("at")))).select(*[F.col(c).alias(f"y_{c}") for c in columns])
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("k", F.least("at", "other").alias("i"), F.greatest("at", "other").alias("j"), (F.col("at") <= F.col("other")).alias("left"), "h", "root", "n", "sig", "bands")
     needed = fewest_matches(s)
 
-    def unpack(t: pa.Table) -> tuple[np.ndarray, ...]:
-        t = t.rename_columns(columns)
+    def compare(t: pa.Table) -> pa.Table:
+        k, i, j = (t.column(c)[0].as_py() for c in ("k", "i", "j"))
+        h, root, n = (t.column(c).to_numpy() for c in ("h", "root", "n"))
         sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint8).reshape(-1, HASHES)
         bands = t.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
-        return t.column("h").to_numpy(), t.column("root").to_numpy(), t.column("n").to_numpy(), sig, bands
-
-    def compare(x: pa.Table, y: pa.Table) -> pa.Table:
-        out: list[tuple] = []
-        if x.num_rows and y.num_rows:
-            (hx, rx, nx, sx, bx), (hy, ry, ny, sy, by) = unpack(x), unpack(y)
-            k, i, j = (x.column(c)[0].as_py() for c in ("k", "i", "j"))
-            others: set[int] = set()
-            for at in range(len(hx)):
-                sizes = 100 * np.minimum(ny, nx[at]) >= s.percent * np.maximum(ny, nx[at])
-                alive = np.flatnonzero(sizes & (ry != rx[at]) & ((hy > hx[at]) | (i != j)))
-                matches = np.zeros(len(alive), np.int64)
-                for upto, least in needed.items():
-                    part = slice(upto - s.batch, upto)
-                    matches = matches + (sy[alive, part] == sx[at, part]).sum(1)
-                    stay = matches >= least
-                    alive, matches = alive[stay], matches[stay]
-                    if not len(alive):
-                        break
-                if len(alive):
-                    first = by[alive, (by[alive] == bx[at]).argmax(1)] == k
+        left = t.column("left").to_numpy(zero_copy_only=False).astype(bool)
+        x, y = (np.arange(len(h)),) * 2 if i == j else (np.flatnonzero(left), np.flatnonzero(~left))
+        found: dict[int, tuple | None] = {}
+        for a in x:
+            sizes = 100 * np.minimum(n[y], n[a]) >= s.percent * np.maximum(n[y], n[a])
+            alive = y[sizes & (root[y] != root[a]) & ((h[y] > h[a]) | (i != j))]
+            matches = np.zeros(len(alive), np.int64)
+            for upto, least in needed.items():
+                part = slice(upto - s.batch, upto)
+                matches = matches + (sig[alive, part] == sig[a, part]).sum(1)
+                stay = matches >= least
+                alive, matches = alive[stay], matches[stay]
+                if upto == s.batch and len(alive):
+                    first = bands[alive, (bands[alive] == bands[a]).argmax(1)] == k
                     alive, matches = alive[first], matches[first]
-                if len(alive):
-                    alive = alive[np.argsort(-matches, kind="stable")[:best]]
-                    others.update(hy[alive].tolist())
-                    out.append((k, i, j, hx[at], hy[alive].tolist(), ry[alive].tolist()))
-            out += [(k, i, j, h, None, None) for h in others]
+                if not len(alive):
+                    break
+            if len(alive):
+                alive = alive[np.argsort(-matches, kind="stable")[:best]]
+                found[a] = (h[alive].tolist(), root[alive].tolist())
+                for b in alive:
+                    found.setdefault(b, None)
+        out = [(k, i, j, h[a], *(pair or (None, None))) for a, pair in found.items()]
         kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
         names = ["k", "i", "j", "h", "with", "with_root"]
         return pa.table([pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 6, kinds)], names)
 
     schema = "k long, i int, j int, h long, `with` array<long>, with_root array<long>"
-    return left.groupBy("k", "i", "j").cogroup(right.groupBy("y_k", "y_i", "y_j")).applyInArrow(compare, schema)
+    return rows.groupBy("k", "i", "j").applyInArrow(compare, schema)

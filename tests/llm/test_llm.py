@@ -129,7 +129,7 @@ def brute_components(texts):
     return [find(i) for i in range(len(texts))], [len(s) for s in sets]
 
 
-@pytest.mark.parametrize("limits", [{}, {"small_bucket": 2, "block": 8}, {"small_bucket": 2, "block": 8, "large_bucket": 4}])
+@pytest.mark.parametrize("limits", [{}, {"small_bucket": 2, "block": 8}, {"small_bucket": 2, "block_shingles": 500}])
 def test_near_duplicates_match_brute_force(spark, limits):
     rng = random.Random(4)
     vocabulary = [f"w{i}" for i in range(500)]
@@ -171,7 +171,7 @@ def test_large_buckets_link_pairs_of_one_shared_band(spark):
     classes = spark.createDataFrame(rows, "h long, doc long, n long, sig binary, bands array<long>")
     members = spark.createDataFrame([(h, 77, first) for h in sets], "h long, key long, low long")
     docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(sets.values())], "doc_id long, text string")
-    for limits in ({"large_bucket": 16}, {"large_bucket": 16, "block": 4, "large_block": 8}, {}):
+    for limits in ({"block": 16}, {"block": 4}, {"block_shingles": 300}, {}):
         links = neardup._links(members, classes, docs, neardup.Settings(**limits), Scratch(spark))
         found = {(r["a"], r["b"]) for r in links.collect()} if links is not None else set()
         assert found == {tuple(sorted((one, neardup.set_name(own))))}
