@@ -11,9 +11,7 @@ from a uniform prior, is under ``Settings.miss``.  What survives is verified on
 the full sets.
 
 Only components are asked for, so no group is expanded into all its pairs.
-Each class is tried against the smallest class that shares a band with it; then,
-while a bucket holds several components, its members are tried against its class
-of most links; then against the most similar ones of other components; and what
+Each class is tried against the smallest class that shares a band with it; what
 is then still apart is compared between components only, in each bucket.
 Buckets of over ``Settings.small_bucket`` members are compared in blocks of
 ``Settings.block`` members, or fewer where their sets are long, whatever the
@@ -59,9 +57,7 @@ class Settings:
     percent: int = 75
     miss: float = 1e-5
     batch: int = 16
-    hub_rounds: int = 1
     batch_rows: int = 512
-    most_similar: int = 2
     small_bucket: int = 16
     block: int = 2048
     block_shingles: int = 1 << 20
@@ -314,23 +310,17 @@ def _links(members: DataFrame, classes: DataFrame, docs: DataFrame, s: Settings,
         return not mixed.isEmpty()
 
     confirmed(members.where("h <> low").groupBy("h").agg(F.min("low").alias("a")).select("a", F.col("h").alias("b")))
-    for _ in range(s.hub_rounds):
-        if not still_mixed():
-            return links
-        confirmed(_against_hubs(mixed, links))
-    for best in (s.most_similar, None):
-        if not still_mixed():
-            return links
-        small = mixed.where(F.col("m") <= s.small_bucket)
-        x, y = (small.select("k", F.col("h").alias(h), F.col("root").alias(f"root_{h}")) for h in "ab")
-        listed = x.join(y, "k").where("a < b and root_a <> root_b").select("a", "b")
-        confirmed(listed)
-        large = mixed.where(F.col("m") > s.small_bucket)
-        possible = scratch.save(_between_blocks(large, classes, best, s), s.batch_rows)
-        if not possible.isEmpty():
-            found = scratch.save(verify_blocks(possible, classes, docs, s), s.batch_rows)
-            links = found if links is None else links.unionAll(found)
-        scratch.drop(possible)
+    if not still_mixed():
+        return links
+    small = mixed.where(F.col("m") <= s.small_bucket)
+    x, y = (small.select("k", F.col("h").alias(h), F.col("root").alias(f"root_{h}")) for h in "ab")
+    confirmed(x.join(y, "k").where("a < b and root_a <> root_b").select("a", "b"))
+    large = mixed.where(F.col("m") > s.small_bucket)
+    possible = scratch.save(_between_blocks(large, classes, s), s.batch_rows)
+    if not possible.isEmpty():
+        found = scratch.save(verify_blocks(possible, classes, docs, s), s.batch_rows)
+        links = found if links is None else links.unionAll(found)
+    scratch.drop(possible)
     return links
 
 
@@ -340,23 +330,11 @@ def _apart(placed: DataFrame) -> DataFrame:
     return placed.join(several.select("k", "m"), "k")
 
 
-def _against_hubs(mixed: DataFrame, links: DataFrame | None) -> DataFrame:
-    """Each member with the member of its bucket that has most links, if their components differ."""
-    ranked = mixed.withColumn("links", F.lit(0).cast("long"))
-    if links is not None:
-        ends = links.select(F.col("a").alias("h")).unionAll(links.select(F.col("b").alias("h")))
-        ranked = mixed.join(ends.groupBy("h").agg(F.count(F.lit(1)).alias("links")), "h", "left").withColumn("links", F.coalesce("links", F.lit(0)))
-    hubs = ranked.groupBy("k").agg(F.max(F.struct("links", "h", "root")).alias("hub"))
-    pairs = mixed.join(hubs, "k").where(F.col("root") != F.col("hub.root"))
-    return pairs.select(F.least("h", "hub.h").alias("a"), F.greatest("h", "hub.h").alias("b"))
-
-
-def _between_blocks(mixed: DataFrame, classes: DataFrame, best: int | None, s: Settings) -> DataFrame:
-    """Pairs in different components that stay possible, compared block by block within each bucket; ``best`` of each member at most.
+def _between_blocks(mixed: DataFrame, classes: DataFrame, s: Settings) -> DataFrame:
+    """Pairs in different components that stay possible, compared block by block within each bucket.
 
     Per pair of blocks (``k``, ``i``, ``j``), one row for each member ``h`` that
-    is in such a pair: ``with`` the others, most similar first, and their
-    components; null for a member that is only another's partner.
+    is in such a pair: ``with`` the others and their components; null for a member that is only another's partner.
     """
     rows = mixed.join(classes.select("h", "n", "sig", "bands"), "h")
     shape = mixed.join(classes.select("h", "n"), "h").groupBy("k").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles"))
@@ -390,7 +368,6 @@ def _between_blocks(mixed: DataFrame, classes: DataFrame, best: int | None, s: S
                 if not len(alive):
                     break
             if len(alive):
-                alive = alive[np.argsort(-matches, kind="stable")[:best]]
                 found[a] = (h[alive].tolist(), root[alive].tolist())
                 for b in alive:
                     found.setdefault(b, None)
