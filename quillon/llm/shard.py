@@ -15,6 +15,8 @@ input keep their names, and only ``shard`` and ``slot`` are replaced.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,6 +25,7 @@ from quillon.scratch import Scratch
 
 BLOCK_BITS = 16
 RANGE_ROWS = 4096
+NUMPY_LIMIT = 10**9  # above it numpy's generator refuses
 
 
 def communication_matrix(block_rows: list[int], shards: int, seed: int) -> list[list[int]]:
@@ -48,26 +51,33 @@ def communication_matrix(block_rows: list[int], shards: int, seed: int) -> list[
 
 
 def _hypergeometric(rng: np.random.Generator, good: int, bad: int, draws: int) -> int:
-    """One hypergeometric draw; halves populations that are too large for the generator."""
-    if good + bad < 10**9:
+    """One hypergeometric draw, by numpy's generator where it takes numbers so large."""
+    if max(good, bad) < NUMPY_LIMIT:
         return int(rng.hypergeometric(good, bad, draws)) if draws else 0
-    half = draws // 2
-    first = _split(rng, good, bad, half)
-    return first + _split(rng, good - first, bad - (half - first), draws - half)
+    return _by_inversion(rng, good, bad, draws)
+
 
+def _by_inversion(rng: np.random.Generator, good: int, bad: int, draws: int) -> int:
+    """One hypergeometric draw for populations of any size.
 
-def _split(rng: np.random.Generator, good: int, bad: int, draws: int) -> int:
-    got = 0
-    while draws:
-        step = min(draws, 4096)
-        part = int(rng.binomial(step, good / (good + bad)))
-        part = min(max(part, step - bad), good)
-        got, good, bad, draws = got + part, good - part, bad - (step - part), draws - step
-    return got
+    Relative probabilities go out from the mode by their exact ratios; beyond 14
+    deviations on either side lies less than rounding can show.
+    """
+    total = good + bad
+    least, most = max(0, draws - bad), min(draws, good)
+    mode = (draws + 1) * (good + 1) // (total + 2)
+    reach = 20 + int(14 * math.sqrt(draws * (good / total) * (bad / total)))
+    lo, hi = max(least, mode - reach), min(most, mode + reach)
+    k = np.arange(lo, hi, dtype=np.float64)
+    up = (good - k) / (k + 1) * (draws - k) / (bad - draws + k + 1)  # chance of k + 1 over that of k
+    right = np.cumprod(up[mode - lo :])
+    left = np.cumprod(1 / up[: mode - lo][::-1])[::-1]
+    law = np.cumsum(np.concatenate([left, [1.0], right]))
+    return lo + min(int(np.searchsorted(law, rng.random() * law[-1], "right")), hi - lo)
 
 
 def shuffle_into_shards(docs: DataFrame, shards: int = 8, seed: int = 11) -> DataFrame:
-    """``docs`` with ``shard`` (0 to shards - 1) and ``slot`` (gapless from 0 in each shard)."""
+    """``docs`` with ``shard`` (int, 0 to shards - 1) and ``slot`` (long, gapless from 0 in each shard)."""
     names = [c for c in docs.columns if c not in ("shard", "slot")]
     row = F.struct(*[docs[c].alias(c) for c in names])
     scratch = Scratch(docs.sparkSession)
@@ -93,7 +103,7 @@ def shuffle_into_shards(docs: DataFrame, shards: int = 8, seed: int = 11) -> Dat
     offsets = counts.select("shard", "range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("base"))
     within = Window.partitionBy("shard", "range").orderBy("order", "uid")
     placed = sent.withColumn("n", F.row_number().over(within)).join(offsets, ["shard", "range"])
-    slots = placed.select("uid", "shard", (F.col("base") + F.col("n") - 1).cast("int").alias("slot"))
+    slots = placed.select("uid", "shard", (F.col("base") + F.col("n") - 1).cast("long").alias("slot"))
     return kept.join(slots, "uid").select("r.*", "shard", "slot")
 
 
