@@ -3,17 +3,27 @@
 Sources, by code point with null last, weigh 3, 1, 2, repeating, and share
 150 % of all words; a target stops at twice its source's words, and the excess
 goes to the others by weight.  Each document gets the whole copies that its
-source's ratio of target to words makes certain.  The rest of the target is a
-fixed-size sample in Pareto order: documents rank by the odds of a uniform
-number over the odds of their inclusion and are taken in that order until the
-words of the rest are reached, to the nearest document.
+source's ratio of target to words makes certain.  The rest of the target goes
+to a sample of unequal inclusion probabilities, which fall with the root of a
+document's size, so that the rest is spread over more documents: by half
+octaves of size, ``min(1, c * size ** -0.5)``, with ``c`` such that the words
+expected are exactly the rest.  Documents of probability 1 are certain too.
+
+Documents rank by the odds of a uniform number over the odds of their
+inclusion and are taken in that order.  The size that is fixed is that of the
+sample in words: it ends at the document nearest to the rest of the target.
 
 The cut is found from sums over ranges of the ranking key, so only one range
-of each source is ordered row by row and no source meets in one task.
+of each source is ordered row by row and no source meets in one task.  What is
+known of sources (one row for each) and of their size classes (at most 130
+rows for each) is broadcast up to ``BROADCAST_ROWS`` rows and joined by a
+shuffle beyond; the targets themselves are computed in one task over one row a
+source.
 
 Defined results: a null text has 0 words and is taken 0 words; a source without
 words has target 0; equal rows tie and any of them may be the one taken; an
-empty table gives an empty result.
+empty table gives an empty result; only the columns named in ``keep`` come back,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -24,6 +34,7 @@ from pyspark.sql import functions as F
 from quillon.scratch import Scratch
 
 RANGES = 8192
+BROADCAST_ROWS = 100_000
 WEIGHTS = (3, 1, 2)
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -66,13 +77,12 @@ def pareto_mix(docs: DataFrame, keep: list[str], seed: int = 5, share: float = 1
             F.monotonically_increasing_id().alias("uid"),
         )
     )
-    totals = source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), share)
-    ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    totals = totals.select(
-        F.col("source").alias("of"), "source_size", "target", F.floor(ratio).alias("whole"), (ratio - F.floor(ratio)).alias("part")
-    )
-    ranked = sized.join(totals, F.col("source").eqNullSafe(F.col("of"))).withColumn("range", _range_of(_pareto_rank("u", "part")))
-    ranked = ranked.withColumn("wanted", F.col("part") * F.col("source_size"))
+    classes = scratch.save(sized.groupBy("source", _size_class("size").alias("class")).agg(F.sum("size").alias("words")))
+    totals = source_targets(classes.groupBy("source").agg(F.sum("words").alias("source_size")), share)
+    parts = scratch.save(inclusion(classes, totals))
+    known = F.broadcast(parts) if parts.count() <= BROADCAST_ROWS else parts
+    same = F.col("source").eqNullSafe(F.col("of")) & (_size_class("size") == F.col("class"))
+    ranked = sized.join(known, same).drop("source", "class").withColumn("range", _range_of(_pareto_rank("u", "part")))
     sums = ranked.groupBy("of", "range").agg(F.sum("size").alias("words"), F.first("wanted").alias("wanted"))
     before = Window.partitionBy("of").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("base", F.coalesce(F.sum("words").over(before), F.lit(0)))
@@ -90,10 +100,35 @@ def pareto_mix(docs: DataFrame, keep: list[str], seed: int = 5, share: float = 1
     )
 
 
+def _size_class(size: str) -> Column:
+    """Half octaves of size; -1 for no words."""
+    return F.when(F.col(size) > 0, F.floor(2 * F.log2(F.col(size)))).otherwise(-1).cast("int")
+
+
+def inclusion(classes: DataFrame, totals: DataFrame) -> DataFrame:
+    """``of`` (source), ``class``, ``source_size``, ``target``, ``whole``, ``wanted`` (words of the rest) and
+    ``part``, the probability of one copy more.
+
+    ``c`` is the largest level at which the classes that stay under 1 take
+    what those at 1, which come first, leave of the rest.
+    """
+    ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    whole = F.floor(ratio)
+    rest = totals.select(F.col("source").alias("of"), "source_size", "target", whole.alias("whole"), ((ratio - whole) * F.col("source_size")).alias("wanted"))
+    rows = classes.join(rest, F.col("source").eqNullSafe(F.col("of"))).drop("source").withColumn("w", F.pow(F.lit(2.0), -F.col("class") / 4))
+    order = Window.partitionBy("of").orderBy("class")
+    before = F.coalesce(F.sum("words").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    onward = F.sum(F.col("w") * F.col("words")).over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    rows = rows.withColumn("level", F.when(onward > 0, (F.col("wanted") - before) / onward))
+    c = F.max(F.when(F.col("level") * F.col("w") <= 1, F.col("level"))).over(Window.partitionBy("of"))
+    part = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(c, F.lit(0.0)) * F.col("w")))
+    return rows.select("of", "class", "source_size", "target", "whole", "wanted", part.alias("part"))
+
+
 def _pareto_rank(u: str, part: str) -> Column:
-    """Odds of the uniform number over the inclusion odds; certain or impossible documents rank by the number alone."""
-    odds = F.col(u) / (1 - F.col(u))
-    return F.when((F.col(part) > 0) & (F.col(part) < 1), odds * (1 - F.col(part)) / F.col(part)).otherwise(odds)
+    """Odds of the uniform number over the inclusion odds: 0 for the certain, beyond all others for the impossible."""
+    odds = F.col(u) / (1 - F.col(u)) * (1 - F.col(part)) / F.greatest(F.col(part), F.lit(1e-300))
+    return F.when(F.col(part) > 0, odds).otherwise(1e300)
 
 
 def _range_of(rank: Column) -> Column:
