@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,3 +41,27 @@ def add_columns(
 def fold(key: Column | str, folds: int) -> Column:
     """CRC-32 of a key as text, modulo ``folds``; a null key counts as empty text."""
     return F.crc32(F.coalesce(F.col(key).cast("string") if isinstance(key, str) else key, F.lit("")).cast("binary")) % folds
+
+
+def sampled_texts(rows: DataFrame, groups: list[str], per_group: int, seed: int, value: Column) -> DataFrame:
+    """``groups``, ``o`` and ``value`` of at most ``per_group`` distinct texts of each group: those of the smallest hashes ``o``.
+
+    Copies of a text count once, so a hot text takes one place.  A share of the
+    hash range that holds half as many again is cut out first, by the number of
+    distinct texts of each group; what is ranked in one task is bounded by it.
+    """
+    order = F.xxhash64(F.lit(seed), "text")
+    distinct = rows.select(*groups, order.alias("o")).distinct()
+    hashed = rows.select(*groups, order.alias("o"), value.alias("value"))
+    if groups:
+        sizes = distinct.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")).withColumnsRenamed({g: f"_{g}" for g in groups})
+        hashed = hashed.join(sizes, [F.col(g) == F.col(f"_{g}") for g in groups])
+    else:
+        hashed = hashed.withColumn("_n", F.lit(distinct.count()))
+    place = F.shiftrightunsigned("o", 11)
+    inside = place.cast("double") * F.lit(2.0**-53) * F.col("_n") < 1.5 * per_group + 50
+    once = hashed.where(inside).groupBy(*groups, "o").agg(F.min("value").alias("value"))
+    if not groups:
+        return once.orderBy(place, "o").limit(per_group)
+    ranked = once.withColumn("_r", F.row_number().over(Window.partitionBy(*groups).orderBy(place, "o")))
+    return ranked.where(F.col("_r") <= per_group).select(*groups, "o", "value")

@@ -1,11 +1,14 @@
 """Language identification by a bidirectional gated recurrent network over bytes.
 
 The network is trained in numpy by backpropagation through time, on a bounded
-sample: ``Settings.per_language`` documents of each language, of which a window
-of ``Settings.window`` characters is read.  It labels every byte of a text with
-a distribution over the learned languages; a document's distribution is the
-mean over all its bytes.  Whole texts are read, in segments of
-``Settings.segment`` bytes that are processed side by side.
+sample: ``Settings.per_language`` distinct texts of each language, of which a
+window of ``Settings.window`` characters is read.  It labels every byte of a
+text with a distribution over the learned languages; a document's distribution
+is the mean over all its bytes.  Whole texts are read, in segments of
+``Settings.segment`` bytes that are processed side by side; the states of each
+run in over ``Settings.halo`` bytes of the segments before and after it.
+
+Ties between languages go to the one that is first by code point.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0;
 without any labelled row every text is ``und``; repeated rows get equal
@@ -21,7 +24,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillon.llm._arrow import add_columns
+from quillon.llm._arrow import add_columns, sampled_texts
 from quillon.llm._words import _LOWER, row_chunks, text_bytes
 
 UNKNOWN = "und"
@@ -32,7 +35,9 @@ class Settings:
     per_language: int = 512
     window: int = 1024
     hidden: int = 8
-    segment: int = 64
+    piece: int = 64
+    segment: int = 128
+    halo: int = 16
     batch: int = 192
     steps: int = 220
     rate: float = 0.02
@@ -133,18 +138,18 @@ def gradients(w: Weights, steps: np.ndarray, label: np.ndarray, real: np.ndarray
 
 
 def train(texts: list[bytes], labels: list[int], languages: int, s: Settings) -> Weights:
-    """Weights after ``s.steps`` steps of Adam over random segments, drawn evenly by language."""
+    """Weights after ``s.steps`` steps of Adam over random pieces, drawn evenly by language."""
     rng = np.random.Generator(np.random.PCG64(s.seed))
     w = initial(languages, s.hidden, rng)
     first, second = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
     of = [np.flatnonzero(np.array(labels) == j) for j in range(languages)]
     for step in range(1, s.steps + 1):
         label = rng.integers(0, languages, s.batch)
-        steps = np.zeros((s.segment, s.batch), np.uint8)
+        steps = np.zeros((s.piece, s.batch), np.uint8)
         for i, j in enumerate(label):
             text = texts[rng.choice(of[j])]
-            at = int(rng.integers(0, max(1, len(text) - s.segment // 2)))
-            piece = np.frombuffer(text[at : at + s.segment], np.uint8)
+            at = int(rng.integers(0, max(1, len(text) - s.piece // 2)))
+            piece = np.frombuffer(text[at : at + s.piece], np.uint8)
             steps[: len(piece), i] = _LOWER[piece]
         g, _ = gradients(w, steps, label, steps > 0)
         rate = s.rate * (1 - 0.9 * step / s.steps)
@@ -166,41 +171,34 @@ def document_probabilities(w: Weights, offsets: np.ndarray, data: np.ndarray, s:
     row = np.repeat(np.arange(rows), pieces)
     start = offsets[row] + (np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * s.segment
     end = np.minimum(start + s.segment, offsets[row + 1])
-    padded = np.concatenate([data, np.zeros(s.segment, np.uint8)])
-    span = np.arange(s.segment)[:, None]
+    padded = np.concatenate([np.zeros(s.halo, np.uint8), data, np.zeros(s.segment + s.halo, np.uint8)])
+    span = np.arange(-s.halo, s.segment + s.halo)[:, None]
     for lo in range(0, len(row), s.side_by_side):
-        a, b = start[lo : lo + s.side_by_side], end[lo : lo + s.side_by_side]
-        real = a + span < b
-        steps = np.where(real, padded[a + span], np.uint8(0))
-        p, _, _ = position_probabilities(w, steps)
-        p *= real[:, None]
-        np.add.at(total, row[lo : lo + s.side_by_side], p.sum(0).T)
+        here = slice(lo, lo + s.side_by_side)
+        a, b = start[here], end[here]
+        longest = int((b - a).max()) + 2 * s.halo
+        at = a + span[:longest]
+        known = (at >= offsets[row[here]]) & (at < offsets[row[here] + 1])
+        steps = np.where(known, padded[at + s.halo], np.uint8(0))
+        p = position_probabilities(w, steps)[0][s.halo :]
+        p *= (at[s.halo :] < b)[:, None]
+        np.add.at(total, row[here], p.sum(0).T)
     return total / np.maximum(length, 1)[:, None]
 
 
 def fit(docs: DataFrame, learn: Column, s: Settings = Settings()) -> tuple[list[str], Weights | None]:
     """Languages and weights learned from the rows of ``docs`` where ``learn`` holds.
 
-    The sample is drawn by a hash of the text, evenly by language.
+    The sample is drawn by a hash of the text, for each language by itself.
     """
-    labelled = docs.where(learn & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
-    if not counts:
-        return [], None
-    languages = sorted(counts)
-    share = F.element_at(F.create_map(*[x for k in languages for x in (F.lit(k), F.lit(min(1.0, 1.5 * s.per_language / counts[k] + 8 / counts[k])))]), F.col("lang"))
-    order = F.pmod(F.xxhash64(F.lit(s.seed), "text"), F.lit(1 << 30))
+    labelled = docs.where(learn & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", "text")
     at = F.pmod(F.xxhash64("text"), F.greatest(F.length("text") - s.window, F.lit(1))) + 1
-    rows = labelled.where(order < share * (1 << 30)).select("lang", order.alias("o"), F.substring("text", at.cast("int"), F.lit(s.window)).alias("t"))
-    sample = sorted(rows.limit(4 * s.per_language * len(languages)).collect(), key=lambda r: (r["lang"], r["o"], r["t"]))
-    texts: list[bytes] = []
-    labels: list[int] = []
-    for j, name in enumerate(languages):
-        own = [r["t"].encode() for r in sample if r["lang"] == name][: s.per_language]
-        texts += own
-        labels += [j] * len(own)
-    present = sorted(set(labels))
-    return [languages[j] for j in present], train(texts, [present.index(j) for j in labels], len(present), s)
+    rows = sampled_texts(labelled, ["lang"], s.per_language, s.seed, F.substring("text", at.cast("int"), F.lit(s.window))).collect()
+    if not rows:
+        return [], None
+    rows.sort(key=lambda r: (r["lang"], r["o"]))
+    languages = sorted({r["lang"] for r in rows})
+    return languages, train([r["value"].encode() for r in rows], [languages.index(r["lang"]) for r in rows], len(languages), s)
 
 
 def identify(docs: DataFrame, learn: Column, s: Settings = Settings()) -> DataFrame:
