@@ -1,23 +1,30 @@
 """Quality classifier by positive-unlabelled learning with a non-negative risk.
 
 Trusted positives are the rows labelled 1; unlabelled web text is any document
-of the learning rows.  The class prior is estimated as the share of labelled
-rows that are positive.  A linear scorer over text statistics minimises the
-unbiased risk ``prior * R_p(+) + max(0, R_u(-) - prior * R_p(-))``: when the
-part in the maximum falls below zero, the step goes the other way on it.
-Scores are then calibrated by the same quantities: prior times positives over
-unlabelled, in bins of the linear score.
+of the learning rows.  Rows labelled 0 are used like unlabelled ones.
+
+The class prior is estimated from positives and unlabelled texts alone: wherever
+a scorer draws a line, the unlabelled share above it is at least the prior times
+the positives' share above it.  A first scorer is fitted on one half of the
+sample, and the prior is the smallest ratio of the two shares on the other
+half, each moved by its sampling error.
+
+A linear scorer over text statistics then minimises the unbiased risk
+``prior * R_p(+) + max(0, R_u(-) - prior * R_p(-))``: when the part in the maximum
+falls below zero, the step goes the other way on it.  Scores are calibrated by
+the same quantities: prior times positives over unlabelled, in bins of the
+linear score, with straight lines between the middles of the bins.
 
 A text is described by the rates of its 256 byte values and of 1024 hashed
 byte pairs, both over the whole text, by the mean length of its words and by
 the share of its words that are repeats.  The fit reads at most
-``Settings.sample`` texts of either kind, drawn by a hash; scores read every
-text whole.
+``Settings.sample`` distinct texts of either kind, drawn by a hash; scores read
+every text whole.
 
 Defined results: null and empty texts have all rates 0 and get the score that
-the model gives to that; without positives every score is the prior, or 0.5
-without labels; repeated rows get equal scores; columns of the input pass
-through, except ``score``, which is replaced.
+the model gives to that; without positives every score is 0.5; repeated rows get
+equal scores; labels of null or unknown ``doc_id`` count for nothing; columns of
+the input pass through, except ``score``, which is replaced.
 """
 
 from __future__ import annotations
@@ -29,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillon.llm._arrow import add_columns
+from quillon.llm._arrow import add_columns, sampled_texts
 from quillon.llm._words import row_chunks, text_bytes, words
 
 PAIRS = 1024
@@ -87,21 +94,33 @@ class Linear:
         if not len(self.edges):
             return np.full(len(x), float(self.level[0]))
         linear = (x @ self.weights + self.bias).astype(np.float64)
-        within = np.interp(linear, self.edges, self.level)
-        return 0.96 * within + 0.04 / (1 + np.exp(-np.clip(linear, -60, 60)))  # strictly rising in the linear score
+        return np.interp(linear, self.edges, self.level)
 
 
-def train(positive: np.ndarray, unlabelled: np.ndarray, prior: float, s: Settings) -> Linear:
-    """Minimise the non-negative positive-unlabelled risk of the logistic loss by Adam."""
-    start = float(np.log(prior / (1 - prior)))
+def train(positive: np.ndarray, unlabelled: np.ndarray, s: Settings) -> Linear:
+    """Estimate the prior, then minimise the non-negative positive-unlabelled risk of the logistic loss by Adam."""
     if not len(positive) or not len(unlabelled):
-        return Linear(np.zeros(FEATURES, np.float32), start, np.zeros(0), np.array([prior]))
+        return Linear(np.zeros(FEATURES, np.float32), 0.0, np.zeros(0), np.array([0.5]))
     x, y = (np.concatenate([x, np.ones((len(x), 1), np.float32)], 1) for x in (positive, unlabelled))
+    prior = estimate_prior(x, y, s)
+    start = float(np.log(prior / (1 - prior)))
     theta = _minimise(x, y, prior, np.append(np.zeros(FEATURES), start), s)
     edges, level = _calibrate(x @ theta, y @ theta, prior)
     return Linear(theta[:-1].astype(np.float32), float(theta[-1]), edges, level)
 
 
+def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, s: Settings) -> float:
+    """Share of positives among the unlabelled, from the two samples alone; between 0.02 and 0.98."""
+    halves = [(x[::2], x[1::2] if len(x) > 1 else x) for x in (positive, unlabelled)]
+    theta = _minimise(halves[0][0], halves[1][0], 0.5, np.zeros(positive.shape[1]), s)
+    p, u = (np.sort(other @ theta) for _, other in halves)
+    lines = np.quantile(p, np.linspace(0, 0.9, 181))
+    over_p, over_u = (1 - np.searchsorted(v, lines) / len(v) for v in (p, u))
+    err_p, err_u = (np.sqrt(v * (1 - v) / len(of)) + 1 / len(of) for v, of in ((over_p, p), (over_u, u)))
+    ratio = (over_u + err_u) / np.maximum(over_p - err_p, 1e-9)
+    return float(np.clip(ratio[over_p > 2 * err_p].min(initial=1.0), 0.02, 0.98))
+
+
 def _calibrate(positive: np.ndarray, unlabelled: np.ndarray, prior: float, bins: int = 64) -> tuple[np.ndarray, np.ndarray]:
     """Linear scores and the rising probability of a positive at each.
 
@@ -140,32 +159,21 @@ def _minimise(positive: np.ndarray, unlabelled: np.ndarray, prior: float, theta:
 
 
 def _sample(texts: DataFrame, rows: int, s: Settings) -> np.ndarray:
-    """Features of at most ``rows`` texts, drawn by a hash and ordered by it."""
-    total = texts.count()
-    order = F.xxhash64(F.lit(s.seed), "text")
-    share = min(1.0, (1.2 * rows + 50) / max(total, 1))
-    some = texts.where(F.pmod(order, F.lit(1 << 30)) < share * (1 << 30)).select("text", order.alias("o")).limit(2 * rows)
+    """Features of at most ``rows`` distinct texts, drawn by a hash and ordered by it."""
+    some = sampled_texts(texts, [], rows, s.seed, F.col("text"))
 
     def make():
-        def work(given):
-            x = features(given["text"])
-            return {"x": [r.tobytes() for r in x]}
-
-        return work
+        return lambda given: {"x": [r.tobytes() for r in features(given["text"])]}
 
-    got = add_columns(some.select("o", "text"), {"text": F.col("text")}, {"x": "binary"}, make).select("o", "x").collect()
-    got = [np.frombuffer(r["x"], np.float32) for r in sorted(got, key=lambda r: (r["o"], r["x"]))[:rows]]
-    return np.array(got, np.float32).reshape(-1, FEATURES)
+    got = add_columns(some, {"text": F.col("value")}, {"x": "binary"}, make).select("o", "x").collect()
+    return np.array([np.frombuffer(r["x"], np.float32) for r in sorted(got, key=lambda r: r["o"])], np.float32).reshape(-1, FEATURES)
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, s: Settings = Settings()) -> Linear:
-    """Learn from ``labels`` (``doc_id``, ``quality``) of the documents where ``learn`` holds."""
+    """Learn from the positives of ``labels`` (``doc_id``, ``quality``) and all documents where ``learn`` holds."""
     learning = docs.where(learn).select("doc_id", "text")
-    labelled = learning.join(labels.where(F.col("quality").isin(0, 1)).select("doc_id", "quality").distinct(), "doc_id")
-    counts = {r["quality"]: r["count"] for r in labelled.groupBy("quality").count().collect()}
-    prior = (counts.get(1, 0) + 1) / (sum(counts.values()) + 2)
-    positive = _sample(labelled.where("quality = 1").select("text"), s.sample, s)
-    return train(positive, _sample(learning.select("text"), s.sample, s), prior, s)
+    trusted = learning.join(labels.where("quality = 1").select("doc_id").distinct(), "doc_id", "left_semi")
+    return train(_sample(trusted, s.sample, s), _sample(learning, s.sample, s), s)
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, learn: Column, s: Settings = Settings()) -> DataFrame:
