@@ -4,6 +4,7 @@ import collections
 import itertools
 import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -12,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillon.llm import ann, decontam, langid, lm_score, mix, neardup, quality, quotes, shard, token_count
-from quillon.llm._arrow import fold
+from quillon.llm._arrow import fold, sampled_texts
 from quillon.llm._words import shingles, words
 from quillon.llm.components import components
 from quillon.scratch import Scratch
@@ -77,7 +78,7 @@ def test_lm_scores_are_normalised_and_better_than_unigrams(spark):
     two = [[f"a{i}" for i in range(30)], [f"b{i}" for i in range(30)]]
     texts = [prose(rng, two[i % 2], 40) for i in range(400)] + ["never seen zz zz"]
     docs = table(spark, texts).select("doc_id", "text")
-    s = lm_score.Settings(model_words=100, head_words=40, passes=60)
+    s = lm_score.Settings(words_per_root=0.4, windows_per_root=1000, dimensions=8, batch=512)  # 52 words of 60 have a symbol
     out = {r["doc_id"]: r for r in lm_score.score_texts(docs, fold("doc_id", 10) != 0, s).collect()}
     count = collections.Counter()
     for i, t in enumerate(texts):
@@ -91,8 +92,38 @@ def test_lm_scores_are_normalised_and_better_than_unigrams(spark):
         assert (out[i]["n_tokens"], out[i]["n_known"], out[i]["train_tokens"]) == (len(tokens), sum(count[x] > 0 for x in tokens), n)
     held = [r for i, r in out.items() if zlib.crc32(str(i).encode()) % 10 == 0]
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held) + 0.2 * sum(r["n_tokens"] for r in held)
-    m = lm_score.LogBilinear(20, 4, 1)
-    assert np.allclose((10.0 ** m.log10_table()).sum(1), 1, atol=1e-4)
+
+
+def test_log_bilinear_probabilities_add_up_to_one():
+    s = lm_score.Settings(dimensions=4)
+    law = np.arange(30, 0, -1) / 465
+    m = lm_score.LogBilinear(law, 7, s)  # five classes, the last of two
+    m.place[:] += 1
+    before = np.array([[1, 2, 3], [29, 0, 5]])
+    all_of = [m.log10(np.arange(30), np.repeat(b[None], 30, 0)) for b in before]
+    assert all(10.0**x @ np.ones(30) == pytest.approx(1, abs=1e-4) for x in all_of)
+    m.forget()
+    assert np.allclose(10 ** m.log10(np.arange(30), np.zeros((30, 3), int)), law, atol=1e-5)
+
+
+def test_context_is_of_the_same_text():
+    w = next(words(pa.array(["a b", None, "c"])))
+    now, before, bounds = lm_score.sequence(w, np.array([5, 6, 7]), 9, 2)
+    assert now.tolist() == [5, 6, 9, 9, 7, 9] and bounds.tolist() == [0, 3, 4, 6]
+    assert before.tolist() == [[9, 9], [5, 9], [6, 5], [9, 9], [9, 9], [7, 9]]
+
+
+def test_second_word_back_is_used():
+    rng = np.random.default_rng(1)
+    rows = []
+    for _ in range(4000):
+        far, near = rng.integers(0, 2), rng.integers(2, 4)
+        rows.append((far + 4, near, far, 6))  # what follows depends on the word before the last
+    data = np.array(rows, np.int32)
+    law = np.bincount(data[:, 0], minlength=8) + 0.5
+    lex = lm_score.Lexicon(*[np.zeros(0, np.int64)] * 4, 7, law / law.sum(), 0, 0, *[np.zeros(0)] * 2, 0)
+    m = lm_score.train(lex, lambda: iter([data.tobytes()]), len(data), lm_score.Settings(dimensions=8, batch=256))
+    assert (10 ** m.log10(data[:, 0].astype(int), data[:, 1:].astype(int))).mean() > 0.9
 
 
 # 2
@@ -109,6 +140,23 @@ def test_quality_finds_held_out_junk_without_negatives(spark):
     assert np.mean([(r["score"] >= 0.3) == (r["doc_id"] % 5 > 0) for r in held]) > 0.95
 
 
+def test_prior_comes_from_positives_and_unlabelled_alone():
+    rng = np.random.default_rng(4)
+    for share in (0.3, 0.8):
+        positive = rng.normal(2, 1, (3000, 3))
+        mixed = np.where(rng.random((6000, 1)) < share, rng.normal(2, 1, (6000, 3)), rng.normal(-2, 1, (6000, 3)))
+        got = quality.estimate_prior(*(np.concatenate([x, np.ones((len(x), 1))], 1) for x in (positive, mixed)), quality.Settings(steps=200))
+        assert got == pytest.approx(share, abs=0.05)
+
+
+def test_samples_take_copies_once_and_every_group(spark):
+    rows = [("en", "hot text")] * 3000 + [("de", f"text {i}") for i in range(40)] + [("fr", "x"), ("fr", None)]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    got = collections.Counter(r["lang"] for r in sampled_texts(docs, ["lang"], 10, 1, F.col("text")).collect())
+    assert got == {"en": 1, "de": 10, "fr": 2}
+    assert sampled_texts(docs, [], 10, 1, F.col("text")).count() == 10
+
+
 # 3
 
 
@@ -312,6 +360,74 @@ def test_quotes(spark):
     assert len(out) == len(rows)
 
 
+def brute_quotes(messages):
+    """(parent's number, root's number) of each message: earlier messages are tried one by one."""
+
+    def normal(x):
+        return " ".join(x.lower().split())
+
+    parent = {}
+    for i, (conv, turn, _, text) in enumerate(messages):
+        passages, last = [], 0
+        for line in (text or "").split("\n"):
+            marks = re.match(r"((?:[ \t]*>)*)", line).group(1)
+            level = marks.count(">")
+            if level and level != last:
+                passages.append((level, []))
+            if level:
+                passages[-1][1].append(line[len(marks) :])
+            last = level
+        best = []
+        for level, lines in passages:
+            for keys in ([normal("\n".join(lines))], [normal(x) for x in lines]):
+                hits = []
+                for j, (c, t, _, other) in enumerate(messages):
+                    own = "\n".join(x for x in (other or "").split("\n") if not re.match(r"[ \t]*>", x)).strip()
+                    offers = {normal(x) for x in [own, *re.split(r"\n[ \t]*\n", own), *own.split("\n")]}
+                    if c == conv and t < turn and any(k and k in offers for k in keys):
+                        hits.append((t, -j))
+                if hits:
+                    if level == 1:
+                        best.append(max(hits))
+                    break
+        if best:
+            parent[i] = -max(best)[1]
+    root = {}
+    for i in range(len(messages)):
+        at = i
+        while at in parent:
+            at = parent[at]
+        root[i] = at
+    return parent, root
+
+
+def test_quotes_match_brute_force(spark):
+    rng = random.Random(21)
+    said = [f"Sentence {i}." for i in range(12)]
+    messages = []
+    for conv in range(6):
+        for k in range(25):
+            own = [rng.choice(said) for _ in range(rng.randrange(1, 3))]
+            quoted = ["> " * rng.randrange(1, 3) + rng.choice(said) for _ in range(rng.randrange(3))]
+            messages.append((conv, k // 2, "user", "\n".join(quoted + own)))  # two at each turn
+    parent, root = brute_quotes(messages)
+    table = spark.createDataFrame([(*m[:2], str(i), m[3]) for i, m in enumerate(messages)], "conv_id long, turn long, role string, text string").coalesce(1)
+    got = {int(r["role"]): r for r in quotes.reply_ordered(table).collect()}
+    assert len(got) == len(messages) and len(parent) > 30
+    for i, (_, turn, _, _) in enumerate(messages):
+        assert got[i]["parent_turn"] == (messages[parent[i]][1] if i in parent else None)
+        assert got[i]["root_turn"] == messages[root[i]][1]
+    for conv in range(6):
+        order = sorted((i for i, m in enumerate(messages) if m[0] == conv), key=lambda i: got[i]["position"])
+        assert order == sorted(order, key=lambda i: (messages[root[i]][1], root[i], messages[i][1], i))
+
+
+def test_two_messages_at_one_turn_stay_in_their_threads(spark):
+    rows = [(1, 0, "a", "First."), (1, 1, "b", "Second."), (1, 2, "c", "> First."), (1, 2, "d", "> Second.")]
+    got = {r["role"]: r for r in quotes.reply_ordered(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert [(got[x]["parent_turn"], got[x]["root_turn"]) for x in "abcd"] == [(None, 0), (None, 1), (0, 0), (1, 1)]
+
+
 # 6
 
 
@@ -335,6 +451,16 @@ def test_language_stage_without_labels_rejects_by_letters_alone(spark):
     assert {r["doc_id"] for r in corpus_pipeline.language_id(spark, docs, "").collect()} == {0, 4, 5}
 
 
+def test_segments_run_in_over_their_neighbours():
+    rng = np.random.default_rng(12)
+    w = langid.initial(3, 4, rng)
+    texts = [b"", bytes(rng.integers(97, 120, 333, dtype=np.uint8)), b"abc"]
+    offsets, data = np.cumsum([0, *map(len, texts)]), np.frombuffer(b"".join(texts), np.uint8)
+    whole = langid.document_probabilities(w, offsets, data, langid.Settings(segment=512, halo=24))
+    cut = langid.document_probabilities(w, offsets, data, langid.Settings(segment=32, halo=24, side_by_side=3))
+    assert np.allclose(whole, cut, atol=2e-3) and not whole[0].any() and whole[1].sum() == pytest.approx(1, abs=1e-4)
+
+
 def test_gradients_are_those_of_the_loss():
     rng = np.random.default_rng(8)
     w = {k: v.astype(np.float64) for k, v in langid.initial(3, 4, rng).items()}
@@ -401,6 +527,17 @@ def test_communication_matrix():
     assert np.mean([m[0][0] for m in drawn]) == pytest.approx(5 * 5 / 14, abs=0.08)
 
 
+def test_inversion_follows_the_hypergeometric_law():
+    rng = np.random.Generator(np.random.PCG64(1))
+    good, bad, draws = 7, 11, 9
+    law = [math.comb(good, k) * math.comb(bad, draws - k) / math.comb(good + bad, draws) for k in range(8)]
+    got = np.bincount([shard._by_inversion(rng, good, bad, draws) for _ in range(20000)], minlength=8) / 20000
+    assert np.allclose(got, law, atol=0.012)
+    assert {shard._by_inversion(rng, 3, 2, 5), shard._by_inversion(rng, 5, 0, 2) + 1, shard._by_inversion(rng, 9, 9, 0) + 3} == {3}
+    big = [shard._hypergeometric(rng, 3 * 10**12, 9 * 10**12, 65536) for _ in range(3000)]
+    assert np.mean(big) == pytest.approx(16384, abs=8) and np.var(big) == pytest.approx(65536 * 3 / 16, rel=0.1)
+
+
 # 9
 
 
@@ -461,6 +598,36 @@ def test_mixing(spark, none):
     assert mix.pareto_mix(none, ["doc_id"]).count() == 0
 
 
+def test_mix_is_the_pareto_sample(spark):
+    rng = random.Random(13)
+    texts = [prose(rng, ["a", "b"], int(20 * rng.paretovariate(1.2))) for _ in range(700)]
+    docs = table(spark, texts, lambda i: "abc"[min(2, i % 5)])
+    rows = mix.pareto_mix(docs, ["doc_id", "source"]).select("doc_id", "source", "mix.*").collect()
+    u = {r["doc_id"]: r["u"] for r in docs.select("doc_id", ((F.shiftrightunsigned(F.xxhash64(F.lit(5), "doc_id", "source", "text"), 11).cast("double") + 0.5) * F.lit(2.0**-53)).alias("u")).collect()}
+    odds = set()
+    for source in "abc":
+        own = [r for r in rows if r["source"] == source]
+        ratio = own[0]["target"] / own[0]["source_size"]
+        rest = (ratio - math.floor(ratio)) * own[0]["source_size"]
+        weight = [2 ** (-(math.floor(2 * math.log2(r["size"])) if r["size"] else -1) / 4) for r in own]
+        lo, hi = 0.0, 1e9
+        for _ in range(200):
+            c = (lo + hi) / 2
+            lo, hi = (c, hi) if sum(min(1, c * w) * r["size"] for w, r in zip(weight, own)) < rest else (lo, c)
+        part = [min(1, lo * w) for w in weight]
+        assert sum(p * r["size"] for p, r in zip(part, own)) == pytest.approx(rest, abs=1e-3)
+        odds |= {round(p, 6) for p in part}
+        rank = {id(r): (1 - p) / p * u[r["doc_id"]] / (1 - u[r["doc_id"]]) for p, r in zip(part, own)} if rest > 1e-6 else {}
+        taken, want = 0, set()
+        for r in sorted(own, key=lambda r: (rank.get(id(r), 0), r["doc_id"])) if rank else []:
+            if taken + r["size"] / 2 <= rest + 1e-6:
+                want.add(id(r))
+            taken += r["size"]
+        off = [r for r in own if (r["copies"] - math.floor(ratio + 1e-12) > 0) != (id(r) in want) and r["size"]]
+        assert len(off) <= 1  # the repeated row ties
+    assert len(odds) > 4
+
+
 # awkward rows
 
 
@@ -468,7 +635,7 @@ def test_awkward_rows_pass_through(spark, awkward, none):
     n = awkward.count()
     labels = spark.createDataFrame([(3, 1, 0), (7, 0, 0), (None, 1, None), (4, None, 1)], "doc_id long, quality int, toxic int")
     learn = fold("doc_id", 5) != 0
-    small = lm_score.Settings(model_words=10, head_words=20, passes=2)
+    small = lm_score.Settings(words_per_root=0.5, least_steps=2, batch=64)
     assert lm_score.score_texts(awkward, learn, small).where("score is null or base_score is null").count() == 0
     assert lm_score.score_texts(awkward, learn, small).count() == n
     assert lm_score.score_texts(none, learn, small).count() == 0
