@@ -21,6 +21,7 @@ from quillon.llm.shard import shuffle_into_shards
 from quillon.scratch import Scratch
 
 SHARDS = 8
+LEAST_SCORE = 0.3
 _scratch_of: dict[int, list[Scratch]] = {}
 
 
@@ -46,12 +47,15 @@ def _stage(number: int) -> Callable:
 
 @_stage(0)
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter or text go; no decision of the network removes any.
+    """Documents in no language go: those without a letter or text, and those whose best language the network gives
+    less than ``LEAST_SCORE``.
 
-    Their language is ``und``, and where nothing was learned so is that of all others, which stay.
+    Null texts go, repeated rows fare alike, ties go to the first language; where nothing
+    was learned, the letter rule alone decides.  An empty table gives an empty result.
     """
-    named = (F.col("lang_pred") != UNKNOWN) | F.col("text").rlike(r"\p{L}")
-    return identify(docs, fold("doc_id", 4) != 2).where(named).select(*docs.columns)
+    nothing_learned = (F.col("lang_pred") == UNKNOWN) & F.col("text").rlike(r"\p{L}")
+    named = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)
+    return identify(docs, fold("doc_id", 4) != 2).where(named | nothing_learned).select(*docs.columns)
 
 
 @_stage(1)
@@ -59,6 +63,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays: one row with the smallest id.
 
     The row is picked among the kept ones, which are several only where rows repeat an id.
+    Texts that are null or without words are in no group and all stay.
     """
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     out = near_duplicates(rows, ["doc_id", "text_hash"]).where("dup.kept")
@@ -74,20 +79,20 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_stage(2)
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that leak an item of the benchmark go."""
+    """Documents that leak an item of the benchmark go; null and empty texts leak none, repeated rows fare alike."""
     return mark_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("not leaked").select(*docs.columns)
 
 
 @_stage(3)
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents stay as often as the mix takes them."""
+    """Documents stay as often as the mix takes them: none to two times; a text without words as often as its source's whole copies."""
     mixed = pareto_mix(docs, docs.columns).where("mix.copies > 0")
     return mixed.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("mix.copies"))).alias("copy")).select(*docs.columns)
 
 
 @_stage(4)
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row gets its shard and its slot in it."""
+    """Every row, whatever its text, gets its shard and its slot in it."""
     return shuffle_into_shards(docs, SHARDS)
 
 
