@@ -1,11 +1,16 @@
-"""Benchmark decontamination: BM25 over test items with block-max pruning.
+"""Benchmark decontamination: a BM25 inverted index of test items, searched by block-max WAND.
 
-Test items are indexed by word, with BM25 impacts, in blocks of ``BLOCK`` items
-of similar length; each word keeps the largest impact in each block.  Document
-frequencies and the mean length are those of the whole test set.  Every document
-is a query of its distinct words.  As in block-max WAND, a block is scored only
-where the sum of its largest impacts reaches the threshold; bounds of all
-documents of a chunk are sums over arrays.
+Every word of the test set has a posting list of the items that hold it, with
+their BM25 impacts, cut into blocks of ``BLOCK`` items of similar length; a list
+knows its largest impact and that of each of its blocks.  Document frequencies
+and the mean length are those of the whole test set.
+
+Every document is a query of its distinct words.  As in block-max WAND, its lists
+are ordered by their largest impacts: those whose largest impacts together stay
+under the threshold cannot bring an item over it, so only the blocks of the
+other lists are looked at; a block is opened only if the largest impacts of all
+its lists reach the threshold; and only in open blocks are postings added up.
+The steps of all documents of a chunk are taken at once, on arrays.
 
 What is retrieved is verified on 5-word shingles: a document leaks an item if
 it holds half of the question's and half of the answer's shingles, or three
@@ -18,13 +23,14 @@ among the item's shingles that hold it; a text with some of the shingles scores
 at least the sum of their shares, and so at least that of as many of the
 smallest shares as the rule asks for (``least_score``).
 
-Items are read to the driver in slices of ``Settings.slice`` and handed to the
-tasks ``Settings.slices_a_pass`` at a time, so the index in a task is bounded;
-a larger test set takes more passes over the documents.
+Items are streamed to the driver, which indexes ``Settings.pass_words`` words of
+them at a time; a larger test set takes more passes over the documents.  The
+driver holds the document frequencies of the test set's distinct words.
 
 Defined results: null and empty texts and items match nothing; an item of under
 five words is one shingle; repeated documents are reported each; repeated items
-too; an empty table on either side gives an empty result.
+too; an empty table on either side gives an empty result; ``item_id`` keeps its
+type; columns of the documents pass through ``mark_leaks``, which replaces ``leaked``.
 """
 
 from __future__ import annotations
@@ -36,11 +42,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from quillon.llm._arrow import add_columns
 from quillon.llm._words import shingles, words
+from quillon.scratch import Scratch
 
 BLOCK = 8
+WORD = r"[^\x20\x09-\x0D]+"
 REACHED = 0.999  # of a threshold, which leaves room for rounding
 
 
@@ -48,26 +57,39 @@ REACHED = 0.999  # of a threshold, which leaves room for rounding
 class Settings:
     part: float = 0.5
     whole: float = 0.75
-    slice: int = 128
-    slices_a_pass: int = 16
+    pass_words: int = 1 << 21
     k1: float = 1.2
     b: float = 0.75
 
 
 @dataclass
-class Slice:
-    """An inverted index of some items: impacts relative to each item's threshold, and the blocks' largest;
-    ``known`` are all items' shingles, ``least`` is the threshold relative to the item's own score."""
+class Index:
+    """Posting lists of some items, by word.
+
+    ``entry`` names each block of each list (word * blocks + block), ``block_max``
+    is its largest impact and ``first`` its first posting; ``item`` and ``impact``
+    are the postings.  Impacts are relative to each item's threshold; ``least`` is
+    the threshold relative to the item's own score.  ``known`` are all shingles.
+    """
 
-    ids: list[int]
+    ids: list
     vocabulary: np.ndarray
-    impact: np.ndarray
+    list_max: np.ndarray
+    list_first: np.ndarray
+    entry: np.ndarray
     block_max: np.ndarray
+    first: np.ndarray
+    item: np.ndarray
+    impact: np.ndarray
     question: list[np.ndarray]
     answer: list[np.ndarray]
     known: np.ndarray
     least: np.ndarray
 
+    @property
+    def blocks(self) -> int:
+        return -(-len(self.ids) // BLOCK)
+
 
 @dataclass
 class Statistics:
@@ -83,10 +105,22 @@ def _hashes(texts: list[str]) -> list[np.ndarray]:
     return [w.hashes[lo:hi] for w in words(pa.array(texts, pa.string())) for lo, hi in zip(w.bounds[:-1], w.bounds[1:])]
 
 
-def statistics(items: list[np.ndarray]) -> Statistics:
-    """Of items given as word hashes."""
-    vocabulary, df = np.unique(np.concatenate([np.zeros(0, np.uint64), *map(np.unique, items)]), return_counts=True)
-    return Statistics(len(items), max(1.0, float(np.mean([len(x) for x in items]))) if items else 1.0, vocabulary, df)
+def statistics(items: DataFrame) -> Statistics:
+    """Of the column ``text``; counted by the executors, one row a distinct word comes back."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for w in words(batch.column(0)):
+                pairs = np.unique(np.stack([w.row_of().astype(np.uint64), w.hashes], 1), axis=0)
+                own, n = np.unique(pairs[:, 1], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(n)], ["h", "n"])
+
+    length = F.regexp_count("text", F.lit(WORD))
+    n, mean = items.where("text is not null").agg(F.count(F.lit(1)), F.avg(length)).first()
+    counts = items.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).toArrow()
+    h = counts["h"].to_numpy().view(np.uint64)
+    order = np.argsort(h)
+    return Statistics(n, max(1.0, float(mean or 0)), h[order], counts["n"].to_numpy()[order])
 
 
 def _shingle_words(x: np.ndarray) -> np.ndarray:
@@ -108,37 +142,60 @@ def least_score(impact: np.ndarray, question: np.ndarray, answer: np.ndarray, s:
     return min(apart, float(together[: fewest(s.whole, len(together))].sum()))
 
 
-def build_slice(ids: list[int], questions: list[str], answers: list[str], s: Settings, known: Statistics | None = None) -> Slice:
-    """Index the items; impacts are divided by the score at which an item counts as retrieved.
-
-    ``known`` are the statistics of the test set, by default of these items.
-    """
+def build_index(ids: list, questions: list[str], answers: list[str], known: Statistics, s: Settings) -> Index:
+    """Index the items; impacts are divided by the score at which an item counts as retrieved."""
     q, a = _hashes(questions), _hashes(answers)
-    both = [np.concatenate(x) for x in zip(q, a)]
-    known = known or statistics(both)
-    vocabulary = np.unique(np.concatenate([np.zeros(0, np.uint64), *both]))
-    n = -(-len(ids) // BLOCK) * BLOCK
-    tf = np.zeros((len(vocabulary), n), np.float32)
-    for i, x in enumerate(both):
-        own, count = np.unique(x, return_counts=True)
-        tf[np.searchsorted(vocabulary, own), i] = count
-    length = np.array([len(x) for x in both] + [0] * (n - len(ids)), np.float32)
-    df = known.df[np.searchsorted(known.vocabulary, vocabulary)]
-    idf = np.log(1 + (known.items - df + 0.5) / (df + 0.5))
-    norm = s.k1 * (1 - s.b + s.b * length / known.mean_length)
-    impact = np.where(tf > 0, idf[:, None] * tf * (s.k1 + 1) / (tf + norm), 0)
-    least = np.full(n, 1e-9)
+    columns: list[list[np.ndarray]] = [[np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0)]]
+    least = np.full(len(ids), 1e-9)
+    own_score = np.full(len(ids), 1e-9)
     for i, (x, y) in enumerate(zip(q, a)):
-        least[i] = max(1e-9, least_score(impact[:, i], np.searchsorted(vocabulary, x), np.searchsorted(vocabulary, y), s))
-    own_score = np.maximum(impact.sum(0), 1e-9)
-    impact = (impact / least).astype(np.float32)
-    block_max = impact.reshape(len(vocabulary), -1, BLOCK).max(2)
+        own, tf = np.unique(np.concatenate([x, y]), return_counts=True)
+        df = known.df[np.searchsorted(known.vocabulary, own)] if len(own) else np.zeros(0)
+        idf = np.log(1 + (known.items - df + 0.5) / (df + 0.5))
+        impact = idf * tf * (s.k1 + 1) / (tf + s.k1 * (1 - s.b + s.b * (len(x) + len(y)) / known.mean_length))
+        least[i] = max(1e-9, least_score(impact, np.searchsorted(own, x), np.searchsorted(own, y), s))
+        own_score[i] = max(1e-9, impact.sum())
+        for column, part in zip(columns, (own, np.full(len(own), i), impact / least[i])):
+            column.append(part)
+    word, item, impact = (np.concatenate(c) for c in columns)
+    vocabulary, term = np.unique(word, return_inverse=True)
+    order = np.lexsort((item, term))
+    term, item, impact = term[order], item[order], impact[order]
+    starts = lambda key: np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    largest = lambda at: np.maximum.reduceat(impact, at) if len(at) else np.zeros(0)
+    key = term * -(-len(ids) // BLOCK) + item // BLOCK
+    of_block, of_list = starts(key), starts(term)
     question, answer = ([np.unique(shingles(x)) for x in side] for side in (q, a))
-    known_shingles = np.unique(np.concatenate([np.zeros(0, np.uint64), *question, *answer]))
-    return Slice(ids, vocabulary, impact, block_max, question, answer, known_shingles, least / own_score)
-
-
-def retrieve(column: pa.Array, index: Slice) -> Iterator[tuple[int, int, float, np.ndarray]]:
+    all_shingles = np.unique(np.concatenate([np.zeros(0, np.uint64), *question, *answer]))
+    return Index(
+        ids, vocabulary, largest(of_list), np.searchsorted(of_block, np.append(of_list, len(term))), key[of_block], largest(of_block),
+        np.append(of_block, len(term)), item.astype(np.int32), impact.astype(np.float32), question, answer, all_shingles, least / own_score,
+    )
+
+
+def _ranges(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All whole numbers of the ranges, and for each the place of its range."""
+    n = hi - lo
+    place = np.repeat(np.arange(len(n)), n)
+    return np.arange(len(place)) - np.repeat(np.cumsum(n) - n, n) + lo[place], place
+
+
+def _open_blocks(row: np.ndarray, term: np.ndarray, rows: int, index: Index) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and blocks that may hold an item over the threshold, judged by the lists that can bring one there."""
+    order = np.lexsort((index.list_max[term], row))
+    row, term = row[order], term[order]
+    upto = np.cumsum(index.list_max[term])
+    bounds = np.searchsorted(row, np.arange(rows + 1))
+    before = np.concatenate([[0.0], upto])[bounds[:-1]]
+    idle = upto - before[row] < REACHED  # together they stay under it
+    rest = np.bincount(row[idle], index.list_max[term[idle]], rows)
+    at, place = _ranges(index.list_first[term[~idle]], index.list_first[term[~idle] + 1])
+    pair, back = np.unique(row[~idle][place] * index.blocks + index.entry[at] % index.blocks, return_inverse=True)
+    bound = np.bincount(back, index.block_max[at], len(pair)) + rest[pair // index.blocks]
+    return np.divmod(pair[bound >= REACHED], index.blocks)
+
+
+def retrieve(column: pa.Array, index: Index) -> Iterator[tuple[int, int, float, np.ndarray]]:
     """(row, item place, score, words of the text) of each text and item at or over the threshold, row by row."""
     for w in words(column):
         if not len(w.hashes) or not len(index.vocabulary):
@@ -148,19 +205,24 @@ def retrieve(column: pa.Array, index: Slice) -> Iterator[tuple[int, int, float,
         pairs = np.unique(w.row_of()[known] * len(index.vocabulary) + at[known])
         row, term = np.divmod(pairs, len(index.vocabulary))
         bounds = np.searchsorted(row, np.arange(w.rows + 1))
-        full = np.flatnonzero(np.diff(bounds))
-        if not len(full):
-            continue
-        bound = np.zeros((w.rows, index.block_max.shape[1]), np.float32)
-        bound[full] = np.add.reduceat(index.block_max[term], bounds[full], axis=0)
-        for r in np.flatnonzero((bound >= REACHED).any(1)):
-            score = index.impact[term[bounds[r] : bounds[r + 1]]].sum(0)
-            score[np.repeat(bound[r] < REACHED, BLOCK)] = 0
-            for i in np.flatnonzero(score[: len(index.ids)] >= REACHED):
-                yield w.first + int(r), int(i), float(score[i]), w.hashes[w.bounds[r] : w.bounds[r + 1]]
-
-
-def leaks(column: pa.Array, index: Slice, s: Settings) -> dict[tuple[int, int], tuple[float, float, float]]:
+        some, block = _open_blocks(row, term, w.rows, index)
+        asked, place = _ranges(bounds[some], bounds[some + 1])  # each open block is asked for all words of its row
+        key = term[asked] * index.blocks + block[place]
+        e = np.minimum(np.searchsorted(index.entry, key), len(index.entry) - 1)
+        hit = index.entry[e] == key
+        e, place = e[hit], place[hit]
+        stay = np.bincount(place, index.block_max[e], len(some)) >= REACHED
+        e, place = e[stay[place]], place[stay[place]]
+        posting, of = _ranges(index.first[e], index.first[e + 1])
+        scored, back = np.unique(some[place[of]] * len(index.ids) + index.item[posting], return_inverse=True)
+        score = np.bincount(back, index.impact[posting], len(scored))
+        over = score >= REACHED
+        for name, value in zip(scored[over].tolist(), score[over].tolist()):
+            r, i = divmod(name, len(index.ids))
+            yield w.first + r, i, value, w.hashes[w.bounds[r] : w.bounds[r + 1]]
+
+
+def leaks(column: pa.Array, index: Index, s: Settings) -> dict[tuple[int, int], tuple[float, float, float]]:
     """(row, item place) of every verified leak, with the score and the overlaps of question and answer."""
     out: dict[tuple[int, int], tuple[float, float, float]] = {}
     last, found = -1, index.known
@@ -186,55 +248,74 @@ def split_item(text: str) -> tuple[str, str]:
     return (" ".join(parts[: ends[-1]]), " ".join(parts[ends[-1] :])) if ends else (text, "")
 
 
-def build_passes(items: DataFrame, s: Settings = Settings()) -> list[list[Slice]]:
-    """Indexes of ``items`` (``item_id``, ``text``), shortest first, grouped by the passes that use them."""
-    rows = [(r["n"], r["item_id"], r["text"]) for r in items.where("text is not null").select("item_id", "text", F.length("text").alias("n")).collect()]
-    slices = []
-    rows.sort(key=lambda r: (r[0], r[2]))
-    split = [split_item(r[2]) for r in rows]
-    known = statistics(_hashes([f"{q} {a}" for q, a in split]))
-    for lo in range(0, len(rows), s.slice):
-        part = split[lo : lo + s.slice]
-        slices.append(build_slice([r[1] for r in rows[lo : lo + s.slice]], [x[0] for x in part], [x[1] for x in part], s, known))
-    return [slices[i : i + s.slices_a_pass] for i in range(0, len(slices), s.slices_a_pass)]
+def build_passes(items: DataFrame, s: Settings = Settings()) -> Iterator[Index]:
+    """Indexes of ``items`` (``item_id``, ``text``), shortest first, one a pass."""
+    some = items.where(F.col("text").rlike(WORD)).select("item_id", "text", F.regexp_count("text", F.lit(WORD)).alias("n"))
+    known = statistics(some)
+    held: list[tuple] = []
+    size = 0
+
+    def built() -> Index:
+        split = [split_item(text) for _, text in held]
+        return build_index([i for i, _ in held], [x[0] for x in split], [x[1] for x in split], known, s)
+
+    for r in some.orderBy("n", "text").toLocalIterator():
+        if held and size + r["n"] > s.pass_words:
+            yield built()
+            held, size = [], 0
+        held.append((r["item_id"], r["text"]))
+        size += r["n"]
+    if held:
+        yield built()
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, s: Settings = Settings()) -> DataFrame:
     """One row for each document and item that it leaks: ``doc_id``, ``item_id``,
     ``score`` (relative to the item's own), ``question_overlap``, ``answer_overlap``."""
-    schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
+    kind = items.schema["item_id"].dataType
+    schema = f"doc_id long, item_id {kind.simpleString()}, score double, question_overlap double, answer_overlap double"
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    arrow = to_arrow_type(kind)
+    passes = build_passes(items, s)
+    index, following = next(passes, None), next(passes, None)
     out = None
-    for group in build_passes(items, s):
-        shared = docs.sparkSession.sparkContext.broadcast(group)
+    scratch = Scratch(docs.sparkSession) if following is not None else None
+    while index is not None:
+        shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            index = shared.value
             for batch in batches:
-                for index in shared.value:
-                    found = leaks(batch.column(1), index, s)
-                    if found:
-                        rows, places = zip(*found)
-                        score, in_q, in_a = zip(*found.values())
-                        ids = pa.array([index.ids[i] for i in places], pa.int64())
-                        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), ids, *(pa.array(x, pa.float64()) for x in (score, in_q, in_a))], ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
+                found = leaks(batch.column(1), index, s)
+                if found:
+                    rows, places = zip(*found)
+                    ids = pa.array([index.ids[i] for i in places], arrow)
+                    numbers = (pa.array(x, pa.float64()) for x in zip(*found.values()))
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), ids, *numbers], ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
 
         part = source.mapInArrow(run, schema)
+        if scratch is not None:  # one index at a time is in memory
+            part = scratch.save(part)
+            shared.unpersist()
         out = part if out is None else out.unionAll(part)
+        index, following = following, next(passes, None) if following is not None else None
     return out if out is not None else docs.sparkSession.createDataFrame([], schema)
 
 
 def mark_leaks(docs: DataFrame, items: DataFrame, s: Settings = Settings()) -> DataFrame:
     """``docs`` with ``leaked``, true where a document leaks any item."""
-    out = docs.withColumn("leaked", F.lit(False))
-    for group in build_passes(items, s):
-        shared = docs.sparkSession.sparkContext.broadcast(group)
+    out, scratch = docs.withColumn("leaked", F.lit(False)), None
+    for n, index in enumerate(build_passes(items, s)):
+        if n:  # one index at a time is in memory
+            scratch = scratch or Scratch(docs.sparkSession)
+            out = scratch.save(out)
+        shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def make(shared=shared):
             def work(given):
                 leaked = given["leaked"].to_numpy(zero_copy_only=False).astype(bool).copy()
-                for index in shared.value:
-                    for row, _ in leaks(given["text"], index, s):
-                        leaked[row] = True
+                for row, _ in leaks(given["text"], shared.value, s):
+                    leaked[row] = True
                 return {"leaked": leaked}
 
             return work

@@ -249,7 +249,7 @@ def test_decontamination(spark):
     truth.add((62, 2))
     docs = table(spark, texts)
     bench = spark.createDataFrame([*enumerate(items), (9, None)], "item_id long, text string")
-    s = decontam.Settings(slice=2, slices_a_pass=2)
+    s = decontam.Settings(pass_words=250)
     assert {(r["doc_id"], r["item_id"]) for r in decontam.find_leaks(docs, bench, s).collect()} == truth
     marked = {r["doc_id"] for r in decontam.mark_leaks(docs, bench, s).where("leaked").collect()}
     assert marked == {i for i, _ in truth}
@@ -287,7 +287,7 @@ def test_partial_copies_match_a_scan_of_the_rule(spark):
     truth = {(i, k) for i, t in enumerate(texts) for k, item in enumerate(items) if overlap_rule(t, item)}
     assert {(i, i // 3) for i in range(len(texts)) if i % 3} <= truth
     bench = spark.createDataFrame([*enumerate(items)], "item_id long, text string")
-    for s in (decontam.Settings(), decontam.Settings(slice=8, slices_a_pass=2)):
+    for s in (decontam.Settings(), decontam.Settings(pass_words=500)):
         found = decontam.find_leaks(table(spark, texts), bench, s).collect()
         assert {(r["doc_id"], r["item_id"]) for r in found} == truth
 
@@ -317,20 +317,43 @@ def test_thresholds_use_the_whole_test_set(spark):
     rng = random.Random(16)
     items = [prose(rng, [f"w{i}" for i in range(60)], 20) for _ in range(24)]
     bench = spark.createDataFrame([*enumerate(items)], "item_id long, text string")
-    sliced, whole = ([x for group in decontam.build_passes(bench, decontam.Settings(slice=n)) for x in group] for n in (8, 24))
+    sliced, whole = (list(decontam.build_passes(bench, decontam.Settings(pass_words=n))) for n in (160, 480))
     least = {i: x for index in whole for i, x in zip(index.ids, index.least)}
-    assert len(sliced) == 3 and all(x == pytest.approx(least[i]) for index in sliced for i, x in zip(index.ids, index.least))
+    assert len(sliced) == 3 and len(whole) == 1 and all(x == pytest.approx(least[i]) for index in sliced for i, x in zip(index.ids, index.least))
 
 
-def test_block_bounds_hold(spark):
+def test_retrieval_equals_plain_bm25(spark):
     rng = random.Random(6)
-    vocabulary = [f"w{i}" for i in range(80)]
-    items = [prose(rng, vocabulary, 20) for _ in range(20)]
-    index = decontam.build_slice(list(range(20)), items, [""] * 20, decontam.Settings())
-    assert (index.block_max.repeat(decontam.BLOCK, 1) >= index.impact).all()
-    texts = [prose(rng, vocabulary, 100) + " " + items[i % 20] for i in range(40)]
-    found = {(r, i) for r, i, _, _ in decontam.retrieve(pa.array(texts), index)}
-    assert {(i, i % 20) for i in range(40)} <= found
+    vocabulary = [f"w{int(rng.paretovariate(0.7))}" for _ in range(400)]
+    items = [prose(rng, vocabulary, rng.randrange(8, 60)) + ". " + prose(rng, vocabulary, 9) for _ in range(50)] + [prose(rng, vocabulary, 4000)]
+    bench = spark.createDataFrame([*enumerate(items)], "item_id long, text string")
+    s = decontam.Settings()
+    (index,) = decontam.build_passes(bench, s)
+    bags = [collections.Counter(split(x)) for x in items]
+    df, mean = collections.Counter(x for b in bags for x in b), sum(sum(b.values()) for b in bags) / len(bags)
+
+    def score(text, b):
+        idf = lambda x: math.log(1 + (len(bags) - df[x] + 0.5) / (df[x] + 0.5))
+        return sum(idf(x) * b[x] * 2.2 / (b[x] + 1.2 * (0.25 + 0.75 * sum(b.values()) / mean)) for x in set(split(text)) if x in b)
+
+    texts = [prose(rng, vocabulary, 100) + " " + leading(items[i], rng.random()) for i in range(50)] + ["", items[50]]
+    place = {i: p for p, i in enumerate(index.ids)}
+    want = {}
+    for r, text in enumerate(texts):
+        for i, b in enumerate(bags):
+            least = index.least[place[i]] * score(items[i], b)
+            if (got := score(text, b)) >= decontam.REACHED * least:
+                want[r, place[i]] = got / least
+    found = {(r, i): x for r, i, x, _ in decontam.retrieve(pa.array(texts), index)}
+    close = {k for k in set(want) ^ set(found) if abs(want.get(k, found.get(k)) - decontam.REACHED) < 1e-5}
+    assert set(want) ^ set(found) <= close and len(found) > 40
+    assert all(found[k] == pytest.approx(want[k], rel=1e-4) for k in found if k in want)
+
+
+def test_items_of_any_id_and_no_items(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f g"), (2, None)], "doc_id long, text string")
+    bench = spark.createDataFrame([("x-1", "a b c d e f g"), (None, "zz"), ("y", None), ("z", " ")], "item_id string, text string")
+    assert [tuple(r)[:2] for r in decontam.find_leaks(docs, bench).collect()] == [(1, "x-1")]
 
 
 # 5
