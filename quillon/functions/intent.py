@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quillon.functions.text import compact, has_any
+from quillon.functions.text import compact, has_any, let
 
 # Id, intent, name and required slot of each capability.
 CAPABILITIES = [
@@ -72,8 +72,11 @@ def rule_of(t: Column) -> Column:
 
 def device_label(text: Column) -> Column:
     """Struct of ``capability_id``, ``capability``, ``intent``, ``slots`` (a map of texts), ``missing_slots`` and ``confidence``."""
-    t = compact(text)
-    rule = rule_of(t)
+    return let(compact(text), lambda t: let(rule_of(t), lambda rule: _label(t, rule)))
+
+
+def _label(t: Column, rule: Column) -> Column:
+    """``device_label`` of a compact text and the rule that it matches."""
     intent = F.when(rule.isin("reject", "hangup"), "end_or_reject_call").otherwise(rule)
     number = F.nullif(F.regexp_extract(t, r"(\d{1,3})", 1), F.lit("")).cast("int")
     named = F.nullif(F.trim(F.regexp_extract(t, CONTACT, 1)), F.lit(""))
@@ -109,3 +112,19 @@ def device_label(text: Column) -> Column:
         missing.alias("missing_slots"),
         sure.alias("confidence"),
     )
+
+
+def typed_slots(slots: Column) -> Column:
+    """The slots of a label as a struct of their own types.
+
+    A level is a number, or ``max`` or ``min`` in ``level_word``.
+    """
+    slot = lambda k: F.element_at(slots, F.lit(k))
+    texts = ["contact", "action", "method", "wallpaper_type", "adjustment", "time_range", "scene", "message_type"]
+    return F.struct(
+        *[slot(k).alias(k) for k in texts],
+        slot("level").try_cast("int").alias("level"),
+        F.when(slot("level").isin("max", "min"), slot("level")).alias("level_word"),
+        slot("channel").try_cast("int").alias("channel"),
+        *[slot(k).try_cast("boolean").alias(k) for k in ("enabled", "during_call", "unread_only")],
+    )

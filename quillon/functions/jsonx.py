@@ -1,29 +1,38 @@
-"""JSON in free text.  Parsing is native; only the strictness test needs Python.
+"""JSON in free text.
 
-Spark's parser accepts trailing text and rejects ``NaN``; ``strict_kind`` tells
-what a text is to a strict parser, in Arrow batches.
+Spark's parser accepts trailing text and rejects ``NaN``, so what is a strict
+JSON object is decided in Python, in one Arrow pass over the rows that hold a
+brace at all; everything else is native.
 """
 
 import json
+import re
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The grammar of calls in a model's text.
 FENCE = r"(?s)```(?:json)?\s*(\{.*?\})\s*```"
 XML_CALL = r"(?s)<function=([^>\s]+)>(.*?)</function>"
 XML_ARG = r"(?s)<parameter=([^>\s]+)>\s*(.*?)\s*</parameter>"
+TAGGED_XML_CALL = r"(?s)<tool_call>\s*<function=([^>\s]+)>\s*(.*?)\s*</function>\s*</tool_call>"
 TAGGED_CALL = r"(?s)<tool_call>\s*(\{.*?\})\s*</tool_call>"
+# The keys that a device label must have.
+LABEL_KEYS = ["matched", "capability_id", "capability", "intent", "slots", "missing_slots", "confidence"]
 
 
-def _kind(text: str | None) -> str:
-    if text is None:
-        return "invalid"
+def _parsed(text: str | None) -> object:
+    """The value, or the function itself where the text is no strict JSON."""
     try:
-        value = json.loads(text)
-    except (ValueError, RecursionError):
-        return "invalid"
-    return {dict: "object", list: "array"}.get(type(value), "scalar")
+        return json.loads(text)
+    except (TypeError, ValueError, RecursionError):
+        return _parsed
+
+
+def _kind(text: str | None) -> str:
+    value = _parsed(text)
+    return "invalid" if value is _parsed else {dict: "object", list: "array"}.get(type(value), "scalar")
 
 
 def _kinds(text: pd.Series) -> pd.Series:
@@ -35,9 +44,20 @@ def strict_kind(x: Column) -> Column:
     return F.pandas_udf(_kinds, "string")(x)
 
 
-def _object(x: Column) -> Column:
-    """The text if it is a strict JSON object, else null."""
-    return F.when(strict_kind(x) == "object", x)
+def _first_object(text: str | None, fenced: bool) -> str | None:
+    if text is None:
+        return None
+    stages = [lambda: text.strip(), lambda: text[max(text.find("{"), 0) : text.rfind("}") + 1]]
+    if fenced:
+        stages.insert(1, lambda: m.group(1) if (m := re.search(FENCE, text)) else "")
+    for stage in stages:
+        if isinstance(_parsed(part := stage()), dict):
+            return part
+    return None
+
+
+def _objects(fenced: bool):
+    return F.pandas_udf(lambda text: text.map(lambda x: _first_object(x, fenced)), "string")
 
 
 def widest_object(x: Column) -> Column:
@@ -47,10 +67,40 @@ def widest_object(x: Column) -> Column:
 
 def extract_object(x: Column, fenced: bool = False) -> Column:
     """JSON object in a text: the text itself, else (if asked) a fenced block, else the widest braces; null if none parses."""
-    stages = [_object(F.trim(x))]
-    if fenced:
-        stages.append(_object(F.nullif(F.regexp_extract(x, FENCE, 1), F.lit(""))))
-    return F.coalesce(*stages, _object(widest_object(x)))
+    return F.when(F.contains(x, F.lit("{")), _objects(fenced)(F.when(F.contains(x, F.lit("{")), x)))
+
+
+def _object(x: Column) -> Column:
+    """The text if it is a strict JSON object, else null."""
+    return F.when(strict_kind(x) == "object", x)
+
+
+def extracted(x: Column, fenced: bool = True) -> Column:
+    """``(object, error)``: the object in a text, or why there is none."""
+    found = extract_object(x, fenced)
+    error = F.when(F.coalesce(F.trim(x), F.lit("")) == "", "empty output").when(~F.contains(x, F.lit("{")), "no JSON object").when(found.isNull(), "malformed JSON object")
+    return F.struct(found.alias("object"), error.alias("error"))
+
+
+def _all_objects(text: str | None) -> list[str]:
+    if text is None:
+        return []
+    cut = text.strip()
+    if cut.startswith("```"):
+        cut = re.sub(r"^```(?:json)?\s*|\s*```$", "", cut)
+    for part in (cut, cut[max(cut.find("["), 0) : cut.rfind("]") + 1]):
+        value = _parsed(part)
+        if isinstance(value, list):
+            return [json.dumps(v, ensure_ascii=False) for v in value if isinstance(v, dict)]
+        if isinstance(value, dict):
+            return [part]
+    lines = [x.strip() for x in cut.split("\n")]
+    return [x for x in lines if x.startswith("{") and x.endswith("}") and isinstance(_parsed(x), dict)]
+
+
+def all_objects(x: Column) -> Column:
+    """The JSON objects of a text: of a whole or bracketed array, a single one, or one a line; in order, strict ones only."""
+    return F.pandas_udf(lambda text: text.map(_all_objects), "array<string>")(x)
 
 
 def before_end_tag(x: Column) -> Column:
@@ -58,10 +108,10 @@ def before_end_tag(x: Column) -> Column:
     return F.substring_index(x, "</ASSISTANT>", 1)
 
 
-def xml_call(x: Column, bare: bool = False) -> Column:
+def xml_call(x: Column, bare: bool = False, pattern: str = XML_CALL) -> Column:
     """``(name, arguments)`` of a ``<function=...>`` call; later values of a name win; ``bare`` allows no parameter."""
-    name = F.nullif(F.trim(F.regexp_extract(x, XML_CALL, 1)), F.lit(""))
-    body = F.regexp_extract(x, XML_CALL, 2)
+    name = F.nullif(F.trim(F.regexp_extract(x, pattern, 1)), F.lit(""))
+    body = F.regexp_extract(x, pattern, 2)
     keys, values = (F.regexp_extract_all(body, F.lit(XML_ARG), F.lit(i)) for i in (1, 2))
     n = F.size(keys)
     pairs = F.arrays_zip(keys.alias("k"), values.alias("v"), F.sequence(F.lit(1), F.greatest(n, F.lit(1))).alias("i"))
@@ -79,24 +129,74 @@ def json_call(x: Column) -> Column:
     return F.when(F.trim(name) != "", F.struct(F.trim(name).alias("name"), F.coalesce(arguments, F.from_json(F.lit("{}"), "map<string,string>")).alias("arguments")))
 
 
-def tool_call(x: Column, bare: bool = False) -> Column:
-    """``(name, arguments)`` that a model's output calls, or null: first its ``tool_calls``, then an XML-like call, then a tagged one."""
-    whole = extract_object(x)
-    first = F.get_json_object(whole, "$.tool_calls[0]")
-    tagged = _object(F.nullif(F.regexp_extract(x, TAGGED_CALL, 1), F.lit("")))
-    return F.coalesce(json_call(first), xml_call(x, bare), json_call(tagged))
+def tool_call(x: Column, bare: bool = False, xml: bool = True) -> Column:
+    """``(name, arguments)`` that a model's output calls, or null: first its ``tool_calls``, then an XML-like call (unless
+    ``xml`` is off), then a tagged one."""
+    first = F.get_json_object(extract_object(x), "$.tool_calls[0]")
+    tagged = F.regexp_extract(x, TAGGED_CALL, 1)
+    stages = [json_call(first), xml_call(x, bare), json_call(F.when(tagged != "", _object(F.nullif(tagged, F.lit("")))))]
+    return F.coalesce(*[c for i, c in enumerate(stages) if xml or i != 1])
+
+
+def message_call(message: Column) -> Column:
+    """``(name, arguments)`` that an API message calls: its own ``tool_calls`` first, then what its content holds.
+
+    Content is a text or a list of parts, whose texts are joined by lines; an
+    XML-like call must stand in its tag and may have no parameter.
+    """
+    own = F.get_json_object(message, "$.tool_calls[0]")
+    raw = F.get_json_object(message, "$.content")
+    parts = F.from_json(raw, "array<struct<text:string>>")
+    joined = F.array_join(F.transform(parts, lambda p: F.coalesce(p["text"], F.lit(""))), "\n")
+    text = F.when(F.startswith(F.trim(raw), F.lit("[")) & parts.isNotNull(), joined).otherwise(F.coalesce(raw, F.lit("")))
+    listed = F.get_json_object(extract_object(text), "$.tool_calls[0]")
+    tagged = F.regexp_extract(text, TAGGED_CALL, 1)
+    last = json_call(F.when(tagged != "", _object(F.nullif(tagged, F.lit("")))))
+    return F.coalesce(json_call(own), json_call(listed), xml_call(text, True, TAGGED_XML_CALL), last)
+
+
+def response_text(response: Column) -> Column:
+    """The first readable text of a recorded model response: a chat choice's message or text, ``output_text``, or output blocks."""
+    field = lambda p: F.nullif(F.get_json_object(response, p), F.lit(""))
+    blocks = F.from_json(field("$.output"), "array<struct<content:array<struct<text:string>>>>")
+    texts = F.flatten(F.transform(blocks, lambda b: F.transform(F.coalesce(b["content"], F.array().cast("array<struct<text:string>>")), lambda c: c["text"])))
+    joined = F.nullif(F.array_join(F.filter(texts, lambda t: F.coalesce(t, F.lit("")) != ""), "\n"), F.lit(""))
+    return F.coalesce(field("$.choices[0].message.content"), field("$.choices[0].text"), field("$.output_text"), joined)
+
+
+def intent_label(x: Column) -> Column:
+    """A device label read from a model's output, or null where one of its keys is absent (a null value is not).
+
+    ``slots`` that are no object become an empty one and ``missing_slots`` that
+    are no list an empty list; both stay JSON texts.
+    """
+    o = extract_object(before_end_tag(x), fenced=True)
+    keys = F.json_object_keys(o)
+    there = F.size(F.array_except(F.array(*[F.lit(k) for k in LABEL_KEYS]), keys)) == 0
+    field = lambda k: F.get_json_object(o, f"$.{k}")
+    like = lambda k, mark, other: F.when(F.startswith(field(k), F.lit(mark)), field(k)).otherwise(other)
+    falsy = F.coalesce(field("matched"), F.lit("")).isin("", "false", "0", "0.0", "[]", "{}")
+    return F.when(
+        there,
+        F.struct(
+            (~falsy).alias("matched"), field("capability_id").cast("int").alias("capability_id"), field("capability").alias("capability"), field("intent").alias("intent"),
+            like("slots", "{", "{}").alias("slots"), like("missing_slots", "[", "[]").alias("missing_slots"), field("confidence").cast("double").alias("confidence"),
+        ),
+    )
 
 
 def compare_arguments(expected: Column, got: Column) -> Column:
-    """``(checked, ok, notes)``: each expected key that is not null is missing, a mismatch or right; texts compare squeezed."""
+    """``(checked, ok, notes)``: each expected key that is not null, in order, is missing, a mismatch or right.
+
+    Texts compare squeezed; values of other types by their JSON text.
+    """
     from quillon.functions.text import squeezed
 
-    asked = F.array_sort(F.filter(F.map_entries(expected), lambda e: e["value"].isNotNull()))
+    asked = F.filter(F.map_entries(expected), lambda e: e["value"].isNotNull())
     value = lambda e: F.element_at(got, e["key"])
-    right = lambda e: value(e).isNotNull() & (squeezed(value(e)) == squeezed(e["value"]))
-    note = lambda e: F.when(value(e).isNull(), F.concat(F.lit("missing:"), e["key"])).when(~right(e), F.concat(F.lit("mismatch:"), e["key"]))
-    return F.struct(
-        F.size(asked).alias("checked"),
-        F.size(F.filter(asked, right)).alias("ok"),
-        F.filter(F.transform(asked, note), lambda n: n.isNotNull()).alias("notes"),
+    judged = F.transform(
+        asked,
+        lambda e: F.when(value(e).isNull(), F.concat(F.lit("missing:"), e["key"])).when(squeezed(value(e)) != squeezed(e["value"]), F.concat(F.lit("mismatch:"), e["key"])),
     )
+    notes = F.array_compact(judged)
+    return F.struct(F.size(asked).alias("checked"), (F.size(asked) - F.size(notes)).alias("ok"), notes.alias("notes"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,6 +14,11 @@ EDGES = r"(?U)^\s+|\s+$"
 STOP_WORDS = ["play", "do", "go", "have", "take", "make", "the", "a", "an", "my"]
 
 
+def let(x: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(x)`` with ``x`` computed once a row, however often it is used."""
+    return F.get(F.transform(F.array(x), use), F.lit(0))
+
+
 def strip(x: Column) -> Column:
     """Without white space of any kind at either end."""
     return F.regexp_replace(x, EDGES, "")
@@ -125,13 +132,20 @@ def first_forbidden(x: Column, patterns: list[str], negations: list[str]) -> Col
     dropped, and the rest is negated if it ends with a negation.
     """
     lower = strip(F.lower(x))
+    stop = F.array(*[F.lit(n) for n in negations])
 
     def affirmed(p: str) -> Column:
         pieces = F.split(lower, rf"\Q{p}\E")
-        before = F.transform(F.sequence(F.lit(1), F.size(pieces) - 1), lambda i: F.array_join(F.slice(pieces, F.lit(1), i), p))
-        tails = F.transform(before, lambda b: F.regexp_replace(strip(F.right(b, F.lit(30))), "[.,!?;: ]+$", ""))
-        negated = lambda b: F.exists(F.array(*[F.lit(n) for n in negations]), lambda n: F.endswith(b, n))
-        return F.when(F.size(pieces) > 1, F.exists(tails, lambda b: ~negated(b))).otherwise(False)
+        # the 30 characters before an occurrence reach back over short pieces: the tail is carried from piece to piece
+        tails = F.aggregate(
+            F.slice(pieces, F.lit(1), F.size(pieces) - 1),
+            F.struct(F.lit("").alias("tail"), F.lit(False).alias("hit")),
+            lambda acc, piece: F.struct(
+                F.concat(F.right(F.concat(acc["tail"], piece), F.lit(30)), F.lit(p)).alias("tail"),
+                (acc["hit"] | ~F.exists(stop, lambda n: F.endswith(F.regexp_replace(strip(F.right(F.concat(acc["tail"], piece), F.lit(30))), "[.,!?;: ]+$", ""), n))).alias("hit"),
+            ),
+        )
+        return F.contains(lower, F.lit(p)) & tails["hit"]
 
     return F.coalesce(*[F.when(affirmed(p), F.lit(p)) for p in patterns])
 
@@ -140,3 +154,21 @@ def chat_text(role: Column, content: Column) -> Column:
     """A message between its role's tags, null content as empty."""
     tag = F.upper(role)
     return F.concat(F.lit("<"), tag, F.lit(">\n"), F.coalesce(content, F.lit("")), F.lit("\n</"), tag, F.lit(">"))
+
+
+def chat_sample(tools: Column, messages: Column) -> Column:
+    """A whole sample as text: its tools, then each message between tags; null content as empty.
+
+    ``messages`` is an array of structs with ``role``, ``content`` and ``call``
+    (JSON of the tool calls, or null).  A message with calls and a tool's answer
+    are written as the JSON of the message.
+    """
+
+    def written(m: Column) -> Column:
+        tag = F.when(F.coalesce(m["call"], F.lit("")) != "", F.lit("ASSISTANT_TOOL_CALL")).otherwise(F.upper(m["role"]))
+        call = F.concat(F.lit('{"role": "assistant", "content": null, "tool_calls": '), m["call"], F.lit("}"))
+        tool = F.to_json(F.struct(m["role"].alias("role"), m["content"].alias("content")))
+        body = F.when(tag == "ASSISTANT_TOOL_CALL", call).when(tag == "TOOL", tool).otherwise(F.coalesce(m["content"], F.lit("")))
+        return F.concat(F.lit("<"), tag, F.lit(">\n"), body, F.lit("\n</"), tag, F.lit(">"))
+
+    return F.array_join(F.concat(F.array(F.concat(F.lit("<TOOLS>"), tools, F.lit("</TOOLS>"))), F.transform(messages, written)), "\n")
