@@ -23,12 +23,35 @@ def validation_size(n: Column, ratio: float) -> Column:
 
 
 def stratified_split(df: DataFrame, key: str, stratum: str, ratio: float, seed: int) -> DataFrame:
-    """``df`` with ``part``, train or val, by stratum; blank strata are ``__unknown__``."""
-    named = df.withColumn("_s", F.coalesce(F.nullif(F.trim(stratum), F.lit("")), F.lit("__unknown__")))
+    """``df`` with ``part``, train or val, by stratum; blank strata are ``__unknown__``.
+
+    The rows of a stratum fall into 256 buckets of the seeded hash; only the
+    bucket in which the cut lies is ordered row by row.
+    """
+    hashed = df.withColumn("_s", F.coalesce(F.nullif(F.trim(stratum), F.lit("")), F.lit("__unknown__"))).withColumn("_h", seeded(seed, F.col(key)))
+    hashed = hashed.withColumn("_b", F.conv(F.left("_h", F.lit(2)), 16, 10).cast("int"))
+    counts = hashed.groupBy("_s", "_b").agg(F.count(F.lit(1)).alias("_c"))
     own = Window.partitionBy("_s")
-    order = own.orderBy(seeded(seed, F.col(key)), key)
-    val = F.row_number().over(order) <= validation_size(F.count(F.lit(1)).over(own), ratio)
-    return named.withColumn("part", F.when(val, "val").otherwise("train")).drop("_s")
+    before = F.coalesce(F.sum("_c").over(own.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    left = validation_size(F.sum("_c").over(own), ratio) - before
+    cuts = counts.select(F.col("_s").alias("_cs"), F.col("_b").alias("_cb"), "_c", F.greatest(F.lit(0), F.least(F.col("_c"), left)).alias("_take"))
+    placed = hashed.join(cuts, (F.col("_s") == F.col("_cs")) & (F.col("_b") == F.col("_cb")))
+    split = F.col("_take").between(1, F.col("_c") - 1)
+    whole = placed.where(~split).withColumn("part", F.when(F.col("_take") > 0, "val").otherwise("train"))
+    rank = F.row_number().over(Window.partitionBy("_s", "_b").orderBy("_h", key))
+    cut = placed.where(split).withColumn("part", F.when(rank <= F.col("_take"), "val").otherwise("train"))
+    return whole.unionByName(cut).drop("_s", "_h", "_b", "_cs", "_cb", "_c", "_take")
+
+
+def split_report(parts: DataFrame, ratio: float) -> DataFrame:
+    """One row over a table with ``part``: ``total``, ``train``, ``val`` and the ``ratio`` asked for."""
+    of = lambda name: F.count_if(F.col("part") == name)
+    return parts.agg(F.count(F.lit(1)).alias("total"), of("train").alias("train"), of("val").alias("val")).withColumn("ratio", F.lit(ratio))
+
+
+def first_rows(df: DataFrame, order: str, n: int) -> DataFrame:
+    """The first ``n`` rows in the order of the file; all of them for 0."""
+    return df.orderBy(order).limit(n) if n else df
 
 
 def random_split(df: DataFrame, key: str, ratio: float, seed: int, buckets: int = 256) -> DataFrame:

@@ -31,10 +31,17 @@ def share(df: DataFrame, flag: Column) -> DataFrame:
 
 
 def duplicate_groups(df: DataFrame, text: Column, order: str, blank: bool = False) -> DataFrame:
-    """``text``, ``n`` and ``first`` (smallest order) of each text that occurs more than once."""
+    """``text``, ``n`` and ``first`` (smallest order) of each text that occurs more than once.
+
+    Counted by 128-bit hashes; only the texts of groups are fetched.
+    """
     rows = df.select(text.alias("text"), F.col(order).alias("o")).where("text is not null")
     rows = rows if blank else rows.where("text <> ''")
-    return rows.groupBy("text").agg(F.count(F.lit(1)).alias("n"), F.min("o").alias("first")).where("n > 1")
+    keyed = rows.select("text", "o", F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), "text").alias("b"))
+    groups = keyed.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.min("o").alias("first")).where("n > 1")
+    named = keyed.select(F.col("a").alias("ka"), F.col("b").alias("kb"), "o", "text")
+    found = groups.join(named, (F.col("a") == F.col("ka")) & (F.col("b") == F.col("kb")) & (F.col("o") == F.col("first")))
+    return found.groupBy("a", "b", "n", "first").agg(F.min("text").alias("text")).select("text", "n", "first")
 
 
 def surplus(groups: DataFrame) -> DataFrame:
@@ -66,3 +73,24 @@ def shortfall(df: DataFrame, domain: DataFrame, key: str, target: int) -> DataFr
     """``key``, ``got`` and ``missing`` for every value of a fixed domain, zero-filled."""
     got = df.groupBy(key).agg(F.count(F.lit(1)).alias("got"))
     return domain.join(got, key, "left").select(key, F.coalesce("got", F.lit(0)).alias("got"), F.greatest(F.lit(target) - F.coalesce("got", F.lit(0)), F.lit(0)).alias("missing"))
+
+
+def success_rates(df: DataFrame, tool_ok: str, answer_ok: str, *by: str) -> DataFrame:
+    """``total``, ``tool_success_rate`` and ``answer_accuracy``, also by columns; null verdicts count as failures."""
+    rate = lambda c: safe_ratio(F.count_if(F.coalesce(F.col(c), F.lit(False))), F.count(F.lit(1)))
+    aggs = [F.count(F.lit(1)).alias("total"), rate(tool_ok).alias("tool_success_rate"), rate(answer_ok).alias("answer_accuracy")]
+    return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+
+
+def total_shortfall(gaps: DataFrame) -> DataFrame:
+    """One row over a ``shortfall`` table: ``got`` and ``missing`` over all values."""
+    return gaps.agg(F.coalesce(F.sum("got"), F.lit(0)).alias("got"), F.coalesce(F.sum("missing"), F.lit(0)).alias("missing"))
+
+
+def table_text(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``line``: the rows of a small report as padded text, header first; rows keep the order of the columns given."""
+    wide = df.agg(*[F.greatest(F.lit(len(c)), F.coalesce(F.max(F.length(F.coalesce(F.col(c).cast("string"), F.lit("None")))), F.lit(0))).alias(c) for c in columns]).first()
+    cell = lambda c, name: F.rpad(F.coalesce(c.cast("string"), F.lit("None")), int(wide[name]), " ")
+    head = df.sparkSession.range(1).select(F.lit(0).alias("o"), *[cell(F.lit(c), c).alias(c) for c in columns])
+    body = df.select(F.lit(1).alias("o"), *[cell(F.col(c), c).alias(c) for c in columns])
+    return head.unionByName(body).orderBy("o", *columns).select(F.rtrim(F.concat_ws("  ", *columns)).alias("line"))

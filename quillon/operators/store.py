@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillon.functions.text import STOP_WORDS, stems, task_matches, time_matches
+from quillon.functions.text import STOP_WORDS, squeezed, stems, strip, time_matches
 
 REMINDER = "reminder_id string, task string, scheduled_time string, time_text string, target string, status string, created_at string, updated_at string, notified_at string"
 
@@ -21,20 +21,128 @@ def next_number(df: DataFrame, column: str, separator: str = "_") -> DataFrame:
     return df.agg(following.alias("next_number")).withColumn("next_id", F.format_string("rem_%04d", "next_number"))
 
 
+def _grams(x: Column, n: int) -> Column:
+    """Distinct runs of n characters."""
+    at = F.sequence(F.lit(1), F.greatest(F.length(x) - (n - 1), F.lit(1)))
+    return F.when(F.length(x) >= n, F.array_distinct(F.transform(at, lambda i: F.substring(x, i, F.lit(n))))).otherwise(F.array().cast("array<string>"))
+
+
+def contained_pairs(needles: DataFrame, hay: DataFrame) -> DataFrame:
+    """``needle`` and ``hay`` of every text of ``hay`` that contains one of ``needles`` (one column each, not empty).
+
+    A posting list of runs of one to three characters is asked for a needle's
+    rarest run of three, or for the needle itself if it is shorter.
+    """
+    needles, hay = (df.toDF(n).where(F.col(n) != "").distinct() for df, n in ((needles, "needle"), (hay, "hay")))
+    posted = hay.select("hay", F.explode(F.concat(*[_grams(F.col("hay"), n) for n in (1, 2, 3)])).alias("gram"))
+    df = posted.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
+    keys = F.when(F.length("needle") >= 3, _grams(F.col("needle"), 3)).otherwise(F.array("needle"))
+    asked = needles.select("needle", F.size(keys).alias("size"), F.explode(keys).alias("gram")).join(df, "gram")
+    rarest = asked.groupBy("needle", "size").agg(F.min(F.struct("df", "gram")).alias("m"), F.count(F.lit(1)).alias("known")).where("known = size")
+    return rarest.select("needle", F.col("m.gram").alias("gram")).join(posted, "gram").where(F.contains("hay", F.col("needle"))).select("needle", "hay")
+
+
+def task_pairs(queries: DataFrame, tasks: DataFrame) -> DataFrame:
+    """``q`` and ``t`` of the distinct texts that ``task_matches``; neither is empty.
+
+    Substrings are found both ways by their characters, meaningful stems by the
+    rarest, and texts of stop words alone by any stem.
+    """
+    q, t = (df.toDF(n).where(F.coalesce(n, F.lit("")) != "").distinct() for df, n in ((queries, "q"), (tasks, "t")))
+    near = lambda c: strip(F.lower(c))
+    plain_q, plain_t = q.select("q", near("q").alias("p")), t.select("t", near("t").alias("r"))
+    inside = contained_pairs(plain_q.select("p"), plain_t.select("r")).toDF("p", "r").unionByName(contained_pairs(plain_t.select("r"), plain_q.select("p")).toDF("r", "p")).distinct()
+    inside = inside.join(plain_q, "p").join(plain_t, "r").select("q", "t")
+    stemmed = stem_candidates(q, t, "q", "q", "t", "t").toDF("q", "t")
+    stop = F.array(*[F.lit(w) for w in STOP_WORDS])
+    idle = q.where(F.size(F.array_except(stems(F.col("q")), stop)) == 0).select("q", F.explode(F.array_distinct(stems(F.col("q")))).alias("stem"))
+    any_stem = idle.join(t.select("t", F.explode(F.array_distinct(stems(F.col("t")))).alias("stem")), "stem").select("q", "t")
+    return inside.unionByName(stemmed).unionByName(any_stem).distinct()
+
+
 def candidates(requests: DataFrame, reminders: DataFrame) -> DataFrame:
     """``request_id`` and ``reminder_id`` of the active reminders that a request means.
 
     A request has ``request_id``, ``reminder_id``, ``task``, ``time_text`` and
-    ``time_iso``.  An id decides alone.  A task with meaningful stems is looked
-    up by its first stem, so texts meet only where they can match; substring
-    matches, and requests without a task, are compared with all reminders.
+    ``time_iso``.  An id decides alone.  Texts are matched once for all requests
+    that say the same, through indexes (``task_pairs``); a request without a task
+    is looked up by its time text and its date.  A request that names neither
+    means every reminder and has no row here: ``answers`` counts it without
+    pairing it.
+    """
+    live = _live(reminders)
+    asked = requests.select("request_id", F.nullif("reminder_id", F.lit("")).alias("wanted"), _said("task").alias("task"), _said("time_text").alias("time_text"), "time_iso")
+    by_id = asked.where("wanted is not null").join(active(reminders).select(F.col("reminder_id").alias("r_reminder_id")), F.col("wanted") == F.col("r_reminder_id"))
+    fuzzy = asked.where("wanted is null")
+    in_time = time_matches(F.col("time_text"), F.col("r_time_text"), F.col("time_iso"), F.col("r_scheduled_time"))
+    tasked = fuzzy.where("task is not null")
+    pairs = task_pairs(tasked.select("task"), live.select("r_task"))
+    by_task = tasked.join(pairs, F.col("task") == F.col("q")).join(live, F.col("t") == F.col("r_task")).where(in_time)
+    timed = fuzzy.where("task is null and time_text is not null")
+    said, stored = timed.select(squeezed(F.col("time_text")).alias("x")), live.select(squeezed(F.col("r_time_text")).alias("y"))
+    texts = contained_pairs(said, stored).toDF("x", "y").unionByName(contained_pairs(stored, said).toDF("y", "x")).distinct()
+    by_text = timed.join(texts, squeezed(F.col("time_text")) == F.col("x")).join(live, F.col("y") == squeezed(F.col("r_time_text")))
+    by_day = timed.join(live, F.substring("time_iso", 1, 10) == F.substring("r_scheduled_time", 1, 10))
+    found = [df.select("request_id", F.col("r_reminder_id").alias("reminder_id")) for df in (by_id, by_task, by_text, by_day)]
+    return found[0].unionByName(found[1]).unionByName(found[2].unionByName(found[3]).distinct())
+
+
+def _said(c: str) -> Column:
+    """The text, or null if it is blank."""
+    return F.when(strip(F.col(c)) != "", F.col(c))
+
+
+def _live(reminders: DataFrame) -> DataFrame:
+    return active(reminders).where("target = 'self'").select(*[F.col(c).alias(f"r_{c}") for c in ("reminder_id", "task", "time_text", "scheduled_time")])
+
+
+def answers(requests: DataFrame, reminders: DataFrame) -> DataFrame:
+    """The answer to every query, update and delete request, from one snapshot.
+
+    ``requests`` adds ``tool``, ``new_task``, ``new_time_text`` and ``new_time_iso``
+    to what ``candidates`` takes.  Returned: ``request_id``, ``tool``, ``status``
+    (success, missing_fields, not_found or ambiguous), ``missing_fields``, ``n``
+    (reminders meant), ``reminder_id`` (the one an update or delete goes to) and
+    ``candidates``, the reminders of a success of a query or of an ambiguity,
+    by id; null for a query of everything, whose ``n`` is that of all.
     """
-    live = active(reminders).where("target = 'self'").select(*[F.col(c).alias(f"r_{c}") for c in ("reminder_id", "task", "time_text", "scheduled_time")])
-    asked = requests.select("request_id", F.nullif("reminder_id", F.lit("")).alias("wanted"), "task", "time_text", "time_iso")
-    by_id = asked.where("wanted is not null").join(live, F.col("wanted") == F.col("r_reminder_id"))
-    fits = task_matches(F.col("task"), F.col("r_task")) & time_matches(F.col("time_text"), F.col("r_time_text"), F.col("time_iso"), F.col("r_scheduled_time"))
-    fuzzy = asked.where("wanted is null").join(live, fits)
-    return by_id.unionByName(fuzzy).select("request_id", F.col("r_reminder_id").alias("reminder_id"))
+    tool, given = F.col("tool"), lambda c: F.coalesce(c, F.lit("")) != ""
+    nothing_new = (tool == "update") & ~given("new_time_text") & ~given("new_task")
+    nowhere = ~given("reminder_id") & ~given("time_text") & ~given("task")
+    missing = F.when(nothing_new, F.array(F.lit("new_time_text|new_task"))).when(nowhere & (tool != "query"), F.array(F.lit("reminder_id|time_text|task")))
+    judged = requests.withColumn("lacks", missing)
+    found = candidates(judged.where("lacks is null"), reminders)
+    facts = active(reminders).select("reminder_id", F.struct("reminder_id", "task", "scheduled_time").alias("fact"))
+    meant = found.join(facts, "reminder_id").groupBy("request_id").agg(F.array_sort(F.collect_list("fact")).alias("facts"), F.count(F.lit(1)).alias("found"))
+    everything = _live(reminders).agg(F.count(F.lit(1)).alias("everything"))
+    out = judged.join(meant, "request_id", "left").join(F.broadcast(everything))  # one row
+    n = F.when(F.col("lacks").isNotNull(), 0).when(nowhere, F.col("everything")).otherwise(F.coalesce("found", F.lit(0)))
+    unread = (tool == "update") & given("new_time_text") & F.col("new_time_iso").isNull()
+    status = (
+        F.when(F.col("lacks").isNotNull(), "missing_fields")
+        .when(n == 0, "not_found")
+        .when((tool != "query") & (n > 1), "ambiguous")
+        .when(unread, "missing_fields")
+        .otherwise("success")
+    )
+    out = out.withColumn("n", n.cast("long")).withColumn("status", status)
+    fields = F.when(F.col("lacks").isNotNull(), F.col("lacks")).when(F.col("status") == "missing_fields", F.array(F.lit("new_time_text")))
+    one = F.when((F.col("status") == "success") & (tool != "query"), F.get("facts", F.lit(0))["reminder_id"])
+    shown = F.when((F.col("status") == "ambiguous") | (tool == "query"), F.col("facts"))
+    return out.select("request_id", "tool", "status", fields.alias("missing_fields"), "n", one.alias("reminder_id"), shown.alias("candidates"))
+
+
+def applied(reminders: DataFrame, requests: DataFrame, results: DataFrame, now: str) -> DataFrame:
+    """The snapshot after the successful updates and deletes of ``answers``.
+
+    Of several requests for one reminder that of the smallest ``request_id``
+    counts; the others came too late for it.
+    """
+    first = results.where("status = 'success' and reminder_id is not null").groupBy("reminder_id").agg(F.min(F.struct("request_id", "tool")).alias("one"))
+    first = first.select("reminder_id", F.col("one.request_id").alias("request_id"), F.col("one.tool").alias("tool"))
+    gone = first.where("tool = 'delete'").select("reminder_id", F.lit("success").alias("status"))
+    changes = first.where("tool = 'update'").join(requests.select("request_id", _said("new_task").alias("new_task"), _said("new_time_text").alias("new_time_text"), "new_time_iso"), "request_id")
+    return delete(update(reminders, changes, now), gone, now)
 
 
 def stem_candidates(requests: DataFrame, reminders: DataFrame, request_key: str, query: str, reminder_key: str, task: str) -> DataFrame:
@@ -63,15 +171,23 @@ def create(reminders: DataFrame, requests: DataFrame, now: str) -> tuple[DataFra
     missing = F.filter(F.array(absent("task"), absent("time_text"), F.when(F.coalesce(F.trim("time_text"), F.lit("")) != "", F.when(F.col("time_iso").isNull(), F.lit("time_text")))), lambda x: x.isNotNull())
     judged = requests.withColumn("missing_fields", missing)
     start = next_number(reminders, "reminder_id").select("next_number")
-    made = judged.where(F.size("missing_fields") == 0).crossJoin(start)  # one row
-    number = F.col("next_number") + F.row_number().over(Window.orderBy("request_id")) - 1
-    made = made.withColumn("new_id", F.format_string("rem_%04d", number))
+    made = numbered(judged.where(F.size("missing_fields") == 0), "request_id", "_n").join(F.broadcast(start))  # one row
+    made = made.withColumn("new_id", F.format_string("rem_%04d", F.col("next_number") + F.col("_n")))
     null = F.lit(None).cast("string")
     rows = made.select(F.col("new_id").alias("reminder_id"), "task", F.col("time_iso").alias("scheduled_time"), "time_text", F.lit("self").alias("target"), F.lit("active").alias("status"), F.lit(now).alias("created_at"), F.lit(now).alias("updated_at"), null.alias("notified_at"))
     results = judged.join(made.select("request_id", "new_id"), "request_id", "left").select("request_id", F.when(F.size("missing_fields") > 0, "missing_fields").otherwise("success").alias("status"), "missing_fields", F.col("new_id").alias("reminder_id"))
     return reminders.unionByName(rows, allowMissingColumns=True), results
 
 
+def numbered(df: DataFrame, order: str, name: str) -> DataFrame:
+    """``df`` with its rows numbered from 0 by the whole number ``order``: counted by ranges of 65536, numbered within each."""
+    cut = F.shiftright(F.col(order).cast("long"), 16)
+    counts = df.groupBy(cut.alias("_range")).agg(F.count(F.lit(1)).alias("_count"))
+    base = counts.select("_range", F.coalesce(F.sum("_count").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
+    own = F.row_number().over(Window.partitionBy("_range").orderBy(order)) - 1
+    return df.withColumn("_range", cut).withColumn("_own", own).join(base, "_range").withColumn(name, F.col("_base") + F.col("_own")).drop("_range", "_own", "_base")
+
+
 def delete(reminders: DataFrame, results: DataFrame, now: str) -> DataFrame:
     """Snapshot in which the reminders of successful results are marked deleted."""
     gone = results.where("status = 'success'").select("reminder_id").distinct().withColumn("_gone", F.lit(True))

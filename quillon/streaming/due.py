@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
@@ -53,3 +54,13 @@ def notify_stream(polls: DataFrame, lead_minutes: int) -> DataFrame:
             yield pd.DataFrame(fired, columns=["reminder_id", "scheduled", "notified_at"])
 
     return polls.groupBy("reminder_id").applyInPandasWithState(step, "reminder_id long, scheduled timestamp, notified_at timestamp", "last long", "append", GroupStateTimeout.NoTimeout)
+
+
+def notify_each(notices: DataFrame, checkpoint: str, tell: Callable[[DataFrame, int], None], every: str | None = None) -> StreamingQuery:
+    """Start a stream that hands each batch of notices to ``tell`` with the batch's number.
+
+    A batch may be handed over again after a failure, under the same number.
+    Without ``every`` (such as "5 seconds") the stream ends when its input is used up.
+    """
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return notices.writeStream.foreachBatch(tell).option("checkpointLocation", checkpoint).trigger(**trigger).start()
