@@ -135,9 +135,11 @@ def random_split(spark, d):
     return planning.random_split(_t(spark, d, "documents").select("doc_id"), "doc_id", 0.1, 42)
 
 
-@query("SELECT 'val' AS part, 1.0 * 0.1 AS ratio, (SELECT count(*) FROM documents) AS total")
+@query(
+    f"SELECT count(*) AS total, count(*) FILTER (r > {_SIZE}) AS train, count(*) FILTER (r <= {_SIZE}) AS val, 0.1::DOUBLE AS ratio FROM (SELECT doc_id, count(*) OVER (PARTITION BY source) AS n, row_number() OVER (PARTITION BY source ORDER BY md5('42:' || doc_id), doc_id) AS r FROM documents)"
+)
 def split_report(spark, d):
-    return _t(spark, d, "documents").agg(F.count(F.lit(1)).alias("total")).select(F.lit("val").alias("part"), F.lit(0.1).alias("ratio"), "total")
+    return planning.split_report(stratified_split(spark, d), 0.1)
 
 
 @query(
@@ -294,13 +296,25 @@ def token_subset_match(spark, d):
     return store.stem_candidates(asked, tasks, "k", "q", "c_custkey", "task")
 
 
-@query(
-    f"SELECT p_partkey, p_name LIKE '%' || 'part 1' || '%' OR contains('part 1', p_name) AS contained, list_has_all({_content('p_name')}, {_content(chr(39) + 'parts 1' + chr(39))}) AS stems FROM part"
-)
+_ASKED = "CASE p_partkey % 4 WHEN 0 THEN 'the red widgets' WHEN 1 THEN 'small' WHEN 2 THEN '' ELSE 'do ' || p_name || ' now' END"
+
+
+@query(f"SELECT p_partkey, q = '' OR contains(p_name, q) OR contains(q, p_name) OR (len({_content('q')}) > 0 AND list_has_all({_content('p_name')}, {_content('q')})) AS matches FROM (SELECT p_partkey, p_name, {_ASKED} AS q FROM part)")
 def fuzzy_task(spark, d):
-    p = F.lower("p_name")
-    both = F.contains(p, F.lit("part 1")) | F.contains(F.lit("part 1"), p)
-    return _t(spark, d, "part").select("p_partkey", both.alias("contained"), text.stems_match(F.lit("parts 1"), F.col("p_name")).alias("stems"))
+    part = F.col("p_partkey") % 4
+    asked = F.when(part == 0, "the red widgets").when(part == 1, "small").when(part == 2, "").otherwise(F.concat(F.lit("do "), F.col("p_name"), F.lit(" now")))
+    return _t(spark, d, "part").select("p_partkey", text.task_matches(asked, F.col("p_name")).alias("matches"))
+
+
+_SLOT = "CASE event_id % 4 WHEN 0 THEN 'tomorrow' WHEN 1 THEN 'at ' || event_type WHEN 2 THEN '' ELSE 'some day' END"
+
+
+@query(f"SELECT event_id, q = '' OR contains('at ' || event_type || ' tomorrow', q) OR strftime(ts, '%d') = lpad((1 + event_id % 28)::VARCHAR, 2, '0') AS matches FROM (SELECT *, {_SLOT} AS q FROM events)")
+def fuzzy_time(spark, d):
+    part, day = F.col("event_id") % 4, F.format_string("2024-01-%02dT08:00:00+00:00", 1 + F.col("event_id") % 28)
+    asked = F.when(part == 0, "tomorrow").when(part == 1, F.concat(F.lit("at "), "event_type")).when(part == 2, "").otherwise("some day")
+    stored = F.concat(F.lit("At "), F.col("event_type"), F.lit("  tomorrow"))
+    return _t(spark, d, "events").select("event_id", text.time_matches(asked, stored, day, timex.iso_with_offset(F.col("ts"), "+00:00")).alias("matches"))
 
 
 @query(
@@ -418,13 +432,20 @@ def case_expectations(spark, d):
     return _t(spark, d, "nation").select("n_nationkey", tool.alias("tool"), evaluation.state_change(F.lit("success"), tool).alias("change"), F.size(evaluation.expected_arguments(tool, gold)).alias("arguments"))
 
 
+def _affirmed(word: str) -> str:
+    tail = f"regexp_replace(regexp_replace(right(regexp_replace(array_to_string(s[1:i], '{word}'), '^\\s+', ''), 30), '^\\s+|\\s+$', '', 'g'), '[.,!?;: ]+$', '')"
+    return f"(SELECT count(*) FROM (SELECT string_split(x, '{word}') AS s), range(1, len(string_split(x, '{word}'))) r(i) WHERE NOT ({tail} LIKE '%do not' OR {tail} LIKE '%never'))"
+
+
 @query(
-    r"SELECT doc_id, CASE WHEN len(regexp_extract_all(lower(text), '\bscum\b')) > 0 THEN 'scum' WHEN contains(lower(text), 'stupid') THEN 'stupid' END AS found FROM documents"
+    f"""WITH t AS (SELECT doc_id, regexp_replace(lower(CASE doc_id % 4 WHEN 0 THEN coalesce(text, '') || ' Do not, stupid' WHEN 1 THEN 'never stupid. you stupid. ' || coalesce(text, '') WHEN 2 THEN 'you never: SCUM' ELSE text END), '^\\s+|\\s+$', '', 'g') AS x FROM documents)
+SELECT doc_id, CASE WHEN {_affirmed('scum')} > 0 THEN 'scum' WHEN {_affirmed('stupid')} > 0 THEN 'stupid' END AS found FROM t""".replace("\\\\", "\\")
 )
 def forbidden_scan(spark, d):
-    padded = F.regexp_replace(F.lower("text"), r"\bscum\b", "<scum>")
-    found = text.first_forbidden(padded, ["<scum>", "stupid"], ["do not", "never"])
-    return _t(spark, d, "documents").select("doc_id", F.regexp_replace(found, "[<>]", "").alias("found"))
+    """Forbidden phrases that are not negated, in texts with and without negations."""
+    part, own = F.col("doc_id") % 4, F.coalesce("text", F.lit(""))
+    said = F.when(part == 0, F.concat(own, F.lit(" Do not, stupid"))).when(part == 1, F.concat(F.lit("never stupid. you stupid. "), own)).when(part == 2, "you never: SCUM").otherwise(F.col("text"))
+    return _t(spark, d, "documents").select("doc_id", text.first_forbidden(said, ["scum", "stupid"], ["do not", "never"]).alias("found"))
 
 
 _CASE = "SELECT n_nationkey AS case_id, ['create', 'query', 'update', 'delete'][n_nationkey % 4 + 1] AS tool, ['success', 'ambiguous', 'not_found', 'missing_fields', 'no_tool'][n_nationkey % 5 + 1] AS expected, n_name FROM nation"
@@ -476,61 +497,102 @@ def bounded_rounds(spark, d):
     return cases.bounded_rounds(calls).select("event_id", "round", "stopped")
 
 
-@query()
+_HIT = "lambda x: contains(x, e.event_type) OR contains(e.event_type, x)"
+_HITS = f"len(list_filter(held, {_HIT}))"
+
+
+@query(
+    f"""WITH RECURSIVE e AS (SELECT user_id, event_id, lower(event_type) AS event_type, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events),
+s AS (SELECT user_id, 0::BIGINT AS n, NULL::BIGINT AS seq, CAST([] AS VARCHAR[]) AS held, NULL::VARCHAR AS status FROM (SELECT DISTINCT user_id FROM events)
+UNION ALL SELECT s.user_id, e.n, e.event_id, CASE WHEN e.event_id % 4 = 0 THEN list_append(held, e.event_type) WHEN e.event_id % 4 = 2 AND {_HITS} = 1 THEN list_transform(held, lambda x: CASE WHEN contains(x, e.event_type) OR contains(e.event_type, x) THEN 'other' ELSE x END)
+WHEN e.event_id % 4 = 3 AND {_HITS} = 1 THEN list_filter(held, lambda x: NOT (contains(x, e.event_type) OR contains(e.event_type, x))) ELSE held END,
+CASE WHEN e.event_id % 4 = 0 THEN 'success' WHEN {_HITS} = 0 THEN 'not_found' WHEN e.event_id % 4 > 1 AND {_HITS} > 1 THEN 'ambiguous' ELSE 'success' END FROM s JOIN e ON e.user_id = s.user_id AND e.n = s.n + 1)
+SELECT user_id::BIGINT AS conv_id, seq, status FROM s WHERE n > 0"""
+)
 def dispatch_calls(spark, d):
     """Replays tool calls made of the events, one conversation a user."""
     pick = F.get(F.array(*[F.lit(x) for x in evaluation.TOOLS]), (F.col("event_id") % 4).cast("int"))
-    calls = _t(spark, d, "events").select(F.col("user_id").alias("conv_id"), F.col("event_id").alias("seq"), pick.alias("tool"), F.col("event_type").alias("task"), F.lit("other").alias("new_task"))
+    calls = _t(spark, d, "events").select(F.col("user_id").cast("long").alias("conv_id"), F.col("event_id").alias("seq"), pick.alias("tool"), F.col("event_type").alias("task"), F.lit("other").alias("new_task"))
     return cases.dispatch(calls)
 
 
 # --- time, intents, devices, due windows ----------------------------------------------------------
 
-_PHRASES = [
-    ("tonight at 8:15 PM", "2026-05-26T20:15:00+08:00"),
-    ("today at 6:30 PM", "2026-05-26T18:30:00+08:00"),
-    ("next Monday at 10:15 AM", "2026-06-01T10:15:00+08:00"),
-    ("tomorrow morning", "2026-05-27T09:00:00+08:00"),
-    ("tomorrow", "2026-05-27T09:00:00+08:00"),
-    ("this Friday evening", "2026-05-29T19:00:00+08:00"),
-    ("after breakfast tomorrow", "2026-05-27T09:00:00+08:00"),
-    ("before dinner tonight", "2026-05-26T20:00:00+08:00"),
-    ("day after tomorrow at 7am", "2026-05-28T07:00:00+08:00"),
-    ("8am", "2026-05-27T08:00:00+08:00"),
-    ("at 9 in the evening", "2026-05-26T21:00:00+08:00"),
+_NOW = "date_trunc('second', ts)"
+_CLOCKS = [  # phrase, days ahead, minutes of the day; both in SQL
+    ("'tonight at 8:' || lpad((event_id % 60)::VARCHAR, 2, '0') || ' PM'", "0", "20 * 60 + event_id % 60"),
+    ("'today at ' || (1 + event_id % 11) || '.30pm'", "0", "(13 + event_id % 11) * 60 + 30"),
+    ("'next ' || dayname(d + (event_id % 7)::INT) || ' at 12 am'", "CASE WHEN event_id % 7 = 0 THEN 7 ELSE event_id % 7 END", "0"),
+    ("'tomorrow morning'", "1", "540"),
+    ("'tomorrow'", "1", "540"),
+    ("'this ' || dayname(d + (event_id % 7)::INT) || ' evening'", "event_id % 7", "19 * 60"),
+    ("'after breakfast tomorrow'", "1", "540"),
+    ("'before dinner tonight'", "0", "20 * 60"),
+    ("'day after tomorrow at 7am'", "2", "420"),
+    ("(1 + event_id % 12) || ' a.m.'", "0", "540"),
+    ("'at ' || (1 + event_id % 11) || ' in the evening'", "0", "(13 + event_id % 11) * 60"),
+    ("'yesterday at 6:15'", "0", "375"),
 ]
+_PHRASE_OF = "CASE event_id % 12 " + " ".join(f"WHEN {i} THEN {p}" for i, (p, _, _) in enumerate(_CLOCKS)) + " END"
+_DAYS_OF, _MINUTES_OF = ("CASE event_id % 12 " + " ".join(f"WHEN {i} THEN {c[k]}" for i, c in enumerate(_CLOCKS)) + " END" for k in (1, 2))
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{p}', '{r}')" for p, r in _PHRASES) + ") AS t(phrase, resolved)")
+@query(
+    f"""WITH e AS (SELECT event_id, {_NOW} AS now, CAST(ts AS DATE) AS d FROM events), p AS (SELECT *, d + ({_DAYS_OF})::INT + to_minutes(({_MINUTES_OF})::BIGINT) AS due FROM e)
+SELECT event_id, strftime(CASE WHEN due > now OR event_id % 12 = 11 THEN due ELSE due + INTERVAL 1 DAY END, '%Y-%m-%dT%H:%M:%S') || '+08:00' AS resolved FROM p"""
+)
 def resolve_time(spark, d):
-    rows = spark.createDataFrame([(p,) for p, _ in _PHRASES], "phrase string")
-    now = F.lit("2026-05-26 11:50:06").cast("timestamp_ntz")
-    return rows.select("phrase", timex.iso_with_offset(timex.resolve_time(F.col("phrase"), now), "+08:00").alias("resolved"))
-
-
+    """Phrases built from the events, read at each event's own time."""
+    k, day = F.col("event_id"), F.to_date("ts")
+    text_of = lambda *x: F.concat(*[F.lit(v) if isinstance(v, str) else v.cast("string") for v in x])
+    name = F.date_format(F.date_add(day, (k % 7).cast("int")), "EEEE")
+    phrases = [
+        text_of("tonight at 8:", F.lpad((k % 60).cast("string"), 2, "0"), " PM"), text_of("today at ", 1 + k % 11, ".30pm"), text_of("next ", name, " at 12 am"), F.lit("tomorrow morning"), F.lit("tomorrow"), text_of("this ", name, " evening"),
+        F.lit("after breakfast tomorrow"), F.lit("before dinner tonight"), F.lit("day after tomorrow at 7am"), text_of(1 + k % 12, " a.m."), text_of("at ", 1 + k % 11, " in the evening"), F.lit("yesterday at 6:15"),
+    ]
+    phrase = F.get(F.array(*phrases), (k % 12).cast("int"))
+    now = F.date_trunc("second", "ts").cast("timestamp_ntz")
+    return _t(spark, d, "events").select("event_id", timex.iso_with_offset(timex.resolve_time(phrase, now), "+08:00").alias("resolved"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 2 = 0 THEN ts ELSE ts - INTERVAL 6 HOUR END AS now FROM (SELECT event_id, date_trunc('second', ts) AS ts FROM events)")
+def clock_texts(spark, d):
+    """Times of a clock as text, without an offset or with another one."""
+    iso = timex.iso_with_offset(F.col("ts"), "")
+    text_now = F.when(F.col("event_id") % 2 == 0, iso).otherwise(F.concat(iso, F.lit("+08:00")))
+    return _t(spark, d, "events").select("event_id", timex.read_now(text_now, "+02:00").alias("now"))
+
+
+# Fixed values of the checks below: commands, one for each rule and some of their slots, with what they mean.
 _COMMANDS = [
     ("联系一下物业", 1, "call_manager", ""),
     ("给妈妈打电话", 2, "call_contact", ""),
     ("接听电话", 3, "answer_call", ""),
     ("帮我远程开门", 4, "unlock", ""),
     ("拒接这个来电", 5, "end_or_reject_call", ""),
-    ("换一张风景壁纸", 6, "change_wallpaper", ""),
     ("更换壁纸", 6, "change_wallpaper", "wallpaper_type"),
     ("开启勿扰模式", 7, "set_dnd", ""),
-    ("音量调到 30", 8, "set_volume", ""),
-    ("屏幕亮度调到最亮", 9, "set_brightness", ""),
+    ("音量调到{}", 8, "set_volume", ""),
+    ("屏幕亮度调到{}", 9, "set_brightness", ""),
     ("打开安防", 10, "set_security_mode", ""),
     ("查询昨天的告警记录", 11, "query_alarm_records", ""),
-    ("查看门口监控", 12, "monitor_control", ""),
+    ("切换到{}通道", 12, "monitor_control", ""),
     ("查看未读短信", 13, "view_messages", ""),
-    ("今天天气怎么样", None, None, ""),
+    ("今天天气怎么样{}", None, None, ""),
 ]
+_OF = lambda i: "CASE event_id % 14 " + " ".join(f"WHEN {k} THEN {'NULL' if c[i] is None else repr(c[i])}" for k, c in enumerate(_COMMANDS)) + " END"
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{t}', {'NULL' if i is None else i}, {'NULL' if n is None else repr(n)}, '{m}')" for t, i, n, m in _COMMANDS) + ") AS t(utterance, capability_id, intent, missing)")
+@query(
+    f"SELECT event_id, ({_OF(1)})::INT AS capability_id, {_OF(2)} AS intent, {_OF(3)} AS missing, CASE WHEN event_id % 14 IN (7, 8) THEN least(event_id % 150, 100)::INT END AS level, CASE WHEN event_id % 14 = 11 THEN (event_id % 150)::INT END AS channel, CASE WHEN event_id % 14 = 6 OR event_id % 14 = 9 THEN true END AS enabled FROM events"
+)
 def intent_rules(spark, d):
-    rows = spark.createDataFrame([(t,) for t, *_ in _COMMANDS], "utterance string").select("utterance", intent.device_label(F.col("utterance")).alias("l"))
-    return rows.select("utterance", "l.capability_id", "l.intent", F.array_join("l.missing_slots", ",").alias("missing"))
+    """Device commands with numbers built from the events."""
+    k = F.col("event_id")
+    said = F.replace(F.get(F.array(*[F.lit(c[0]) for c in _COMMANDS]), (k % 14).cast("int")), F.lit("{}"), (k % 150).cast("string"))
+    rows = _t(spark, d, "events").select("event_id", intent.device_label(said).alias("l"))
+    typed = intent.typed_slots(F.col("l.slots"))
+    return rows.select("event_id", "l.capability_id", "l.intent", F.array_join("l.missing_slots", ",").alias("missing"), *[typed[c].alias(c) for c in ("level", "channel", "enabled")])
 
 
 @query(
@@ -565,7 +627,7 @@ def due_ticks(spark, d):
     return due.due_at_ticks(_t(spark, d, "events"), ticks, "event_id", "ts", 30, 10)
 
 
-@query()
+@query("SELECT event_id AS reminder_id, ts AS scheduled, ts - INTERVAL 10 MINUTE AS notified_at FROM events")
 def due_stream(spark, d):
     """Runs the stateful notifier over the events as a stream, to its end, and returns what it fired."""
     import uuid
@@ -579,4 +641,21 @@ def due_stream(spark, d):
     name, folder = f"due_{uuid.uuid4().hex}", f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     sink = due.notify_stream(polls, 30).writeStream.format("parquet").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True)
     sink.queryName(name).start(f"{folder}/out").awaitTermination()
-    return spark.read.schema("reminder_id long, scheduled timestamp, notified_at timestamp").parquet(f"{folder}/out")
+    fired = spark.read.schema("reminder_id long, scheduled timestamp, notified_at timestamp").parquet(f"{folder}/out")
+    return fired.select("reminder_id", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("scheduled", "notified_at")])
+
+
+@query("SELECT event_type, count(*) AS n FROM events GROUP BY 1")
+def notifier_batches(spark, d):
+    """A callback sink that is told of every due reminder once, batch by batch, and writes what it was told."""
+    import uuid
+
+    from quillon.scratch import shared_folder
+
+    folder = f"{shared_folder(spark)}/notify-{uuid.uuid4().hex}"
+    events = spark.readStream.schema(_t(spark, d, "events").schema).parquet(f"{d}/events.parque[t]")
+    when = F.col("ts").cast("timestamp")
+    polls = events.select(F.col("event_id").alias("reminder_id"), when.alias("scheduled"), when.alias("now"), F.lit("active").alias("status"))
+    due.notify_each(due.notify_stream(polls, 30), f"{folder}/state", lambda batch, at: batch.write.mode("overwrite").parquet(f"{folder}/out/batch={at}")).awaitTermination()
+    told = spark.read.parquet(f"{folder}/out")
+    return told.join(_t(spark, d, "events"), F.col("reminder_id") == F.col("event_id")).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))

@@ -9,7 +9,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from quillon.plans.queries import ORACLE_SQL, QUERIES
+from quillon.plans.all import ORACLE_SQL, QUERIES
 
 TABLES = os.environ.get("QUILLON_TABLES", "/root/testdata/sf0.001")
 
