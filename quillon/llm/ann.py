@@ -2,10 +2,15 @@
 
 Each distinct vector is represented by its ``Settings.prefix`` nearest pivots in
 order and posted in the inverted files of the first ``Settings.posted``.  A query
-visits the files of its ``Settings.visited`` nearest pivots, ranks the entries
-of each by the footrule distance between the two orders (a pivot beyond the
-prefix counts as standing behind it), and reranks the first by exact Euclidean
-distance in double precision.
+visits the files of its nearest pivots, ranks the entries of each by the
+footrule distance between the two orders (a pivot beyond the prefix counts as
+standing behind it), and reranks the first by exact Euclidean distance in double
+precision.
+
+How many files a query visits is decided by measurement: ``Settings.probes``
+queries are answered by brute force over all vectors, and the number of files,
+from ``Settings.visited`` on, doubles until the index finds
+``Settings.least_recall`` of their neighbours or all files are visited.
 
 Pivots are a sample of 6 times the cube root of the number of distinct vectors, ``Settings.most_pivots``
 at most, drawn by a hash; every vector is indexed.  Long files are split into
@@ -16,7 +21,7 @@ that finds fewer neighbours than there are is repeated against all blocks.
 Defined results: rows without an id, and vectors that are null, zero, of another
 length than the pivots, or hold a null or non-finite component take no part;
 repeated rows count once; ties go to the smaller id; an empty table gives an
-empty result.
+empty result; columns other than ``vec_id`` and ``embedding`` are left out.
 """
 
 from __future__ import annotations
@@ -38,7 +43,9 @@ class Settings:
     neighbours: int = 10
     prefix: int = 96
     posted: int = 8
-    visited: int = 24
+    visited: int = 12
+    probes: int = 32
+    least_recall: float = 0.95
     rerank: int = 400
     most_pivots: int = 8192
     block: int = 4096
@@ -118,10 +125,10 @@ def _posted(table: DataFrame, keep: list[str], shared, files: int, prefix: int,
             x, right = _matrix(batch.column("embedding"), pivots.shape[1])
             for lo in range(0, len(x), 2048):
                 part = x[lo : lo + 2048]
-                perm = orders(part.astype(np.float64), pivots, prefix)
+                perm = orders(part.astype(np.float64), pivots, min(len(pivots), max(prefix, files)))
                 n = min(files, perm.shape[1])
                 row = np.repeat(np.arange(len(part)), n)
-                vec, order = [v.tobytes() for v in part], [p.tobytes() for p in perm]
+                vec, order = [v.tobytes() for v in part], [p.tobytes() for p in np.ascontiguousarray(perm[:, :prefix])]
                 arrays = [batch.column(c).take(pa.array(right[lo + row])) for c in keep]
                 arrays += [pa.array([vec[i] for i in row], pa.binary()), pa.array([order[i] for i in row], pa.binary()), pa.array(perm[:, :n].ravel().astype(np.int32))]
                 yield pa.RecordBatch.from_arrays(arrays, [*keep, "vec", "perm", "pivot"])
@@ -129,6 +136,27 @@ def _posted(table: DataFrame, keep: list[str], shared, files: int, prefix: int,
     return table.select(*keep, "embedding").mapInArrow(run, schema)
 
 
+def furthest(probes: DataFrame, distinct: DataFrame, neighbours: int, dims: int) -> dict[int, tuple[float, int]]:
+    """For each of a few queries, by brute force, the distance of its last true neighbour and how many it has."""
+    asked = [(r["query_id"], r["embedding"]) for r in probes.collect() if len(r["embedding"]) == dims]
+    names, x = np.array([q for q, _ in asked], np.int64), np.array([v for _, v in asked], np.float64).reshape(-1, dims)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            vec, right = _matrix(batch.column("embedding"), dims)
+            lists = batch.column("ids").take(pa.array(right)).to_pylist()
+            out: list[tuple[int, float]] = []
+            for name, q in zip(names.tolist(), x):
+                d = np.sqrt(((vec.astype(np.float64) - q) ** 2).sum(1))
+                near = np.argsort(d, kind="stable")[: neighbours + 1]
+                out += [(name, float(d[i])) for i in near for other in lists[i][: neighbours + 1] if other != name]
+            yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in out], pa.int64()), pa.array([d for _, d in out], pa.float64())], ["query_id", "score"])
+
+    best = F.row_number().over(Window.partitionBy("query_id").orderBy("score"))
+    near = distinct.select("ids", "embedding").mapInArrow(run, "query_id long, score double").withColumn("r", best).where(F.col("r") <= neighbours)
+    return {r["query_id"]: (r["d"], r["n"]) for r in near.groupBy("query_id").agg(F.max("score").alias("d"), F.count(F.lit(1)).alias("n")).collect()}
+
+
 def nearest(vectors: DataFrame, is_query: Column, s: Settings = Settings()) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id`` and ``score`` of each query's nearest rows.
 
@@ -152,16 +180,32 @@ def nearest(vectors: DataFrame, is_query: Column, s: Settings = Settings()) -> D
     prefix, visited, posted = (min(x, len(pivots)) for x in (s.prefix, s.visited, s.posted))
     shared = spark.sparkContext.broadcast(pivots)
     entries = scratch.save(_posted(distinct, ["ids"], shared, posted, prefix, "ids array<long>, vec binary, perm binary, pivot int"))
-    queries = rows.where(is_query).withColumnRenamed("vec_id", "query_id")
-    asked = scratch.save(_posted(queries, ["query_id"], shared, visited, prefix, f"{_QUERY}, pivot int"))
+    queries = scratch.save(rows.where(is_query).withColumnRenamed("vec_id", "query_id"))
     sizes = entries.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / s.block).cast("int").alias("x_blocks"))
-    loads = asked.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / s.block).cast("int").alias("q_blocks"))
-    shape = sizes.join(loads, "pivot")
-    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = asked.join(shape, "pivot").withColumn("qb", F.pmod(F.xxhash64("query_id"), F.col("q_blocks")).cast("int")).withColumn("xb", upto("x_blocks"))
-    right = entries.join(shape, "pivot").withColumn("xb", F.pmod(F.xxhash64("vec"), F.col("x_blocks")).cast("int")).withColumn("qb", upto("q_blocks"))
     key = ["pivot", "xb", "qb"]
-    hits = scratch.save(_search(left.select(*key, "query_id", "vec", "perm"), right.select(*key, "vec", "perm", "ids"), key, kind, dims, len(pivots), s.rerank, s.neighbours))
+
+    def visit(some: DataFrame, files: int) -> tuple[DataFrame, DataFrame]:
+        """The files that queries ask for, and what is found in them."""
+        asked = scratch.save(_posted(some, ["query_id"], shared, files, prefix, f"{_QUERY}, pivot int"))
+        loads = asked.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / s.block).cast("int").alias("q_blocks"))
+        shape = sizes.join(loads, "pivot")
+        upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        left = asked.join(shape, "pivot").withColumn("qb", F.pmod(F.xxhash64("query_id"), F.col("q_blocks")).cast("int")).withColumn("xb", upto("x_blocks"))
+        right = entries.join(shape, "pivot").withColumn("xb", F.pmod(F.xxhash64("vec"), F.col("x_blocks")).cast("int")).withColumn("qb", upto("q_blocks"))
+        return asked, scratch.save(_search(left.select(*key, "query_id", "vec", "perm"), right.select(*key, "vec", "perm", "ids"), key, kind, dims, len(pivots), s.rerank, s.neighbours))
+
+    probes = scratch.save(queries.orderBy(F.xxhash64(F.lit(s.seed), "query_id"), "query_id").limit(s.probes))
+    within = furthest(probes, distinct, s.neighbours, dims)
+    while within and visited < len(pivots):
+        asked, hits = visit(probes, visited)
+        right = hits.select("query_id", "score", F.explode("ids").alias("vec_id")).where("query_id <> vec_id").distinct()
+        got = [(r["query_id"], r["score"]) for r in right.collect()]
+        hit = sum(min(n, sum(q == name and d <= limit for q, d in got)) for name, (limit, n) in within.items())
+        scratch.drop(asked, hits)
+        if hit >= s.least_recall * sum(n for _, n in within.values()):
+            break
+        visited = min(2 * visited, len(pivots))
+    asked, hits = visit(queries, visited)
     found = hits.select("query_id", "score", F.explode("ids").alias("vec_id")).where("query_id <> vec_id").distinct()
     available = distinct.select(F.explode(F.slice("ids", 1, s.neighbours + 1))).limit(s.neighbours + 1).count() - 1
     enough = found.groupBy("query_id").count().where(F.col("count") >= min(s.neighbours, available)).select("query_id")

@@ -525,6 +525,22 @@ def test_nearest(spark):
     assert [(r["rank"], r["vec_id"]) for r in sorted(few, key=lambda r: r["rank"])] == [(1, 50), (2, 51), (3, 52), (4, 53)]
 
 
+def test_files_are_added_until_probes_are_found(spark):
+    rng = np.random.default_rng(19)
+    x = rng.normal(size=(900, 12)).astype(np.float32)
+    vectors = spark.createDataFrame([(i, [float(v) for v in x[i]], "e") for i in range(900)], "vec_id long, embedding array<float>, query_id string")
+    out = ann.nearest(vectors, F.col("vec_id") % 30 == 0, ann.Settings(visited=1, posted=1, block=256))
+    got = collections.defaultdict(set)
+    for r in out.collect():
+        got[r["query_id"]].add(r["vec_id"])
+    hits = 0
+    for q, found in got.items():
+        d = ((x.astype(np.float64) - x[q]) ** 2).sum(1)
+        d[q] = np.inf
+        hits += len(found & set(np.argsort(d)[:10].tolist()))
+    assert len(got) == 30 and hits >= 270 and out.columns == ["query_id", "rank", "vec_id", "score"]
+
+
 def test_footrule():
     assert ann.footrule(np.array([0, 1, 2]), np.array([[0, 1, 2], [2, 1, 0], [3, 4, 5]]), 6).tolist() == [0, 4, 12]
 
