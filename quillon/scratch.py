@@ -71,6 +71,13 @@ class Scratch:
         for table in tables:
             self._delete(table._quillon_path)
 
+    def keep_only(self, *tables: DataFrame) -> None:
+        """Remove all tables but those given, which ``save`` returned."""
+        kept = {t._quillon_path for t in tables}
+        for n in range(1, self.count + 1):
+            if f"{self.base}/{n}" not in kept:
+                self._delete(f"{self.base}/{n}")
+
     def remove(self) -> None:
         """Remove all tables; none may be read afterwards."""
         self._delete(self.base)
