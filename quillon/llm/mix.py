@@ -80,6 +80,7 @@ def pareto_mix(docs: DataFrame, keep: list[str], seed: int = 5, share: float = 1
     classes = scratch.save(sized.groupBy("source", _size_class("size").alias("class")).agg(F.sum("size").alias("words")))
     totals = source_targets(classes.groupBy("source").agg(F.sum("words").alias("source_size")), share)
     parts = scratch.save(inclusion(classes, totals))
+    scratch.drop(classes)
     known = F.broadcast(parts) if parts.count() <= BROADCAST_ROWS else parts
     same = F.col("source").eqNullSafe(F.col("of")) & (_size_class("size") == F.col("class"))
     ranked = sized.join(known, same).drop("source", "class").withColumn("range", _range_of(_pareto_rank("u", "part")))

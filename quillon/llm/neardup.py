@@ -272,7 +272,8 @@ def near_duplicates(docs: DataFrame, keep: list[str], s: Settings = Settings())
     shared = posted.groupBy("key").agg(F.min("h").alias("low"), F.count(F.lit(1)).alias("m")).where("m > 1").select("key", "low")
     members = scratch.save(posted.join(shared, "key"))
     links = _links(members, classes, docs, s, scratch)
-    roots = components(links, scratch) if links is not None else None
+    roots = scratch.save(components(links, scratch)) if links is not None else None
+    scratch.keep_only(rows, classes, *([roots] if roots is not None else []))
     named = classes.select("h", "doc")
     if roots is not None:
         named = named.join(roots.select(F.col("node").alias("h"), "root"), "h", "left").withColumn("root", F.coalesce("root", "h"))

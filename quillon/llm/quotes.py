@@ -136,6 +136,7 @@ def reply_ordered(messages: DataFrame) -> DataFrame:
     order = ["conv", "root_turn", "root", "turn", "uid"]
     ordered = quoted.repartitionByRange(*order).sortWithinPartitions(*order)
     placed = scratch.save(ordered.withColumn("id", F.monotonically_increasing_id()).withColumn("part", F.shiftright("id", 33)))
+    scratch.keep_only(placed)
     parts = placed.groupBy("conv", "part").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
     earlier = Window.partitionBy("conv").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select(F.col("conv").alias("of"), F.col("part").alias("p"), "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
