@@ -225,11 +225,12 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, s: Settings) -
 def verify_blocks(possible: DataFrame, classes: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
     """Links among the pairs that ``_between_blocks`` gives out, verified block by block on full sets.
 
-    Every set goes once to each pair of blocks that needs it; of a member's links
-    to one component the first is given out.
+    Every set goes once to each pair of blocks that needs it.  Members that are
+    connected by then are not compared, so each pair of blocks gives out fewer
+    links than it has members.
     """
     sets = full_sets(possible.select("h").distinct(), classes, docs)
-    rows = possible.join(sets, "h").select("k", "i", "j", "h", "own", "with", "with_root")
+    rows = possible.join(sets, "h").select("k", "i", "j", "h", "own", "with")
 
     def compare(t: pa.Table) -> pa.Table:
         own = [np.frombuffer(v.as_buffer(), np.uint64) for v in t.column("own")]
@@ -240,17 +241,20 @@ def verify_blocks(possible: DataFrame, classes: DataFrame, docs: DataFrame, s: S
         names = np.array(list(place), np.int64)
         mine = np.zeros(int(at.max()) + 1, np.int64)
         links = []
-        for i, (others, roots) in enumerate(zip(t.column("with").to_pylist(), t.column("with_root").to_pylist())):
-            if not others:
+        group = np.arange(len(own))
+        for i, others in enumerate(t.column("with").to_pylist()):
+            y = np.array([place[x] for x in others or []], np.int64)
+            y = y[group[y] != group[i]]
+            if not len(y):
                 continue
             mine[at[bounds[i] : bounds[i + 1]]] = 1
-            y = np.array([place[x] for x in others])
             parts = np.concatenate([at[bounds[j] : bounds[j + 1]] for j in y])
             common = np.add.reduceat(mine[parts], np.concatenate([[0], np.cumsum(size[y])[:-1]]))
             mine[at[bounds[i] : bounds[i + 1]]] = 0
-            near = np.flatnonzero(100 * common >= s.percent * (size[i] + size[y] - common))
-            _, once = np.unique(np.array(roots)[near], return_index=True)
-            links += [(names[i], names[j]) for j in y[near[once]]]
+            for j in y[100 * common >= s.percent * (size[i] + size[y] - common)]:
+                if group[j] != group[i]:
+                    group[group == group[j]] = group[i]
+                    links.append((names[i], names[j]))
         ends = np.sort(np.array(links, np.int64).reshape(-1, 2), axis=1)
         return pa.table([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
 
@@ -335,7 +339,7 @@ def _between_blocks(mixed: DataFrame, classes: DataFrame, s: Settings) -> DataFr
     """Pairs in different components that stay possible, compared block by block within each bucket.
 
     Per pair of blocks (``k``, ``i``, ``j``), one row for each member ``h`` that
-    is in such a pair: ``with`` the others and their components; null for a member that is only another's partner.
+    is in such a pair: ``with`` the others; null for a member that is only another's partner.
     """
     rows = mixed.join(classes.select("h", "n", "sig", "bands"), "h")
     shape = mixed.join(classes.select("h", "n"), "h").groupBy("k").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles"))
@@ -353,7 +357,7 @@ def _between_blocks(mixed: DataFrame, classes: DataFrame, s: Settings) -> DataFr
         bands = t.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
         left = t.column("left").to_numpy(zero_copy_only=False).astype(bool)
         x, y = (np.arange(len(h)),) * 2 if i == j else (np.flatnonzero(left), np.flatnonzero(~left))
-        found: dict[int, tuple | None] = {}
+        found: dict[int, list[int] | None] = {}
         for a in x:
             sizes = 100 * np.minimum(n[y], n[a]) >= s.percent * np.maximum(n[y], n[a])
             alive = y[sizes & (root[y] != root[a]) & ((h[y] > h[a]) | (i != j))]
@@ -369,13 +373,13 @@ def _between_blocks(mixed: DataFrame, classes: DataFrame, s: Settings) -> DataFr
                 if not len(alive):
                     break
             if len(alive):
-                found[a] = (h[alive].tolist(), root[alive].tolist())
+                found[a] = h[alive].tolist()
                 for b in alive:
                     found.setdefault(b, None)
-        out = [(k, i, j, h[a], *(pair or (None, None))) for a, pair in found.items()]
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-        names = ["k", "i", "j", "h", "with", "with_root"]
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 6, kinds)], names)
+        out = [(k, i, j, h[a], others) for a, others in found.items()]
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64())]
+        names = ["k", "i", "j", "h", "with"]
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 5, kinds)], names)
 
-    schema = "k long, i int, j int, h long, `with` array<long>, with_root array<long>"
+    schema = "k long, i int, j int, h long, `with` array<long>"
     return rows.groupBy("k", "i", "j").applyInArrow(compare, schema)
