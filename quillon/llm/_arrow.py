@@ -12,6 +12,9 @@ from pyspark.sql import types as T
 _ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32())}
 
 
+MOST_GROUPS = 100_000  # whose numbers of texts are broadcast
+
+
 def add_columns(
     df: DataFrame, inputs: dict[str, Column], new: dict[str, str], make: Callable[[], Callable[[dict[str, pa.Array]], dict[str, object]]]
 ) -> DataFrame:
@@ -55,6 +58,9 @@ def sampled_texts(rows: DataFrame, groups: list[str], per_group: int, seed: int,
     hashed = rows.select(*groups, order.alias("o"), value.alias("value"))
     if groups:
         sizes = distinct.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")).withColumnsRenamed({g: f"_{g}" for g in groups})
+        small = sizes.limit(MOST_GROUPS + 1).toArrow()
+        if small.num_rows <= MOST_GROUPS:  # else the table is joined by a shuffle
+            sizes = F.broadcast(rows.sparkSession.createDataFrame(small.to_pylist() or [], sizes.schema))
         hashed = hashed.join(sizes, [F.col(g) == F.col(f"_{g}") for g in groups])
     else:
         hashed = hashed.withColumn("_n", F.lit(distinct.count()))
