@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from quillon.scratch import Scratch
 
-RANGES = 8192
+RANGES = 1024  # for each doubling of the rank
 BROADCAST_ROWS = 100_000
 WEIGHTS = (3, 1, 2)
 WORD = r"[^\x20\x09-\x0D]+"
@@ -133,5 +133,5 @@ def _pareto_rank(u: str, part: str) -> Column:
 
 
 def _range_of(rank: Column) -> Column:
-    """The range, in rank order, that holds the rank."""
-    return F.floor(rank / (1 + rank) * RANGES).cast("int")
+    """The range, in rank order, that holds the rank: so many a doubling, so that no range holds over a thousandth of a source."""
+    return F.floor(F.log2(F.greatest(rank, F.lit(1e-300))) * RANGES).cast("int")
