@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillon.llm.centroids import lloyd_sql
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -88,6 +90,27 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "mix.size", "mix.source_size", "mix.target", (F.col("mix.copies") * F.col("mix.size")).alias("taken"), "mix.copies")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillon.llm.whiten import whiten
+
+    out = whiten(_table(spark, sf_dir, "embeddings"), ["vec_id"])
+    rows = out.select("vec_id", "white.*").select("*", F.posexplode("whitened").alias("p", "w"))
+    return rows.select("vec_id", (F.col("p") + 1).alias("component"), "n", "deviation", F.col("w").alias("whitened"), F.get("explained", "p").alias("explained"), "identity_error")
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillon.llm.centroids import cluster
+
+    return cluster(_table(spark, sf_dir, "embeddings"), ["vec_id"]).select("vec_id", "found.*")
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillon.llm.packing import pack
+
+    out = pack(_table(spark, sf_dir, "documents"), ["doc_id"])
+    return out.select("doc_id", "piece.start", "piece.length", F.crc32("piece.ids").alias("ids_crc32"), "piece.doc_tokens", "piece.sequence_id", "piece.offset", "piece.doc_key")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_quality": op2_quality,
@@ -99,6 +122,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": op9_token_counts,
     "op8_sharding": op8_sharding,
     "op10_mixing": op10_mixing,
+    "op11_whitening": op11_whitening,
+    "op12_centroids": op12_centroids,
+    "op13_packing": op13_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op12_centroids": lloyd_sql()}
