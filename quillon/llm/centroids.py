@@ -273,12 +273,12 @@ def lloyd_sql(s: Settings = Settings()) -> str:
     """DuckDB SQL for the clusters of ``embeddings``: the same rounds by comparing every vector with every centroid."""
     steps = [
         f"v AS MATERIALIZED (SELECT vec_id, row_number() OVER () AS r, [CAST(floor({s.scale} * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS p FROM embeddings"
-        f" WHERE len(embedding) = {s.dims} AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0)",
+        f" WHERE len(embedding) = {s.dims} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)",
         f"c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY h, p) - 1 AS INTEGER) AS j, p FROM (SELECT p, sha256('{s.seed}:' || vec_id) AS h FROM v ORDER BY h, p LIMIT {s.clusters}))",
     ]
     for i in range(s.rounds + 1):
         steps.append(
-            f"a{i} AS MATERIALIZED (SELECT r, arg_min(j, [d, j]) AS j, min(d) AS d FROM (SELECT r, j, CAST(list_sum(list_transform(list_zip(v.p, c.p), x -> (x[1] - x[2]) * (x[1] - x[2]))) AS BIGINT) AS d FROM v, c{i} c) GROUP BY r)"
+            f"a{i} AS MATERIALIZED (SELECT r, arg_min(j, [d, j]) AS j, min(d) AS d FROM (SELECT r, j, CAST(list_sum(list_transform(list_zip(v.p, c.p), lambda x: (x[1] - x[2]) * (x[1] - x[2]))) AS BIGINT) AS d FROM v, c{i} c) GROUP BY r)"
         )
         if i < s.rounds:
             floor = "CAST((t - ((t % n) + n) % n) // n AS BIGINT)"
