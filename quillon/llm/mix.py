@@ -13,8 +13,10 @@ Documents rank by the odds of a uniform number over the odds of their
 inclusion and are taken in that order.  The size that is fixed is that of the
 sample in words: it ends at the document nearest to the rest of the target.
 
-The cut is found from sums over ranges of the ranking key, so only one range
-of each source is ordered row by row and no source meets in one task.  What is
+Certain and impossible documents are not ranked: a source at its cap takes whole
+copies alone and orders nothing.  The cut among the others is found from sums
+over ranges of the ranking key, so only one range of each source is ordered row
+by row and no source meets in one task.  What is
 known of sources (one row for each) and of their size classes (at most 130
 rows for each) is broadcast up to ``BROADCAST_ROWS`` rows and joined by a
 shuffle beyond; the targets themselves are computed in one task over one row a
@@ -66,6 +68,21 @@ def pareto_mix(docs: DataFrame, keep: list[str], seed: int = 5, share: float = 1
 
     ``docs`` needs ``doc_id``, ``text`` and ``source``.
     """
+    placed = ranked(docs, keep, seed, share)
+    at_cut = placed.where(F.col("range") == F.col("cut")).select("uid", "of", "u", "part", "size", "left_over", "base")
+    inside = Window.partitionBy("of").orderBy(_pareto_rank("u", "part"), "uid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    middle = F.col("base") + F.sum("size").over(inside) - F.col("size") / 2
+    taken = at_cut.withColumn("in_cut", middle <= F.col("left_over")).where("in_cut").select(F.col("uid").alias("cut_uid"))
+    won = F.col("cut").isNull() | (F.col("range") < F.col("cut")) | F.col("cut_uid").isNotNull()
+    extra = F.when(F.col("part") <= 0, 0).when(F.col("part") >= 1, 1).when(won, 1).otherwise(0)
+    return placed.join(taken, F.col("uid") == F.col("cut_uid"), "left").select(
+        "r.*", F.struct("size", "source_size", "target", (F.col("whole") + extra).cast("int").alias("copies")).alias("mix")
+    )
+
+
+def ranked(docs: DataFrame, keep: list[str], seed: int, share: float) -> DataFrame:
+    """Every row as ``r`` with what its copies follow from: ``whole``, ``part``, the ``range`` of its rank and the ``cut`` of its
+    source, the range in which the sample ends (null where none does)."""
     scratch = Scratch(docs.sparkSession)
     uniform = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "source", "text"), 11).cast("double") + 0.5) * F.lit(2.0**-53)
     sized = scratch.save(
@@ -83,22 +100,16 @@ def pareto_mix(docs: DataFrame, keep: list[str], seed: int = 5, share: float = 1
     scratch.drop(classes)
     known = F.broadcast(parts) if parts.count() <= BROADCAST_ROWS else parts
     same = F.col("source").eqNullSafe(F.col("of")) & (_size_class("size") == F.col("class"))
-    ranked = sized.join(known, same).drop("source", "class").withColumn("range", _range_of(_pareto_rank("u", "part")))
-    sums = ranked.groupBy("of", "range").agg(F.sum("size").alias("words"), F.first("wanted").alias("wanted"))
+    rows = sized.join(known, same).drop("source", "class")
+    # only documents that chance decides are ranked: what is certain or impossible needs no order
+    drawn = F.when((F.col("part") > 0) & (F.col("part") < 1), _range_of(_pareto_rank("u", "part")))
+    rows = rows.withColumn("range", drawn)
+    sums = rows.where("range is not null").groupBy("of", "range").agg(F.sum("size").alias("words"), F.first("left_over").alias("left_over"))
     before = Window.partitionBy("of").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("base", F.coalesce(F.sum("words").over(before), F.lit(0)))
-    cuts = sums.where((F.col("base") <= F.col("wanted")) & (F.col("base") + F.col("words") > F.col("wanted"))).select(
-        F.col("of").alias("cut_of"), F.col("range").alias("cut"), "base"
-    )
-    placed = ranked.join(cuts, F.col("of").eqNullSafe(F.col("cut_of")), "left").drop("cut_of")
-    at_cut = placed.where(F.col("range") == F.col("cut")).select("uid", "of", "u", "part", "size", "wanted", "base")
-    inside = Window.partitionBy("of").orderBy(_pareto_rank("u", "part"), "uid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    middle = F.col("base") + F.sum("size").over(inside) - F.col("size") / 2
-    taken = at_cut.withColumn("in_cut", middle <= F.col("wanted")).where("in_cut").select(F.col("uid").alias("cut_uid"))
-    extra = F.when(F.col("part") <= 0, 0).when(F.col("cut").isNull() | (F.col("range") < F.col("cut")) | F.col("cut_uid").isNotNull(), 1).otherwise(0)
-    return placed.join(taken, F.col("uid") == F.col("cut_uid"), "left").select(
-        "r.*", F.struct("size", "source_size", "target", (F.col("whole") + extra).cast("int").alias("copies")).alias("mix")
-    )
+    cuts = sums.where((F.col("base") <= F.greatest("left_over", F.lit(0.0))) & (F.col("base") + F.col("words") > F.col("left_over"))).groupBy(F.col("of").alias("cut_of"))
+    cuts = cuts.agg(F.min(F.struct("range", "base")).alias("m")).select("cut_of", F.col("m.range").alias("cut"), "m.base")
+    return rows.join(cuts, F.col("of").eqNullSafe(F.col("cut_of")), "left").drop("cut_of")
 
 
 def _size_class(size: str) -> Column:
@@ -107,8 +118,8 @@ def _size_class(size: str) -> Column:
 
 
 def inclusion(classes: DataFrame, totals: DataFrame) -> DataFrame:
-    """``of`` (source), ``class``, ``source_size``, ``target``, ``whole``, ``wanted`` (words of the rest) and
-    ``part``, the probability of one copy more.
+    """``of`` (source), ``class``, ``source_size``, ``target``, ``whole``, ``part``, the probability of one copy more, and
+    ``left_over``, the words of the rest that those of probability 1 leave to the others.
 
     ``c`` is the largest level at which the classes that stay under 1 take
     what those at 1, which come first, leave of the rest.
@@ -123,13 +134,14 @@ def inclusion(classes: DataFrame, totals: DataFrame) -> DataFrame:
     rows = rows.withColumn("level", F.when(onward > 0, (F.col("wanted") - before) / onward))
     c = F.max(F.when(F.col("level") * F.col("w") <= 1, F.col("level"))).over(Window.partitionBy("of"))
     part = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(c, F.lit(0.0)) * F.col("w")))
-    return rows.select("of", "class", "source_size", "target", "whole", "wanted", part.alias("part"))
+    rows = rows.withColumn("part", part)
+    certain = F.coalesce(F.sum(F.when(F.col("part") >= 1, F.col("words"))).over(Window.partitionBy("of")), F.lit(0))
+    return rows.select("of", "class", "source_size", "target", "whole", "part", (F.col("wanted") - certain).alias("left_over"))
 
 
 def _pareto_rank(u: str, part: str) -> Column:
-    """Odds of the uniform number over the inclusion odds: 0 for the certain, beyond all others for the impossible."""
-    odds = F.col(u) / (1 - F.col(u)) * (1 - F.col(part)) / F.greatest(F.col(part), F.lit(1e-300))
-    return F.when(F.col(part) > 0, odds).otherwise(1e300)
+    """Odds of the uniform number over the inclusion odds, for a probability between 0 and 1."""
+    return F.col(u) / (1 - F.col(u)) * (1 - F.col(part)) / F.greatest(F.col(part), F.lit(1e-300))
 
 
 def _range_of(rank: Column) -> Column:

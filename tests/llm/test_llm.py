@@ -637,6 +637,17 @@ def test_mixing(spark, none):
     assert mix.pareto_mix(none, ["doc_id"]).count() == 0
 
 
+def test_no_source_meets_in_one_window(spark):
+    """Sources at their cap order nothing; of the others one narrow range is ordered."""
+    rows = [(i, "w x", "b", "a capped") for i in range(100_000)] + [(200_000 + i, "y " * (1 + i % 40), "b", "big") for i in range(30_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    placed = mix.ranked(docs, ["doc_id", "source"], 5, 1.5)
+    groups = placed.where("range = cut").groupBy("of").count().collect()
+    assert {r["of"] for r in groups} == {"big"} and max(r["count"] for r in groups) <= 100
+    copies = mix.pareto_mix(docs, ["source"]).groupBy("source", "mix.copies").count().collect()
+    assert [(r["copies"], r["count"]) for r in copies if r["source"] == "a capped"] == [(2, 100_000)]
+
+
 def test_mix_is_the_pareto_sample(spark):
     rng = random.Random(13)
     texts = [prose(rng, ["a", "b"], int(20 * rng.paretovariate(1.2))) for _ in range(700)]

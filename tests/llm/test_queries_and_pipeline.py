@@ -5,6 +5,7 @@ import random
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from quillon.llm.queries import QUERIES
@@ -124,3 +125,17 @@ def test_pipeline_runs_its_stages_in_order(spark, corpus):
     empty = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, folder).count() == 0
+
+
+def test_stages_keep_columns_of_any_name(spark, corpus):
+    folder, _, _ = corpus
+    extra = ["copy", "mix", "_n", "leaked", "score", "lang_pred", "row", "dup", "extra_0", "id", "hash", "r"]
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    docs = docs.select(*docs.columns, *[F.concat(F.lit(c), "doc_id").alias(c) for c in extra])
+    for _, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, folder)
+        rows = out.collect()
+        assert out.columns[: len(docs.columns)] == docs.columns and rows
+        assert all(r[c] == f"{c}{r['doc_id']}" for r in rows for c in extra)
+    sharded = corpus_pipeline.STAGES[-1][1](spark, docs.withColumn("slot", F.lit("x")).withColumn("shard", F.lit("y")), folder)
+    assert sharded.columns == [*docs.columns, "shard", "slot"] and dict(sharded.dtypes)["slot"] == "bigint"
