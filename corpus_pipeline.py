@@ -1,7 +1,8 @@
 """The corpus pipeline: language ID, near-dedup, decontamination, mixing, sharding.
 
 Each stage takes (spark, docs, sf_dir) and returns a table; all but the last
-return the columns of ``documents``.
+return the columns of ``documents``, whatever the names of those that no stage
+reads.  Sharding adds ``shard`` and ``slot``, in place of columns of that name.
 """
 
 from __future__ import annotations
@@ -21,13 +22,21 @@ from quillon.llm.shard import shuffle_into_shards
 from quillon.scratch import Scratch
 
 SHARDS = 8
+READ = ("doc_id", "text", "lang", "source")
 LEAST_SCORE = 0.3
 _scratch_of: dict[int, list[Scratch]] = {}
 
 
+def _plain(docs: DataFrame) -> DataFrame:
+    """``docs`` with every column that no stage reads under a name that no stage uses."""
+    return docs.toDF(*[c if c in READ else f"extra_{i}" for i, c in enumerate(docs.columns)])
+
+
 def _stage(number: int) -> Callable:
     """Marks a stage.  When it starts, its ``docs`` have been written by the stage before, so
-    the intermediate tables of earlier stages are removed; those of the last stage stay."""
+    the intermediate tables of earlier stages are removed; those of the last stage stay.
+
+    A stage sees the columns that it reads and the others under other names, which it gives back."""
 
     def wrap(work: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
         @functools.wraps(work)
@@ -36,7 +45,11 @@ def _stage(number: int) -> Callable:
                 for scratch in _scratch_of.pop(earlier, []):
                     scratch.remove()
             made = len(Scratch.opened)
-            out = work(spark, docs, sf_dir)
+            plain = _plain(docs)
+            out = work(spark, plain, sf_dir)
+            new = [c for c in out.columns if c not in plain.columns]
+            old = [F.col(c).alias(name) for c, name in zip(plain.columns, docs.columns) if name not in new]
+            out = out.select(*old, *new)
             _scratch_of.setdefault(number, []).extend(Scratch.opened[made:])
             return out
 
