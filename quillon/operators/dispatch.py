@@ -55,12 +55,13 @@ def error_payload(status: Column, message: Column, missing: Column | None = None
     return F.to_json(F.struct(*fields, *([missing.alias("missing_fields")] if missing is not None else [])))
 
 
-def requests_of(calls: DataFrame, iso: Column) -> DataFrame:
-    """The calls of ``judged_calls`` that can run, as requests for the store; ``iso`` resolves the column ``said`` to a time."""
+def requests_of(calls: DataFrame, iso: Column, *keep: str) -> DataFrame:
+    """The calls of ``judged_calls`` that can run, as requests for the store, with the columns ``keep``; ``iso`` resolves the
+    column ``said`` to a time."""
     runs = calls.where("payload is null")
     arg = lambda k: F.element_at("args", F.lit(k))
     names = ["reminder_id", "task", "time_text", "new_task", "new_time_text"]
-    out = runs.select(F.col("call_id").alias("request_id"), F.regexp_replace("name", "_reminder$", "").alias("tool"), *[arg(k).alias(k) for k in names])
+    out = runs.select(F.col("call_id").alias("request_id"), F.regexp_replace("name", "_reminder$", "").alias("tool"), *keep, *[arg(k).alias(k) for k in names])
     for k in ("time", "new_time"):
         out = out.withColumn("said", F.col(f"{k}_text")).withColumn(f"{k}_iso", iso)
     return out.drop("said")
@@ -73,4 +74,3 @@ def tool_messages(calls: DataFrame, results: DataFrame) -> DataFrame:
         F.to_json(F.struct((F.col("status") == "success").alias("state"), "status", "missing_fields", "reminder_id", F.col("candidates").alias("reminders"))).alias("answer"),
     )
     return calls.join(found, "call_id", "left").select("call_id", F.coalesce("name", F.lit("unknown")).alias("name"), F.coalesce("payload", "answer").alias("content"))
-

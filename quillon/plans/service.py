@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quillon.functions import jsonx, text
-from quillon.operators import device, dispatch, planning, profile, records, render, store
+from quillon.operators import device, dispatch, planning, profile, records, render, replay, store
 from quillon.plans.queries import _content, _t, query
 
 # --- reminders: parts are the reminders, suppliers ask for them -------------------------------------
@@ -132,6 +132,53 @@ def run_calls(spark, d):
     return said.select("call_id", "name", F.get_json_object("content", "$.status").alias("status"), F.get_json_object("content", "$.reminder_id").alias("reminder_id"))
 
 
+_TASKS = ["take medicine", "taking medicines", "water plants", "the plant", "walk dog"]
+_MADE = f"""SELECT event_id, user_id, ['create', 'create', 'query', 'update', 'update', 'delete', CASE WHEN event_id % 2 = 0 THEN 'delete' ELSE 'update' END][event_id % 7 + 1] AS tool, {_TASKS}[(event_id // 7) % 5 + 1] AS t,
+CASE WHEN event_id % 11 = 0 THEN 'someday' ELSE 'day ' || (event_id % 9 + 1) END AS d, event_id % 7 AS kind FROM events WHERE event_id % 13 <> 0"""
+_ASKED_IN_ORDER = f"""e AS (SELECT event_id, user_id, tool, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n, CASE WHEN kind = 6 THEN 'rem_000' || (1 + event_id % 4) END AS rid,
+CASE WHEN kind <> 6 AND (kind <> 2 OR event_id % 3 <> 0) THEN t END AS task, CASE WHEN kind < 2 OR kind = 2 AND event_id % 3 = 0 OR kind = 5 AND event_id % 2 = 0 THEN d END AS tt,
+CASE WHEN kind IN (3, 4) AND event_id % 2 = 0 OR kind = 6 AND event_id % 2 = 1 THEN {_TASKS}[event_id % 5 + 1] END AS new_task, CASE WHEN kind IN (3, 4) AND event_id % 3 = 0 THEN d END AS new_tt FROM ({_MADE}))"""
+_FITS = f"""r.live AND CASE WHEN e.rid IS NOT NULL THEN r.rid = e.rid ELSE (e.task IS NULL OR contains(r.task, e.task) OR contains(e.task, r.task) OR list_has_all({_content('r.task')}, {_content('e.task')}))
+AND (e.tt IS NULL OR contains(r.tt, e.tt) OR contains(e.tt, r.tt)) END"""
+
+
+@query(
+    f"""WITH RECURSIVE {_ASKED_IN_ORDER}, s AS (SELECT user_id, 0::BIGINT AS n, NULL::BIGINT AS event_id, NULL::VARCHAR AS tool, NULL::VARCHAR AS status, NULL::VARCHAR AS one, NULL::VARCHAR AS ids, []::STRUCT(rid VARCHAR, task VARCHAR, tt VARCHAR, live BOOLEAN)[] AS st FROM (SELECT DISTINCT user_id FROM events)
+UNION ALL SELECT user_id, n, event_id, tool, status, one, CASE WHEN status = 'ambiguous' OR status = 'success' AND tool = 'query' THEN array_to_string(list_transform(m, lambda r: r.rid), ',') END,
+CASE WHEN status <> 'success' OR tool = 'query' THEN st WHEN tool = 'create' THEN list_append(st, {{'rid': one, 'task': task, 'tt': tt, 'live': true}})
+WHEN tool = 'delete' THEN list_transform(st, lambda r: {{'rid': r.rid, 'task': r.task, 'tt': r.tt, 'live': r.live AND r.rid <> one}})
+ELSE list_transform(st, lambda r: {{'rid': r.rid, 'task': CASE WHEN r.rid = one THEN coalesce(new_task, r.task) ELSE r.task END, 'tt': CASE WHEN r.rid = one THEN coalesce(new_tt, r.tt) ELSE r.tt END, 'live': r.live}}) END
+FROM (SELECT *, CASE WHEN status = 'success' AND tool = 'create' THEN 'rem_' || lpad((len(st) + 1)::VARCHAR, 4, '0') WHEN status = 'success' AND tool <> 'query' THEN m[1].rid END AS one
+FROM (SELECT *, CASE WHEN tool = 'create' THEN CASE WHEN tt = 'someday' THEN 'missing_fields' ELSE 'success' END WHEN tool = 'update' AND new_task IS NULL AND new_tt IS NULL THEN 'missing_fields' WHEN len(m) = 0 THEN 'not_found' WHEN tool <> 'query' AND len(m) > 1 THEN 'ambiguous' WHEN new_tt = 'someday' THEN 'missing_fields' ELSE 'success' END AS status
+FROM (SELECT e.*, s.st, list_filter(s.st, lambda r: {_FITS}) AS m FROM s JOIN e ON e.user_id = s.user_id AND e.n = s.n + 1))))
+SELECT event_id AS call_id, tool || '_reminder' AS name, status, one AS reminder_id, ids FROM s WHERE n > 0 UNION ALL SELECT event_id, {_MADE.split('user_id, ')[1].split(' AS tool')[0]} || '_reminder', 'error', NULL, NULL FROM events WHERE event_id % 13 = 0"""
+)
+def ordered_dispatch(spark, d):
+    """Each user's tool calls from their JSON arguments to answers, every call applied before the user's next."""
+    k = F.col("event_id")
+    kind, other = k % 7, F.when(k % 2 == 0, "delete").otherwise("update")
+    tool = F.when(kind == 6, other).otherwise(planning.cyclic_pick(["create", "create", "query", "update", "update", "delete", "-"], kind))
+    when_said = F.when(k % 11 == 0, "someday").otherwise(F.concat(F.lit("day "), k % 9 + 1))
+    arguments = F.to_json(
+        F.struct(
+            F.when(kind == 6, F.concat(F.lit("rem_000"), 1 + k % 4)).alias("reminder_id"),
+            F.when((kind != 6) & ((kind != 2) | (k % 3 != 0)), planning.cyclic_pick(_TASKS, F.floor(k / 7) % 5)).alias("task"),
+            F.when((kind < 2) | ((kind == 2) & (k % 3 == 0)) | ((kind == 5) & (k % 2 == 0)), when_said).alias("time_text"),
+            F.when((kind.isin(3, 4) & (k % 2 == 0)) | ((kind == 6) & (k % 2 == 1)), planning.cyclic_pick(_TASKS, k % 5)).alias("new_task"),
+            F.when(kind.isin(3, 4) & (k % 3 == 0), when_said).alias("new_time_text"),
+        )
+    )
+    calls = _t(spark, d, "events").select(k.alias("call_id"), F.col("user_id").cast("string").alias("scope"), F.concat(tool, F.lit("_reminder")).alias("name"), F.when(k % 13 == 0, '{"task": ').otherwise(arguments).alias("arguments"))
+    judged = dispatch.judged_calls(calls, dispatch.registry(spark))
+    iso = F.when(F.startswith("said", F.lit("day ")), F.concat(F.lit("2026-05-0"), F.right("said", F.lit(1)), F.lit("T09:00:00+08:00")))
+    none = spark.createDataFrame([], f"scope string, {store.REMINDER}")
+    answers, _ = replay.replay(none, dispatch.requests_of(judged, iso, "scope"), "2026-05-26T12:00:00+08:00")
+    said = dispatch.tool_messages(judged, answers)
+    field = lambda c: F.get_json_object("content", f"$.{c}")
+    ids = F.from_json(field("reminders"), "array<struct<reminder_id:string>>")
+    return said.select("call_id", "name", field("status").alias("status"), field("reminder_id").alias("reminder_id"), F.array_join(F.transform(ids, lambda r: r["reminder_id"]), ",").alias("ids"))
+
+
 @query("SELECT event_id, CASE WHEN event_id % 6 = 5 THEN NULL ELSE event_type END AS name, CASE WHEN event_id % 6 IN (3, 5) THEN NULL ELSE json_extract_string(props, '$.k') END AS k FROM events")
 def message_calls(spark, d):
     """Calls of API messages: native, in a content text or list of parts, XML-like with and without parameters, tagged."""
