@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillon.functions.text import STOP_WORDS, squeezed, stems, strip, time_matches
+from quillon.scratch import Scratch
 
 REMINDER = "reminder_id string, task string, scheduled_time string, time_text string, target string, status string, created_at string, updated_at string, notified_at string"
 
@@ -30,34 +31,45 @@ def _grams(x: Column, n: int) -> Column:
 def contained_pairs(needles: DataFrame, hay: DataFrame) -> DataFrame:
     """``needle`` and ``hay`` of every text of ``hay`` that contains one of ``needles`` (one column each, not empty).
 
-    A posting list of runs of one to three characters is asked for a needle's
-    rarest run of three, or for the needle itself if it is shorter.
+    A posting list of runs of three characters is asked for a needle's rarest
+    run; a needle shorter than that is a run itself.  Only runs that some needle
+    asks for are posted.
     """
     needles, hay = (df.toDF(n).where(F.col(n) != "").distinct() for df, n in ((needles, "needle"), (hay, "hay")))
-    posted = hay.select("hay", F.explode(F.concat(*[_grams(F.col("hay"), n) for n in (1, 2, 3)])).alias("gram"))
+    long = F.length("needle") >= 3
+    wanted = needles.select("needle", F.when(long, _grams(F.col("needle"), 3)).otherwise(F.array("needle")).alias("keys"))
+    asked = wanted.select("needle", F.size("keys").alias("size"), F.explode("keys").alias("gram"))
+    runs = hay.select("hay", F.explode(_grams(F.col("hay"), 3)).alias("gram")).unionByName(hay.select("hay", F.explode(F.concat(_grams(F.col("hay"), 1), _grams(F.col("hay"), 2))).alias("gram")))
+    posted = runs.join(asked.select("gram").distinct(), "gram", "left_semi")
     df = posted.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
-    keys = F.when(F.length("needle") >= 3, _grams(F.col("needle"), 3)).otherwise(F.array("needle"))
-    asked = needles.select("needle", F.size(keys).alias("size"), F.explode(keys).alias("gram")).join(df, "gram")
-    rarest = asked.groupBy("needle", "size").agg(F.min(F.struct("df", "gram")).alias("m"), F.count(F.lit(1)).alias("known")).where("known = size")
+    rarest = asked.join(df, "gram").groupBy("needle", "size").agg(F.min(F.struct("df", "gram")).alias("m"), F.count(F.lit(1)).alias("known")).where("known = size")
     return rarest.select("needle", F.col("m.gram").alias("gram")).join(posted, "gram").where(F.contains("hay", F.col("needle"))).select("needle", "hay")
 
 
+def _texts(df: DataFrame, scratch: Scratch) -> DataFrame:
+    """The distinct texts that are not empty: ``text``, its ``plain`` form, its distinct stems ``every`` and those with a meaning, ``own``; written once."""
+    stop = F.array(*[F.lit(w) for w in STOP_WORDS])
+    texts = df.toDF("text").where(F.coalesce("text", F.lit("")) != "").distinct()
+    texts = texts.select("text", strip(F.lower("text")).alias("plain"), F.array_distinct(stems(F.col("text"))).alias("every"))
+    return scratch.save(texts.withColumn("own", F.array_except("every", stop)))
+
+
 def task_pairs(queries: DataFrame, tasks: DataFrame) -> DataFrame:
     """``q`` and ``t`` of the distinct texts that ``task_matches``; neither is empty.
 
     Substrings are found both ways by their characters, meaningful stems by the
-    rarest, and texts of stop words alone by any stem.
+    rarest, and texts of stop words alone by any stem.  Normal forms and stems
+    are computed once a text.
     """
-    q, t = (df.toDF(n).where(F.coalesce(n, F.lit("")) != "").distinct() for df, n in ((queries, "q"), (tasks, "t")))
-    near = lambda c: strip(F.lower(c))
-    plain_q, plain_t = q.select("q", near("q").alias("p")), t.select("t", near("t").alias("r"))
-    inside = contained_pairs(plain_q.select("p"), plain_t.select("r")).toDF("p", "r").unionByName(contained_pairs(plain_t.select("r"), plain_q.select("p")).toDF("r", "p")).distinct()
-    inside = inside.join(plain_q, "p").join(plain_t, "r").select("q", "t")
-    stemmed = stem_candidates(q, t, "q", "q", "t", "t").toDF("q", "t")
-    stop = F.array(*[F.lit(w) for w in STOP_WORDS])
-    idle = q.where(F.size(F.array_except(stems(F.col("q")), stop)) == 0).select("q", F.explode(F.array_distinct(stems(F.col("q")))).alias("stem"))
-    any_stem = idle.join(t.select("t", F.explode(F.array_distinct(stems(F.col("t")))).alias("stem")), "stem").select("q", "t")
-    return inside.unionByName(stemmed).unionByName(any_stem).distinct()
+    scratch = Scratch(queries.sparkSession)
+    left, right = _texts(queries, scratch), _texts(tasks, scratch)
+    p, r = left.select("plain"), right.select("plain")
+    inside = contained_pairs(p, r).toDF("p", "r").unionByName(contained_pairs(r, p).toDF("r", "p")).distinct()
+    inside = inside.join(left.select(F.col("plain").alias("p"), F.col("text").alias("q")), "p").join(right.select(F.col("plain").alias("r"), F.col("text").alias("t")), "r").select("q", "t")
+    stemmed = _stem_pairs(left.select(F.col("text").alias("q_key"), F.col("own").alias("q")), right.select(F.col("text").alias("t_key"), F.col("own").alias("t"))).toDF("q", "t")
+    idle = left.where(F.size("own") == 0).select(F.col("text").alias("q"), F.explode("every").alias("stem"))
+    any_stem = idle.join(right.select(F.col("text").alias("t"), F.explode("every").alias("stem")), "stem").select("q", "t")
+    return scratch.save(inside.unionByName(stemmed).unionByName(any_stem).distinct())
 
 
 def candidates(requests: DataFrame, reminders: DataFrame) -> DataFrame:
@@ -136,7 +148,8 @@ def applied(reminders: DataFrame, requests: DataFrame, results: DataFrame, now:
     """The snapshot after the successful updates and deletes of ``answers``.
 
     Of several requests for one reminder that of the smallest ``request_id``
-    counts; the others came too late for it.
+    counts; the others came too late for it.  Where each request must see what
+    the ones before it did, use ``replay.replay``.
     """
     first = results.where("status = 'success' and reminder_id is not null").groupBy("reminder_id").agg(F.min(F.struct("request_id", "tool")).alias("one"))
     first = first.select("reminder_id", F.col("one.request_id").alias("request_id"), F.col("one.tool").alias("tool"))
@@ -148,8 +161,12 @@ def applied(reminders: DataFrame, requests: DataFrame, results: DataFrame, now:
 def stem_candidates(requests: DataFrame, reminders: DataFrame, request_key: str, query: str, reminder_key: str, task: str) -> DataFrame:
     """Pairs whose meaningful query stems are all in the task, by an inverted index on the rarest stem."""
     stop = F.array(*[F.lit(w) for w in STOP_WORDS])
-    left = requests.select(F.col(request_key).alias("q_key"), F.array_distinct(F.array_except(stems(F.col(query)), stop)).alias("q"))
-    right = reminders.select(F.col(reminder_key).alias("t_key"), F.array_distinct(F.array_except(stems(F.col(task)), stop)).alias("t"))
+    meaning = lambda c: F.array_distinct(F.array_except(stems(F.col(c)), stop))
+    return _stem_pairs(requests.select(F.col(request_key).alias("q_key"), meaning(query).alias("q")), reminders.select(F.col(reminder_key).alias("t_key"), meaning(task).alias("t")))
+
+
+def _stem_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+    """``q_key`` and ``t_key`` where all of ``q`` are among ``t``, found by the rarest."""
     posted = right.select("t_key", "t", F.explode("t").alias("stem"))
     df = posted.groupBy("stem").agg(F.count(F.lit(1)).alias("df"))
     rarest = left.select("q_key", "q", F.explode("q").alias("stem")).join(df, "stem").groupBy("q_key", "q").agg(F.min(F.struct("df", "stem")).alias("m"), F.count(F.lit(1)).alias("known"))
