@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillon.functions.text import count_words
+from quillon.functions.text import count_words, let
+from quillon.scratch import Scratch
 
 
 def safe_ratio(a: Column, b: Column) -> Column:
@@ -33,11 +34,12 @@ def share(df: DataFrame, flag: Column) -> DataFrame:
 def duplicate_groups(df: DataFrame, text: Column, order: str, blank: bool = False) -> DataFrame:
     """``text``, ``n`` and ``first`` (smallest order) of each text that occurs more than once.
 
-    Counted by 128-bit hashes; only the texts of groups are fetched.
+    The text is computed once a row and counted by 128-bit hashes with partial
+    sums; the texts of groups alone are read again, by the row that comes first.
     """
-    rows = df.select(text.alias("text"), F.col(order).alias("o")).where("text is not null")
-    rows = rows if blank else rows.where("text <> ''")
-    keyed = rows.select("text", "o", F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), "text").alias("b"))
+    scratch = Scratch(df.sparkSession)
+    computed = df.select(let(text, lambda t: F.struct(t.alias("text"), F.xxhash64(t).alias("a"), F.xxhash64(F.lit(1), t).alias("b"))).alias("x"), F.col(order).alias("o"))
+    keyed = scratch.save(computed.where("x.text is not null" if blank else "x.text <> ''").select("x.*", "o"))
     groups = keyed.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.min("o").alias("first")).where("n > 1")
     named = keyed.select(F.col("a").alias("ka"), F.col("b").alias("kb"), "o", "text")
     found = groups.join(named, (F.col("a") == F.col("ka")) & (F.col("b") == F.col("kb")) & (F.col("o") == F.col("first")))

@@ -10,8 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillon.functions.jsonx import strict_kind
-from quillon.operators.quality import clean_payload, expected_of
+from quillon.functions.jsonx import canonical, strict_kind, variant_of
+from quillon.functions.text import let, strip
+from quillon.functions.variants import field, is_a, members, text_of, truthy
+from quillon.operators.payloads import normal_answer
+from quillon.operators.quality import ROLES, expected_of
 
 MESSAGE = "struct<role:string,content:string,call_id:string,call_name:string,call_arguments:string>"
 # The statuses that a tool may answer with, and the scenario's words that choose one where it gives none.
@@ -61,33 +64,34 @@ def cleaned(rows: DataFrame) -> DataFrame:
     """``rows`` with ``messages`` cleaned, ``error`` (why a sample must go, or null) and ``changed``.
 
     The last call and the last tool message count.  A tool scenario needs both,
-    and its tool; any other must have neither.  The tool's payload is put in the
-    normal form of ``clean_payload``; ``changed`` tells whether a field of it differed.
+    and its tool; any other must have neither.  The tool's content becomes that
+    of ``payloads.normal_answer`` where the two differ as values (the order of
+    keys does not count); ``changed`` tells whether it did.
     """
     rows = rows.withColumn("_call", F.try_element_at(F.filter("messages", _is_call), F.lit(-1)))
     rows = rows.withColumn("_tool", F.try_element_at(F.filter("messages", _is_tool), F.lit(-1)))
-    rows = rows.withColumn("_kind", strict_kind(F.col("_tool.content")))
+    arguments = F.coalesce("_call.call_arguments", F.lit("{}"))
+    content = F.coalesce("_tool.content", F.lit("{}"))
+    rows = rows.withColumn("_kinds", F.struct(strict_kind(arguments).alias("arguments"), strict_kind(content).alias("content")))
+    rows = rows.withColumn("_payload", variant_of(F.when(F.col("_kinds.content") != "invalid", content)))
+    answer = normal_answer(F.col("scenario"), F.col("_call.call_name"), variant_of(F.when(F.col("_kinds.arguments") == "object", arguments)), F.col("_payload"))
+    rows = rows.withColumn("_answer", answer)
     wanted = expected_of(F.col("scenario"), 0)
-    payload = clean_payload(F.col("scenario"), F.col("_call.call_name"), F.col("_tool.content"), F.col("_kind"))
     error = (
         F.when(F.col("messages").isNull(), "messages must be list")
         .when(wanted.isNull(), F.when(F.col("_call").isNotNull() | F.col("_tool").isNotNull(), "no_tool scenario contains tool messages"))
         .when(F.col("_call").isNull() | F.col("_tool").isNull(), "tool scenario missing assistant/tool message")
-        .otherwise(payload["error"])
+        .when(~F.col("_call.call_name").eqNullSafe(wanted), "tool mismatch")
+        .when(F.col("_kinds.arguments") == "invalid", "malformed arguments")
+        .when(F.col("_kinds.content") == "invalid", "malformed payload")
+        .when(F.col("_payload").isNull(), "payload repeats a key")
+        .otherwise(F.col("_answer.error"))
     )
     rows = rows.withColumn("error", error)
-    names = ["status", "is_success", "reminder_id", "message"]
-    text = F.to_json(F.struct(*[payload[n].alias(n) for n in names]))
-    field = lambda n: F.get_json_object("_tool.content", f"$.{n}")
-    differs = F.lit(False)
-    for n in names:
-        differs = differs | ~field(n).eqNullSafe(payload[n].cast("string"))
-    applies = F.col("error").isNull() & wanted.isNotNull()
-    fixed = lambda m: F.when(_is_tool(m) & m.eqNullSafe(F.col("_tool")), m.withField("content", text)).otherwise(m)
-    changed = applies & differs
-    out = rows.withColumn("changed", F.coalesce(changed, F.lit(False)))
-    done = F.transform("messages", lambda m: _silent(F.when(F.col("changed"), fixed(m)).otherwise(m)))
-    return out.withColumn("messages", done).drop("_call", "_tool", "_kind")
+    differs = ~canonical(variant_of(F.col("_answer.content"))).eqNullSafe(canonical(F.col("_payload")))
+    rows = rows.withColumn("changed", F.coalesce(F.col("error").isNull() & wanted.isNotNull() & differs, F.lit(False)))
+    fixed = lambda m: F.when(F.col("changed") & _is_tool(m) & m.eqNullSafe(F.col("_tool")), m.withField("content", F.col("_answer.content"))).otherwise(m)
+    return rows.withColumn("messages", F.transform("messages", lambda m: _silent(fixed(m)))).drop("_call", "_tool", "_kinds", "_payload", "_answer")
 
 
 def clean_report(rows: DataFrame) -> DataFrame:
@@ -96,6 +100,93 @@ def clean_report(rows: DataFrame) -> DataFrame:
     return rows.agg(F.count(F.lit(1)).alias("total"), F.count_if(kept).alias("kept"), F.count_if(kept & F.col("changed")).alias("changed"), F.count_if(~kept).alias("rejected"))
 
 
+def first_fault(sample: Column, scenario: Column, system: str) -> Column:
+    """Why a whole sample, a JSON object with ``messages``, is not valid, or null.
+
+    A fold over the messages, each with the one behind it, keeps the first rule
+    that fails and what was seen so far: a call, a tool's answer, the tool called
+    last, the statuses answered.  Rules are those of the head (three messages, the
+    system's text ``system``, a user who says something), of every message (its
+    role; of a call: content given and null, the tool's answer right behind, calls
+    well formed with arguments that are JSON; of an answer: JSON text with a known
+    status) and of the whole (calls and answers as the scenario has them, its
+    tool, one status).
+    """
+    return let(F.struct(members(field(variant_of(sample), "messages")).alias("m"), scenario.alias("s")), lambda x: _fault(x["m"], x["s"], system))
+
+
+def _fault(messages: Column, scenario: Column, system: str) -> Column:
+    null = F.lit(None).cast("string")
+    role = lambda m: text_of(field(m, "role"))
+
+    def call_fault(c: Column) -> Column:
+        f = field(c, "function")
+        arguments = text_of(field(f, "arguments"))
+        return (
+            F.when(~text_of(field(c, "type")).eqNullSafe(F.lit("function")), "tool_call.type must be function")
+            .when(~is_a(f, "OBJECT"), "tool_call.function must be object")
+            .when(F.coalesce(strip(text_of(field(f, "name"))), F.lit("")) == "", "tool_call.function.name missing")
+            .when(arguments.isNull(), "tool_call.function.arguments must be JSON string")
+            .when(strict_kind(arguments) == "invalid", "tool_call.function.arguments must be JSON")
+        )
+
+    def fault(m: Column, following: Column, calls: Column, called: Column, status: Column) -> Column:
+        content = field(m, "content")
+        of_call = (
+            F.when(content.isNull(), "assistant tool call message must include content field")
+            .when(~F.is_variant_null(content), "assistant tool call message content must be null")
+            .when(~role(following).eqNullSafe(F.lit("tool")), "assistant.tool_calls must be followed immediately by role=tool")
+            .when(~is_a(calls, "ARRAY"), "tool_calls must be a non-empty list")
+            .otherwise(F.get(F.array_compact(F.transform(members(calls), call_fault)), F.lit(0)))
+        )
+        stated = field(variant_of(text_of(content)), "status")
+        of_answer = (
+            F.when(text_of(content).isNull(), "tool content must be JSON string")
+            .when(strict_kind(text_of(content)) == "invalid", "tool content must be JSON")
+            .when(stated.isNull(), "tool payload must include status")
+            .when(F.coalesce(strip(status), F.lit("")) == "", "tool payload status must be non-empty string")
+            .when(~status.isin(*STATUSES), "tool payload status must be one of " + ", ".join(sorted(STATUSES)))
+        )
+        unknown = F.when(~F.coalesce(role(m).isin(*ROLES), F.lit(False)), F.concat(F.lit("invalid role: "), F.coalesce(role(m), F.lit("None"))))
+        return F.coalesce(unknown, F.when(called, of_call), F.when(role(m) == "tool", of_answer))
+
+    def seen(m: Column, following: Column) -> Column:
+        calls = field(m, "tool_calls")
+        called = F.coalesce(role(m) == "assistant", F.lit(False)) & truthy(calls)
+        status = F.when(role(m) == "tool", text_of(field(variant_of(text_of(field(m, "content"))), "status")))
+        name = F.when(called, strip(text_of(field(field(F.try_element_at(members(calls), F.lit(-1)), "function"), "name"))))
+        return F.struct(fault(m, following, calls, called, status).alias("fault"), called.alias("called"), F.coalesce(role(m) == "tool", F.lit(False)).alias("told"), name.alias("name"), status.alias("status"))
+
+    def whole(steps: Column) -> Column:
+        start = F.struct(null.alias("fault"), F.lit(False).alias("called"), F.lit(False).alias("told"), null.alias("name"), F.array().cast("array<string>").alias("statuses"))
+        put = lambda state, x: F.struct(
+            F.coalesce(state["fault"], x["fault"]).alias("fault"), (state["called"] | x["called"]).alias("called"), (state["told"] | x["told"]).alias("told"),
+            F.coalesce(x["name"], state["name"]).alias("name"), F.when(x["told"], F.array_append(state["statuses"], x["status"])).otherwise(state["statuses"]).alias("statuses"),
+        )
+        wanted = expected_of(scenario, 0)
+        end = lambda z: (
+            F.when(z["fault"].isNotNull(), z["fault"])
+            .when(F.startswith(scenario, F.lit("no_tool")), F.when(z["called"] | z["told"], "no_tool scenario must not contain tool_calls or role=tool"))
+            .when(~(z["called"] & z["told"]), "tool scenario must contain assistant.tool_calls and role=tool")
+            .when(wanted.isNotNull() & ~z["name"].eqNullSafe(wanted), F.concat(F.lit("scenario="), scenario, F.lit(" expected tool="), wanted, F.lit(", got tool="), F.coalesce(z["name"], F.lit("None"))))
+            .when(F.size(z["statuses"]) != 1, F.concat(F.lit("tool scenario expects exactly one tool status, got "), F.array_join(z["statuses"], ", ")))
+        )
+        return F.aggregate(steps, start, put, end)
+
+    first, second = F.get(messages, F.lit(0)), F.get(messages, F.lit(1))
+    said = text_of(field(second, "content"))
+    following = F.concat(F.slice(messages, F.lit(2), F.greatest(F.size(messages) - 1, F.lit(0))), F.array(F.lit(None).cast("variant")))
+    return (
+        F.when(messages.isNull(), "messages must be list")
+        .when(F.size(messages) < 3, "sample must have at least 3 messages")
+        .when(~role(first).eqNullSafe(F.lit("system")), "first message must be system")
+        .when(~text_of(field(first, "content")).eqNullSafe(F.lit(system)), "system prompt does not match")
+        .when(~role(second).eqNullSafe(F.lit("user")), "second message must be user")
+        .when(F.coalesce(strip(said), F.lit("")) == "", "user content missing")
+        .otherwise(whole(F.zip_with(messages, following, seen)))
+    )
+
+
 def fallback_status(scenario: Column) -> Column:
     """The status that a scenario's name asks for."""
     return F.coalesce(*[F.when(F.contains(scenario, F.lit(word)), F.lit(status)) for word, status in FALLBACKS], F.lit("success"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quillon.functions import jsonx, text
-from quillon.operators import device, dispatch, planning, profile, records, render, replay, store
+from quillon.operators import device, dispatch, payloads, planning, profile, quality, records, render, replay, store
 from quillon.plans.queries import _content, _t, query
 
 # --- reminders: parts are the reminders, suppliers ask for them -------------------------------------
@@ -117,15 +117,14 @@ def judge_calls(spark, d):
 
 
 @query(
-    f"""WITH {_REMINDERS}, c AS (SELECT event_id, p_name AS task, ['query', 'delete'][event_id % 2 + 1] AS tool FROM events JOIN part ON p_partkey = event_id WHERE event_id < 400), n AS (SELECT event_id, tool, count(r.task) AS n, min(r.reminder_id) AS one
+    f"""WITH {_REMINDERS}, c AS (SELECT p_partkey AS call_id, p_name AS task, ['query', 'delete'][p_partkey % 2 + 1] AS tool FROM part), n AS (SELECT call_id, tool, count(r.task) AS n, min(r.reminder_id) AS one
 FROM c LEFT JOIN r ON contains(r.task, c.task) OR contains(c.task, r.task) OR list_has_all({_content('r.task')}, {_content('c.task')}) GROUP BY ALL)
-SELECT event_id AS call_id, tool || '_reminder' AS name, CASE WHEN n = 0 THEN 'not_found' WHEN tool = 'delete' AND n > 1 THEN 'ambiguous' ELSE 'success' END AS status, CASE WHEN tool = 'delete' AND n = 1 THEN one END AS reminder_id FROM n"""
+SELECT call_id, tool || '_reminder' AS name, CASE WHEN n = 0 THEN 'not_found' WHEN tool = 'delete' AND n > 1 THEN 'ambiguous' ELSE 'success' END AS status, CASE WHEN tool = 'delete' AND n = 1 THEN one END AS reminder_id FROM n"""
 )
 def run_calls(spark, d):
     """Tool calls from their JSON arguments to the tool messages that answer them."""
-    part = _t(spark, d, "part").where("p_partkey < 400")
-    rows = _t(spark, d, "events").join(part, F.col("event_id") == F.col("p_partkey"))
-    calls = rows.select(F.col("event_id").alias("call_id"), planning.cyclic_pick(["query_reminder", "delete_reminder"], F.col("event_id") % 2).alias("name"), F.to_json(F.struct(F.col("p_name").alias("task"))).alias("arguments"))
+    k = F.col("p_partkey")
+    calls = _t(spark, d, "part").select(k.alias("call_id"), planning.cyclic_pick(["query_reminder", "delete_reminder"], k % 2).alias("name"), F.to_json(F.struct(F.col("p_name").alias("task"))).alias("arguments"))
     judged = dispatch.judged_calls(calls, dispatch.registry(spark))
     results = store.answers(dispatch.requests_of(judged, F.lit(None).cast("string")), _reminders(spark, d))
     said = dispatch.tool_messages(judged, results)
@@ -279,10 +278,75 @@ WHEN event_id % 7 IN (4, 5) THEN 'tool scenario missing assistant/tool message'
 WHEN event_id % 7 = 2 AND user_id % 4 = 0 THEN 'no reminder_id' END AS error FROM events"""
 
 
-@query(_CLEANED)
+_SUCCESS = '{"status": "success", "state": "success", "reminder_id": "r1", "reminder": {"target": "self", "reminder_id": "r1"}}'
+_NOT_FOUND = '{"status": "not_found", "state": false, "message": "No matching reminder found."}'
+_AMBIGUOUS = '{"status": "ambiguous", "state": false, "candidates": []}'
+
+
+@query(f"SELECT sample_id, error, CASE WHEN error IS NULL THEN CASE user_id % 4 WHEN 0 THEN '{_SUCCESS}' WHEN 1 THEN '{_NOT_FOUND}' WHEN 3 THEN '{_AMBIGUOUS}' END END AS content FROM ({_CLEANED}) JOIN events ON event_id = sample_id")
 def clean_samples(spark, d):
-    """The contract of tool scenarios over whole samples."""
-    return records.cleaned(_samples(spark, d)).select("sample_id", "error")
+    """The contract of tool scenarios over whole samples, with the answers that it leaves."""
+    told = F.get(F.filter("messages", lambda m: m["role"] == "tool"), F.lit(0))["content"]
+    return records.cleaned(_samples(spark, d)).select("sample_id", "error", F.when(F.col("error").isNull(), told).alias("content"))
+
+
+@query(
+    """SELECT event_id, CASE event_id % 6 WHEN 0 THEN '{"status": "success", "state": "success", "reminder_id": "r' || event_id || '", "reminder": {"reminder_id": "r' || event_id || '", "task": "' || event_type || '", "scheduled_time": "t, at: 7", "target": "mom"}}'
+WHEN 1 THEN '{"status": "success", "state": "success", "reminders": [{"reminder_id": "a", "task": null, "target": "self", "status": "active"}, {"target": "self"}]}'
+WHEN 2 THEN '{"status": "ambiguous", "state": false, "candidates": [{"reminder_id": ' || event_id + 1 || ', "task": "' || event_type || '", "scheduled_time": "x"}], "message": "Multiple reminders match."}'
+WHEN 3 THEN '{"status": "missing_fields", "state": false, "missing_fields": ["task", ' || props || '], "message": "' || event_type || '"}' WHEN 4 THEN '{"status": "not_found", "state": false, "message": "No matching reminder found."}'
+ELSE '{"status": "error", "state": false, "message": "' || event_type || '"}' END AS content FROM events"""
+)
+def normal_answers(spark, d):
+    """Answers of tools in normal form, of every status, with nested reminders and candidates."""
+    k, e = F.col("event_id"), F.col("event_type")
+    put = lambda *x: F.concat(*[F.lit(v) if isinstance(v, str) else v for v in x])
+    payloads_of = [
+        put('{"status": "success", "reminder": {"odd": 1, "time": "t, at: 7", "task": "', e, '", "id": "r', k, '"}}'), put('{"reminders": [{"status": "active", "reminder_id": "a", "task": null}, 5]}'),
+        put('{"candidates": [{"time_text": "x", "id": ', k + 1, ', "task": "', e, '"}, "s"], "message": " "}'), put('{"message": "', e, '", "missing_fields": ["task", ', F.col("props"), "]}"), put('{"status": null, "message": 3}'), put('{"message": "', e, '", "reminder": 1}'),
+    ]
+    scenario = planning.cyclic_pick(["create_success", "query_success", "update_ambiguous", "create_missing_task", "query_not_found", "other"], k % 6)
+    tool = planning.cyclic_pick(["create_reminder", "query_reminder", "update_reminder", "create_reminder", "query_reminder", "none"], k % 6)
+    payload = F.get(F.array(*payloads_of), (k % 6).cast("int"))
+    answer = payloads.normal_answer(scenario, tool, jsonx.variant_of(F.lit('{"target": "mom"}')), jsonx.variant_of(payload))
+    return _t(spark, d, "events").select("event_id", answer["content"].alias("content"))
+
+
+@query(
+    """SELECT coalesce(CASE WHEN event_id % 8 = 1 THEN 'invalid role: robot' WHEN event_id % 8 = 2 THEN 'assistant tool call message content must be null' WHEN event_id % 8 = 3 THEN 'assistant.tool_calls must be followed immediately by role=tool'
+WHEN event_id % 8 = 4 THEN 'tool_call.function.arguments must be JSON' WHEN event_id % 8 = 5 THEN 'tool payload status must be one of ambiguous, error, missing_fields, not_found, success' WHEN event_id % 8 = 6 THEN 'no_tool scenario must not contain tool_calls or role=tool'
+WHEN event_id % 8 = 7 THEN 'user content missing' WHEN user_id % 5 = 0 THEN 'scenario=create_success expected tool=create_reminder, got tool=delete_reminder' END, 'ok') AS reason, count(*) AS n FROM events GROUP BY 1"""
+)
+def sample_faults(spark, d):
+    """Histogram of the first rule that whole samples break."""
+    k, kind = F.col("event_id"), F.col("event_id") % 8
+    put = lambda *x: F.concat(*[F.lit(v) if isinstance(v, str) else v for v in x])
+    tool = F.when((kind == 0) & (F.col("user_id") % 5 == 0), "delete_reminder").otherwise("create_reminder")
+    call = put('{"type": "function", "function": {"name": "', tool, '", "arguments": "', F.when(kind == 4, "{").otherwise("{}"), '"}}')
+    asked = put('{"role": "assistant", "content": ', F.when(kind == 2, '"x"').otherwise("null"), ', "tool_calls": [', call, "]}, ")
+    told = F.when(kind == 3, "").otherwise(put('{"role": "tool", "content": "{\\"status\\": \\"', F.when(kind == 5, "odd").otherwise("success"), '\\"}"}, '))
+    head = put('{"messages": [{"role": "system", "content": "be good"}, {"role": "user", "content": "', F.when(kind == 7, " ").otherwise(F.col("event_type")), '"}, ')
+    sample = put(head, asked, told, '{"role": "', F.when(kind == 1, "robot").otherwise("assistant"), '", "content": "done"}]}')
+    scenario = F.when(kind == 6, "no_tool_chat").otherwise("create_success")
+    fault = records.first_fault(sample, scenario, "be good")
+    return quality.reasons(_t(spark, d, "events").select(k, F.coalesce(fault, F.lit("ok")).alias("reason")))
+
+
+@query(
+    """SELECT event_id, CASE WHEN event_id % 5 = 4 THEN 2 ELSE 1 END::INT AS checked, CASE WHEN event_id % 5 IN (0, 3) THEN 1 WHEN event_id % 5 = 4 THEN 1 ELSE 0 END::INT AS ok,
+CASE event_id % 5 WHEN 1 THEN 'mismatch:k' WHEN 2 THEN 'missing:k' WHEN 4 THEN 'mismatch:l' ELSE '' END AS notes FROM events"""
+)
+def argument_values(spark, d):
+    """Arguments compared as values: numbers of either form, a text that is no number, nested lists and objects."""
+    kind, props = F.col("event_id") % 5, F.col("props")
+    k = F.get_json_object("props", "$.k")
+    put = lambda *x: F.concat(*[F.lit(v) if isinstance(v, str) else v for v in x])
+    expected = F.when(kind == 3, put('{"k": {"v": [', k, ', true], "w": null}, "z": null}')).when(kind == 4, put('{"k": " A  b", "l": [', k, ', 1]}')).otherwise(props)
+    got = (
+        F.when(kind == 0, put('{"x": 1, "k": ', k, ".0}")).when(kind == 1, put('{"k": "', k, '"}')).when(kind == 2, "{}").when(kind == 3, put('{"k": {"w": null, "v": [', k, ".00, true]}}")).otherwise(put('{"k": "a B", "l": [2, ', k, "]}"))
+    )
+    rows = _t(spark, d, "events").select("event_id", jsonx.compare_values(expected, got).alias("c"))
+    return rows.select("event_id", "c.checked", "c.ok", F.array_join("c.notes", ",").alias("notes"))
 
 
 @query(
