@@ -33,13 +33,13 @@ RANGE_BITS = 12
 FIELDS = ("task", "time_text", "scheduled_time")
 
 
-def running(rows: DataFrame, keys: list[str], order: str, last: tuple[str, ...] = (), sums: tuple[str, ...] = ()) -> DataFrame:
+def running(rows: DataFrame, keys: list[str], order: str, last: tuple[str, ...] = (), sums: tuple[str, ...] = (), bits: int | None = None) -> DataFrame:
     """``rows`` with each column of ``last`` as its last value up to the row that is not null, each of ``sums`` as its sum
     up to the row, and ``next``, the order of the following row.
 
-    Done in ranges of the order and over the ranges, so that no key meets in one window.
+    Done in ranges of ``2 ** bits`` of the order and over the ranges, so that no key meets in one window.
     """
-    cut = F.shiftright(order, RANGE_BITS)
+    cut = F.shiftright(order, RANGE_BITS if bits is None else bits)
     per = rows.groupBy(*keys, cut.alias("_range")).agg(
         F.min(order).alias("_first"),
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_{c}") for c in last],

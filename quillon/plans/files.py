@@ -13,7 +13,7 @@ from quillon.functions.text import strip
 from quillon.operators import cases, profile
 from quillon.plans.queries import _t, query
 from quillon.scratch import shared_folder
-from quillon.sources import files
+from quillon.sources import buckets, files
 
 _EVENT = "event_id long, event_type string, value double"
 
@@ -147,13 +147,29 @@ def keyed_table(spark, d):
     return files.read_snapshot(spark, folder, 2)
 
 
+@query(
+    """SELECT p_partkey, CASE WHEN p_partkey % 97 = 0 THEN 'renamed' ELSE p_name END AS p_name, p_size FROM part WHERE p_partkey % 101 <> 0
+UNION ALL SELECT 10000000 + s_suppkey, s_name, 0 FROM supplier"""
+)
+def keyed_upsert(spark, d):
+    """A keyed table in hash buckets after changes, new rows and deletes, which rewrite the buckets that they touch."""
+    path = f"{_folder(spark)}/table"
+    parts = _t(spark, d, "part").select("p_partkey", "p_name", "p_size")
+    buckets.write_buckets(parts, path, "p_partkey", 16)
+    k = F.col("p_partkey")
+    changed = parts.where((k % 97 == 0) | (k % 101 == 0)).withColumn("p_name", F.lit("renamed")).withColumn("gone", k % 101 == 0)
+    new = _t(spark, d, "supplier").select((10000000 + F.col("s_suppkey")).alias("p_partkey"), F.col("s_name").alias("p_name"), F.lit(0).alias("p_size"), F.lit(False).alias("gone"))
+    buckets.upsert(changed.unionByName(new), path, "p_partkey", 16, gone="gone")
+    return buckets.read_buckets(spark, path)
+
+
 @query("SELECT event_type, count(*) AS n FROM events GROUP BY 1")
 def raw_and_stats(spark, d):
     """Samples, their raw texts and counts by kind, written beside each other."""
     folder = _folder(spark)
     rows = _events(spark, d).withColumn("raw", F.to_json(F.struct("event_id", "value")))
-    files.write_with_raw(rows, f"{folder}/samples", "raw", f"{folder}/stats", "event_type")
-    if files.row_count(spark, f"{folder}/samples.raw").agg(F.sum("rows")).first()[0] != rows.count():
+    observed = files.write_with_raw(rows, f"{folder}/samples", "raw", f"{folder}/stats", "event_type")
+    if files.row_count(spark, f"{folder}/samples.raw").agg(F.sum("rows")).first()[0] != observed:
         raise ValueError("the raw texts are not whole")
     return files.jsonl(spark, f"{folder}/stats", "event_type string, n long")
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quillon.functions import intent, jsonx, text, timex
 from quillon.operators import cases, device, evaluation, planning, profile, quality, store
-from quillon.streaming import due
+from quillon.streaming import due, notices
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -659,3 +659,56 @@ def notifier_batches(spark, d):
     due.notify_each(due.notify_stream(polls, 30), f"{folder}/state", lambda batch, at: batch.write.mode("overwrite").parquet(f"{folder}/out/batch={at}")).awaitTermination()
     told = spark.read.parquet(f"{folder}/out")
     return told.join(_t(spark, d, "events"), F.col("reminder_id") == F.col("event_id")).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "SELECT event_id, ts, min(tick) AS notified_at FROM events JOIN (SELECT DISTINCT ts + to_seconds(event_id % 50) AS tick FROM events WHERE event_type = 'view') ON tick BETWEEN ts - INTERVAL 30 MINUTE AND ts GROUP BY ALL"
+)
+def due_polls(spark, d):
+    """The first of irregular polls at which each event is due."""
+    events = _t(spark, d, "events")
+    polls = events.where("event_type = 'view'").select((F.col("ts") + F.make_dt_interval(secs=F.col("event_id") % 50)).alias("tick"))
+    return due.due_at_polls(events, polls, "event_id", "ts", 30)
+
+
+@query(
+    """WITH RECURSIVE b AS (SELECT user_id, date_trunc('millisecond', ts) AS t, event_id, CASE WHEN event_type <> 'error' THEN date_trunc('millisecond', ts) + to_minutes((event_id * 37) % 1500 - 10) END AS s FROM events),
+e AS (SELECT user_id, t, s, row_number() OVER (PARTITION BY user_id ORDER BY over, t, event_id) AS n FROM (SELECT *, 0 AS over FROM b UNION ALL SELECT DISTINCT user_id, (SELECT max(t) FROM b) - INTERVAL 10 MINUTE, 0, NULL::TIMESTAMP, 1 FROM b)),
+r AS (SELECT user_id, 0::BIGINT AS n, NULL::TIMESTAMP AS s, NULL::TIMESTAMP AS since, NULL::TIMESTAMP AS last, NULL::TIMESTAMP AS scheduled, NULL::TIMESTAMP AS fired FROM (SELECT DISTINCT user_id FROM b)
+UNION ALL SELECT user_id, n, s, t, coalesce(fired, last), CASE WHEN fired IS NOT NULL THEN w END, fired
+FROM (SELECT e.user_id, e.n, e.s, e.t, r.last, r.s AS w, CASE WHEN r.s IS NOT NULL AND greatest(r.s - INTERVAL 30 MINUTE, r.since) <= least(r.s, e.t) AND (r.last IS NULL OR r.last < r.s - INTERVAL 30 MINUTE) THEN greatest(r.s - INTERVAL 30 MINUTE, r.since) END AS fired FROM r JOIN e ON e.user_id = r.user_id AND e.n = r.n + 1))
+SELECT user_id::VARCHAR AS reminder_id, scheduled, fired AS notified_at FROM r WHERE fired IS NOT NULL"""
+)
+def timed_notices(spark, d):
+    """A stream of settings, cancelled and set anew, of which timers make notices."""
+    import uuid
+
+    from quillon.scratch import shared_folder
+
+    at = F.date_trunc("millisecond", F.col("ts").cast("timestamp"))
+    events = spark.readStream.schema(_t(spark, d, "events").schema).parquet(f"{d}/events.parque[t]")
+    later = F.make_dt_interval(mins=(F.col("event_id") * 37) % 1500 - 10)
+    settings = events.select(F.col("user_id").cast("string").alias("reminder_id"), at.alias("at"), (at + later).alias("scheduled"), F.when(F.col("event_type") == "error", "cancelled").otherwise("active").alias("status"))
+    folder = f"{shared_folder(spark)}/timed-{uuid.uuid4().hex}"
+    with notices.rocks(spark):
+        sink = notices.notices(settings, 30, "10 minutes").writeStream.format("parquet").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True)
+        sink.start(f"{folder}/out").awaitTermination()
+    fired = spark.read.schema("reminder_id string, scheduled timestamp, notified_at timestamp").parquet(f"{folder}/out")
+    return fired.select("reminder_id", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("scheduled", "notified_at")])
+
+
+@query("SELECT event_id, 1::BIGINT AS n FROM events")
+def stream_append(spark, d):
+    """Two runs that append a stream with copies, the second with all of the first again: one row of each is kept."""
+    import uuid
+
+    from quillon.scratch import shared_folder
+
+    folder = f"{shared_folder(spark)}/append-{uuid.uuid4().hex}"
+    events = _t(spark, d, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    twice = lambda df: df.select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("copy")).drop("copy")
+    for part in (twice(events.where("event_id % 3 <> 0")), twice(events)):
+        part.write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(events.schema).parquet(f"{folder}/in")
+        notices.append_once(stream, ["event_id"], "ts", "60 days", folder).awaitTermination()
+    return spark.read.parquet(f"{folder}/rows").groupBy("event_id").agg(F.count(F.lit(1)).alias("n"))

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from quillon.functions.jsonx import strict_kind
 from quillon.functions.text import squeezed, strip
+from quillon.scratch import Scratch
 
 
 def jsonl(spark: SparkSession, path: str, schema: StructType | str, mode: str = "FAILFAST") -> DataFrame:
@@ -88,13 +89,22 @@ def write_cases(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").partitionBy("case_id").json(path)
 
 
-def write_three(df: DataFrame, error: str, good: str, rejects: str, report: str) -> None:
-    """Kept rows, rejected rows and one row of counts, from one cached plan."""
-    held = df.persist()
-    held.where(F.col(error).isNull()).drop(error).write.mode("overwrite").json(good)
-    held.where(F.col(error).isNotNull()).write.mode("overwrite").json(rejects)
-    held.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col(error).isNull()).alias("kept"), F.count(error).alias("rejected")).write.mode("overwrite").json(report)
-    held.unpersist()
+def write_three(df: DataFrame, error: str, good: str, rejects: str, report: str) -> dict[str, int]:
+    """Kept rows, rejected rows and one row of counts, which are also returned.
+
+    The rows are computed once, into a table in the shared folder; the counts are
+    observed as they pass, and the two outputs read that table.
+    """
+    counts = Observation()
+    scratch = Scratch(df.sparkSession)
+    kept = F.col(error).isNull()
+    held = scratch.save(df.observe(counts, F.count(F.lit(1)).alias("total"), F.count_if(kept).alias("kept"), F.count(error).alias("rejected")))
+    held.where(kept).drop(error).write.mode("overwrite").json(good)
+    held.where(~kept).write.mode("overwrite").json(rejects)
+    told = counts.get
+    df.sparkSession.createDataFrame([told], "total long, kept long, rejected long").write.mode("overwrite").json(report)
+    scratch.remove()
+    return told
 
 
 def write_snapshot(df: DataFrame, root: str, version: int) -> str:
@@ -118,13 +128,17 @@ def write_keyed(df: DataFrame, path: str, key: str, defaults: dict[str, str]) ->
     rows.write.mode("overwrite").parquet(path)
 
 
-def write_with_raw(df: DataFrame, path: str, raw: str, stats: str, by: str) -> None:
-    """Samples without their raw text, the raw texts beside them, and one row of counts for each value of ``by``."""
-    held = df.persist()
+def write_with_raw(df: DataFrame, path: str, raw: str, stats: str, by: str) -> int:
+    """Samples without their raw text, the raw texts beside them, and one row of counts for each value of ``by``; returns
+    the number of rows, observed as they pass."""
+    rows = Observation()
+    scratch = Scratch(df.sparkSession)
+    held = scratch.save(df.observe(rows, F.count(F.lit(1)).alias("rows")))
     held.drop(raw).write.mode("overwrite").json(path)
     held.select(raw).write.mode("overwrite").json(f"{path}.raw")
     held.groupBy(by).agg(F.count(F.lit(1)).alias("n")).write.mode("overwrite").json(stats)
-    held.unpersist()
+    scratch.remove()
+    return rows.get["rows"]
 
 
 def append_new(df: DataFrame, path: str, key: str) -> None:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from quillon.operators.replay import running
+
 
 def is_due(scheduled: Column, now: Column, lead_minutes: int, active: Column, notified: Column | None = None) -> Column:
     """Whether an active reminder is within its lead time and was not notified within it; nothing fires after its time."""
@@ -33,6 +35,25 @@ def due_at_ticks(events: DataFrame, ticks: DataFrame, key: str, scheduled: str,
     return slots.join(on, "_tick").groupBy(key, scheduled).agg(F.min("tick").alias("notified_at"))
 
 
+def due_at_polls(events: DataFrame, polls: DataFrame, key: str, scheduled: str, lead_minutes: int) -> DataFrame:
+    """``key``, ``scheduled`` and ``notified_at``, the first poll at which each event is due; polls come at any times (``tick``).
+
+    An as-of join from the start of each window to the next poll, with the end of
+    the window as residual check.  Time is cut into ranges of some 36 minutes:
+    the next poll is looked for in the window's own range, and beyond it the first
+    poll of the next range that has any is carried over, so neither many polls
+    nor many events of one moment meet pair by pair.
+    """
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    backward = lambda c, tie: (-2 * c + tie)  # noqa: E731  the order of time reversed; a poll at the very start counts
+    start = micros(scheduled) - lead_minutes * 60_000_000
+    ticks = polls.where("tick is not null").select("tick").distinct()
+    rows = ticks.select(backward(micros("tick"), 0).alias("order"), F.col("tick").alias("next_tick"), F.lit(None).cast(events.schema[key].dataType).alias(key), F.lit(None).cast(events.schema[scheduled].dataType).alias(scheduled))
+    rows = rows.unionByName(events.where(F.col(scheduled).isNotNull()).select(backward(start, 1).alias("order"), F.lit(None).cast(polls.schema["tick"].dataType).alias("next_tick"), key, scheduled))
+    met = running(rows, [], "order", ("next_tick",), bits=32).where(F.col(scheduled).isNotNull() & (micros("next_tick") <= micros(scheduled)))
+    return met.select(key, scheduled, F.col("next_tick").alias("notified_at"))
+
+
 def notify_stream(polls: DataFrame, lead_minutes: int) -> DataFrame:
     """Stream of notifications from a stream of (``reminder_id``, ``scheduled``, ``now``, ``status``).
 
@@ -43,7 +64,8 @@ def notify_stream(polls: DataFrame, lead_minutes: int) -> DataFrame:
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         last = pd.Timestamp(state.get[0], unit="us") if state.exists else None
         fired = []
-        for row in pd.concat(frames).sort_values("now").itertuples():
+        every = list(frames)
+        for row in (pd.concat(every) if len(every) > 1 else every[0]).sort_values("now").itertuples():
             start = row.scheduled - pd.Timedelta(minutes=lead_minutes)
             if row.status == "active" and start <= row.now <= row.scheduled and (last is None or last < start):
                 fired.append((key[0], row.scheduled, row.now))
