@@ -24,9 +24,14 @@ def strip(x: Column) -> Column:
     return F.regexp_replace(x, EDGES, "")
 
 
+def single_spaced(x: Column) -> Column:
+    """Runs of white space as one space, none at the ends."""
+    return strip(F.regexp_replace(x, SPACE, " "))
+
+
 def squeezed(x: Column) -> Column:
-    """Lower case, runs of white space as one space, none at the ends."""
-    return strip(F.regexp_replace(F.lower(x), SPACE, " "))
+    """``single_spaced`` in lower case."""
+    return single_spaced(F.lower(x))
 
 
 def normal_phrase(x: Column) -> Column:

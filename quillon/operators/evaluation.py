@@ -17,6 +17,7 @@ ANSWER_WORDS = {
     "ambiguous": ["which one", "choose", "select", "multiple"],
     "not_found": ["not found", "no matching", "couldn't find", "cannot find"],
 }
+# What a case should do to the snapshot, by tool.
 STATE_CHANGE = {"create": "create_one", "query": "no_change", "update": "update_one", "delete": "delete_or_cancel_one"}
 
 
@@ -57,6 +58,43 @@ def state_change(expected: Column, tool: Column) -> Column:
     return F.when(expected == "success", F.coalesce(own, F.lit("no_change"))).when(quiet, F.lit("no_change")).otherwise("unknown")
 
 
+# What must hold between the snapshots of a case, by tool of a success, else by outcome.
+SUCCESS_ASSERTIONS = {
+    "create": ["after_active_count == before_active_count + 1", "new reminder.task == gold.task", "new reminder.target == 'self'", "new reminder.scheduled_time == resolve(gold.time_text, run_now)"],
+    "query": ["after_state == before_state", "tool_result.status == 'success'", "tool_result.count >= 1"],
+    "update": [
+        "after_active_count == before_active_count", "exactly_one_existing_reminder_changed", "changed reminder matches gold.locator_task/time before update",
+        "changed reminder contains gold.new_task and/or resolve(gold.new_time_text, run_now) after update",
+    ],
+    "delete": ["after_active_count == before_active_count - 1 OR target reminder.status in ['cancelled','deleted']", "deleted/cancelled reminder matches gold.locator_task/time_text"],
+}
+NOTHING_CHANGES = "after_state == before_state"
+NO_CALL = "no tool call should be emitted"
+BY_HAND = "manual review required"
+
+
+def diff_assertions(expected: Column, tool: Column) -> Column:
+    """The assertions of a case, in order."""
+    texts = lambda *x: F.array(*[F.lit(t) for t in x])
+    own = F.coalesce(*[F.when(tool == name, texts(*lines)) for name, lines in SUCCESS_ASSERTIONS.items()], texts(NOTHING_CHANGES))
+    told = F.array(F.lit(NOTHING_CHANGES), F.concat(F.lit("tool_result.status == '"), expected, F.lit("'")))
+    return (
+        F.when(expected == "success", own)
+        .when(expected.isin("missing_fields", "ambiguous", "not_found"), told)
+        .when(expected == "no_tool", texts(NO_CALL, NOTHING_CHANGES))
+        .otherwise(texts(BY_HAND))
+    )
+
+
+def expectation(expected: Column, tool: Column, scenario: Column) -> Column:
+    """What a case expects: whether a tool is called and which, its status, the change of the snapshot and its assertions."""
+    should = (expected != "no_tool") & tool.isin(*TOOLS)
+    return F.struct(
+        F.coalesce(should, F.lit(False)).alias("should_call_tool"), tool_name(tool).alias("expected_tool"), expected.alias("expected_status"),
+        state_change(expected, tool).alias("state_change"), scenario.alias("scenario"), diff_assertions(expected, tool).alias("diff_assertions"),
+    )
+
+
 def expected_arguments(action: Column, gold: dict[str, Column]) -> Column:
     """Map of the arguments that a gold asks for; updates and deletes take the locators as task and time."""
     locates = action.isin("update", "delete")

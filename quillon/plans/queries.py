@@ -422,14 +422,72 @@ def clean_quarantine(spark, d):
     return rows.select("event_id", cleaned["error"].alias("error"))
 
 
+_TOOL_OF = "['create', 'query', 'update', 'delete', 'chat'][event_id % 5 + 1]"
+_OUTCOME_OF = "['success', 'missing_fields', 'ambiguous', 'not_found', 'no_tool', 'odd', 'success'][event_id % 7 + 1]"
+
+
 @query(
-    "SELECT n_nationkey, ['create', 'query', 'update', 'delete', 'chat'][n_nationkey % 5 + 1] AS tool, CASE n_nationkey % 5 WHEN 0 THEN 'create_one' WHEN 1 THEN 'no_change' WHEN 2 THEN 'update_one' WHEN 3 THEN 'delete_or_cancel_one' ELSE 'no_change' END AS change, CASE WHEN n_nationkey % 5 = 4 THEN 0 WHEN n_nationkey % 5 = 2 THEN 4 ELSE 2 END AS arguments FROM nation"
+    f"""WITH c AS (SELECT event_id, event_type, {_TOOL_OF} AS tool, {_OUTCOME_OF} AS expected FROM events)
+SELECT event_id, CASE WHEN tool <> 'chat' AND expected <> 'no_tool' THEN true ELSE false END AS calls, CASE WHEN expected = 'success' THEN CASE tool WHEN 'create' THEN 'create_one' WHEN 'update' THEN 'update_one' WHEN 'delete' THEN 'delete_or_cancel_one' ELSE 'no_change' END WHEN expected = 'odd' THEN 'unknown' ELSE 'no_change' END AS change,
+CASE WHEN expected = 'success' THEN CASE tool WHEN 'create' THEN 4 WHEN 'query' THEN 3 WHEN 'update' THEN 4 WHEN 'delete' THEN 2 ELSE 1 END WHEN expected = 'odd' THEN 1 ELSE 2 END::INT AS assertions,
+CASE WHEN expected = 'success' THEN CASE tool WHEN 'create' THEN 'after_active_count == before_active_count + 1' WHEN 'update' THEN 'after_active_count == before_active_count' WHEN 'delete' THEN 'after_active_count == before_active_count - 1 OR target reminder.status in [''cancelled'',''deleted'']' ELSE 'after_state == before_state' END
+WHEN expected = 'odd' THEN 'manual review required' WHEN expected = 'no_tool' THEN 'no tool call should be emitted' ELSE 'after_state == before_state' END AS first,
+CASE tool WHEN 'create' THEN 'target=self,task=' || event_type WHEN 'query' THEN 'target=self,task=' || event_type WHEN 'update' THEN 'new_task=x,target=self,task=the ' || event_type || ',time_text=tomorrow' WHEN 'delete' THEN 'target=self,task=the ' || event_type ELSE '' END AS arguments FROM c"""
 )
 def case_expectations(spark, d):
-    tool = F.get(F.array(*[F.lit(x) for x in [*evaluation.TOOLS, "chat"]]), F.col("n_nationkey") % 5)
+    """What each case expects: a call, the change, its assertions, and the arguments by name and value."""
+    k, e = F.col("event_id"), F.col("event_type")
+    tool = planning.cyclic_pick([*evaluation.TOOLS, "chat"], k % 5)
+    expected = planning.cyclic_pick(["success", "missing_fields", "ambiguous", "not_found", "no_tool", "odd", "success"], k % 7)
+    null = F.lit(None).cast("string")
+    gold = {"target": null, "task": e, "time_text": null, "locator_task": F.concat(F.lit("the "), e), "locator_time_text": F.when(tool == "update", "tomorrow"), "new_task": F.lit("x"), "new_time_text": null}
+    x = evaluation.expectation(expected, tool, F.lit("s"))
+    pairs = F.transform(F.array_sort(F.map_entries(evaluation.expected_arguments(tool, gold))), lambda p: F.concat(p["key"], F.lit("="), p["value"]))
+    rows = _t(spark, d, "events").select("event_id", x.alias("x"), F.array_join(pairs, ",").alias("arguments"))
+    return rows.select("event_id", F.col("x.should_call_tool").alias("calls"), F.col("x.state_change").alias("change"), F.size("x.diff_assertions").alias("assertions"), F.get("x.diff_assertions", F.lit(0)).alias("first"), "arguments")
+
+
+@query(
+    """SELECT event_id, CASE WHEN event_id % 9 = 0 THEN 'no JSON object' WHEN event_id % 9 = 1 THEN 'missing prompt' END AS error, CASE WHEN event_id % 9 > 1 THEN 'Say ' || event_type || ' now' END AS prompt,
+CASE WHEN event_id % 9 > 1 THEN CASE event_id % 9 WHEN 2 THEN event_type WHEN 3 THEN NULL WHEN 4 THEN NULL WHEN 5 THEN 'below ' || event_id WHEN 6 THEN NULL WHEN 7 THEN event_type ELSE 'planned ' || event_id END END AS task, CASE WHEN event_id % 9 > 1 THEN 'at 7' END AS time_text, CASE WHEN event_id % 9 > 1 THEN 'self' END AS target FROM events"""
+)
+def gold_merge(spark, d):
+    """Models' replies over planned golds: fields absent, said, blank, null, and said again below."""
+    k, e = F.col("event_id"), F.col("event_type")
+    put = lambda *x: F.concat(*[F.lit(v) if isinstance(v, str) else v.cast("string") for v in x])
+    head = put('{"prompt": " Say  ', e, ' now"')
+    replies = [
+        put("so: ", e), put('{"prompt": " ", "task": "', e, '"}'), put("```json\n", head, ', "task": " ', e, ' "}\n```'), put(head, ', "task": null}'), put(head, ', "task": " "}'),
+        put(head, ', "task": "', e, '", "gold": {"task": "below ', k, '", "time_text": " ", "target": "mom"}}'), put(head, ', "gold": {"task": null, "time_text": 3}}'), put(head, ', "task": "', e, '", "gold": {"task": ""}}'), put(head, ', "gold": [1]}'),
+    ]
     null = F.lit(None).cast("string")
-    gold = {"target": null, "task": F.col("n_name"), "time_text": null, "locator_task": F.col("n_name"), "locator_time_text": F.when(tool == "update", "tomorrow"), "new_task": F.lit("x"), "new_time_text": null}
-    return _t(spark, d, "nation").select("n_nationkey", tool.alias("tool"), evaluation.state_change(F.lit("success"), tool).alias("change"), F.size(evaluation.expected_arguments(tool, gold)).alias("arguments"))
+    planned = F.struct(put("planned ", k).alias("task"), F.lit("at 7").alias("time_text"), *[null.alias(n) for n in cases.SAID[2:]])
+    rows = _t(spark, d, "events").select("event_id", cases.merged_gold(F.get(F.array(*replies), (k % 9).cast("int")), planned).alias("m"))
+    return rows.select("event_id", "m.error", "m.prompt", "m.gold.task", "m.gold.time_text", "m.gold.target")
+
+
+_PLACE = "(('0x' || left(md5('{0}:' || {1}), 7))::BIGINT / 268435456.0::DOUBLE)"
+_OLD, _NEW, _MEDICAL, _OTHER = (_PLACE.format(7, f"event_id || '{n}'") for n in ("old", "new", "medical", "other"))
+
+
+@query(
+    f"""WITH e AS (SELECT event_id, event_id // 7 AS o, ['create_missing_task', 'update_task_change', 'no_tool_chat', 'create_missing_time', 'query_medicine', 'delete_ambiguous', 'other'][event_id % 7 + 1] AS s, ['missing_fields', 'success', 'no_tool', 'missing_fields', 'success', 'ambiguous', 'success'][event_id % 7 + 1] AS x FROM events)
+SELECT event_id, ['plain', 'polite', 'short'][(o + floor({_PLACE.format(8, 'event_id')} * 3)::BIGINT) % 3 + 1] AS style, ['one clause', 'two clauses'][(o + floor({_PLACE.format(9, 'event_id')} * 2)::BIGINT) % 2 + 1] AS complexity,
+'do not copy the seed sentence; do not output assistant wording; do not create near-duplicates' || CASE WHEN x = 'no_tool' THEN '; do not ask to create, query, update, or delete reminders' ELSE '' END || CASE WHEN contains(s, 'missing_task') THEN '; the prompt must not mention the task' ELSE '' END || CASE WHEN contains(s, 'missing_time') THEN '; the prompt must not mention the time/date/daypart' ELSE '' END || CASE WHEN x = 'ambiguous' THEN '; leave the target reminder underspecified' ELSE '' END AS avoid,
+CASE WHEN contains(s, 'task_change') THEN 'change from ''' || ['walk', 'plants'][(o + floor({_OLD} * 2)::BIGINT) % 2 + 1] || ''' to ''' || ['umbrella', 'phone', 'papers'][(o + floor({_NEW} * 3)::BIGINT + 3) % 3 + 1] || ''''
+WHEN contains(s, 'medicine') THEN ['pills', 'vitamins'][(o + floor({_MEDICAL} * 2)::BIGINT) % 2 + 1] WHEN x = 'no_tool' THEN 'weather' ELSE ['laundry', 'stove', 'cat'][(o + floor({_OTHER} * 3)::BIGINT) % 3 + 1] END AS topic,
+CASE WHEN contains(s, 'missing_time') THEN 'no_time' ELSE ['clock', 'daypart'][(o + floor({_PLACE.format(16, 'event_id')} * 2)::BIGINT) % 2 + 1] END AS time_style FROM e"""
+)
+def variations(spark, d):
+    """Style, complexity, topic and time of every occurrence of a seed, and what it must avoid."""
+    k, o = F.col("event_id"), F.floor(F.col("event_id") / 7)
+    scenario = planning.cyclic_pick(["create_missing_task", "update_task_change", "no_tool_chat", "create_missing_time", "query_medicine", "delete_ambiguous", "other"], k % 7)
+    expected = planning.cyclic_pick(["missing_fields", "success", "no_tool", "missing_fields", "success", "ambiguous", "success"], k % 7)
+    tool = F.when(expected == "no_tool", "no_tool").otherwise("create")
+    pools = {"old": ["walk", "plants"], "new": ["umbrella", "phone", "papers"], "medical": ["pills", "vitamins"], "no_tool": ["weather"], "other": ["laundry", "stove", "cat"]}
+    one = cases.variation(expected, scenario, o, k, ["plain", "polite", "short"], ["one clause", "two clauses"])
+    two = cases.topic_profile(scenario, tool, o, k, pools, [("medical", ["medicine"]), ("old|new", ["task_change"])], ["clock", "daypart"])
+    return _t(spark, d, "events").select(k, one.alias("v"), two.alias("p")).select("event_id", "v.style", "v.complexity", "v.avoid", "p.topic", "p.time_style")
 
 
 def _affirmed(word: str) -> str:
