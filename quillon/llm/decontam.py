@@ -10,7 +10,8 @@ are ordered by their largest impacts: those whose largest impacts together stay
 under the threshold cannot bring an item over it, so only the blocks of the
 other lists are looked at; a block is opened only if the largest impacts of all
 its lists reach the threshold; and only in open blocks are postings added up.
-The steps of all documents of a chunk are taken at once, on arrays.
+The steps of many documents are taken at once, on arrays, in groups of bounded
+size.
 
 What is retrieved is verified on 5-word shingles: a document leaks an item if
 it holds half of the question's and half of the answer's shingles, or three
@@ -49,6 +50,7 @@ from quillon.llm._words import shingles, words
 from quillon.scratch import Scratch
 
 BLOCK = 8
+GROUP = 1 << 18  # words times blocks looked at together
 WORD = r"[^\x20\x09-\x0D]+"
 REACHED = 0.999  # of a threshold, which leaves room for rounding
 
@@ -203,9 +205,28 @@ def retrieve(column: pa.Array, index: Index) -> Iterator[tuple[int, int, float,
         at = np.minimum(np.searchsorted(index.vocabulary, w.hashes), len(index.vocabulary) - 1)
         known = index.vocabulary[at] == w.hashes
         pairs = np.unique(w.row_of()[known] * len(index.vocabulary) + at[known])
-        row, term = np.divmod(pairs, len(index.vocabulary))
-        bounds = np.searchsorted(row, np.arange(w.rows + 1))
-        some, block = _open_blocks(row, term, w.rows, index)
+        for row, term, first, rows in _groups(*np.divmod(pairs, len(index.vocabulary)), w.rows, index.blocks):
+            for r, i, value in _scored(row, term, rows, index):
+                yield w.first + first + r, i, value, w.hashes[w.bounds[first + r] : w.bounds[first + r + 1]]
+
+
+def _groups(row: np.ndarray, term: np.ndarray, rows: int, blocks: int) -> Iterator[tuple[np.ndarray, np.ndarray, int, int]]:
+    """Rows and words in groups of whole rows, numbered from 0, with the first row and the number of rows: a group has
+    ``GROUP`` pairs of a word and a block at most, or one row."""
+    bounds = np.searchsorted(row, np.arange(rows + 1))
+    at = 0
+    while at < rows:
+        to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + GROUP // blocks, "right")) - 1)
+        own = slice(bounds[at], bounds[to])
+        yield row[own] - at, term[own], at, to - at
+        at = to
+
+
+def _scored(row: np.ndarray, term: np.ndarray, rows: int, index: Index) -> Iterator[tuple[int, int, float]]:
+    """(row, item place, score) of what is at or over the threshold."""
+    if len(row):
+        bounds = np.searchsorted(row, np.arange(rows + 1))
+        some, block = _open_blocks(row, term, rows, index)
         asked, place = _ranges(bounds[some], bounds[some + 1])  # each open block is asked for all words of its row
         key = term[asked] * index.blocks + block[place]
         e = np.minimum(np.searchsorted(index.entry, key), len(index.entry) - 1)
@@ -218,8 +239,7 @@ def retrieve(column: pa.Array, index: Index) -> Iterator[tuple[int, int, float,
         score = np.bincount(back, index.impact[posting], len(scored))
         over = score >= REACHED
         for name, value in zip(scored[over].tolist(), score[over].tolist()):
-            r, i = divmod(name, len(index.ids))
-            yield w.first + r, i, value, w.hashes[w.bounds[r] : w.bounds[r + 1]]
+            yield *divmod(name, len(index.ids)), value
 
 
 def leaks(column: pa.Array, index: Index, s: Settings) -> dict[tuple[int, int], tuple[float, float, float]]:
