@@ -39,6 +39,7 @@ def judged_calls(calls: DataFrame, tools: DataFrame) -> DataFrame:
     extra = F.array_except(F.map_keys(args), F.col("takes"))
     said = lambda status, *text: error_payload(F.lit(status), F.concat(*text))
     listed = F.array_join(missing, ", ")
+    # The texts of errors.
     payload = (
         F.when(F.col("tool").isNull(), said("error", F.lit("Unknown tool: "), F.coalesce("name", F.lit("None"))))
         .when(F.col("kind") == "invalid", said("error", F.lit("Malformed JSON in tool arguments.")))

@@ -77,6 +77,7 @@ def cleaned(rows: DataFrame) -> DataFrame:
     answer = normal_answer(F.col("scenario"), F.col("_call.call_name"), variant_of(F.when(F.col("_kinds.arguments") == "object", arguments)), F.col("_payload"))
     rows = rows.withColumn("_answer", answer)
     wanted = expected_of(F.col("scenario"), 0)
+    # The texts of the first three reasons.
     error = (
         F.when(F.col("messages").isNull(), "messages must be list")
         .when(wanted.isNull(), F.when(F.col("_call").isNotNull() | F.col("_tool").isNotNull(), "no_tool scenario contains tool messages"))
@@ -116,6 +117,7 @@ def first_fault(sample: Column, scenario: Column, system: str) -> Column:
 
 
 def _fault(messages: Column, scenario: Column, system: str) -> Column:
+    # The texts of all reasons below.
     null = F.lit(None).cast("string")
     role = lambda m: text_of(field(m, "role"))
 
@@ -218,6 +220,7 @@ def normalised(rows: DataFrame) -> DataFrame:
     following = F.get("messages", F.col("_at"))
     answered = _is_tool(following)
     needs = ~F.startswith("scenario", F.lit("no_tool"))
+    # The texts of the reasons.
     error = F.when(F.col("messages").isNull(), "sample.messages must be a list").when(needs & (F.col("_at") == 0), "tool scenario missing assistant tool_calls message")
     call = first_call(F.col("messages"))
     given = F.when(answered & F.startswith(F.ltrim(following["content"]), F.lit("{")), following["content"]).otherwise(F.lit("{}"))

@@ -42,6 +42,7 @@ def offline_utterance(template: Column, matched: Column, intent: Column, slots:
         step = F.coalesce(*[F.when((intent == i) & (raw("adjustment") == a), F.lit(v[at])) for (i, a), v in STEPS.items()])
         level = _word(raw("level"), LEVELS, at, F.coalesce(raw("level"), F.lit("None")))
         noun = _word(intent, NOUNS, at, F.lit(""))
+        # The wordings of levels and channels in both languages.
         exact = F.concat(F.lit("Set the "), noun, F.lit(" to "), level, F.lit(".")) if at == 0 else F.concat(F.lit("把"), noun, F.lit("设为"), level, F.lit("。"))
         channel = slot("channel", "1")
         switch = F.concat(F.lit("Switch to channel "), channel, F.lit(".")) if at == 0 else F.concat(F.lit("切换到"), channel, F.lit("通道。"))
@@ -62,6 +63,7 @@ def offline_utterance(template: Column, matched: Column, intent: Column, slots:
         switches = F.coalesce((intent == "monitor_control") & (raw("action") == "switch_channel"), F.lit(False))
         text = F.when(levels, F.coalesce(step, exact)).when(switches, switch).otherwise(filled)
         turn = F.pmod(occurrence, F.lit(3))
+        # The framings in both languages.
         if at:
             framed = F.when(turn == 1, F.concat(F.lit("麻烦你"), text)).when(turn == 2, F.concat(F.regexp_replace(text, "。+$", ""), F.lit("，现在就弄。")))
         else:

@@ -770,3 +770,21 @@ def stream_append(spark, d):
         stream = spark.readStream.schema(events.schema).parquet(f"{folder}/in")
         notices.append_once(stream, ["event_id"], "ts", "60 days", folder).awaitTermination()
     return spark.read.parquet(f"{folder}/rows").groupBy("event_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    """WITH e AS (SELECT event_id, date_trunc('second', ts) AS now FROM events)
+SELECT event_id, CASE event_id % 12 WHEN 0 THEN date_trunc('minute', now) - INTERVAL 40 DAY WHEN 1 THEN date_trunc('minute', now) + INTERVAL 3 HOUR WHEN 2 THEN now + to_days((event_id % 25)::INT) WHEN 3 THEN date_trunc('day', now) + INTERVAL 9 HOUR WHEN 4 THEN date_trunc('day', now) + INTERVAL 45 HOUR WHEN 5 THEN date_trunc('day', now) + INTERVAL 32 HOUR + INTERVAL 30 MINUTE
+WHEN 6 THEN date_trunc('day', now) + to_days(((event_id % 7)::INT)) + INTERVAL 19 HOUR WHEN 10 THEN now + INTERVAL 100 DAY WHEN 11 THEN date_trunc('day', now) + INTERVAL 12 MINUTE END AS at FROM e"""
+)
+def free_times(spark, d):
+    """Dates and clocks in words and figures, read at each event's time; some unreadable."""
+    k, now = F.col("event_id"), F.date_trunc("second", "ts").cast("timestamp_ntz")
+    on = lambda days, shape: F.date_format(now + F.make_dt_interval(days=days), shape)
+    number = lambda n: F.lit(n)
+    three = F.date_format(now + F.expr("interval 3 hours"), "MMMM d, yyyy 'at' h:mm a")
+    phrases = [
+        F.concat(F.lit("on "), on(number(-40), "yyyy-MM-dd HH:mm")), F.concat(F.lit("Around "), three), F.concat(F.lit("the "), on(k % 25, "d"), F.lit("th of "), on(k % 25, "MMM"), F.lit(" please")), F.concat(on(number(0), "M/d/yyyy"), F.lit(" 9am")), F.lit("Tomorrow"), F.lit("tomorrow at 8:30"),
+        F.concat(on(k % 7, "EEEE"), F.lit(" 7 p.m.")), F.lit("no idea"), F.lit("Feb 30"), F.lit("today"), F.concat(on(number(100), "yyyy-MM-dd'T'HH:mm:ss")), F.lit("today 12:12 am"),
+    ]
+    return _t(spark, d, "events").select("event_id", timex.free_time(F.get(F.array(*phrases), (k % 12).cast("int")), now).alias("at"))
