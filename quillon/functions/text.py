@@ -136,10 +136,9 @@ def first_forbidden(x: Column, patterns: list[str], negations: list[str]) -> Col
     The 30 characters before an occurrence are stripped, trailing punctuation is
     dropped, and the rest is negated if it ends with a negation.
     """
-    lower = strip(F.lower(x))
     stop = F.array(*[F.lit(n) for n in negations])
 
-    def affirmed(p: str) -> Column:
+    def affirmed(lower: Column, p: str) -> Column:
         pieces = F.split(lower, rf"\Q{p}\E")
         # the 30 characters before an occurrence reach back over short pieces: the tail is carried from piece to piece
         tails = F.aggregate(
@@ -152,7 +151,7 @@ def first_forbidden(x: Column, patterns: list[str], negations: list[str]) -> Col
         )
         return F.contains(lower, F.lit(p)) & tails["hit"]
 
-    return F.coalesce(*[F.when(affirmed(p), F.lit(p)) for p in patterns])
+    return let(strip(F.lower(x)), lambda lower: F.coalesce(*[F.when(affirmed(lower, p), F.lit(p)) for p in patterns]))
 
 
 def chat_text(role: Column, content: Column) -> Column:

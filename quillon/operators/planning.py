@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillon.operators.store import numbered
+
 
 def seeded(seed: int, key: Column) -> Column:
     """Hex MD5 of ``seed:key``: an order that looks random and is reproducible."""
@@ -54,6 +56,14 @@ def first_rows(df: DataFrame, order: str, n: int) -> DataFrame:
     return df.orderBy(order).limit(n) if n else df
 
 
+def rows_at(df: DataFrame, order: str, places: list[int]) -> DataFrame:
+    """``asked`` and the row at each of a few places (from 0) in the order of a whole number, held within the table."""
+    asked = df.sparkSession.createDataFrame([(p,) for p in places], "asked long")
+    last = df.agg((F.count(F.lit(1)) - 1).alias("last"))
+    wanted = asked.join(F.broadcast(last)).select("asked", F.greatest(F.lit(0), F.least("asked", "last")).alias("_at"))  # one row
+    return numbered(df, order, "_n").join(F.broadcast(wanted), F.col("_n") == F.col("_at")).select("asked", *df.columns)
+
+
 def random_split(df: DataFrame, key: str, ratio: float, seed: int, buckets: int = 256) -> DataFrame:
     """``df`` with ``part``: the first rows in seeded order are val.
 

@@ -46,6 +46,13 @@ def duplicate_groups(df: DataFrame, text: Column, order: str, blank: bool = Fals
     return found.groupBy("a", "b", "n", "first").agg(F.min("text").alias("text")).select("text", "n", "first")
 
 
+def last_of_role(df: DataFrame, conversation: str, turn: str, role: str, wanted: str, text: str) -> DataFrame:
+    """``conversation``, ``turn`` and text (``said``) of the last message of a role, and how many it has (``n``); one row a
+    conversation, by partial maxima."""
+    own = F.col(role) == wanted
+    return df.groupBy(conversation).agg(F.max(F.when(own, F.col(turn))).alias("turn"), F.max_by(text, F.when(own, F.col(turn))).alias("said"), F.count_if(F.coalesce(own, F.lit(False))).alias("n"))
+
+
 def surplus(groups: DataFrame) -> DataFrame:
     """``groups`` and ``surplus`` (copies beyond the first) of a table of duplicate groups."""
     return groups.agg(F.count(F.lit(1)).alias("groups"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("surplus"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillon.functions import intent, jsonx, text, timex
-from quillon.operators import cases, device, evaluation, planning, profile, quality, store
+from quillon.operators import cases, device, evaluation, planning, profile, quality, render, store
 from quillon.streaming import due, notices
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -528,12 +528,15 @@ def gold_plan(spark, d):
 
 
 @query(
-    f"""WITH c AS ({_CASE}), r AS (SELECT case_id, 'rem_0001' AS reminder_id, lower(n_name) AS task FROM c WHERE expected = 'success' AND tool <> 'create'
-UNION ALL SELECT case_id, unnest(['rem_0001', 'rem_0002']), lower(n_name) FROM c WHERE expected = 'ambiguous'
-UNION ALL SELECT case_id, 'rem_d001', 'water the orchids' FROM c UNION ALL SELECT case_id, 'rem_d002', 'charge the phone' FROM c) SELECT * FROM r"""
+    f"""WITH c AS ({_CASE}), s AS (SELECT case_id, 'rem_0001' AS reminder_id, lower(n_name) AS task, CASE WHEN tool = 'query' AND case_id % 2 = 1 THEN 'tomorrow at 4:00 PM' ELSE 'tomorrow' END AS time_text FROM c WHERE expected = 'success' AND tool <> 'create'
+UNION ALL SELECT case_id, 'rem_0001', lower(n_name), 'tomorrow morning' FROM c WHERE expected = 'ambiguous' UNION ALL SELECT case_id, 'rem_0002', lower(n_name), 'tomorrow evening' FROM c WHERE expected = 'ambiguous'
+UNION ALL SELECT case_id, 'rem_d001', 'water the orchids', 'tomorrow morning' FROM c UNION ALL SELECT case_id, 'rem_d002', 'charge the phone', 'tonight at 9:00 PM' FROM c)
+SELECT *, CASE time_text WHEN 'tomorrow at 4:00 PM' THEN '2026-05-27T16:00:00' WHEN 'tomorrow evening' THEN '2026-05-27T19:00:00' WHEN 'tonight at 9:00 PM' THEN '2026-05-26T21:00:00' ELSE '2026-05-27T09:00:00' END || '+08:00' AS scheduled_time,
+'self' AS target, 'active' AS status, '2026-05-24T10:50:06+08:00' AS created_at, '2026-05-25T11:50:06+08:00' AS updated_at, (row_number() OVER (PARTITION BY case_id ORDER BY reminder_id) - 1)::INT AS place FROM s"""
 )
 def initial_state(spark, d):
-    return cases.starting_reminders(_cases(spark, d), "2026-05-26 11:50:06", "+08:00").select("case_id", "reminder_id", "task")
+    """The reminders that each case starts with, whole."""
+    return cases.starting_reminders(_cases(spark, d), "2026-05-26 11:50:06", "+08:00")
 
 
 @query(f"SELECT case_id, CASE WHEN case_id % 3 = 0 THEN 0 ELSE 1 END::BIGINT AS reminders, CASE WHEN case_id % 3 = 0 THEN 'missing initialized reminders' END AS failure FROM ({_CASE})")
@@ -788,3 +791,64 @@ def free_times(spark, d):
         F.concat(on(k % 7, "EEEE"), F.lit(" 7 p.m.")), F.lit("no idea"), F.lit("Feb 30"), F.lit("today"), F.concat(on(number(100), "yyyy-MM-dd'T'HH:mm:ss")), F.lit("today 12:12 am"),
     ]
     return _t(spark, d, "events").select("event_id", timex.free_time(F.get(F.array(*phrases), (k % 12).cast("int")), now).alias("at"))
+
+
+@query(
+    """SELECT event_id, CASE WHEN event_id % 4 <> 0 THEN ' ' || event_type END AS kept, CASE WHEN event_id % 4 = 0 THEN 'none' ELSE ' ' || event_type END AS filled, event_id % 3 = 1 AS cjk, '{"k": ' || event_id || '}' AS bare,
+'http://' || event_type || '/v1' AS url, CASE WHEN event_id % 4 = 0 THEN 'b' ELSE event_type END AS first, CASE WHEN event_id % 2 = 0 THEN event_type || '_tool' END AS called FROM events"""
+)
+def text_forms(spark, d):
+    """Small normal forms: blanks, fences, addresses, the first text that says something, the name in a broken call."""
+    k, e = F.col("event_id"), F.col("event_type")
+    put = lambda *x: F.concat(*[F.lit(v) if isinstance(v, str) else v.cast("string") for v in x])
+    spaced = F.when(k % 4 == 0, " \t ").otherwise(put(" ", e))
+    fenced = F.when(k % 3 == 0, put("```json\n{\"k\": ", k, "}\n```")).when(k % 3 == 1, put(" ```\n{\"k\": ", k, "}```  ")).otherwise(put("{\"k\": ", k, "}"))
+    url = F.when(k % 3 == 0, put(" http://", e, "/v1/ ")).when(k % 3 == 1, put("http://", e, "/v1/chat/completions")).otherwise(put("http://", e, "/v1//"))
+    broken = F.when(k % 2 == 0, put('{"arguments": {, "name" : "', e, '_tool", "name": "other"')).otherwise(put('{"name": "', F.upper(e), '"'))
+    return _t(spark, d, "events").select(
+        "event_id", text.blank_to_null(spaced).alias("kept"), text.with_fallback(spaced, "none").alias("filled"), text.has_cjk(F.when(k % 3 == 1, put(e, "提醒")).otherwise(put(e, "é あ"))).alias("cjk"),
+        text.without_fences(fenced).alias("bare"), text.base_url(url).alias("url"), text.first_set(F.lit(None).cast("string"), spaced, F.lit(" b ")).alias("first"), text.called_name(broken).alias("called"),
+    )
+
+
+@query("SELECT CASE WHEN event_id % 3 = 0 THEN '' ELSE event_type END AS text, count(*) AS n, min(event_id) AS first FROM events GROUP BY 1 HAVING count(*) > 1")
+def blank_duplicates(spark, d):
+    """Groups of equal texts, blank ones included."""
+    said = F.when(F.col("event_id") % 3 == 0, "  ").otherwise(F.concat(F.lit(" "), F.upper("event_type")))
+    return profile.duplicate_groups(_t(spark, d, "events"), text.squeezed(said), "event_id", blank=True)
+
+
+@query(
+    """SELECT event_id, CASE event_id % 6 WHEN 0 THEN '好的，已经为您设置提醒：' || event_type || '。' WHEN 1 THEN '好的，我来帮您处理。还缺少这些信息：task。' WHEN 2 THEN '我找到了多个匹配的提醒，您想操作哪一个？' WHEN 3 THEN '我没有找到匹配的提醒，您要不要换个条件试试？' WHEN 4 THEN '好的，已完成。' ELSE '抱歉，刚才处理时出了点问题，我们再试一次。' END AS said FROM events"""
+)
+def default_answers(spark, d):
+    """Fixed replies by tool and status."""
+    k = F.col("event_id") % 6
+    tool = F.when(k == 0, "create_reminder").when(k == 4, "other").otherwise("delete_reminder")
+    status = planning.cyclic_pick(["success", "missing_fields", "ambiguous", "not_found", "success", "odd"], k)
+    return _t(spark, d, "events").select("event_id", cases.default_answer(tool, status, F.col("event_type"), F.lit("task")).alias("said"))
+
+
+@query(
+    "SELECT event_id, round(greatest(0.75, least(1.05, 0.75 + (1.05 - 0.75) * (('0x' || left(md5('7:' || event_id), 7))::BIGINT / 268435456.0::DOUBLE))), 9) AS temperature FROM events"
+)
+def temperatures(spark, d):
+    """Sampling temperatures between bounds, drawn by key."""
+    return _t(spark, d, "events").select("event_id", F.round(render.temperature(F.col("event_id")), 9).alias("temperature"))
+
+
+@query(
+    "SELECT conv_id, max(turn) FILTER (role = 'user') AS turn, arg_max(text, turn) FILTER (role = 'user') AS said, count(*) FILTER (role = 'user') AS n FROM conversations GROUP BY conv_id"
+)
+def last_by_role(spark, d):
+    """The last message of one role in each conversation, without ordering a conversation."""
+    return profile.last_of_role(_t(spark, d, "conversations"), "conv_id", "turn", "role", "user", "text")
+
+
+@query(
+    "WITH n AS (SELECT count(*) AS n FROM documents), r AS (SELECT doc_id, text, row_number() OVER (ORDER BY doc_id) - 1 AS place FROM documents) SELECT asked, doc_id, coalesce(contains(text, 'the'), false) AS has_a, coalesce(contains(text, '@'), false) AS has_b FROM (SELECT unnest([0, 17, 1000000000, -5]) AS asked) JOIN n ON true JOIN r ON place = greatest(0, least(asked, n - 1))"
+)
+def picked_rows(spark, d):
+    """Single rows by their place, held within the table, with the marks that they contain."""
+    docs = _t(spark, d, "documents").select("doc_id", "text")
+    return planning.rows_at(docs, "doc_id", [0, 17, 1_000_000_000, -5]).select("asked", "doc_id", *[F.coalesce(F.contains("text", F.lit(m)), F.lit(False)).alias(n) for n, m in (("has_a", "the"), ("has_b", "@"))])

@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -206,8 +205,9 @@ def test_sources(spark, tmp_path):
     assert files.jsonl(spark, str(tmp_path / "out"), "line long, raw string").count() == 1
 
 
-def test_kinds_of_nothing():
-    assert list(jsonx._kinds(pd.Series([None, "{}"]))) == ["invalid", "object"]
+def test_kinds_of_nothing(spark):
+    rows = spark.createDataFrame([(0, None), (1, "{}")], "i int, t string").select("i", jsonx.strict_kind(F.col("t")).alias("k")).collect()
+    assert {r["i"]: r["k"] for r in rows} == {0: "invalid", 1: "object"}
 
 
 def test_dispatch_keeps_order(spark):
