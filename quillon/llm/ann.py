@@ -19,7 +19,8 @@ Equal vectors are indexed once, with the ids that a result can need.  A query
 that finds fewer neighbours than there are is repeated against all blocks.
 
 Defined results: rows without an id, and vectors that are null, zero, of another
-length than the pivots, or hold a null or non-finite component take no part;
+length than the commonest (of equally common ones the longest), or hold a null or
+non-finite component take no part;
 repeated rows count once; ties go to the smaller id; an empty table gives an
 empty result; columns other than ``vec_id`` and ``embedding`` are left out.
 """
@@ -158,25 +159,27 @@ def furthest(probes: DataFrame, distinct: DataFrame, neighbours: int, dims: int)
 
 
 def nearest(vectors: DataFrame, is_query: Column, s: Settings = Settings()) -> DataFrame:
-    """``query_id``, ``rank``, ``vec_id`` and ``score`` of each query's nearest rows.
+    """``query_id``, ``rank``, ``vec_id`` and ``score`` of each query's nearest rows, with how many of how many inverted
+    files a query ``visited``.
 
     ``vectors`` has ``vec_id`` and ``embedding``; ``is_query`` is over ``vec_id``.
     """
     spark = vectors.sparkSession
     scratch = Scratch(spark)
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double, visited int, files int")
     rows = usable(vectors if vectors.schema["embedding"].dataType.elementType.typeName() == "float" else vectors.withColumn("embedding", F.col("embedding").cast("array<double>")))
     w = Window.partitionBy("embedding").orderBy("vec_id")
     few = rows.withColumn("n", F.row_number().over(w)).where(F.col("n") <= s.neighbours + 1)  # limited before the shuffle
     distinct = scratch.save(few.groupBy("embedding").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")))
-    total = distinct.count()
+    shape = distinct.groupBy(F.size("embedding").alias("dims")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.desc("dims")).first()
+    if shape is None:
+        return empty
+    dims, total = shape["dims"], shape["n"]
+    distinct = distinct.where(F.size("embedding") == dims)
     wanted = min(s.most_pivots, math.ceil(6 * total ** (1 / 3)))
     sample = distinct.select("embedding").orderBy(F.xxhash64(F.lit(s.seed), "embedding"), "embedding").limit(wanted).collect()
-    if not sample:
-        return empty
     kind = "f4" if vectors.schema["embedding"].dataType.elementType.typeName() == "float" else "f8"
-    dims = len(sample[0]["embedding"])
-    pivots = np.array([r["embedding"] for r in sample if len(r["embedding"]) == dims], np.float64)
+    pivots = np.array([r["embedding"] for r in sample], np.float64)
     prefix, visited, posted = (min(x, len(pivots)) for x in (s.prefix, s.visited, s.posted))
     shared = spark.sparkContext.broadcast(pivots)
     entries = scratch.save(_posted(distinct, ["ids"], shared, posted, prefix, "ids array<long>, vec binary, perm binary, pivot int"))
@@ -199,6 +202,8 @@ def nearest(vectors: DataFrame, is_query: Column, s: Settings = Settings()) -> D
     while within and visited < len(pivots):
         asked, hits = visit(probes, visited)
         right = hits.select("query_id", "score", F.explode("ids").alias("vec_id")).where("query_id <> vec_id").distinct()
+        near = Window.partitionBy("query_id").orderBy("score")
+        right = right.withColumn("r", F.row_number().over(near)).where(F.col("r") <= s.neighbours)  # a probe has no more that count
         got = [(r["query_id"], r["score"]) for r in right.collect()]
         hit = sum(min(n, sum(q == name and d <= limit for q, d in got)) for name, (limit, n) in within.items())
         scratch.drop(asked, hits)
@@ -218,4 +223,4 @@ def nearest(vectors: DataFrame, is_query: Column, s: Settings = Settings()) -> D
         found = found.unionAll(more.select("query_id", "score", F.explode("ids").alias("vec_id")).where("query_id <> vec_id")).distinct()
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= s.neighbours)
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score", F.lit(visited).alias("visited"), F.lit(len(pivots)).alias("files"))
