@@ -15,8 +15,9 @@ Each class is tried against the smallest class that shares a band with it; what
 is then still apart is compared between components only, in each bucket.
 Buckets of over ``Settings.small_bucket`` members are compared in blocks of
 ``Settings.block`` members, or fewer where their sets are long, whatever the
-bucket's size: every pair of different components is compared, and no pair is
-listed on its own.  A pair counts in the first band that it shares only, and
+bucket's size: every pair of different components is compared, and those that
+survive pruning are listed by member until they are verified; links alone are
+given out, and of those only ones that connect.  A pair counts in the first band that it shares only, and
 each set goes once to each pair of blocks that needs it, so rows follow the
 members of a bucket as long as it fits a block and grow by one copy of each
 member for every further block.
