@@ -16,7 +16,9 @@ space.  Bounds of the ranges come from a summary of all keys; the low bits of a
 key are a hash of the row, so equal documents, however many, spread over ranges.
 Tokens are summed by range (one row a range reaches the driver), the rows are
 shuffled once by range, sorted within it, and each task cuts what it holds: the
-place of a range in the stream is known, so no task waits for another.
+place of a range in the stream is known, so no task waits for another.  A range
+has ``range_tokens`` at most up to ``most_ranges`` ranges (1 TB of tokens) and
+grows beyond; a task sorts on disk and streams what it cuts.
 
 Defined results: a null text is empty and gives the end token alone; equal keys
 go by row number; repeated rows are documents of their own; a document longer
@@ -52,7 +54,8 @@ class Settings:
     dims: int = 4
     bits: int = 10
     seed: int = 13
-    range_tokens: int = 1 << 22
+    range_tokens: int = 1 << 25
+    most_ranges: int = 1 << 14
 
 
 def hilbert_key(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -185,7 +188,7 @@ def pack(docs: DataFrame, keep: list[str], text: str = "text", path: str | None
     spread = F.shiftrightunsigned(F.xxhash64(F.lit(s.seed), "uid"), 64 - HASH_BITS)
     rows = scratch.save(rows.withColumn("place", F.shiftleft("cell_key", HASH_BITS).bitwiseOR(spread)))
     tokens = rows.agg(F.sum("n")).first()[0] or 0
-    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(tokens / s.range_tokens))
+    ranges = min(s.most_ranges, max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(tokens / s.range_tokens)))
     bounds = rows.agg(F.percentile_approx("place", [i / ranges for i in range(1, ranges)], max(10_000, 50 * ranges))).first()[0] if ranges > 1 else []
     edges = np.array(sorted(set(bounds or [])), np.int64)
 
@@ -229,7 +232,7 @@ def pack(docs: DataFrame, keep: list[str], text: str = "text", path: str | None
             last, at = int(span[-1]), int(offset[-1] + ends[-1])
 
     kinds = f"row {kind}, cell_key long, n long, ids binary, uid long, place long, span int"
-    dealt = rows.mapInArrow(range_of, kinds).repartitionByRange("span").sortWithinPartitions("span", "place", "uid")
+    dealt = rows.mapInArrow(range_of, kinds).repartitionByRange(ranges, "span").sortWithinPartitions("span", "place", "uid")
     pieces = "start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, doc_key long"
     out = dealt.mapInArrow(cut, f"row {kind}, {pieces}")
     return out.select("row.*", F.struct(*[p.split()[0] for p in pieces.split(", ")]).alias("piece"))
