@@ -465,6 +465,29 @@ def offline_utterances(spark, d):
     return _t(spark, d, "events").select("event_id", said.alias("said"))
 
 
+_WALLS, _SPANS = list(render.WALLPAPERS.items()), list(render.RANGES.items())
+
+
+@query(
+    f"""WITH x AS (SELECT event_id, CASE event_id % 4 WHEN 0 THEN '把壁纸换成' || {[v for _, v in _WALLS]}[event_id % {len(_WALLS)} + 1] || '。' WHEN 1 THEN '查一下' || {[v for _, v in _SPANS]}[event_id % {len(_SPANS)} + 1] || '的告警。' WHEN 2 THEN '把' || '{render.NOUNS['set_brightness'][1]}' || '设为' || (event_id % 100) || '。' ELSE '今天天气怎么样' END AS said FROM events)
+SELECT event_id, CASE WHEN event_id % 4 = 3 THEN said WHEN event_id % 3 = 1 THEN '麻烦你' || said WHEN event_id % 3 = 2 THEN rtrim(said, '。') || '，现在就弄。' ELSE said END AS said FROM x"""
+)
+def chinese_utterances(spark, d):
+    """Commands worded in Chinese without a model: wallpapers, spans of time, levels, and texts that are no command."""
+    k = F.col("event_id")
+    kind = k % 4
+    slots = F.map_filter(
+        F.create_map(
+            F.lit("wallpaper_type"), planning.cyclic_pick([w for w, _ in _WALLS], k), F.lit("time_range"), planning.cyclic_pick([w for w, _ in _SPANS], k), F.lit("level"), F.when(kind == 2, (k % 100).cast("string")),
+        ),
+        lambda _, v: v.isNotNull(),
+    )
+    template = F.when(kind == 0, "把壁纸换成{wallpaper_type}。").when(kind == 1, "查一下{time_range}的告警。").when(kind == 3, "今天天气怎么样")
+    intent = planning.cyclic_pick(["change_wallpaper", "query_alarm_records", "set_brightness", "none"], kind)
+    said = render.offline_utterance(template, kind != 3, intent, slots, k, F.lit(True))
+    return _t(spark, d, "events").select("event_id", said.alias("said"))
+
+
 _U7 = "(('0x' || left(md5('{0}:' || idx), 7))::BIGINT / 268435456.0::DOUBLE)"
 
 
