@@ -46,6 +46,15 @@ def fold(key: Column | str, folds: int) -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string") if isinstance(key, str) else key, F.lit("")).cast("binary")) % folds
 
 
+def text_order(seed: int) -> Column:
+    """The hash of ``text`` by whose ``place_of`` samples are ordered."""
+    return F.xxhash64(F.lit(seed), "text")
+
+
+def place_of(order: str) -> Column:
+    return F.shiftrightunsigned(order, 11)
+
+
 def sampled_texts(rows: DataFrame, groups: list[str], per_group: int, seed: int, value: Column) -> DataFrame:
     """``groups``, ``o`` and ``value`` of at most ``per_group`` distinct texts of each group: those of the smallest hashes ``o``.
 
@@ -53,7 +62,7 @@ def sampled_texts(rows: DataFrame, groups: list[str], per_group: int, seed: int,
     hash range that holds half as many again is cut out first, by the number of
     distinct texts of each group; what is ranked in one task is bounded by it.
     """
-    order = F.xxhash64(F.lit(seed), "text")
+    order = text_order(seed)
     distinct = rows.select(*groups, order.alias("o")).distinct()
     hashed = rows.select(*groups, order.alias("o"), value.alias("value"))
     if groups:
@@ -64,7 +73,7 @@ def sampled_texts(rows: DataFrame, groups: list[str], per_group: int, seed: int,
         hashed = hashed.join(sizes, [F.col(g) == F.col(f"_{g}") for g in groups])
     else:
         hashed = hashed.withColumn("_n", F.lit(distinct.count()))
-    place = F.shiftrightunsigned("o", 11)
+    place = place_of("o")
     inside = place.cast("double") * F.lit(2.0**-53) * F.col("_n") < 1.5 * per_group + 50
     once = hashed.where(inside).groupBy(*groups, "o").agg(F.min("value").alias("value"))
     if not groups:

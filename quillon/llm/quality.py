@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillon.llm._arrow import add_columns, sampled_texts
+from quillon.llm._arrow import add_columns, place_of, sampled_texts, text_order
 from quillon.llm._words import row_chunks, text_bytes, words
 
 PAIRS = 1024
@@ -171,9 +171,12 @@ def _sample(texts: DataFrame, rows: int, s: Settings) -> np.ndarray:
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, s: Settings = Settings()) -> Linear:
     """Learn from the positives of ``labels`` (``doc_id``, ``quality``) and all documents where ``learn`` holds."""
-    learning = docs.where(learn).select("doc_id", "text")
-    trusted = learning.join(labels.where("quality = 1").select("doc_id").distinct(), "doc_id", "left_semi")
-    return train(_sample(trusted, s.sample, s), _sample(learning, s.sample, s), s)
+    learning = docs.where(learn).select("doc_id", "text", text_order(s.seed).alias("hash"))
+    positive = labels.where("quality = 1").select("doc_id").distinct()
+    hashes = learning.select("doc_id", "hash").join(positive, "doc_id", "left_semi").select("hash").distinct()
+    picked = hashes.orderBy(place_of("hash"), "hash").limit(s.sample)  # the texts that the sample takes; no other text is moved
+    trusted = learning.join(F.broadcast(picked), "hash", "left_semi")
+    return train(_sample(trusted.select("text"), s.sample, s), _sample(learning.select("text"), s.sample, s), s)
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, learn: Column, s: Settings = Settings()) -> DataFrame:
