@@ -54,28 +54,37 @@ def due_at_polls(events: DataFrame, polls: DataFrame, key: str, scheduled: str,
     return met.select(key, scheduled, F.col("next_tick").alias("notified_at"))
 
 
-def notify_stream(polls: DataFrame, lead_minutes: int) -> DataFrame:
+def notify_stream(polls: DataFrame, lead_minutes: int, buckets: int = 4096) -> DataFrame:
     """Stream of notifications from a stream of (``reminder_id``, ``scheduled``, ``now``, ``status``).
 
-    The state of a reminder is when it was last notified; a later time set for
-    it arms it again.
+    What is kept of a reminder is when it was last notified; a later time set for
+    it arms it again.  Polls at which nothing is due change nothing and go first.
+    Reminders share state by hash: one state a bucket, as a call and a state for
+    each reminder cost far more than its rows.
     """
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = pd.Timestamp(state.get[0], unit="us") if state.exists else None
+        last = dict(zip(*state.get, strict=True)) if state.exists else {}
+        rows = pd.concat(frames).sort_values("now_us", kind="stable")
         fired = []
-        every = list(frames)
-        for row in (pd.concat(every) if len(every) > 1 else every[0]).sort_values("now").itertuples():
-            start = row.scheduled - pd.Timedelta(minutes=lead_minutes)
-            if row.status == "active" and start <= row.now <= row.scheduled and (last is None or last < start):
-                fired.append((key[0], row.scheduled, row.now))
-                last = row.now
-        if last is not None:
-            state.update((int(last.value // 1000),))
+        ids = rows["reminder_id"].tolist() if key[0] >= 0 else [None] * len(rows)  # null ids have a bucket of their own
+        for row in zip(ids, rows["scheduled_us"].tolist(), rows["now_us"].tolist(), strict=True):
+            reminder, scheduled, now = row
+            if reminder not in last or last[reminder] < scheduled - lead:
+                fired.append(row)
+                last[reminder] = now
         if fired:
-            yield pd.DataFrame(fired, columns=["reminder_id", "scheduled", "notified_at"])
-
-    return polls.groupBy("reminder_id").applyInPandasWithState(step, "reminder_id long, scheduled timestamp, notified_at timestamp", "last long", "append", GroupStateTimeout.NoTimeout)
+            state.update((list(last), list(last.values())))
+            yield pd.DataFrame(fired, columns=["reminder_id", "scheduled_us", "now_us"])
+
+    lead = lead_minutes * 60_000_000
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp")).alias(f"{c}_us")
+    own = F.col("reminder_id").cast("long")
+    bucket = F.when(own.isNull(), -1).otherwise(F.pmod(F.xxhash64(own), F.lit(buckets)))
+    rows = polls.where(is_due(F.col("scheduled"), F.col("now"), lead_minutes, F.col("status") == "active"))
+    rows = rows.select(own.alias("reminder_id"), micros("scheduled"), micros("now"), bucket.alias("bucket"))
+    told = rows.groupBy("bucket").applyInPandasWithState(step, "reminder_id long, scheduled_us long, now_us long", "ids array<long>, lasts array<long>", "append", GroupStateTimeout.NoTimeout)
+    return told.select("reminder_id", F.timestamp_micros("scheduled_us").alias("scheduled"), F.timestamp_micros("now_us").alias("notified_at"))
 
 
 def notify_each(notices: DataFrame, checkpoint: str, tell: Callable[[DataFrame, int], None], every: str | None = None) -> StreamingQuery:

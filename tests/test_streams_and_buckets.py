@@ -66,6 +66,27 @@ def test_notices_by_timers_over_runs(spark, tmp_path):
     assert told[2] == []
 
 
+def test_notifier_calls_python_by_bucket(spark, tmp_path):
+    """Runs over one state: a later time arms a reminder again, ids that share a bucket or are null keep apart, and the
+    states are those of buckets, not of reminders."""
+    schema = "reminder_id long, scheduled timestamp, now timestamp, status string"
+    parts = [
+        [(i, at(100), at(80), "active") for i in range(300)] + [(0, at(100), at(75), "active"), (500, at(100), at(90), "off"), (501, at(100), at(60), "active"), (None, at(100), at(80), "active"), (2**60 + 1, at(100), at(80), "active")],
+        [(0, at(100), at(99), "active"), (1, at(105), at(90), "active"), (2, at(200), at(175), "active"), (2, at(200), at(180), "active"), (None, at(100), at(90), "active"), (500, at(200), at(190), "active")],
+    ]
+    seen = []
+    for rows in parts:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = due.notify_stream(spark.readStream.schema(schema).parquet(f"{tmp_path}/in"), 30, buckets=8)
+        query = stream.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start(f"{tmp_path}/out")
+        query.awaitTermination()
+        assert sum(o["numRowsTotal"] for p in query.recentProgress for o in p["stateOperators"]) <= 9
+        every = {(r["reminder_id"], r["scheduled"], r["notified_at"]) for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+        seen.append(every.difference(*seen))
+    assert seen[0] == {(i, at(100), at(80)) for i in [*range(1, 300), None, 2**60 + 1]} | {(0, at(100), at(75))}
+    assert seen[1] == {(2, at(200), at(175)), (500, at(200), at(190))}
+
+
 def test_append_once_over_runs(spark, tmp_path):
     folder = str(tmp_path)
     stream = lambda: spark.readStream.schema("k long, t timestamp, v string").parquet(f"{folder}/in")
