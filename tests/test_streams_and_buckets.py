@@ -87,6 +87,17 @@ def test_notifier_calls_python_by_bucket(spark, tmp_path):
     assert seen[1] == {(2, at(200), at(175)), (500, at(200), at(190))}
 
 
+def test_callback_is_told_of_reminders_that_share_states(spark, tmp_path):
+    schema = "reminder_id long, scheduled timestamp, now timestamp, status string"
+    spark.createDataFrame([(i, at(100), at(80 + j), "active") for i in range(6000) for j in range(2)], schema).coalesce(1).write.parquet(f"{tmp_path}/in")
+    told = []
+    stream = due.notify_stream(spark.readStream.schema(schema).parquet(f"{tmp_path}/in"), 30)
+    query = due.notify_each(stream, f"{tmp_path}/state", lambda batch, n: told.extend(r["reminder_id"] for r in batch.collect()))
+    query.awaitTermination()
+    assert sorted(told) == list(range(6000))
+    assert sum(o["numRowsTotal"] for p in query.recentProgress for o in p["stateOperators"]) <= 4096
+
+
 def test_append_once_over_runs(spark, tmp_path):
     folder = str(tmp_path)
     stream = lambda: spark.readStream.schema("k long, t timestamp, v string").parquet(f"{folder}/in")
