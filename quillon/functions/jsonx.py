@@ -34,7 +34,13 @@ def _reduced(x: Column) -> Column:
     flat = F.regexp_replace(F.regexp_replace(x, STRING, '""'), SCALAR, "0")
     flat = F.regexp_replace(flat, r"[ \t\n\r]+", "")
     depth = lambda t: F.sequence(F.lit(1), F.greatest(F.lit(1), F.regexp_count(t, F.lit(r"[\[{]"))))
-    return let(flat, lambda t: F.aggregate(depth(t), t, lambda left, _: F.regexp_replace(left, CLOSED, "0")))
+    state = lambda left, settled: F.struct(left.alias("left"), settled.alias("settled"))
+
+    def step(acc: Column) -> Column:
+        return let(F.regexp_replace(acc["left"], CLOSED, "0"), lambda left: state(left, left == acc["left"]))
+
+    # a level that changes nothing is the last; those after it do not look at the text
+    return let(flat, lambda t: F.aggregate(depth(t), state(t, F.lit(False)), lambda acc, _: F.when(acc["settled"], acc).otherwise(step(acc)), lambda acc: acc["left"]))
 
 
 def strict_kind(x: Column) -> Column:

@@ -2,6 +2,7 @@
 
 import json
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -76,3 +77,14 @@ def test_typed_comparison(spark):
         assert tuple(r["c"]) == compared(*pairs[r["i"]]), pairs[r["i"]]
     odd = spark.createDataFrame([(None, "{}"), ("[1]", "{}"), ('{"a": 1}', None), ('{"a": 1}', "oops")], "a string, b string").select(jsonx.compare_values(F.col("a"), F.col("b")).alias("c")).collect()
     assert [r["c"] and tuple(r["c"]) for r in odd] == [None, None, (1, 0, ["missing:a"]), (1, 0, ["missing:a"])]
+
+
+def test_long_arrays_take_time_in_line_with_their_length(spark):
+    """Levels that change nothing are not repeated for every bracket of a text."""
+    body = ", ".join(f'{{"event_id": {i}, "tags": [[{i}]]}}' for i in range(20000))
+    texts = [f"[{body}]", f"[{body}, {{", f"[{body}]]", "[" * 40 + "]" * 40, "[" * 40 + "]" * 39]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").repartition(2)
+    began = time.monotonic()
+    kinds = rows.select("i", jsonx.strict_kind(F.col("t")).alias("k")).collect()
+    assert [r["k"] for r in sorted(kinds)] == ["array", "invalid", "invalid", "array", "invalid"]
+    assert time.monotonic() - began < 60
