@@ -214,3 +214,20 @@ def test_repeated_batches_are_told_once(spark, tmp_path):
     due.notify_each(stream, str(tmp_path / "state"), lambda batch, at: told.extend(r["reminder_id"] for r in batch.collect())).awaitTermination()
     due.notify_each(stream, str(tmp_path / "state"), lambda batch, at: told.extend(r["reminder_id"] for r in batch.collect())).awaitTermination()
     assert sorted(told) == [0, 1, 2, 3, 4]
+
+
+def test_many_copies_are_answered_by_groups(spark):
+    """As many requests that say the same as reminders that do: counted without 400 million pairs."""
+    n = 20000
+    ids = spark.range(n)
+    null = F.lit(None).cast("string")
+    held = ids.select(F.format_string("rem_%05d", "id").alias("reminder_id"), F.lit("water plants").alias("task"), F.lit("2026-05-01T09:00:00+08:00").alias("scheduled_time"), F.lit("slot 1").alias("time_text"), F.lit("self").alias("target"), F.lit("active").alias("status"), *[null.alias(c) for c in ("created_at", "updated_at", "notified_at")])
+    one = F.when(F.col("id") == 7, "rem_00007")
+    asked = ids.select(F.col("id").alias("request_id"), F.when(F.col("id") == 7, "delete").otherwise("query").alias("tool"), one.alias("reminder_id"), F.lit("the plant").alias("task"), F.lit("SLOT  1").alias("time_text"), null.alias("time_iso"), *[null.alias(c) for c in ("new_task", "new_time_text", "new_time_iso")])
+    out = store.answers(asked, held, listed=False)
+    assert "candidates" not in out.columns
+    assert sorted(out.groupBy("tool", "status", "n", "reminder_id").count().collect()) == [("delete", "success", 1, "rem_00007", 1), ("query", "success", n, None, n - 1)]
+    after = store.applied(held, asked, out, "now")
+    assert [tuple(r) for r in after.where("status = 'deleted'").select("reminder_id", "updated_at").collect()] == [("rem_00007", "now")]
+    pairs = store.candidates(asked.where("request_id < 600"), held)
+    assert pairs.count() == pairs.select(F.struct("*")).distinct().count() == 599 * n + 1
