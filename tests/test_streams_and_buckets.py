@@ -4,6 +4,7 @@ import datetime as dt
 import os
 import random
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from quillon.sources import buckets, files
@@ -133,3 +134,38 @@ def test_counts_are_observed_as_rows_pass(spark, tmp_path):
     told = files.write_three(rows, "error", f"{tmp_path}/good", f"{tmp_path}/bad", f"{tmp_path}/report")
     assert told == {"total": 100, "kept": 66, "rejected": 34} == files.jsonl(spark, f"{tmp_path}/report", "total long, kept long, rejected long").first().asDict()
     assert spark.read.json(f"{tmp_path}/good").count() == 66 and spark.read.json(f"{tmp_path}/bad").count() == 34
+
+
+class _Value:
+    def __init__(self, calls):
+        self.calls, self.value = calls, None
+
+    def _put(self, value):
+        self.calls.append("put")
+        self.value = value
+
+    def exists(self):
+        return self.get() is not None
+
+    def get(self):
+        self.calls.append("get")
+        return self.value
+
+    def update(self, value):
+        self._put(value)
+
+    def clear(self):
+        self._put(None)
+
+
+def test_notifier_reads_state_once_a_key():
+    """Each call of the state goes to another process, so their number must not follow the rows of a key."""
+    calls, timers = [], set()
+    processor = notices.Notifier(30 * 60_000, 86_400_000)
+    processor.waiting, processor.last = _Value(calls), _Value(calls)
+    processor.handle = type("Handle", (), {"registerTimer": lambda self, t: timers.add(t), "deleteTimer": lambda self, t: timers.discard(t), "listTimers": lambda self: iter(set(timers))})()
+    hour = 3_600_000
+    rows = pd.DataFrame({"at_ms": [i * hour for i in range(1000)], "scheduled_ms": [i * hour + 600_000 for i in range(1000)]})
+    out = pd.concat(processor.handleInputRows(("a",), iter([rows]), None))
+    assert out["notified_ms"].tolist() == rows["at_ms"].tolist()[:-1] and timers == {999 * hour, 998 * hour + 86_400_000}
+    assert len(calls) <= 8
