@@ -231,3 +231,12 @@ def test_many_copies_are_answered_by_groups(spark):
     assert [tuple(r) for r in after.where("status = 'deleted'").select("reminder_id", "updated_at").collect()] == [("rem_00007", "now")]
     pairs = store.candidates(asked.where("request_id < 600"), held)
     assert pairs.count() == pairs.select(F.struct("*")).distinct().count() == 599 * n + 1
+
+
+def test_tasks_of_pairs_follow_their_number(spark, monkeypatch):
+    monkeypatch.setattr(store, "PAIRS", 1000)
+    rows = [(f"rem_{i}", "water plants", None, None, "self", "active", None, None, None) for i in range(600)]
+    asked = spark.range(100).select(F.col("id").alias("request_id"), *[F.lit(v).cast("string").alias(c) for c, v in (("reminder_id", None), ("task", "plants"), ("time_text", None), ("time_iso", None))])
+    pairs = store.candidates(asked, spark.createDataFrame(rows, store.REMINDER))
+    assert pairs.rdd.getNumPartitions() == 61
+    assert pairs.distinct().count() == pairs.count() == 60000
