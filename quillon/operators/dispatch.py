@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillon.functions.jsonx import strict_kind
+from quillon.scratch import SHUFFLED
 
 # The tools, the arguments that each takes and those that it needs.
 REGISTRY = [
@@ -74,4 +75,4 @@ def tool_messages(calls: DataFrame, results: DataFrame) -> DataFrame:
         F.col("request_id").alias("call_id"),
         F.to_json(F.struct((F.col("status") == "success").alias("state"), "status", "missing_fields", "reminder_id", F.col("candidates").alias("reminders"))).alias("answer"),
     )
-    return calls.join(found, "call_id", "left").select("call_id", F.coalesce("name", F.lit("unknown")).alias("name"), F.coalesce("payload", "answer").alias("content"))
+    return calls.join(found.hint(SHUFFLED), "call_id", "left").select("call_id", F.coalesce("name", F.lit("unknown")).alias("name"), F.coalesce("payload", "answer").alias("content"))

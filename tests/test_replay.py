@@ -143,3 +143,14 @@ def test_replay_of_nothing(spark):
     none = spark.createDataFrame([], "scope string, " + store.REMINDER)
     answers, after = replay.replay(none, spark.createDataFrame([], REQUEST), "now")
     assert answers.count() == 0 and after.count() == 0
+
+
+def test_joins_are_not_broadcast(spark):
+    """However small the files of the tables look, the driver collects none of them."""
+    rows = [("s", i, "create", None, f"task {i % 3}", "t", "2026-05-01T09:00:00+08:00", None, None, None) for i in range(6)] + [("s", 6, "delete", "rem_0001", None, None, None, None, None, None)]
+    asked = replay._judged(spark.createDataFrame(rows, REQUEST), spark.createDataFrame([], f"scope string, {store.REMINDER}"))
+    made = asked.where("made is not null").select("scope", F.col("made").alias("rid"), (2 * F.col("turn") + 1).alias("moment"), "task", "time_text", F.col("time_iso").alias("scheduled_time"), F.lit("self").alias("target"), F.lit(None).cast("boolean").alias("dead"))
+    keys = asked.select("at", "turn", "scope", F.lit("task:task 1").alias("key"), F.lit(True).alias("by_task"), "time_text", "time_iso")
+    hits = asked.where("tool = 'delete'").select("scope", "at", F.lit("rem_0001").alias("rid"))
+    plan = replay._Store(made, asked, keys, 4, 16).found(hits)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
