@@ -48,3 +48,9 @@ def test_stream_fires_once_for_each_event(spark):
     out = QUERIES["due_stream"](spark, TABLES)
     n = spark.read.parquet(f"{TABLES}/events.parquet").count()
     assert out.count() == out.select("reminder_id").distinct().count() == n
+
+
+def test_snapshot_answers_once(spark):
+    """What requests did is written once, not answered again for updates and for deletes."""
+    plan = QUERIES["mutated_snapshot"](spark, TABLES)._jdf.queryExecution().optimizedPlan().toString()
+    assert "everything" not in plan
