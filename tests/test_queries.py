@@ -50,6 +50,12 @@ def test_stream_fires_once_for_each_event(spark):
     assert out.count() == out.select("reminder_id").distinct().count() == n
 
 
+def test_messages_are_read_once(spark):
+    """The status of a message is not read anew for every call that gets it."""
+    plan = QUERIES["run_calls"](spark, TABLES)._jdf.queryExecution().optimizedPlan().toString()
+    assert "get_json_object" not in plan
+
+
 def test_snapshot_answers_once(spark):
     """What requests did is written once, not answered again for updates and for deletes."""
     plan = QUERIES["mutated_snapshot"](spark, TABLES)._jdf.queryExecution().optimizedPlan().toString()
