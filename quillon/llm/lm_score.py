@@ -4,9 +4,9 @@ Words are lower-cased runs of bytes other than space and 0x09-0x0D; each text
 ends with one end token.  Three passes read all whole texts:
 
 1. counts of every word of the training texts (a shuffled sum; any number of words);
-2. windows: a share of all places, each with the symbols before it.  Symbols
-   are the most frequent words, one for each of 256 classes of the other words
-   by their last two bytes, and the end;
+2. symbols: the training texts, word by word, written once.  Symbols are the
+   most frequent words, one for each of 256 classes of the other words by their
+   last two bytes, and the end;
 3. scores.
 
 The model sums the vectors of the ``Settings.context`` symbols before a place,
@@ -16,12 +16,16 @@ Either level is trained against noise of its own unigram law, and normalised
 by matrix products over all its members; a word without a symbol has its
 smoothed share of its class of endings.
 
-Both the number of words with a symbol and the number of windows grow as the
-root of the training tokens (``Settings.words_per_root``,
-``Settings.windows_per_root``).  The model travels to every task: at most
+The model learns from every place of every training text.  The texts are dealt
+at random over a few rounds (``Settings.rounds``); in each, every task goes on
+from the same model through its own texts, and what the tasks have learned is
+averaged, row by row over the tasks that met it, by a shuffle.  The model alone
+passes the driver.
+
+The number of words with a symbol grows as the root of the training tokens
+(``Settings.words_per_root``).  The model travels to every task: at most
 ``Settings.most_words`` words, some 80 MB, which is reached at about a billion
-tokens; further words share the classes of endings.  The windows are written
-and read by the driver piece by piece, so its memory does not grow with them.
+tokens; further words share the classes of endings.
 The counts of words without a symbol are joined by a shuffle.
 
 Defined results: a null or empty text is the end token alone; repeated rows get
@@ -31,6 +35,7 @@ symbols; columns of the input pass through, except those that are added.
 
 from __future__ import annotations
 
+import copy
 import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -47,19 +52,29 @@ from quillon.scratch import Scratch
 
 CLASSES = 256
 SMOOTHING = 0.1
+PIECE = 1 << 16  # places written at once
+PIECES = 16  # that go to a task at once
+ROWS = 2048  # rows of a table of the model averaged at once
 
 
 @dataclass(frozen=True)
 class Settings:
+    """``batch`` to ``most_batch`` places a step, as many as leave a task ``least_steps``; ``windows_per_root`` times
+    the root of the training tokens are the least places of a round, of which there are at most ``rounds``."""
+
     words_per_root: float = 4.0
     most_words: int = 1 << 18
     windows_per_root: float = 256.0
+    rounds: int = 8
     context: int = 3
     dimensions: int = 32
     noise: int = 20
     noise_draws: int = 1024
     noise_words: int = 8
+    word_draws: int = 32
+    noise_block: int = 512
     batch: int = 4096
+    most_batch: int = 32768
     least_steps: int = 250
     rate: float = 0.1
     seed: int = 17
@@ -162,9 +177,8 @@ def lexicon(counts: DataFrame, texts: int, s: Settings) -> Lexicon:
     return Lexicon(h[by_hash], symbol[by_hash], n[by_hash], symbol[len(n) : -1], int(symbol[-1]), law, n_all, v_all, class_words, class_distinct, texts)
 
 
-def sequence(w: Words, symbol: np.ndarray, end: int, context: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Symbols of all places of all texts (words, then the end), those before each (nearest first, ends
-    before the first), and the bounds of the texts among the places."""
+def laid_out(w: Words, symbol: np.ndarray, end: int, context: int) -> tuple[np.ndarray, np.ndarray]:
+    """The symbols of all texts, each led by ``context`` ends and closed by one, and where the words and closing ends are."""
     long = np.diff(w.bounds) + 1
     bounds = np.concatenate([[0], np.cumsum(long)])
     at = np.arange(bounds[-1]) + context * (np.repeat(np.arange(w.rows), long) + 1)
@@ -172,27 +186,48 @@ def sequence(w: Words, symbol: np.ndarray, end: int, context: int) -> tuple[np.n
     is_end = np.zeros(int(bounds[-1]), bool)
     is_end[bounds[1:] - 1] = True
     laid[at[~is_end]] = symbol
+    return laid, at
+
+
+def sequence(w: Words, symbol: np.ndarray, end: int, context: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Symbols of all places of all texts (words, then the end), those before each (nearest first, ends
+    before the first), and the bounds of the texts among the places."""
+    laid, at = laid_out(w, symbol, end, context)
+    bounds = np.concatenate([[0], np.cumsum(np.diff(w.bounds) + 1)])
     return laid[at], np.stack([laid[at - j] for j in range(1, context + 1)], 1), bounds
 
 
-def windows(texts: DataFrame, lex: Lexicon, s: Settings) -> DataFrame:
-    """``w``: packed rows of a symbol and those before it, at a share of all places of the column ``text``."""
+def places(laid: np.ndarray, end: int, context: int) -> np.ndarray:
+    """Which symbols of whole texts of ``laid_out`` are words or closing ends: all but the ``context`` ends before a text."""
+    is_end = laid == end
+    return ~is_end | (np.cumsum(is_end) % (context + 1) == 0)
+
+
+def symbols(texts: DataFrame, lex: Lexicon, rounds: int, s: Settings) -> DataFrame:
+    """``w``: packed symbols of whole texts of the column ``text``, as ``laid_out``, and the ``round`` they are dealt to."""
     shared = texts.sparkSession.sparkContext.broadcast(lex)
-    share = min(1.0, s.windows_per_root / math.sqrt(max(1, lex.tokens)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rng = np.random.Generator(np.random.PCG64([s.seed, TaskContext.get().partitionId()]))
-        own = shared.value
+        own, held = shared.value, [[] for _ in range(rounds)]
+
+        def packed(k: int) -> pa.RecordBatch:
+            w, held[k] = np.concatenate(held[k]).astype(np.int32).tobytes(), []
+            return pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([w], pa.binary())], ["round", "w"])
+
         for batch in batches:
-            out = []
             for w in words(batch.column(0)):
-                now, before, _ = sequence(w, own.symbols_of(w)[2], own.end, s.context)
-                some = np.flatnonzero(rng.random(len(now)) < share)
-                out.append(np.concatenate([now[some, None], before[some]], 1).astype(np.int32).tobytes())
-            if any(out):
-                yield pa.RecordBatch.from_arrays([pa.array([b"".join(out)], pa.binary())], ["w"])
+                laid, _ = laid_out(w, own.symbols_of(w)[2], own.end, s.context)
+                dealt = np.repeat(rng.integers(0, rounds, w.rows), np.diff(w.bounds) + 1 + s.context)
+                for k in range(rounds):
+                    held[k].append(laid[dealt == k])
+                    if sum(map(len, held[k])) >= PIECE:
+                        yield packed(k)
+        for k in range(rounds):
+            if sum(map(len, held[k])):
+                yield packed(k)
 
-    return texts.select("text").mapInArrow(run, "w binary")
+    return texts.select("text").mapInArrow(run, "round int, w binary")
 
 
 class LogBilinear:
@@ -234,23 +269,39 @@ class LogBilinear:
         group, member = np.divmod(now, self.width)
         order = np.argsort(group, kind="stable")
         cuts = np.searchsorted(group[order], np.arange(self.classes + 1))
-        rows = np.arange(block)
+        space = np.empty(block * max(self.width, self.classes), np.float32)
+        classes, every = _Scores(self.of_class, self.class_bias, space), np.zeros(block, np.int64)
+        q = np.ones((block, self.context.shape[1] + 1), np.float32)  # the last column brings the bias
         for g in np.flatnonzero(np.diff(cuts)):
             own = slice(g * self.width, (g + 1) * self.width)
+            symbols = _Scores(self.symbol[own], self.bias[own], space)
             for lo in range(cuts[g], cuts[g + 1], block):
                 some = order[lo : min(lo + block, cuts[g + 1])]
-                q = self.summed(before[some])
-                z = q @ self.of_class.T
-                z += self.class_bias
-                total = z[:, g].copy()
-                total -= _log_sum(z)
-                z = q @ self.symbol[own].T
-                z += self.bias[own]
-                total += z[rows[: len(some)], member[some]]
-                out[some] = total - _log_sum(z)
+                here = q[: len(some)]
+                here[:, :-1] = self.summed(before[some])
+                longest = math.sqrt(np.einsum("td,td->t", here[:, :-1], here[:, :-1]).max())
+                out[some] = classes.log(here, every[: len(some)] + g, longest) + symbols.log(here, member[some], longest)
         return out / math.log(10)
 
 
+class _Scores:
+    """Normalised logs of one level, worked out in ``space``."""
+
+    def __init__(self, vectors: np.ndarray, bias: np.ndarray, space: np.ndarray):
+        self.by = np.concatenate([vectors, bias[:, None]], 1).T
+        self.longest, self.top = math.sqrt(np.einsum("td,td->t", vectors, vectors).max()), float(np.abs(bias[bias > -1e29]).max())
+        self.space, self.ones = space, np.ones(len(bias), np.float32)
+
+    def log(self, q: np.ndarray, chosen: np.ndarray, longest: float) -> np.ndarray:
+        """Of ``chosen`` in each row; ``longest`` is the length of the longest row of ``q`` without its last column."""
+        z = np.matmul(q, self.by, out=self.space[: len(q) * len(self.ones)].reshape(len(q), -1))
+        own = z[np.arange(len(q)), chosen]
+        if longest * self.longest + self.top > 60:  # exponentials might not fit
+            return own - _log_sum(z)
+        np.exp(z, out=z)
+        return own - np.log(z @ self.ones)
+
+
 def _log_sum(z: np.ndarray) -> np.ndarray:
     """Log of the sum of exponentials of each row; overwrites ``z``."""
     top = z.max()
@@ -264,82 +315,246 @@ def _log_sum(z: np.ndarray) -> np.ndarray:
     return top + np.log(z.sum(1))
 
 
-class _Adagrad:
-    """Steps scaled by the root of the squares of all gradients so far, row by row where few rows have one."""
+def _sigmoid(z: np.ndarray) -> np.ndarray:
+    """The logistic function, in place."""
+    np.negative(z, out=z)
+    with np.errstate(over="ignore"):
+        np.exp(z, out=z)
+    z += 1
+    return np.reciprocal(z, out=z)
 
-    def __init__(self, rate: float):
-        self.rate, self.squares = rate, {}
 
-    def step(self, name: str, weights: np.ndarray, grad: np.ndarray, ids: np.ndarray | None = None) -> None:
-        """Go up ``grad``; ``ids`` names the rows of its rows, which may repeat."""
-        seen = self.squares.setdefault(name, np.full(weights.shape, 1e-2, np.float32))
-        if ids is None:
-            seen += grad * grad
-            weights += self.rate * grad / np.sqrt(seen)
-            return
-        order = np.argsort(ids, kind="stable")
-        own = ids[order]
-        first = np.concatenate([[0], np.flatnonzero(np.diff(own)) + 1])
-        total, rows = np.add.reduceat(grad[order], first, axis=0), own[first]
-        seen[rows] += total * total
-        weights[rows] += self.rate * total / np.sqrt(seen[rows])
+def _order(ids: np.ndarray) -> np.ndarray:
+    """A stable order of numbers under 2**32, by their halves."""
+    order = np.argsort(ids.astype(np.uint16), kind="stable")
+    high = (ids >> 16).astype(np.uint16)
+    return order[np.argsort(high[order], kind="stable")] if high.any() else order
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+def _runs(ids: np.ndarray) -> np.ndarray:
+    """Where each number of ordered ``ids`` begins."""
+    return np.concatenate([[0], np.flatnonzero(np.diff(ids)) + 1])
 
 
-def train(lex: Lexicon, pieces: Callable[[], Iterator[bytes]], total: int, s: Settings) -> LogBilinear:
-    """Noise-contrastive estimation over ``total`` windows, read anew in every pass.
+class Trainer:
+    """A model, the law of its noise, and steps scaled by the root of the squares of all gradients so far (Adagrad by rows).
 
     A class is told apart from ``noise`` times as many drawn from the law of
     classes, a symbol from ``noise_words`` drawn from the law of its class.
+    Draws are shared: those of classes by the places of a block, those of
+    symbols by the places of a step that have the same class.
     """
-    m = LogBilinear(lex.law, lex.width, s)
+
+    TABLES = ("context", "place", "of_class", "class_bias", "symbol", "bias")
+
+    def __init__(self, law: np.ndarray, width: int, s: Settings):
+        self.s, self.m = s, LogBilinear(law, width, s)
+        self.squares = {name: np.full(len(getattr(self.m, name)), 1e-2, np.float32) for name in self.TABLES}
+        self.upto_class = np.cumsum(self.m.class_law / self.m.class_law.sum())
+        upto = np.cumsum(self.m.within.reshape(-1, width), axis=1).ravel()
+        self.upto = np.arange(len(upto)) // width + upto  # class number plus the share up to each of its symbols
+        self.log_within = (self.m.bias + math.log(s.noise_words)).astype(np.float32)
+        self.log_class = np.log(s.noise * self.m.class_law).astype(np.float32)
+
+    def _up(self, name: str, grad: np.ndarray, ids: np.ndarray, rate: float) -> None:
+        """Go up ``grad``, whose rows are those of ``ids``; none repeats."""
+        weights, seen = getattr(self.m, name), self.squares[name]
+        grad = grad.reshape(len(ids), -1)
+        seen[ids] += np.einsum("td,td->t", grad, grad) / grad.shape[1]
+        step = grad * (rate / np.sqrt(seen[ids]))[:, None]
+        weights[ids] += step if weights.ndim > 1 else step[:, 0]
+
+    def learn(self, laid: np.ndarray, asked: np.ndarray, rng: np.random.Generator, batch: int, rate: Callable[[int], float]) -> None:
+        """Steps of ``batch`` symbols through ``laid``, predicting those ``asked``; ``rate`` is told how many came before."""
+        for lo in range(0, len(laid), batch):
+            lead = max(0, lo - self.s.context)
+            some = asked[lead : lo + batch].copy()
+            some[: lo - lead] = False
+            if some.any():
+                self._step(laid[lead : lo + batch], some, rng, rate(lo))
+
+    def _step(self, laid: np.ndarray, asked: np.ndarray, rng: np.random.Generator, rate: float) -> None:
+        """One step on both levels; places are taken in the order of their symbols."""
+        m, c = self.m, self.s.context
+        given = m.context[laid]
+        q = np.zeros_like(given)
+        for j in range(c):
+            q[j + 1 :] += given[: -1 - j] * m.place[j]
+        order = _order(laid)
+        at = order[asked[order]]
+        now, q = laid[at], q[at]
+        group = now // m.width
+        pull = self._classes(q, group, rng, rate) + self._symbols(q, now, group, rng, rate)
+        pulls = np.zeros_like(given)
+        pulls[at] = pull
+        back, place = np.zeros_like(given), np.empty_like(m.place)
+        for j in range(c):
+            back[: -1 - j] += pulls[j + 1 :] * m.place[j]
+            place[j] = np.einsum("td,td->d", pulls[j + 1 :], given[: -1 - j])
+        self._up("place", place / math.sqrt(len(at)), np.arange(c), rate)
+        met = laid[order]
+        first = _runs(met)
+        self._up("context", np.add.reduceat(back[order], first, axis=0), met[first], rate)
+
+    def _classes(self, q: np.ndarray, group: np.ndarray, rng: np.random.Generator, rate: float) -> np.ndarray:
+        """Step towards the class of each place and away from the noise of its block; what pulls ``q``."""
+        m, s, n, d = self.m, self.s, *q.shape
+        long = min(s.noise_block, n)
+        blocks = -(-n // long)
+        draws = max(s.noise, s.noise_draws // blocks)
+        drawn = np.minimum(np.searchsorted(self.upto_class, rng.random((blocks, draws)), "right"), m.classes - 1)
+        bias = m.class_bias - self.log_class
+        padded = np.zeros((blocks * long, d), np.float32)
+        padded[:n] = q
+        padded, noise = padded.reshape(blocks, long, d), m.of_class[drawn]
+        away = np.matmul(padded, noise.transpose(0, 2, 1))
+        away += bias[drawn][:, None]
+        _sigmoid(away)
+        away *= -s.noise / draws
+        away.reshape(blocks * long, draws)[n:] = 0
+        pull = np.matmul(away, noise).reshape(-1, d)[:n]
+        own = m.of_class[group]
+        near = 1 - _sigmoid(np.einsum("td,td->t", q, own) + bias[group])
+        pull += near[:, None] * own
+        first = _runs(group)
+        ids = np.concatenate([group[first], drawn.ravel()])
+        cuts = [*first, n]
+        towards = np.stack([near[a:b] @ q[a:b] for a, b in zip(cuts[:-1], cuts[1:])])
+        grad = np.concatenate([towards, np.matmul(away.transpose(0, 2, 1), padded).reshape(-1, d)])
+        grad_bias = np.concatenate([np.add.reduceat(near, first), away.sum(1).ravel()])
+        order = _order(ids)
+        first = _runs(ids[order])
+        ids = ids[order][first]
+        self._up("of_class", np.add.reduceat(grad[order], first, axis=0), ids, rate)
+        self._up("class_bias", np.add.reduceat(grad_bias[order], first), ids, rate)
+        return pull
+
+    def _symbols(self, q: np.ndarray, now: np.ndarray, group: np.ndarray, rng: np.random.Generator, rate: float) -> np.ndarray:
+        """Step towards the symbol of each place and away from the noise of its class; what pulls ``q``."""
+        m, s = self.m, self.s
+        bias = m.bias - self.log_within
+        own = m.symbol[now]
+        near = 1 - _sigmoid(np.einsum("td,td->t", q, own) + bias[now])
+        own *= near[:, None]
+        starts = _runs(group)
+        present = group[starts][:, None]
+        drawn = np.searchsorted(self.upto, present + rng.random((len(present), s.word_draws)), "right")
+        drawn, times = np.unique(np.minimum(drawn, (present + 1) * m.width - 1), return_counts=True)
+        weight = (times * (-s.noise_words / s.word_draws)).astype(np.float32)
+        noise, noise_bias = m.symbol[drawn], bias[drawn]
+        grad, grad_bias = np.empty_like(noise), np.empty_like(noise_bias)
+        bounds, cuts = [*starts, len(q)], np.searchsorted(drawn, [*(present[:, 0] * m.width), m.classes * m.width])
+        for a, b, lo, hi in zip(bounds[:-1], bounds[1:], cuts[:-1], cuts[1:]):
+            away = q[a:b] @ noise[lo:hi].T
+            away += noise_bias[lo:hi]
+            _sigmoid(away)
+            away *= weight[lo:hi]
+            own[a:b] += away @ noise[lo:hi]
+            grad[lo:hi] = away.T @ q[a:b]
+            grad_bias[lo:hi] = away.sum(0)
+        first = _runs(now)
+        towards, towards_bias = np.add.reduceat(near[:, None] * q, first, axis=0), np.add.reduceat(near, first)
+        ids, back = np.unique(np.concatenate([now[first], drawn]), return_inverse=True)
+        total, total_bias = np.zeros((len(ids), q.shape[1]), np.float32), np.zeros(len(ids), np.float32)
+        total[back[: len(first)]], total_bias[back[: len(first)]] = towards, towards_bias
+        total[back[len(first) :]] += grad
+        total_bias[back[len(first) :]] += grad_bias
+        self._up("symbol", total, ids, rate)
+        self._up("bias", total_bias, ids, rate)
+        return own
+
+    def changes(self, start: Trainer) -> Iterator[tuple[str, int, np.ndarray, np.ndarray]]:
+        """Table, block, numbers and new rows (weights, then squares) of all that has moved since ``start``, by blocks of ``ROWS``."""
+        for name in self.TABLES:
+            now, before = (np.concatenate([getattr(t.m, name).reshape(len(t.squares[name]), -1), t.squares[name][:, None]], 1) for t in (self, start))
+            moved = np.flatnonzero((now != before).any(1))
+            rows = now[moved]
+            for block in np.unique(moved // ROWS):
+                lo, hi = np.searchsorted(moved, [block * ROWS, (block + 1) * ROWS])
+                yield name, int(block), moved[lo:hi], rows[lo:hi]
+
+    def put(self, name: str, ids: np.ndarray, rows: np.ndarray) -> None:
+        """Set rows as ``changes`` gives them."""
+        weights = getattr(self.m, name)
+        weights[ids] = rows[:, :-1] if weights.ndim > 1 else rows[:, 0]
+        self.squares[name][ids] = rows[:, -1]
+
+
+def _falling(s: Settings, done: float) -> float:
+    return s.rate * max(0.1, 1 - 0.9 * done)
+
+
+def train(lex: Lexicon, pieces: Callable[[], Iterator[bytes]], total: int, s: Settings) -> LogBilinear:
+    """The model of ``total`` windows at hand, packed rows of a symbol and those before it, nearest first; read anew in every pass."""
+    t = Trainer(lex.law, lex.width, s)
     if not total:
-        m.forget()
-        return m
+        t.m.forget()
+        return t.m
     rng = np.random.Generator(np.random.PCG64(s.seed + 1))
-    upto = np.concatenate([[0.0], np.cumsum(m.within.reshape(-1, m.width), axis=1).ravel()])
-    upto = np.arange(len(m.within)) // m.width + upto[1:]  # class number plus the share up to each of its symbols
-    log_within = (m.bias + math.log(s.noise_words)).astype(np.float32)
-    shift = np.log(s.noise * m.class_law).astype(np.float32)
-    passes = max(1, math.ceil(s.least_steps * s.batch / total))
-    steps, done, go = max(1, passes * total // s.batch), 0, _Adagrad(s.rate)
+    passes, done = max(1, math.ceil(s.least_steps * s.batch / total)), 0
+    long = s.context + 1
     for _ in range(passes):
         for piece in pieces():
-            rows = rng.permutation(np.frombuffer(piece, np.int32).reshape(-1, s.context + 1)).astype(np.int64)
-            for lo in range(0, len(rows), s.batch):
-                done += 1
-                go.rate = s.rate * max(0.1, 1 - 0.9 * done / steps)
-                _step(m, rows[lo : lo + s.batch], rng, upto, log_within, shift, go, s)
-    return m
-
-
-def _step(m: LogBilinear, rows: np.ndarray, rng: np.random.Generator, upto: np.ndarray, log_within: np.ndarray, shift: np.ndarray, go: _Adagrad, s: Settings) -> None:
-    """One step on both levels."""
-    now, before = rows[:, 0], rows[:, 1:]
-    group, n = now // m.width, len(rows)
-    vectors = m.context[before]
-    q = (vectors * m.place).sum(1)
-    drawn = (rng.multinomial(s.noise_draws, m.class_law / m.class_law.sum()) * (s.noise / s.noise_draws)).astype(np.float32)
-    likely = _sigmoid(q @ m.of_class.T + (m.class_bias - shift))
-    pull = -drawn * likely
-    pull[np.arange(n), group] += 1 - likely[np.arange(n), group]
-    g_q = pull @ m.of_class
-    go.step("of_class", m.of_class, pull.T @ q)
-    go.step("class_bias", m.class_bias, pull.sum(0))
-    noise = np.minimum(np.searchsorted(upto, group[:, None] + rng.random((n, s.noise_words)), "right"), (group[:, None] + 1) * m.width - 1)
-    ids = np.concatenate([now[:, None], noise], 1)
-    chosen = m.symbol[ids]
-    delta = np.einsum("td,tkd->tk", q, chosen) + m.bias[ids] - log_within[ids]
-    up = -_sigmoid(delta)
-    up[:, 0] += 1
-    g_q += np.einsum("tk,tkd->td", up, chosen)
-    go.step("symbol", m.symbol, (up[..., None] * q[:, None]).reshape(-1, q.shape[1]), ids.ravel())
-    go.step("bias", m.bias[:, None], up.reshape(-1, 1), ids.ravel())
-    go.step("place", m.place, np.einsum("td,tcd->cd", g_q, vectors) / math.sqrt(n))
-    go.step("context", m.context, (g_q[:, None] * m.place).reshape(-1, q.shape[1]), before.ravel())
+            laid = rng.permutation(np.frombuffer(piece, np.int32).reshape(-1, long))[:, ::-1].astype(np.int64).ravel()
+            asked = np.arange(len(laid)) % long == s.context
+            t.learn(laid, asked, rng, s.batch * long, lambda lo: _falling(s, (done + lo / long) / (passes * total)))
+            done += len(laid) // long
+    return t.m
+
+
+def _mean(table: pa.Table) -> pa.Table:
+    """The mean of each row of one block over the tasks that changed it."""
+    name, block = table["name"][0].as_py(), table["block"][0].as_py()
+    total, times = None, np.zeros(ROWS, np.float32)
+    for ids, rows in zip(table["ids"], table["rows"]):
+        ids = np.frombuffer(ids.as_py(), np.int32) - block * ROWS
+        rows = np.frombuffer(rows.as_py(), np.float32).reshape(len(ids), -1)
+        total = np.zeros((ROWS, rows.shape[1]), np.float32) if total is None else total
+        total[ids] += rows
+        times[ids] += 1
+    ids = np.flatnonzero(times)
+    rows = total[ids] / times[ids, None]
+    return pa.table({"name": [name], "block": pa.array([block], pa.int32()), "ids": [(ids + block * ROWS).astype(np.int32).tobytes()], "rows": [rows.tobytes()]})
+
+
+def fit(training: DataFrame, lex: Lexicon, s: Settings, scratch: Scratch) -> LogBilinear:
+    """The model of all places of the column ``text`` of ``training``, learned by tasks and averaged after each round."""
+    t = Trainer(lex.law, lex.width, s)
+    if not lex.tokens:
+        t.m.forget()
+        return t.m
+    rounds = min(s.rounds, math.ceil(lex.tokens / (s.windows_per_root * math.sqrt(lex.tokens))))
+    seen = scratch.save(symbols(training, lex, rounds, s), by="round")
+    most = max(1, lex.tokens // (s.least_steps * s.batch))  # tasks that each take enough steps
+    passes = max(1, math.ceil(s.least_steps * s.batch / lex.tokens))
+    for k in range(rounds):
+        given = seen.where(F.col("round") == k).select("w").coalesce(most)
+        tasks = max(1, given.rdd.getNumPartitions())
+        batch = min(max(s.batch, lex.tokens // (s.least_steps * tasks)), max(s.batch, s.most_batch))
+        expected = passes * lex.tokens / (rounds * tasks)
+        shared = training.sparkSession.sparkContext.broadcast(t)
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, k=k, batch=batch, expected=expected) -> Iterator[pa.RecordBatch]:
+            start = shared.value
+            own, rng, done = copy.deepcopy(start), np.random.Generator(np.random.PCG64([s.seed, k, TaskContext.get().partitionId()])), 0
+            for b in [list(batches)] * passes if passes > 1 else [batches]:
+                for pieces in b:
+                    laid = np.concatenate([np.frombuffer(w.as_py(), np.int32) for w in pieces.column(0)]).astype(np.int64)
+                    own.learn(laid, places(laid, lex_end, s.context), rng, batch, lambda lo, done=done: _falling(s, (k + min(1.0, (done + lo) / expected)) / rounds))
+                    done += len(laid)
+            for name, block, ids, rows in own.changes(start):
+                packed = pa.array([ids.astype(np.int32).tobytes()], pa.binary()), pa.array([rows.astype(np.float32).tobytes()], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([block], pa.int32()), *packed], ["name", "block", "ids", "rows"])
+
+        kind, lex_end = "name string, block int, ids binary, rows binary", lex.end
+        learned = scratch.save(given.mapInArrow(run, kind).groupBy("name", "block").applyInArrow(_mean, kind), batch_rows=PIECES)
+        for row in learned.toLocalIterator():
+            ids = np.frombuffer(row["ids"], np.int32)
+            t.put(row["name"], ids, np.frombuffer(row["rows"], np.float32).reshape(len(ids), -1))
+        scratch.drop(learned)
+        shared.destroy()
+    scratch.drop(seen)
+    return t.m
 
 
 def score_texts(docs: DataFrame, learn: Column, s: Settings = Settings()) -> DataFrame:
@@ -351,10 +566,7 @@ def score_texts(docs: DataFrame, learn: Column, s: Settings = Settings()) -> Dat
     training = docs.where(learn).select("text")
     counts = scratch.save(word_counts(training))
     lex = lexicon(counts, training.count(), s)
-    seen = scratch.save(windows(training, lex, s))
-    total = (seen.agg(F.sum(F.octet_length("w"))).first()[0] or 0) // (4 * (s.context + 1))
-    model = train(lex, lambda: (bytes(r["w"]) for r in seen.toLocalIterator()), total, s)
-    scratch.drop(seen)
+    model = fit(training, lex, s, scratch)
     shared = docs.sparkSession.sparkContext.broadcast((lex, model))
 
     def make():

@@ -94,6 +94,39 @@ def test_lm_scores_are_normalised_and_better_than_unigrams(spark):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held) + 0.2 * sum(r["n_tokens"] for r in held)
 
 
+def test_lm_learns_from_every_place(spark):
+    rng = random.Random(2)
+    two = [[f"a{i}" for i in range(30)], [f"b{i}" for i in range(30)]]
+    texts = [prose(rng, two[i % 2], 40) for i in range(400)] + ["", None]
+    docs = table(spark, texts).select("doc_id", "text").repartition(4)
+    s = lm_score.Settings(words_per_root=0.4, windows_per_root=0.5, dimensions=8, batch=64, least_steps=60)  # 0.5 / root: one place in 256
+    rows = lm_score.score_texts(docs, fold("doc_id", 10) != 0, s).where(fold("doc_id", 10) == 0)
+    gain = rows.agg(F.sum("score") - F.sum("base_score"), F.sum("n_tokens")).first()
+    assert gain[0] > 0.2 * gain[1]
+    lex = lm_score.lexicon(lm_score.word_counts(docs), docs.count(), s)
+    dealt = lm_score.symbols(docs, lex, 3, s).collect()
+    assert {r["round"] for r in dealt} == {0, 1, 2}
+    laid = [np.frombuffer(r["w"], np.int32) for r in dealt]
+    got = np.concatenate([x[lm_score.places(x, lex.end, s.context)] for x in laid])
+    all_of = np.concatenate([lm_score.sequence(w, lex.symbols_of(w)[2], lex.end, s.context)[0] for w in words(pa.array([*texts, texts[-1]]))])
+    assert len(got) == lex.tokens and np.sort(got).tolist() == np.sort(all_of).tolist()
+
+
+def test_lm_rows_are_averaged_over_the_tasks_that_changed_them():
+    s = lm_score.Settings(dimensions=2)
+    law = np.arange(30, 0, -1) / 465
+    start, a, b = (lm_score.Trainer(law, 7, s) for _ in range(3))
+    for t, by, ids in ((a, 1.0, [3, 4]), (b, 3.0, [4, 5])):
+        t.m.symbol[ids] += by
+        t.squares["symbol"][ids] += by
+    packed = [(n, k, i.astype(np.int32).tobytes(), r.astype(np.float32).tobytes()) for t in (a, b) for n, k, i, r in t.changes(start)]
+    name, _, ids, rows = (c[0].as_py() for c in lm_score._mean(pa.table([list(x) for x in zip(*packed)], ["name", "block", "ids", "rows"])).columns)
+    old = start.m.symbol.copy()
+    start.put(name, np.frombuffer(ids, np.int32), np.frombuffer(rows, np.float32).reshape(-1, 3))
+    assert np.allclose((start.m.symbol - old)[2:7, 0], [0, 1, 2, 3, 0], atol=1e-6)
+    assert np.allclose(start.squares["symbol"][2:7] - 1e-2, [0, 1, 2, 3, 0], atol=1e-6)
+
+
 def test_log_bilinear_probabilities_add_up_to_one():
     s = lm_score.Settings(dimensions=4)
     law = np.arange(30, 0, -1) / 465
