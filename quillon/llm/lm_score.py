@@ -36,6 +36,8 @@ symbols; columns of the input pass through, except those that are added.
 from __future__ import annotations
 
 import copy
+import functools
+import itertools
 import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -55,6 +57,10 @@ SMOOTHING = 0.1
 PIECE = 1 << 16  # places written at once
 PIECES = 16  # that go to a task at once
 ROWS = 2048  # rows of a table of the model averaged at once
+START_BITS = 18  # of a hash, by which words are found
+RUN = 12  # rows of a run that are summed together with those of other runs
+BLOCK = 256  # places whose vectors stay in the processor's cache
+LOG2_E = np.float32(1 / math.log(2))  # powers of 2 take half the time of those of e
 
 
 @dataclass(frozen=True)
@@ -136,8 +142,24 @@ class Lexicon:
         """Index of each hash among the words with a symbol, or -1."""
         if not len(self.hashes):
             return np.full(len(h), -1)
-        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == h, at, -1)
+        at = self._starts.take((h >> np.uint64(64 - START_BITS)).view(np.int64))
+        there = self._hashes.take(at)
+        low = np.flatnonzero(there < h)
+        while len(low):
+            at[low] += 1
+            there[low] = self._hashes.take(at[low])
+            low = low[there[low] < h[low]]
+        at[(there != h) | (at == len(self.hashes))] = -1
+        return at
+
+    @functools.cached_property
+    def _starts(self) -> np.ndarray:
+        """Where the hashes begin that have each value of the first ``START_BITS`` bits; hashes are spread evenly."""
+        return np.searchsorted(self.hashes, np.arange(1 << START_BITS, dtype=np.uint64) << np.uint64(64 - START_BITS))
+
+    @functools.cached_property
+    def _hashes(self) -> np.ndarray:
+        return np.append(self.hashes, np.uint64((1 << 64) - 1))
 
     def symbols_of(self, w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per word its index among the words with a symbol, its class of endings and its symbol."""
@@ -253,53 +275,90 @@ class LogBilinear:
         """Back to the unigram law."""
         self.context[:] = 0
 
-    def summed(self, before: np.ndarray) -> np.ndarray:
-        """The vector that predicts what follows, for each row of symbols before."""
-        out = self.context[before[:, 0]] * self.place[0]
-        for j in range(1, before.shape[1]):
-            out += self.context[before[:, j]] * self.place[j]
-        return out
+    def log10(self, now: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """Normalised log10-probability of each symbol after those before it."""
+        return Scorer(self).log10(now, before)
+
+
+class Scorer:
+    """Normalised logs by a model that no longer changes."""
 
-    def log10(self, now: np.ndarray, before: np.ndarray, block: int = 1024) -> np.ndarray:
+    def __init__(self, m: LogBilinear, block: int = 1024):
+        self.m, self.block = m, block
+        self.place = np.repeat(m.place[:, None], block, 1)
+        self.room = np.empty((2, block, m.context.shape[1]), np.float32)
+        space = np.empty(block * max(m.width, m.classes), np.float32)
+        self.classes = _Scores(m.of_class, m.class_bias, space)
+        self.symbols = [_Scores(m.symbol[lo : lo + m.width], m.bias[lo : lo + m.width], space) for lo in range(0, len(m.symbol), m.width)]
+
+    def log10(self, now: np.ndarray, before: np.ndarray) -> np.ndarray:
         """Normalised log10-probability of each symbol after those before it, by batched matrix products.
 
         Places are taken class by class, in blocks whose scores stay in the processor's cache.
         """
         out = np.empty(len(now))
-        group, member = np.divmod(now, self.width)
-        order = np.argsort(group, kind="stable")
-        cuts = np.searchsorted(group[order], np.arange(self.classes + 1))
-        space = np.empty(block * max(self.width, self.classes), np.float32)
-        classes, every = _Scores(self.of_class, self.class_bias, space), np.zeros(block, np.int64)
-        q = np.ones((block, self.context.shape[1] + 1), np.float32)  # the last column brings the bias
+        group, member = np.divmod(now, self.m.width)
+        order = _order(group)
+        group, member, before = group.take(order), member.take(order), [before[:, j].take(order) for j in range(before.shape[1])]
+        cuts = np.searchsorted(group, np.arange(self.m.classes + 1))
         for g in np.flatnonzero(np.diff(cuts)):
-            own = slice(g * self.width, (g + 1) * self.width)
-            symbols = _Scores(self.symbol[own], self.bias[own], space)
-            for lo in range(cuts[g], cuts[g + 1], block):
-                some = order[lo : min(lo + block, cuts[g + 1])]
-                here = q[: len(some)]
-                here[:, :-1] = self.summed(before[some])
-                longest = math.sqrt(np.einsum("td,td->t", here[:, :-1], here[:, :-1]).max())
-                out[some] = classes.log(here, every[: len(some)] + g, longest) + symbols.log(here, member[some], longest)
-        return out / math.log(10)
+            for lo in range(cuts[g], cuts[g + 1], self.block):
+                some = slice(lo, min(lo + self.block, cuts[g + 1]))
+                q = self._summed([x[some] for x in before])
+                longest = math.sqrt(np.einsum("td,td->t", q, q).max())
+                q *= LOG2_E
+                out[some] = self.classes.log2(q, group[some], longest) + self.symbols[g].log2(q, member[some], longest)
+        back = np.empty_like(out)
+        back[order] = out * math.log10(2)
+        return back
+
+    def _summed(self, before: list[np.ndarray]) -> np.ndarray:
+        """The vector that predicts what follows, for the symbols before at each distance."""
+        n, context = len(before[0]), self.m.context
+        q, more = self.room[:, :n]
+        context.take(before[0], axis=0, out=q, mode="clip")
+        q *= self.place[0, :n]
+        for j in range(1, len(before)):
+            context.take(before[j], axis=0, out=more, mode="clip")
+            more *= self.place[j, :n]
+            q += more
+        return q
+
+
+def text_scores(scorer: Scorer, parts: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], at_once: int = 1 << 17) -> np.ndarray:
+    """The log10-probability of each text; ``parts`` hold the symbols of whole texts, those before each, and the places of each text.
+
+    Parts are taken together until they have ``at_once`` places: the more there are, the fuller the blocks of each class.
+    """
+    out, held, places = [], [], 0
+    for part in itertools.chain(parts, [None]):
+        if held and (part is None or places >= at_once):
+            now, before, long = map(np.concatenate, zip(*held))
+            out.append(np.add.reduceat(scorer.log10(now, before), np.cumsum(long) - long))
+            held, places = [], 0
+        if part is not None:
+            held.append(part)
+            places += len(part[0])
+    return np.concatenate([np.zeros(0), *out])
 
 
 class _Scores:
     """Normalised logs of one level, worked out in ``space``."""
 
     def __init__(self, vectors: np.ndarray, bias: np.ndarray, space: np.ndarray):
-        self.by = np.concatenate([vectors, bias[:, None]], 1).T
+        self.by, self.bias, self.times, self.space = vectors.T, bias * LOG2_E, np.exp(bias), space
         self.longest, self.top = math.sqrt(np.einsum("td,td->t", vectors, vectors).max()), float(np.abs(bias[bias > -1e29]).max())
-        self.space, self.ones = space, np.ones(len(bias), np.float32)
 
-    def log(self, q: np.ndarray, chosen: np.ndarray, longest: float) -> np.ndarray:
-        """Of ``chosen`` in each row; ``longest`` is the length of the longest row of ``q`` without its last column."""
-        z = np.matmul(q, self.by, out=self.space[: len(q) * len(self.ones)].reshape(len(q), -1))
-        own = z[np.arange(len(q)), chosen]
-        if longest * self.longest + self.top > 60:  # exponentials might not fit
-            return own - _log_sum(z)
-        np.exp(z, out=z)
-        return own - np.log(z @ self.ones)
+    def log2(self, q: np.ndarray, chosen: np.ndarray, longest: float) -> np.ndarray:
+        """Of ``chosen`` in each row; ``q`` is multiplied by ``LOG2_E``, and its longest row was ``longest`` before."""
+        z = np.matmul(q, self.by, out=self.space[: len(q) * len(self.bias)].reshape(len(q), -1))
+        own = z[np.arange(len(q)), chosen] + self.bias.take(chosen)
+        if longest * self.longest + self.top > 60:  # powers might not fit
+            z += self.bias
+            z /= LOG2_E
+            return own - _log_sum(z) * LOG2_E
+        np.exp2(z, out=z)
+        return own - np.log2(z @ self.times)
 
 
 def _log_sum(z: np.ndarray) -> np.ndarray:
@@ -315,13 +374,11 @@ def _log_sum(z: np.ndarray) -> np.ndarray:
     return top + np.log(z.sum(1))
 
 
-def _sigmoid(z: np.ndarray) -> np.ndarray:
-    """The logistic function, in place."""
-    np.negative(z, out=z)
-    with np.errstate(over="ignore"):
-        np.exp(z, out=z)
+def _sigmoid(z: np.ndarray, times: np.ndarray | float = 1) -> np.ndarray:
+    """The logistic function, in place, ``times`` a weight, of what was multiplied by ``-LOG2_E``."""
+    np.exp2(z, out=z)
     z += 1
-    return np.reciprocal(z, out=z)
+    return np.divide(times, z, out=z)
 
 
 def _order(ids: np.ndarray) -> np.ndarray:
@@ -336,6 +393,27 @@ def _runs(ids: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.flatnonzero(np.diff(ids)) + 1])
 
 
+def _run_sums(rows: np.ndarray, order: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sum of the rows of each run of ``order``, longer runs first, and which run each sum is of; ``first`` is where runs begin.
+
+    The i-th rows of all runs that have one are added at once; what is over ``RUN`` rows is summed run by run.
+    """
+    long = np.diff(first, append=len(order))
+    capped = np.minimum(long, RUN + 1)
+    by = np.argsort((RUN + 1 - capped).astype(np.uint8), kind="stable")
+    have = np.cumsum(np.bincount(capped, minlength=RUN + 2)[::-1])[::-1].tolist()  # runs of that many rows at least
+    at, end = first[by], (first + long)[by]
+    out = rows.take(order.take(at), axis=0)
+    for i in range(1, RUN):
+        if have[i + 1]:
+            out[: have[i + 1]] += rows.take(order.take(at[: have[i + 1]] + i), axis=0)
+    ones = np.ones(int(long.max()), rows.dtype)
+    for k in range(have[RUN + 1]):
+        rest = rows.take(order[at[k] + RUN : end[k]], axis=0)
+        out[k] += ones[: len(rest)] @ rest
+    return out, by
+
+
 class Trainer:
     """A model, the law of its noise, and steps scaled by the root of the squares of all gradients so far (Adagrad by rows).
 
@@ -360,9 +438,11 @@ class Trainer:
         """Go up ``grad``, whose rows are those of ``ids``; none repeats."""
         weights, seen = getattr(self.m, name), self.squares[name]
         grad = grad.reshape(len(ids), -1)
-        seen[ids] += np.einsum("td,td->t", grad, grad) / grad.shape[1]
-        step = grad * (rate / np.sqrt(seen[ids]))[:, None]
-        weights[ids] += step if weights.ndim > 1 else step[:, 0]
+        squares = seen.take(ids) + np.einsum("td,td->t", grad, grad) / grad.shape[1]
+        seen[ids] = squares
+        step = grad * (rate / np.sqrt(squares))[:, None]
+        step += weights.take(ids, axis=0).reshape(step.shape)
+        weights[ids] = step if weights.ndim > 1 else step[:, 0]
 
     def learn(self, laid: np.ndarray, asked: np.ndarray, rng: np.random.Generator, batch: int, rate: Callable[[int], float]) -> None:
         """Steps of ``batch`` symbols through ``laid``, predicting those ``asked``; ``rate`` is told how many came before."""
@@ -371,30 +451,43 @@ class Trainer:
             some = asked[lead : lo + batch].copy()
             some[: lo - lead] = False
             if some.any():
-                self._step(laid[lead : lo + batch], some, rng, rate(lo))
+                with np.errstate(over="ignore"):  # of powers whose reciprocal is 0
+                    self._step(laid[lead : lo + batch], some, rng, rate(lo))
 
     def _step(self, laid: np.ndarray, asked: np.ndarray, rng: np.random.Generator, rate: float) -> None:
         """One step on both levels; places are taken in the order of their symbols."""
-        m, c = self.m, self.s.context
-        given = m.context[laid]
-        q = np.zeros_like(given)
-        for j in range(c):
-            q[j + 1 :] += given[: -1 - j] * m.place[j]
+        m, c, d = self.m, self.s.context, self.s.dimensions
+        place = np.repeat(m.place[:, None], min(BLOCK, len(laid)), 1)
+        given = np.zeros((c + len(laid), d), np.float32)  # led by as many rows of zeros as there are positions
+        m.context.take(laid, axis=0, out=given[c:], mode="clip")
         order = _order(laid)
-        at = order[asked[order]]
-        now, q = laid[at], q[at]
+        at = order[asked.take(order)]
+        now = laid.take(at)
+        q = self._moved([given[c - 1 - j :] for j in range(c)], place, len(laid)).take(at, axis=0)
         group = now // m.width
         pull = self._classes(q, group, rng, rate) + self._symbols(q, now, group, rng, rate)
-        pulls = np.zeros_like(given)
-        pulls[at] = pull
-        back, place = np.zeros_like(given), np.empty_like(m.place)
-        for j in range(c):
-            back[: -1 - j] += pulls[j + 1 :] * m.place[j]
-            place[j] = np.einsum("td,td->d", pulls[j + 1 :], given[: -1 - j])
-        self._up("place", place / math.sqrt(len(at)), np.arange(c), rate)
-        met = laid[order]
+        of = np.full(len(laid) + c, len(at))  # where each symbol's pull is; the last row is none
+        of[at] = np.arange(len(at))
+        pulls = np.concatenate([pull, np.zeros((1, d), np.float32)]).take(of, axis=0)
+        back = self._moved([pulls[j + 1 :] for j in range(c)], place, len(laid))
+        moved = np.stack([np.einsum("td,td->d", pulls[j + 1 : len(laid)], given[c : c + len(laid) - 1 - j]) for j in range(c)])
+        self._up("place", moved / math.sqrt(len(at)), np.arange(c), rate)
+        met = laid.take(order)
         first = _runs(met)
-        self._up("context", np.add.reduceat(back[order], first, axis=0), met[first], rate)
+        total, by = _run_sums(back, order, first)
+        self._up("context", total, met[first][by], rate)
+
+    @staticmethod
+    def _moved(rows: list[np.ndarray], place: np.ndarray, n: int) -> np.ndarray:
+        """The sum of the first ``n`` of each of ``rows``, weighted by its position; ``place`` repeats the weights for a block."""
+        out = np.empty((n, rows[0].shape[1]), np.float32)
+        part = np.empty(place.shape[1:], np.float32)
+        for lo in range(0, n, len(part)):
+            here = out[lo : lo + len(part)]
+            np.multiply(rows[0][lo : lo + len(here)], place[0, : len(here)], out=here)
+            for j in range(1, len(rows)):
+                here += np.multiply(rows[j][lo : lo + len(here)], place[j, : len(here)], out=part[: len(here)])
+        return out
 
     def _classes(self, q: np.ndarray, group: np.ndarray, rng: np.random.Generator, rate: float) -> np.ndarray:
         """Step towards the class of each place and away from the noise of its block; what pulls ``q``."""
@@ -403,25 +496,25 @@ class Trainer:
         blocks = -(-n // long)
         draws = max(s.noise, s.noise_draws // blocks)
         drawn = np.minimum(np.searchsorted(self.upto_class, rng.random((blocks, draws)), "right"), m.classes - 1)
-        bias = m.class_bias - self.log_class
+        bias = (m.class_bias - self.log_class) * -LOG2_E
         padded = np.zeros((blocks * long, d), np.float32)
         padded[:n] = q
         padded, noise = padded.reshape(blocks, long, d), m.of_class[drawn]
-        away = np.matmul(padded, noise.transpose(0, 2, 1))
+        away = np.matmul(padded, noise.transpose(0, 2, 1) * -LOG2_E)
         away += bias[drawn][:, None]
-        _sigmoid(away)
-        away *= -s.noise / draws
+        _sigmoid(away, np.float32(-s.noise / draws))
         away.reshape(blocks * long, draws)[n:] = 0
         pull = np.matmul(away, noise).reshape(-1, d)[:n]
-        own = m.of_class[group]
-        near = 1 - _sigmoid(np.einsum("td,td->t", q, own) + bias[group])
-        pull += near[:, None] * own
+        own = m.of_class.take(group, axis=0)
+        near = 1 - _sigmoid(np.einsum("td,td->t", q, own) * -LOG2_E + bias.take(group))
+        own *= near[:, None]
+        pull += own
         first = _runs(group)
         ids = np.concatenate([group[first], drawn.ravel()])
         cuts = [*first, n]
         towards = np.stack([near[a:b] @ q[a:b] for a, b in zip(cuts[:-1], cuts[1:])])
         grad = np.concatenate([towards, np.matmul(away.transpose(0, 2, 1), padded).reshape(-1, d)])
-        grad_bias = np.concatenate([np.add.reduceat(near, first), away.sum(1).ravel()])
+        grad_bias = np.concatenate([np.add.reduceat(near, first), np.matmul(np.ones(long, np.float32), away).ravel()])
         order = _order(ids)
         first = _runs(ids[order])
         ids = ids[order][first]
@@ -432,35 +525,40 @@ class Trainer:
     def _symbols(self, q: np.ndarray, now: np.ndarray, group: np.ndarray, rng: np.random.Generator, rate: float) -> np.ndarray:
         """Step towards the symbol of each place and away from the noise of its class; what pulls ``q``."""
         m, s = self.m, self.s
-        bias = m.bias - self.log_within
-        own = m.symbol[now]
-        near = 1 - _sigmoid(np.einsum("td,td->t", q, own) + bias[now])
+        bias = (m.bias - self.log_within) * -LOG2_E
+        own = m.symbol.take(now, axis=0)
+        near = 1 - _sigmoid(np.einsum("td,td->t", q, own) * -LOG2_E + bias.take(now))
         own *= near[:, None]
         starts = _runs(group)
         present = group[starts][:, None]
         drawn = np.searchsorted(self.upto, present + rng.random((len(present), s.word_draws)), "right")
         drawn, times = np.unique(np.minimum(drawn, (present + 1) * m.width - 1), return_counts=True)
         weight = (times * (-s.noise_words / s.word_draws)).astype(np.float32)
-        noise, noise_bias = m.symbol[drawn], bias[drawn]
-        grad, grad_bias = np.empty_like(noise), np.empty_like(noise_bias)
+        noise, noise_bias = m.symbol.take(drawn, axis=0), bias.take(drawn)
+        by = (noise * -LOG2_E).T
+        grad, grad_bias, ones = np.zeros_like(noise), np.zeros_like(noise_bias), np.ones(s.noise_block, np.float32)
         bounds, cuts = [*starts, len(q)], np.searchsorted(drawn, [*(present[:, 0] * m.width), m.classes * m.width])
-        for a, b, lo, hi in zip(bounds[:-1], bounds[1:], cuts[:-1], cuts[1:]):
-            away = q[a:b] @ noise[lo:hi].T
-            away += noise_bias[lo:hi]
-            _sigmoid(away)
-            away *= weight[lo:hi]
-            own[a:b] += away @ noise[lo:hi]
-            grad[lo:hi] = away.T @ q[a:b]
-            grad_bias[lo:hi] = away.sum(0)
+        for begin, end, lo, hi in zip(bounds[:-1], bounds[1:], cuts[:-1], cuts[1:]):
+            for a in range(begin, end, s.noise_block):
+                b = min(a + s.noise_block, end)
+                away = q[a:b] @ by[:, lo:hi]
+                away += noise_bias[lo:hi]
+                _sigmoid(away, weight[lo:hi])
+                own[a:b] += away @ noise[lo:hi]
+                grad[lo:hi] += away.T @ q[a:b]
+                grad_bias[lo:hi] += ones[: b - a] @ away
         first = _runs(now)
-        towards, towards_bias = np.add.reduceat(near[:, None] * q, first, axis=0), np.add.reduceat(near, first)
-        ids, back = np.unique(np.concatenate([now[first], drawn]), return_inverse=True)
-        total, total_bias = np.zeros((len(ids), q.shape[1]), np.float32), np.zeros(len(ids), np.float32)
-        total[back[: len(first)]], total_bias[back[: len(first)]] = towards, towards_bias
-        total[back[len(first) :]] += grad
-        total_bias[back[len(first) :]] += grad_bias
-        self._up("symbol", total, ids, rate)
-        self._up("bias", total_bias, ids, rate)
+        towards, by = _run_sums(near[:, None] * q, np.arange(len(q)), first)
+        towards_bias, ids = np.add.reduceat(near, first)[by], now[first]
+        found = np.minimum(np.searchsorted(ids, drawn), len(ids) - 1)
+        both = ids[found] == drawn
+        row = np.empty(len(by), np.int64)
+        row[by] = np.arange(len(by))
+        towards[row[found[both]]] += grad[both]
+        towards_bias[row[found[both]]] += grad_bias[both]
+        ids = np.concatenate([ids[by], drawn[~both]])
+        self._up("symbol", np.concatenate([towards, grad[~both]]), ids, rate)
+        self._up("bias", np.concatenate([towards_bias, grad_bias[~both]]), ids, rate)
         return own
 
     def changes(self, start: Trainer) -> Iterator[tuple[str, int, np.ndarray, np.ndarray]]:
@@ -570,7 +668,8 @@ def score_texts(docs: DataFrame, learn: Column, s: Settings = Settings()) -> Dat
     shared = docs.sparkSession.sparkContext.broadcast((lex, model))
 
     def make():
-        own, bilinear = shared.value
+        own, model = shared.value
+        scorer = Scorer(model)
         base_of = own.base_log(own.count)
         end_base = float(own.base_log(float(own.texts)))
 
@@ -578,23 +677,27 @@ def score_texts(docs: DataFrame, learn: Column, s: Settings = Settings()) -> Dat
             rows = len(given["text"])
             out = {k: np.zeros(rows, np.int64) for k in ("n_tokens", "head_known")} | {k: np.zeros(rows) for k in ("head_base", "head_score")}
             rare, rare_class, rare_bounds = [], [], [np.zeros(1, np.int64)]
-            for w in words(given["text"]):
-                at, word_cls, symbol = own.symbols_of(w)
-                now, before, bounds = sequence(w, symbol, own.end, s.context)
-                here = slice(w.first, w.first + w.rows)
-                known = at >= 0
-                base = np.where(known, base_of[at] if len(base_of) else 0.0, 0.0)
-
-                def per_row(x, bounds=w.bounds):
-                    return np.diff(np.concatenate([[0], np.cumsum(x)])[bounds])
-
-                out["n_tokens"][here] = np.diff(bounds)
-                out["head_known"][here] = per_row(known.astype(np.int64)) + (own.texts > 0)
-                out["head_base"][here] = per_row(base) + end_base
-                out["head_score"][here] = np.add.reduceat(bilinear.log10(now, before), bounds[:-1])
-                rare.append(w.hashes[~known].view(np.int64))
-                rare_class.append(word_cls[~known].astype(np.int32))
-                rare_bounds.append(rare_bounds[-1][-1] + np.cumsum(per_row((~known).astype(np.int64))))
+
+            def parts():
+                for w in words(given["text"]):
+                    at, word_cls, symbol = own.symbols_of(w)
+                    now, before, bounds = sequence(w, symbol, own.end, s.context)
+                    here = slice(w.first, w.first + w.rows)
+                    known = at >= 0
+                    base = np.where(known, base_of[at] if len(base_of) else 0.0, 0.0)
+
+                    def per_row(x, bounds=w.bounds):
+                        return np.diff(np.concatenate([[0], np.cumsum(x)])[bounds])
+
+                    out["n_tokens"][here] = np.diff(bounds)
+                    out["head_known"][here] = per_row(known.astype(np.int64)) + (own.texts > 0)
+                    out["head_base"][here] = per_row(base) + end_base
+                    rare.append(w.hashes[~known].view(np.int64))
+                    rare_class.append(word_cls[~known].astype(np.int32))
+                    rare_bounds.append(rare_bounds[-1][-1] + np.cumsum(per_row((~known).astype(np.int64))))
+                    yield now.astype(np.int32), before.astype(np.int32), np.diff(bounds)
+
+            out["head_score"] = text_scores(scorer, parts())
             offsets = pa.array(np.concatenate(rare_bounds).astype(np.int32))
             none = np.zeros(0, np.int64)
             out["rare"] = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([none, *rare])))

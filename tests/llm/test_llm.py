@@ -146,6 +146,92 @@ def test_context_is_of_the_same_text():
     assert before.tolist() == [[9, 9], [5, 9], [6, 5], [9, 9], [9, 9], [7, 9]]
 
 
+def test_words_are_found_without_a_search_for_each(monkeypatch):
+    rng = np.random.default_rng(3)
+    full = (1 << 64) - 1
+    near = [5 << 46, (5 << 46) + 1, (5 << 46) + 2, (6 << 46) - 1, 6 << 46]  # the first four share their first bits
+    hashes = np.unique(np.array([0, *near, full - 1, *rng.integers(0, full, 500, np.uint64)], np.uint64))
+    asked = np.concatenate([hashes, hashes + np.uint64(1), np.array([full, 3, (5 << 46) + 9], np.uint64), rng.integers(0, full, 500, np.uint64)])
+    search = np.searchsorted
+
+    def bounded(a, v, *rest):
+        assert np.size(v) != len(asked)
+        return search(a, v, *rest)
+
+    for own in (hashes, np.append(hashes, np.uint64(full)), hashes[:0]):
+        where = {int(x): i for i, x in enumerate(own)}
+        lex = lm_score.Lexicon(own, *[np.zeros(len(own), np.int64)] * 2, np.zeros(256, np.int64), 0, np.ones(1), 0, 0, *[np.zeros(256)] * 2, 0)
+        monkeypatch.setattr(np, "searchsorted", bounded)
+        got = lex.find(asked).tolist()
+        monkeypatch.undo()
+        assert got == [where.get(int(x), -1) for x in asked]
+
+
+def test_runs_are_summed_whatever_their_length():
+    rng = np.random.default_rng(4)
+    long = [1, 40, 1, 12, 13, 2, 11, 300, 1]
+    rows = rng.normal(0, 1, (sum(long), 5)).astype(np.float32)
+    order = rng.permutation(len(rows))
+    first = np.cumsum(long) - long
+    got, of = lm_score._run_sums(rows, order, first)
+    assert sorted(of.tolist()) == list(range(len(long)))
+    for x, k in zip(got, of):
+        assert np.allclose(x, rows[order[first[k] : first[k] + long[k]]].astype(float).sum(0), atol=1e-4)
+
+
+def test_texts_are_scored_together_with_tables_made_once(monkeypatch):
+    rng = np.random.default_rng(5)
+    law = np.arange(30, 0, -1) / 465
+    m = lm_score.LogBilinear(law, 7, lm_score.Settings(dimensions=4))
+    parts = [(rng.integers(0, 30, n), rng.integers(0, 30, (n, 3)), np.array([1, n - 1])) for n in (9, 40, 17, 2, 300)]
+    want = [x for now, before, long in parts for x in np.add.reduceat(m.log10(now, before), [0, 1])]
+    made, tables = [], lm_score._Scores
+    monkeypatch.setattr(lm_score, "_Scores", lambda *a: made.append(1) or tables(*a))
+    scorer = lm_score.Scorer(m)
+    for at_once in (1, 45, 10_000):
+        assert np.allclose(lm_score.text_scores(scorer, iter(parts), at_once), want, atol=1e-5)
+    assert len(made) == 1 + m.classes
+    assert len(lm_score.text_scores(scorer, iter([]))) == 0
+
+
+def test_a_step_goes_up_the_plain_gradient():
+    s = lm_score.Settings(dimensions=4, noise=3, noise_draws=18, noise_words=2, word_draws=4, noise_block=8)
+    law = np.arange(30, 0, -1) / 465
+    t = lm_score.Trainer(law, 7, s)
+    old, seen = {n: getattr(t.m, n).astype(float) for n in t.TABLES}, {n: x.astype(float) for n, x in t.squares.items()}
+    rng = np.random.default_rng(6)
+    laid = np.concatenate([[9, 9, 9], rng.integers(0, 30, 20), [9]])
+    asked = np.arange(len(laid)) >= 3
+    t._step(laid, asked, np.random.default_rng(7), 0.5)
+    draw, grad = np.random.default_rng(7), {n: np.zeros_like(x) for n, x in old.items()}
+    at = sorted(np.flatnonzero(asked), key=lambda i: (laid[i], i))
+    drawn = np.searchsorted(t.upto_class, draw.random((3, 6)), "right").clip(max=t.m.classes - 1)  # 21 places are 3 blocks
+    present = sorted({int(laid[i]) // 7 for i in at})
+    words_of = {g: np.searchsorted(t.upto, g + x, "right").clip(max=g * 7 + 6) for g, x in zip(present, draw.random((len(present), 4)))}
+    pull = {}
+    for k, i in enumerate(at):
+        g = int(laid[i]) // 7
+        q = sum(old["context"][laid[i - 1 - j]] * old["place"][j] for j in range(3))
+        pull[i] = np.zeros(4)
+        levels = [("of_class", "class_bias", t.log_class, g, drawn[k // 8], 3 / 6), ("symbol", "bias", t.log_within, int(laid[i]), words_of[g], 2 / 4)]
+        for vectors, biases, known, own, noise, weight in levels:
+            for x, share in [(own, None), *[(int(x), weight) for x in noise]]:
+                p = 1 / (1 + math.exp(-(q @ old[vectors][x] + old[biases][x] - known[x])))
+                by = 1 - p if share is None else -share * p
+                pull[i] += by * old[vectors][x]
+                grad[vectors][x] += by * q
+                grad[biases][x] += by
+    for i in at:
+        for j in range(3):
+            grad["context"][laid[i - 1 - j]] += pull[i] * old["place"][j]
+            grad["place"][j] += pull[i] * old["context"][laid[i - 1 - j]] / math.sqrt(len(at))
+    for n in old:
+        width = grad[n].reshape(len(grad[n]), -1)
+        squares = seen[n] + (width**2).sum(1) / width.shape[1]
+        want = old[n].reshape(width.shape) + width * 0.5 / np.sqrt(squares)[:, None]
+        assert np.allclose(getattr(t.m, n).reshape(width.shape)[: len(law)], want[: len(law)], rtol=1e-3, atol=1e-4), n
+
+
 def test_second_word_back_is_used():
     rng = np.random.default_rng(1)
     rows = []
