@@ -20,8 +20,6 @@ _INV = pow(_MULT, -1, 1 << 64)
 _BYTE = np.random.Generator(np.random.PCG64(20240229)).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_IS_WORD = np.ones(256, dtype=bool)
-_IS_WORD[[9, 10, 11, 12, 13, 32]] = False
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -92,13 +90,13 @@ def words(column: pa.Array, lower: bool = True) -> Iterator[Words]:
         own = offsets[lo : hi + 1] - offsets[lo]
         piece = data[offsets[lo] : offsets[hi]]
         if lower:
-            piece = _LOWER[piece]
+            piece = piece + ((piece - np.uint8(65)) < 26) * np.uint8(32)
         n = len(piece)
         if not n:
             none = np.zeros(0, np.int64)
             yield Words(lo, np.zeros(hi - lo + 1, np.int64), np.zeros(0, np.uint64), none, none, piece)
             continue
-        inside = _IS_WORD[piece]
+        inside = ((piece - np.uint8(9)) > 4) & (piece != 32)
         cut = np.zeros(n + 1, dtype=bool)
         cut[own] = True
         before = np.empty(n, dtype=bool)

@@ -164,7 +164,7 @@ class Lexicon:
     def symbols_of(self, w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per word its index among the words with a symbol, its class of endings and its symbol."""
         at, cls = self.find(w.hashes), word_class(w)
-        return at, cls, np.where(at >= 0, self.symbol[at] if len(self.symbol) else 0, self.endings[cls])
+        return at, cls, np.where(at >= 0, self.symbol.take(at, mode="clip") if len(self.symbol) else 0, self.endings.take(cls))
 
     @property
     def tokens(self) -> int:
@@ -216,7 +216,7 @@ def sequence(w: Words, symbol: np.ndarray, end: int, context: int) -> tuple[np.n
     before the first), and the bounds of the texts among the places."""
     laid, at = laid_out(w, symbol, end, context)
     bounds = np.concatenate([[0], np.cumsum(np.diff(w.bounds) + 1)])
-    return laid[at], np.stack([laid[at - j] for j in range(1, context + 1)], 1), bounds
+    return laid.take(at), np.stack([laid.take(at - j) for j in range(1, context + 1)]).T, bounds
 
 
 def places(laid: np.ndarray, end: int, context: int) -> np.ndarray:
@@ -326,15 +326,15 @@ class Scorer:
 
 
 def text_scores(scorer: Scorer, parts: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], at_once: int = 1 << 17) -> np.ndarray:
-    """The log10-probability of each text; ``parts`` hold the symbols of whole texts, those before each, and the places of each text.
+    """The log10-probability of each text; ``parts`` hold the symbols of whole texts, those before each (nearest first, a row for each distance), and the places of each text.
 
     Parts are taken together until they have ``at_once`` places: the more there are, the fuller the blocks of each class.
     """
     out, held, places = [], [], 0
     for part in itertools.chain(parts, [None]):
         if held and (part is None or places >= at_once):
-            now, before, long = map(np.concatenate, zip(*held))
-            out.append(np.add.reduceat(scorer.log10(now, before), np.cumsum(long) - long))
+            now, before, long = (np.concatenate(x, axis=-1) for x in zip(*held))
+            out.append(np.add.reduceat(scorer.log10(now, before.T), np.cumsum(long) - long))
             held, places = [], 0
         if part is not None:
             held.append(part)
@@ -684,7 +684,7 @@ def score_texts(docs: DataFrame, learn: Column, s: Settings = Settings()) -> Dat
                     now, before, bounds = sequence(w, symbol, own.end, s.context)
                     here = slice(w.first, w.first + w.rows)
                     known = at >= 0
-                    base = np.where(known, base_of[at] if len(base_of) else 0.0, 0.0)
+                    base = np.where(known, base_of.take(at, mode="clip") if len(base_of) else 0.0, 0.0)
 
                     def per_row(x, bounds=w.bounds):
                         return np.diff(np.concatenate([[0], np.cumsum(x)])[bounds])
@@ -695,7 +695,7 @@ def score_texts(docs: DataFrame, learn: Column, s: Settings = Settings()) -> Dat
                     rare.append(w.hashes[~known].view(np.int64))
                     rare_class.append(word_cls[~known].astype(np.int32))
                     rare_bounds.append(rare_bounds[-1][-1] + np.cumsum(per_row((~known).astype(np.int64))))
-                    yield now.astype(np.int32), before.astype(np.int32), np.diff(bounds)
+                    yield now.astype(np.int32), before.T.astype(np.int32), np.diff(bounds)
 
             out["head_score"] = text_scores(scorer, parts())
             offsets = pa.array(np.concatenate(rare_bounds).astype(np.int32))
@@ -719,7 +719,7 @@ def _with_rare_words(scored: DataFrame, counts: DataFrame, lex: Lexicon, s: Sett
     mass = F.array(*[F.lit(float(x)) for x in lex.class_log_mass()])
     total = math.log10(lex.tokens + SMOOTHING * (lex.distinct + (lex.texts > 0) + 1))
     rare = scored.select("uid", F.explode(F.arrays_zip("rare", "rare_class")).alias("t")).select("uid", "t.rare", "t.rare_class")
-    rare = rare.join(counts.select(F.col("h").alias("rare"), "n"), "rare", "left")
+    rare = rare.join(counts.select(F.col("h").alias("rare"), "n").hint("shuffle_hash"), "rare", "left")  # a word is once in counts, and rare: no key is hot
     log = F.log10(F.coalesce("n", F.lit(0)) + SMOOTHING)
     sums = rare.groupBy("uid").agg(
         F.count("n").alias("rare_known"),

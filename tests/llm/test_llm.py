@@ -185,6 +185,7 @@ def test_texts_are_scored_together_with_tables_made_once(monkeypatch):
     m = lm_score.LogBilinear(law, 7, lm_score.Settings(dimensions=4))
     parts = [(rng.integers(0, 30, n), rng.integers(0, 30, (n, 3)), np.array([1, n - 1])) for n in (9, 40, 17, 2, 300)]
     want = [x for now, before, long in parts for x in np.add.reduceat(m.log10(now, before), [0, 1])]
+    parts = [(now, before.T, long) for now, before, long in parts]
     made, tables = [], lm_score._Scores
     monkeypatch.setattr(lm_score, "_Scores", lambda *a: made.append(1) or tables(*a))
     scorer = lm_score.Scorer(m)
